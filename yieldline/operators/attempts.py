@@ -16,16 +16,21 @@ from pyspark.sql import functions as F
 from yieldline.functions.conditional import count_where, max_where, min_where
 from yieldline.functions.timing import bucket
 
-IS_FAIL = F.col("book_state") == "FAIL"
-IS_PASS = F.col("book_state") == "PASS"
+
+def is_fail() -> Column:
+    return F.col("book_state") == "FAIL"
+
+
+def is_pass() -> Column:
+    return F.col("book_state") == "PASS"
 
 
 def booking_counts() -> list[Column]:
     serial = F.col("serial_number")
     return [
         F.count(serial).alias("total_bookings"),
-        count_where(IS_FAIL, serial).alias("fail_bookings"),
-        count_where(IS_PASS, serial).alias("pass_bookings"),
+        count_where(is_fail(), serial).alias("fail_bookings"),
+        count_where(is_pass(), serial).alias("pass_bookings"),
     ]
 
 
@@ -37,8 +42,8 @@ def attempts_per_bucket(bookings: DataFrame, grain: str = "hour", *extra: Column
     ).agg(
         *booking_counts(),
         F.max(attempt).alias("top_attempt"),
-        max_where(IS_FAIL, attempt).alias("top_fail"),
-        max_where(IS_PASS, attempt).alias("top_pass"),
+        max_where(is_fail(), attempt).alias("top_fail"),
+        max_where(is_pass(), attempt).alias("top_pass"),
         *extra,
     )
 
@@ -82,8 +87,8 @@ def running_latest(bookings: DataFrame, grain: str = "hour") -> DataFrame:
     ).agg(
         *booking_counts(),
         F.min(created).alias("first_any"),
-        min_where(IS_FAIL, created).alias("first_fail"),
-        min_where(IS_PASS, created).alias("first_pass"),
+        min_where(is_fail(), created).alias("first_fail"),
+        min_where(is_pass(), created).alias("first_pass"),
     )
     higher = (
         Window.partitionBy("station_number", "serial_number", "date_hour")
@@ -108,5 +113,5 @@ def running_latest(bookings: DataFrame, grain: str = "hour") -> DataFrame:
 def board_history(bookings: DataFrame, *keys: str) -> DataFrame:
     """Per board: time of its last booking and how often it failed. One partial + final aggregate."""
     return bookings.groupBy("serial_number", *keys).agg(
-        F.max("date_created").alias("last_test_time"), count_where(IS_FAIL).alias("fail_count")
+        F.max("date_created").alias("last_test_time"), count_where(is_fail()).alias("fail_count")
     )

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yieldline.operators.attempts import (
-    IS_FAIL,
-    IS_PASS,
+    is_fail,
+    is_pass,
     attempts_per_bucket,
     board_counts,
     booking_counts,
@@ -43,7 +43,7 @@ def quality_two_branches(bookings: DataFrame, grain: str = "hour") -> DataFrame:
     final = bookings.join(latest, [*board, "test_count"], "left_semi")
     results = final.groupBy(
         "station_number", bucket("date_created", grain).alias("date_hour"), "part_number", "serial_number"
-    ).agg(count_where(IS_FAIL).alias("fails"), count_where(IS_PASS).alias("passes"))
+    ).agg(count_where(is_fail()).alias("fails"), count_where(is_pass()).alias("passes"))
     serial = F.col("serial_number")
     boards = results.groupBy(*keys).agg(
         F.count(serial).alias("total_pcb"),

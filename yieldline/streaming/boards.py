@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from yieldline.functions.conditional import max_where
-from yieldline.operators.attempts import IS_FAIL, IS_PASS
+from yieldline.operators.attempts import is_fail, is_pass
 
 BOARD = ("station_number", "serial_number")
 TOPS = ("top_attempt", "top_fail", "top_pass")
@@ -21,8 +21,8 @@ def tops(bookings: DataFrame) -> DataFrame:
     attempt = F.col("test_count")
     return bookings.groupBy(*BOARD).agg(
         F.max(attempt).alias("top_attempt"),
-        max_where(IS_FAIL, attempt).alias("top_fail"),
-        max_where(IS_PASS, attempt).alias("top_pass"),
+        max_where(is_fail(), attempt).alias("top_fail"),
+        max_where(is_pass(), attempt).alias("top_pass"),
     )
 
 

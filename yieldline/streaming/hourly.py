@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from yieldline.functions.conditional import count_where
 from yieldline.functions.timing import bucket, from_instant, to_instant
-from yieldline.operators.attempts import IS_FAIL, IS_PASS
+from yieldline.operators.attempts import is_fail, is_pass
 from yieldline.plans.availability import uptime_columns, uptime_micros
 from yieldline.sources.tables import Warehouse, read_or_empty
 
@@ -25,8 +25,8 @@ def counts() -> list[Column]:
     return [
         F.sum("cycle_time").alias("sum_cycle_time"),
         F.count("serial_number").alias("count_bookings"),
-        count_where(IS_FAIL, F.col("serial_number")).alias("fail_bookings"),
-        count_where(IS_PASS, F.col("serial_number")).alias("pass_bookings"),
+        count_where(is_fail(), F.col("serial_number")).alias("fail_bookings"),
+        count_where(is_pass(), F.col("serial_number")).alias("pass_bookings"),
     ]
 
 
