@@ -11,6 +11,7 @@ from yieldline.catalog.registry import query
 from yieldline.functions.timing import bucket
 from yieldline.operators.merge import align_columns, merge_by_key, upsert_keep_existing, upsert_overwrite
 from yieldline.plans.legacy import legacy_quality
+from yieldline.plans.models import QUALITY
 from yieldline.plans.performance import cycle_totals, performance
 from yieldline.plans.quality import quality
 from yieldline.plans.refresh import full_refresh, incremental_refresh, since_high_water_mark
@@ -248,10 +249,10 @@ def quality_incremental(spark, folder):
     warehouse = new_warehouse(spark, "s16")
     first, second = two_loads(read_bookings(spark, folder))
     warehouse.append_facts(first)
-    schema = full_refresh(warehouse)["quality_station_hour"].schema
+    full_refresh(warehouse)
     warehouse.append_facts(second)
     incremental_refresh(warehouse, second)
-    return warehouse.table("quality_station_hour", schema)
+    return warehouse.table(QUALITY.name, QUALITY.schema)
 
 
 @query(

@@ -43,6 +43,10 @@ def elapsed_micros(start: Column, end: Column) -> Column:
     return (elapsed(start, end) * MICROS).cast("bigint")
 
 
+def duration(seconds: int) -> Column:
+    return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(seconds).cast("decimal(18,6)"))
+
+
 def to_instant(ts: Column) -> Column:
     """NTZ read as UTC: watermarks accept only TIMESTAMP."""
     return F.timestamp_micros(elapsed_micros(epoch(), ts))

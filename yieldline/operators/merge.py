@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 def rows_already_in(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
     """Keys of `rows` that `target` holds. `target` is only scanned when `rows` can be broadcast."""
-    return target.select(*keys).join(rows.select(*keys), keys, "left_semi")
+    return target.select(*keys).join(rows.select(*keys).distinct(), keys, "left_semi")
 
 
 def insert_missing(rows: DataFrame, present: DataFrame, keys: list[str]) -> DataFrame:

@@ -16,9 +16,14 @@ from yieldline.plans.quality import quality
 
 @dataclass(frozen=True)
 class Model:
-    """`build` takes the bookings and a lookup for reference tables and upstream models."""
+    """`build` takes the bookings and a lookup for reference tables and upstream models.
+
+    `unique_key` is the key of replacement in the original definition; for two models it is coarser
+    than `grain`, which is why refreshes here replace whole days instead.
+    """
 
     name: str
+    schema: str
     build: Callable[[DataFrame, Callable[[str], DataFrame]], DataFrame]
     unique_key: tuple[str, ...]
     grain: tuple[str, ...]
@@ -29,6 +34,8 @@ class Model:
 
 PERFORMANCE = Model(
     "performance_station_hour",
+    "station_number STRING, date_hour TIMESTAMP_NTZ, part_number STRING, avg_cycle_time DECIMAL(12,2),"
+    " ideal_cycle_time DECIMAL(10,2), count_bookings BIGINT, performance_percent DECIMAL(18,2)",
     lambda bookings, ref: performance(bookings, ref("ideal_cycle_times")),
     unique_key=("station_number", "date_hour", "part_number"),
     grain=("station_number", "date_hour", "part_number"),
@@ -45,6 +52,7 @@ PERFORMANCE = Model(
 )
 AVAILABILITY = Model(
     "availability_station_hour",
+    "station_number STRING, date_hour TIMESTAMP_NTZ, uptime_seconds DECIMAL(12,2), availability DECIMAL(12,4)",
     lambda bookings, ref: availability(bookings),
     unique_key=("station_number", "date_hour"),
     grain=("station_number", "date_hour"),
@@ -58,6 +66,8 @@ AVAILABILITY = Model(
 )
 QUALITY = Model(
     "quality_station_hour",
+    "station_number STRING, part_number STRING, date_hour TIMESTAMP_NTZ, total_bookings BIGINT,"
+    " fail_bookings BIGINT, pass_bookings BIGINT, total_pcb BIGINT, fail_pcb BIGINT, pass_pcb BIGINT",
     lambda bookings, ref: quality(bookings),
     unique_key=("station_number", "date_hour"),
     grain=("station_number", "date_hour", "part_number"),
@@ -76,6 +86,9 @@ QUALITY = Model(
 )
 LINEWISE = Model(
     "quality_linewise_datehour",
+    "date_hour TIMESTAMP_NTZ, fpy_pcbs BIGINT, fpy_percent DECIMAL(18,2), pass_pcb_linewise BIGINT,"
+    " part_number STRING, scrap_pcb_linewise BIGINT, total_pcb_linewise BIGINT,"
+    " pass_pcb_linewise_percent DECIMAL(18,2), scrap_pcb_linewise_percent DECIMAL(18,2)",
     lambda bookings, ref: linewise(ref("quality_station_hour"), first_pass(bookings)),
     unique_key=("date_hour",),
     grain=("date_hour", "part_number"),
@@ -115,10 +128,6 @@ def in_waves(models: dict[str, Model]) -> list[list[Model]]:
     return waves
 
 
-def null_report_columns(model: Model) -> list[str]:
-    return list(model.not_null)
-
-
 def documented_counts(rows: DataFrame, model: Model) -> DataFrame:
     """One row per documented column: its note and how many rows have a value, in one pass."""
     counted = rows.agg(*[F.count(c).alias(c) for c in model.notes])

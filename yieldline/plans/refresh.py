@@ -9,7 +9,9 @@ for any split and any order of batches.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -40,12 +42,17 @@ def full_refresh(warehouse: Warehouse, threads: int = 4) -> dict[str, DataFrame]
         return model.name, warehouse.replace_table(model.name, model.build(warehouse.facts(), ref))
 
     for wave in models.in_waves(models.MODELS):
-        with ThreadPoolExecutor(threads) as pool:
-            run = inheritable_thread_target(warehouse.spark)(rebuild)
-            tables.update(pool.map(run, wave))
+        tables.update(at_once(warehouse, [partial(rebuild, model) for model in wave], threads))
     return tables
 
 
+def at_once(warehouse: Warehouse, jobs: list[Callable], threads: int = 4) -> list:
+    """Run independent jobs from several threads, so that one's small stages fill idle cores."""
+    carry = inheritable_thread_target(warehouse.spark)
+    with ThreadPoolExecutor(threads) as pool:
+        return [done.result() for done in [pool.submit(carry(job)) for job in jobs]]
+
+
 def within(rows: DataFrame, days: list[dt.date], column: str = "date_hour") -> DataFrame:
     return rows.where(F.to_date(column).isin(days))
 
@@ -99,21 +106,29 @@ def incremental_refresh(warehouse: Warehouse, batch: DataFrame) -> dict[str, lis
     own_days = distinct_days(batch.select(F.to_date("date_created").alias("event_day")))
     if not own_days:
         return {}
-    replaced: dict[str, list[dt.date]] = {}
 
-    def replace(model: models.Model, rows: DataFrame, days: list[dt.date]) -> DataFrame:
-        replaced[model.name] = days
-        return warehouse.replace_days(model.name, rows, days)
-
-    for model in (models.PERFORMANCE, models.AVAILABILITY):
-        replace(model, model.build(warehouse.facts(own_days), lambda name: ideal), own_days)
-    quality_days = days_of_quality(facts, batch)
-    stored = replace(models.QUALITY, quality_of_days(facts, quality_days), quality_days)
-    line_days = sorted(set(quality_days) | set(days_of_first_pass(facts, batch)))
-    line = linewise(
-        warehouse.table(models.QUALITY.name, stored.schema, line_days), first_pass_of_days(facts, line_days)
-    )
-    replace(models.LINEWISE, line, line_days)
+    def replace_own(model: models.Model) -> dict[str, list[dt.date]]:
+        rows = model.build(warehouse.facts(own_days), lambda name: ideal)
+        warehouse.replace_days(model.name, rows, own_days)
+        return {model.name: own_days}
+
+    def replace_quality_and_line() -> dict[str, list[dt.date]]:
+        quality_days = days_of_quality(facts, batch)
+        warehouse.replace_days(models.QUALITY.name, quality_of_days(facts, quality_days), quality_days)
+        line_days = sorted(set(quality_days) | set(days_of_first_pass(facts, batch)))
+        stations = warehouse.table(models.QUALITY.name, models.QUALITY.schema, line_days)
+        line = linewise(stations, first_pass_of_days(facts, line_days))
+        warehouse.replace_days(models.LINEWISE.name, line, line_days)
+        return {models.QUALITY.name: quality_days, models.LINEWISE.name: line_days}
+
+    jobs = [
+        partial(replace_own, models.PERFORMANCE),
+        partial(replace_own, models.AVAILABILITY),
+        replace_quality_and_line,
+    ]
+    replaced: dict[str, list[dt.date]] = {}
+    for days in at_once(warehouse, jobs):
+        replaced.update(days)
     return replaced
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yieldline import schemas
-from yieldline.operators.merge import insert_missing, rows_already_in
+from yieldline.operators.merge import insert_missing, rows_already_in, upsert_keep_existing, upsert_overwrite
 from yieldline.session import new_folder
 
 DAY = "event_day"
@@ -73,19 +74,29 @@ class Warehouse:
     # facts -------------------------------------------------------------------------------------
 
     def create(self) -> "Warehouse":
-        """Create the declared tables if absent and load the two reference tables."""
+        """Create the declared tables if absent and load the two reference tables.
+
+        A station already there is kept as it is; an ideal cycle time is brought up to date.
+        """
         ensure_table(self.spark, self.path("station_records"), FACT_SCHEMA, (DAY,))
-        for name, schema, rows in (
-            ("stations", schemas.STATIONS, schemas.stations(self.spark)),
-            ("ideal_cycle_times", schemas.IDEAL_CYCLE_TIMES, schemas.ideal_cycle_times(self.spark)),
-        ):
-            ensure_table(self.spark, self.path(name), schema)
-            if not is_complete(self.spark, self.path(f"{name}/loaded")):
-                present = self.spark.read.schema(schema).parquet(self.path(name))
-                fresh = rows.join(present, schemas.PRIMARY_KEYS[name], "left_anti")
-                fresh.coalesce(1).write.mode("append").parquet(self.path(name))
+        self._load("stations", schemas.STATIONS, schemas.stations(self.spark), upsert_keep_existing)
+        ideal = schemas.ideal_cycle_times(self.spark)
+        self._load("ideal_cycle_times", schemas.IDEAL_CYCLE_TIMES, ideal, upsert_overwrite)
         return self
 
+    def _load(self, name: str, schema: T.StructType, rows: DataFrame, upsert: Callable) -> None:
+        path = self.path(name)
+        if not is_complete(self.spark, path):
+            rows.coalesce(1).write.mode("append").parquet(path)
+            return
+        present = self.spark.read.schema(schema).parquet(path)
+        merged = upsert(present, rows, [schemas.PRIMARY_KEYS[name]])
+        if merged.exceptAll(present).isEmpty():
+            return
+        aside = new_folder(self.spark, name)
+        merged.coalesce(1).write.parquet(aside)
+        self.spark.read.schema(schema).parquet(aside).write.mode("overwrite").parquet(path)
+
     def facts(self, days: list[dt.date] | None = None) -> DataFrame:
         """Bookings; `days` prunes whole partitions before anything is read."""
         facts = self.spark.read.schema(FACT_SCHEMA).parquet(self.path("station_records"))
@@ -95,14 +106,20 @@ class Warehouse:
         """Bookings with every column that later messages added; older rows have NULL there."""
         return self.spark.read.option("mergeSchema", "true").parquet(self.path("station_records"))
 
-    def append_facts(self, bookings: DataFrame, skip_present: bool = True) -> None:
-        """Append bookings, keeping the row already stored for a booking_id that comes again.
+    def stored_ids(self, bookings: DataFrame, unchanged: bool = False) -> DataFrame:
+        """Ids of `bookings` that the facts already hold.
 
         The stored ids are scanned as one column and probed with the incoming ids, so the big side
-        is never shuffled as long as the incoming ids fit under the broadcast threshold.
+        is not shuffled as long as the incoming ids fit under the broadcast threshold. `unchanged`
+        says that a repeated booking keeps its timestamp: then only its own days are scanned.
         """
+        days = distinct_days(bookings.select(F.to_date("date_created").alias(DAY))) if unchanged else None
+        return rows_already_in(bookings, self.facts(days), ["booking_id"])
+
+    def append_facts(self, bookings: DataFrame, skip_present: bool = True, unchanged: bool = False) -> None:
+        """Append bookings, keeping the row already stored for a booking_id that comes again."""
         if skip_present:
-            bookings = insert_missing(bookings, rows_already_in(bookings, self.facts(), ["booking_id"]), ["booking_id"])
+            bookings = insert_missing(bookings, self.stored_ids(bookings, unchanged), ["booking_id"])
         rows = by_day(with_day(bookings, "date_created"))
         (
             rows.sortWithinPartitions(DAY, "station_number", "date_created")
@@ -139,7 +156,8 @@ class Warehouse:
             ready.limit(0).write.mode("overwrite").parquet(f"{self.path(name)}/{DAY}={day.isoformat()}")
         return self.table(name, rows.schema)
 
-    def table(self, name: str, schema: T.StructType, days: list[dt.date] | None = None) -> DataFrame:
+    def table(self, name: str, schema: T.StructType | str, days: list[dt.date] | None = None) -> DataFrame:
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         stored = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
         table = self.spark.read.schema(stored).parquet(self.path(name))
         if days is not None:

@@ -114,7 +114,18 @@ def added_columns(rows: DataFrame) -> list[str]:
     names = rows.select(F.explode(F.map_keys("extras")).alias("name")).distinct().limit(MAX_COLUMNS + 1).collect()
     if len(names) > MAX_COLUMNS:
         raise ValueError(f"messages bring more than {MAX_COLUMNS} new fields")
-    return sorted(r["name"] for r in names)
+    return addable(sorted(r["name"] for r in names))
+
+
+def addable(names: list[str]) -> list[str]:
+    """Names that can become columns: Spark ignores case, so one spelling per name is added."""
+    taken = {*FIELDS, "event_day", "offset", "batch_id"}
+    kept = []
+    for name in names:
+        if name and name.lower() not in taken:
+            taken.add(name.lower())
+            kept.append(name)
+    return kept
 
 
 def evolve(rows: DataFrame, names: list[str]) -> DataFrame:

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from yieldline.functions.timing import GRAIN_SECONDS, bucket
-from yieldline.operators.merge import insert_missing, keep_first, rows_already_in
+from yieldline.functions.timing import GRAIN_SECONDS, bucket, duration
+from yieldline.operators.merge import insert_missing, keep_first
 from yieldline.schemas import STATION_RECORDS
 from yieldline.sources import topic
 from yieldline.sources.tables import Warehouse, is_complete, read_or_empty
@@ -29,11 +29,14 @@ LATE = T.StructType([*STATION_RECORDS.fields, T.StructField("batch_id", T.LongTy
 @dataclass(frozen=True)
 class Ingest:
     """Ingest into `warehouse`. `late_after` seconds of disorder are tolerated before a booking
-    counts as late; `auto_evolve` stores payload fields the fact table lacks as new columns."""
+    counts as late; `auto_evolve` stores payload fields the fact table lacks as new columns;
+    `resent_unchanged` says that a booking sent again has the same timestamp, which limits the
+    search for stored ids to the days of the batch."""
 
     warehouse: Warehouse
     late_after: int = 2 * 3600
     auto_evolve: bool = True
+    resent_unchanged: bool = False
 
     def start(self, messages: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         trigger = trigger or {"availableNow": True}
@@ -57,7 +60,7 @@ class Ingest:
         self._write_late(fresh, batch_id)
         if not fresh.isEmpty():
             # Only a replay can meet its own rows; a first run has just excluded stored ids.
-            self.warehouse.append_facts(fresh, skip_present=replay)
+            self.warehouse.append_facts(fresh, skip_present=replay, unchanged=True)
 
     def _write_fresh(self, messages: DataFrame, batch_id: int) -> None:
         """Decode once, set bad messages aside, and keep bookings whose id is not stored yet."""
@@ -70,7 +73,7 @@ class Ingest:
         order = "offset" if "offset" in rows.columns else "date_created"
         names = topic.added_columns(rows) if self.auto_evolve else []
         rows = topic.evolve(rows, names).select(*topic.FIELDS, *names, *([order] if order == "offset" else []))
-        stored = rows_already_in(rows, self.warehouse.facts(), ["booking_id"])
+        stored = self.warehouse.stored_ids(rows, self.resent_unchanged)
         fresh = insert_missing(keep_first(rows, ["booking_id"], order), stored, ["booking_id"]).drop("offset")
         fresh.write.mode("overwrite").parquet(self.batch_path("fresh", batch_id))
 
@@ -97,8 +100,5 @@ def is_late(clock: str | None, late_after: int, grain: str = "hour"):
     """Whether a booking's bucket ended `late_after` seconds before the newest booking seen so far."""
     if clock is None:
         return F.lit(False)
-    closed = F.lit(clock).cast("timestamp_ntz") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(late_after).cast("decimal(18,6)"))
-    ends = bucket("date_created", grain) + F.make_dt_interval(
-        F.lit(0), F.lit(0), F.lit(0), F.lit(GRAIN_SECONDS[grain]).cast("decimal(18,6)")
-    )
-    return ends <= closed
+    closed = F.lit(clock).cast("timestamp_ntz") - duration(late_after)
+    return bucket("date_created", grain) + duration(GRAIN_SECONDS[grain]) <= closed
