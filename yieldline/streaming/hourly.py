@@ -16,7 +16,8 @@ from yieldline.functions.conditional import count_where
 from yieldline.functions.timing import bucket, from_instant, to_instant
 from yieldline.operators.attempts import is_fail, is_pass
 from yieldline.plans.availability import uptime_columns, uptime_micros
-from yieldline.sources.tables import Warehouse, read_or_empty
+from yieldline.sources.tables import Warehouse
+from yieldline.streaming.clock import clock_before, is_late, note_clock
 
 COUNT_NAMES = ("sum_cycle_time", "count_bookings", "fail_bookings", "pass_bookings")
 
@@ -123,21 +124,15 @@ def with_late(on_time: DataFrame, late: DataFrame) -> DataFrame:
 def start_routed(
     warehouse: Warehouse, bookings: DataFrame, name: str, checkpoint: str, late_after: int, **trigger
 ) -> StreamingQuery:
-    """On-time bookings become partials, late ones go to a late table; both under the batch id.
-
-    The clock is the newest booking of earlier batches, read from the partials themselves.
-    """
-    from yieldline.streaming.ingest import is_late
-
-    spark = warehouse.spark
-    partials, late = warehouse.path(f"{name}/on_time"), warehouse.path(f"{name}/late")
+    """On-time bookings become partials, late ones go to a late table; both under the batch id."""
+    spark, path = warehouse.spark, warehouse.path(name)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        seen = read_or_empty(spark, partials, "last TIMESTAMP_NTZ, batch_id BIGINT")
-        clock = seen.where(F.col("batch_id") < batch_id).agg(F.max("last").cast("string")).first()[0]
+        clock = clock_before(spark, f"{path}/clock", batch_id)
         belated = is_late(clock, late_after)
-        hour_partials(batch.where(~belated)).write.mode("overwrite").parquet(f"{partials}/batch_id={batch_id}")
-        batch.where(belated).write.mode("overwrite").parquet(f"{late}/batch_id={batch_id}")
+        hour_partials(batch.where(~belated)).write.mode("overwrite").parquet(f"{path}/on_time/batch_id={batch_id}")
+        batch.where(belated).write.mode("overwrite").parquet(f"{path}/late/batch_id={batch_id}")
+        note_clock(batch, f"{path}/clock", batch_id, clock)
 
     return (
         bookings.writeStream.foreachBatch(write)

@@ -1,7 +1,7 @@
 """Message stream -> validated, deduplicated booking facts, quarantine and late list.
 
-Every micro-batch goes through tables written under its batch id, so a batch that is replayed
-after a failure finds what it already decided and does not store anything twice. No state store
+What a micro-batch decides to store is written under its batch id first, so a batch that is
+replayed after a failure finds its decision and does not store anything twice. No state store
 and no watermark stand in the way: a booking is stored however late it comes.
 """
 
@@ -10,19 +10,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from yieldline.functions.timing import GRAIN_SECONDS, bucket, duration
 from yieldline.operators.merge import insert_missing, keep_first
 from yieldline.schemas import STATION_RECORDS
 from yieldline.sources import topic
 from yieldline.sources.tables import Warehouse, is_complete, read_or_empty
+from yieldline.streaming.clock import clock_before, is_late, note_clock
 
-PROGRESS = T.StructType(
-    [T.StructField("latest", T.TimestampNTZType()), T.StructField("batch_id", T.LongType())]
-)
 LATE = T.StructType([*STATION_RECORDS.fields, T.StructField("batch_id", T.LongType())])
 
 
@@ -64,41 +60,29 @@ class Ingest:
 
     def _write_fresh(self, messages: DataFrame, batch_id: int) -> None:
         """Decode once, set bad messages aside, and keep bookings whose id is not stored yet."""
-        spark = self.warehouse.spark
-        decoded_path = self.batch_path("decoded", batch_id)
-        topic.decode(messages).write.mode("overwrite").parquet(decoded_path)
-        decoded = spark.read.parquet(decoded_path)
+        decoded = topic.decode(messages).persist()
         topic.quarantined(decoded).write.mode("overwrite").parquet(self.batch_path("quarantine", batch_id))
         rows = topic.valid(decoded)
-        order = "offset" if "offset" in rows.columns else "date_created"
+        position = ["offset"] if "offset" in rows.columns else []
         names = topic.added_columns(rows) if self.auto_evolve else []
-        rows = topic.evolve(rows, names).select(*topic.FIELDS, *names, *([order] if order == "offset" else []))
+        rows = topic.evolve(rows, names).select(*topic.FIELDS, *names, *position)
         stored = self.warehouse.stored_ids(rows, self.resent_unchanged)
-        fresh = insert_missing(keep_first(rows, ["booking_id"], order), stored, ["booking_id"]).drop("offset")
+        first = keep_first(rows, ["booking_id"], *position or ["date_created"])
+        fresh = insert_missing(first, stored, ["booking_id"]).drop(*position)
         fresh.write.mode("overwrite").parquet(self.batch_path("fresh", batch_id))
+        decoded.unpersist()
 
     def _write_late(self, fresh: DataFrame, batch_id: int) -> None:
         """List bookings whose hour had already closed when they came, and move the clock on."""
-        spark = self.warehouse.spark
-        progress = read_or_empty(spark, self.warehouse.path("ingest/progress"), PROGRESS)
-        clock = progress.where(F.col("batch_id") < batch_id).agg(F.max("latest").cast("string")).first()[0]
+        path = self.warehouse.path("ingest/clock")
+        clock = clock_before(self.warehouse.spark, path, batch_id)
         bookings = fresh.select(*topic.FIELDS)
         late = bookings.where(is_late(clock, self.late_after))
         late.write.mode("overwrite").parquet(self.batch_path("late", batch_id))
-        bookings.agg(F.max("date_created").alias("latest")).write.mode("overwrite").parquet(
-            self.batch_path("progress", batch_id)
-        )
+        note_clock(bookings, path, batch_id, clock)
 
     def late(self) -> DataFrame:
         return read_or_empty(self.warehouse.spark, self.warehouse.path("ingest/late"), LATE)
 
     def quarantine(self) -> DataFrame:
         return self.warehouse.spark.read.parquet(self.warehouse.path("ingest/quarantine"))
-
-
-def is_late(clock: str | None, late_after: int, grain: str = "hour"):
-    """Whether a booking's bucket ended `late_after` seconds before the newest booking seen so far."""
-    if clock is None:
-        return F.lit(False)
-    closed = F.lit(clock).cast("timestamp_ntz") - duration(late_after)
-    return bucket("date_created", grain) + duration(GRAIN_SECONDS[grain]) <= closed

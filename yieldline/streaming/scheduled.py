@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from yieldline.plans.refresh import full_refresh, incremental_refresh
 from yieldline.sources.tables import Warehouse, is_complete, read_or_empty
@@ -16,6 +17,9 @@ from yieldline.sources.topic import FIELDS
 from yieldline.streaming.ingest import LATE, Ingest
 
 
+REFRESHED = T.StructType([T.StructField("batch_id", T.LongType())])
+
+
 def run_once(
     ingest: Ingest, open_stream: Callable[[], DataFrame], checkpoint: str, full: bool = False
 ) -> dict:
@@ -28,7 +32,7 @@ def run_once(
     query = ingest.start(open_stream(), checkpoint, availableNow=True)
     query.awaitTermination()
     fresh = read_or_empty(warehouse.spark, warehouse.path("ingest/fresh"), LATE)
-    done = read_or_empty(warehouse.spark, warehouse.path("refreshed"), "batch_id BIGINT")
+    done = read_or_empty(warehouse.spark, warehouse.path("refreshed"), REFRESHED)
     mark = done.agg(F.max("batch_id")).first()[0]
     pending = fresh if mark is None else fresh.where(F.col("batch_id") > mark)
     newest = pending.agg(F.max("batch_id")).first()[0]
