@@ -128,6 +128,15 @@ def test_replayed_batch_stores_nothing_twice(warehouse):
     assert ids(warehouse.facts()) == ["b01", "b02"]
 
 
+def test_append_keeps_the_first_row_of_an_id(warehouse, make_bookings):
+    def booking(serial, at):
+        return ("b1", serial, "1003", "PASS", at, "P1", "1.00", 1)
+
+    warehouse.append_facts(make_bookings([booking("S2", "2025-10-26T10:00:00"), booking("S1", "2025-10-25T10:00:00")]))
+    warehouse.append_facts(make_bookings([booking("S3", "2025-10-24T10:00:00")]))
+    assert [r.serial_number for r in warehouse.facts().collect()] == ["S1"]
+
+
 def test_late_bookings_are_listed_and_stored(warehouse):
     ingest = Ingest(warehouse, late_after=3600)
     land(warehouse, message(date_created="2025-10-25T10:00:00"))

@@ -125,9 +125,8 @@ def calendar(spark, folder):
 )
 def shifts(spark, folder):
     """Shift dimension with the bookings of each shift; counted per hour of day before the join."""
-    per_hour = read_bookings(spark, folder).groupBy(F.hour("date_created").alias("h")).count()
-    shift = dimensions.shift_dim(spark)
-    joined = per_hour.join(shift, dimensions.in_shift(F.col("h"), F.col("start_hour"), F.col("end_hour")))
+    per_hour = read_bookings(spark, folder).groupBy(F.hour("date_created").alias("hour_of_day")).count()
+    joined = per_hour.join(dimensions.shift_hours(dimensions.shift_dim(spark)), "hour_of_day")
     return joined.groupBy("shift_name", "start_hour", "end_hour").agg(F.sum("count").alias("bookings"))
 
 

@@ -27,6 +27,15 @@ def in_shift(hour, start, end):
     return F.when(start < end, inside).otherwise((hour >= start) | (hour < end))
 
 
+def shift_hours(shifts: DataFrame) -> DataFrame:
+    """One row per hour of day of each shift, so that facts find their shift by an equi join."""
+    start, end = F.col("start_hour"), F.col("end_hour")
+    last = F.when(start < end, end).otherwise(end + 24) - 1
+    return shifts.withColumn("hour_of_day", F.explode(F.sequence(start, last))).withColumn(
+        "hour_of_day", F.col("hour_of_day") % 24
+    )
+
+
 def shift_of(hour, shifts=SHIFTS):
     """Shift name of an hour of day as a plain expression, for fact rows."""
     name = F.lit(None).cast("string")
@@ -72,14 +81,11 @@ def stations_dim(spark: SparkSession) -> DataFrame:
 def star_join(
     fact: DataFrame, stations: DataFrame, hours: DataFrame, calendar: DataFrame, shifts: DataFrame
 ) -> DataFrame:
-    """Hourly fact with its dimensions. Shift is a range condition on the hour of day.
+    """Hourly fact with its dimensions.
 
     The hour dimension first takes the other calendar dimensions, which are all small, so the fact
     is joined twice: by hour and by station.
     """
-    shift = shifts.select("shift_id", F.col("shift_name").alias("shift"), "start_hour", "end_hour")
-    when = hours.drop("shift_name").join(calendar, "calendar_date", "left")
-    when = when.join(shift, in_shift(F.col("hour_of_day"), F.col("start_hour"), F.col("end_hour")), "left")
-    return fact.join(when.drop("start_hour", "end_hour"), "date_hour", "left").join(
-        stations, "station_number", "left"
-    )
+    shift = shift_hours(shifts).select("hour_of_day", "shift_id", F.col("shift_name").alias("shift"))
+    when = hours.drop("shift_name").join(calendar, "calendar_date", "left").join(shift, "hour_of_day", "left")
+    return fact.join(when, "date_hour", "left").join(stations, "station_number", "left")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yieldline import schemas
-from yieldline.operators.merge import insert_missing, rows_already_in, upsert_keep_existing, upsert_overwrite
+from yieldline.operators.merge import insert_missing, keep_first, rows_already_in, upsert_keep_existing, upsert_overwrite
 from yieldline.session import new_folder
 
 DAY = "event_day"
@@ -117,9 +117,13 @@ class Warehouse:
         return rows_already_in(bookings, self.facts(days), ["booking_id"])
 
     def append_facts(self, bookings: DataFrame, skip_present: bool = True, unchanged: bool = False) -> None:
-        """Append bookings, keeping the row already stored for a booking_id that comes again."""
+        """Append bookings, keeping the earliest row of a booking_id and any row already stored.
+
+        Without `skip_present` the caller vouches for ids that are new and occur once.
+        """
         if skip_present:
-            bookings = insert_missing(bookings, self.stored_ids(bookings, unchanged), ["booking_id"])
+            first = keep_first(bookings, ["booking_id"], "date_created")
+            bookings = insert_missing(first, self.stored_ids(bookings, unchanged), ["booking_id"])
         rows = by_day(with_day(bookings, "date_created"))
         (
             rows.sortWithinPartitions(DAY, "station_number", "date_created")
