@@ -10,10 +10,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +20,7 @@ from yieldline.operators.merge import insert_missing
 from yieldline.plans import models
 from yieldline.plans.linewise import first_pass_of, linewise
 from yieldline.plans.quality import quality
+from yieldline.session import at_once
 from yieldline.sources.tables import Warehouse, distinct_days
 
 STATION_BOARD = ["station_number", "serial_number"]
@@ -42,17 +41,10 @@ def full_refresh(warehouse: Warehouse, threads: int = 4) -> dict[str, DataFrame]
         return model.name, warehouse.replace_table(model.name, model.build(warehouse.facts(), ref))
 
     for wave in models.in_waves(models.MODELS):
-        tables.update(at_once(warehouse, [partial(rebuild, model) for model in wave], threads))
+        tables.update(at_once(warehouse.spark, [partial(rebuild, model) for model in wave], threads))
     return tables
 
 
-def at_once(warehouse: Warehouse, jobs: list[Callable], threads: int = 4) -> list:
-    """Run independent jobs from several threads, so that one's small stages fill idle cores."""
-    carry = inheritable_thread_target(warehouse.spark)
-    with ThreadPoolExecutor(threads) as pool:
-        return [done.result() for done in [pool.submit(carry(job)) for job in jobs]]
-
-
 def within(rows: DataFrame, days: list[dt.date], column: str = "date_hour") -> DataFrame:
     return rows.where(F.to_date(column).isin(days))
 
@@ -127,7 +119,7 @@ def incremental_refresh(warehouse: Warehouse, batch: DataFrame) -> dict[str, lis
         replace_quality_and_line,
     ]
     replaced: dict[str, list[dt.date]] = {}
-    for days in at_once(warehouse, jobs):
+    for days in at_once(warehouse.spark, jobs):
         replaced.update(days)
     return replaced
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 # Nothing here depends on cluster size: AQE picks the number of reduce tasks from the bytes that
@@ -55,3 +58,10 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_folder(spark)}/yieldline/{label}-{uuid.uuid4().hex}"
+
+
+def at_once(spark: SparkSession, jobs: list[Callable], threads: int = 4) -> list:
+    """Run independent jobs from several threads, so that one's small stages fill idle cores."""
+    carry = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(threads) as pool:
+        return [done.result() for done in [pool.submit(carry(job)) for job in jobs]]

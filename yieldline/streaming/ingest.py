@@ -8,6 +8,7 @@ and no watermark stand in the way: a booking is stored however late it comes.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -15,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from yieldline.operators.merge import insert_missing, keep_first
 from yieldline.schemas import STATION_RECORDS
+from yieldline.session import at_once
 from yieldline.sources import topic
 from yieldline.sources.tables import Warehouse, is_complete, read_or_empty
 from yieldline.streaming.clock import clock_before, is_late, note_clock
@@ -53,10 +55,13 @@ class Ingest:
         if not replay:
             self._write_fresh(messages, batch_id)
         fresh = spark.read.parquet(fresh_path)
-        self._write_late(fresh, batch_id)
-        if not fresh.isEmpty():
+
+        def append() -> None:
             # Only a replay can meet its own rows; a first run has just excluded stored ids.
-            self.warehouse.append_facts(fresh, skip_present=replay, unchanged=True)
+            if not fresh.isEmpty():
+                self.warehouse.append_facts(fresh, skip_present=replay, unchanged=True)
+
+        at_once(spark, [append, partial(self._write_late, fresh, batch_id)])
 
     def _write_fresh(self, messages: DataFrame, batch_id: int) -> None:
         """Decode once, set bad messages aside, and keep bookings whose id is not stored yet."""
