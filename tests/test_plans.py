@@ -1,5 +1,6 @@
 """Physical plans: what is scanned, pushed down, broadcast and shuffled."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -72,13 +73,34 @@ def test_high_water_mark_reaches_the_scan(bookings, ideal):
 def test_day_filter_prunes_partitions(spark, bookings):
     warehouse = Warehouse(spark, new_folder(spark, "plans")).create()
     warehouse.append_facts(bookings, skip_present=False)
-    import datetime as dt
-
     text = plan(warehouse.facts([dt.date(2024, 1, 5)]).select("booking_id"))
     assert re.search(r"PartitionFilters: \[[^\]]*event_day", text)
     assert {"booking_id"} in read_columns(plan(warehouse.stored_ids(bookings)))
 
 
+def test_touched_boards_filter_the_scan_when_they_are_few(spark, bookings):
+    """The semi join moves under the aggregate if it can be a broadcast; else it stays above."""
+    from yieldline.plans.refresh import quality_of_days
+
+    warehouse = Warehouse(spark, new_folder(spark, "plans")).create()
+    warehouse.append_facts(bookings, skip_present=False)
+    days = [dt.date(2024, 1, 5)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    few = quality_of_days(warehouse.facts(), days)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        many = quality_of_days(warehouse.facts(), days)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+    def depth(lines, word):
+        return next(i for i, line in enumerate(lines) if word in line)
+
+    per_board = "max(test_count"
+    assert depth(few, "LeftSemi") > depth(few, per_board)
+    assert depth(many, "LeftSemi") < depth(many, per_board)
+
+
 def test_no_query_multiplies_rows(spark, folder):
     """Only equi joins: no cross join and no nested loop."""
     import __spark_entry__ as driver

@@ -26,7 +26,11 @@ def quality(bookings: DataFrame, grain: str = "hour") -> DataFrame:
     One scan. A board's latest attempt is taken over all time and counted in the bucket of the
     booking that carries it.
     """
-    flagged = flag_latest(attempts_per_bucket(bookings, grain))
+    return count_quality(flag_latest(attempts_per_bucket(bookings, grain)))
+
+
+def count_quality(flagged: DataFrame) -> DataFrame:
+    """Counts per (station, part, bucket) out of flagged attempts."""
     return flagged.groupBy("station_number", "part_number", "date_hour").agg(
         *[F.sum(c).alias(c) for c in BOOKING_NAMES], *board_counts()
     )

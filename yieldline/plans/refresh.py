@@ -12,16 +12,16 @@ import datetime as dt
 from collections.abc import Callable
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from yieldline.operators.attempts import board_history
-from yieldline.operators.merge import insert_missing
+from yieldline.functions.conditional import max_where
+from yieldline.operators.attempts import attempts_per_bucket, board_history, flag_latest
 from yieldline.plans import models
 from yieldline.plans.linewise import first_pass_of, linewise
-from yieldline.plans.quality import quality
+from yieldline.plans.quality import count_quality
 from yieldline.session import at_once
-from yieldline.sources.tables import Warehouse, distinct_days
+from yieldline.sources.tables import Warehouse, distinct_days, with_day
 
 STATION_BOARD = ["station_number", "serial_number"]
 PART_BOARD = ["serial_number", "part_number"]
@@ -45,13 +45,17 @@ def full_refresh(warehouse: Warehouse, threads: int = 4) -> dict[str, DataFrame]
     return tables
 
 
+# The joins below come after an aggregate on the joined keys, so a board with a large share of all
+# bookings is already a few rows by then. If the other side can be broadcast, Catalyst moves the
+# semi join under the aggregate, and the facts are filtered while they are scanned.
+
+
 def within(rows: DataFrame, days: list[dt.date], column: str = "date_hour") -> DataFrame:
     return rows.where(F.to_date(column).isin(days))
 
 
-def full_history_of(facts: DataFrame, boards: DataFrame, keys: list[str]) -> DataFrame:
-    """Every booking of the given boards."""
-    return facts.join(boards.select(*keys).distinct(), keys, "left_semi")
+def only_boards(rows: DataFrame, boards: DataFrame, keys: list[str]) -> DataFrame:
+    return rows.join(boards.select(*keys).distinct(), keys, "left_semi")
 
 
 def days_of_quality(facts: DataFrame, batch: DataFrame) -> list[dt.date]:
@@ -60,32 +64,42 @@ def days_of_quality(facts: DataFrame, batch: DataFrame) -> list[dt.date]:
     These are the batch's own days and the days in which a touched board has a booking that is not
     (any longer) its latest attempt: a retest takes the earlier booking's board out of its hour.
     """
-    touched = full_history_of(facts, batch, STATION_BOARD)
-    latest = touched.groupBy(*STATION_BOARD).agg(F.max("test_count").alias("latest"))
-    per_day = touched.groupBy(*STATION_BOARD, "event_day").agg(F.min("test_count").alias("lowest"))
-    demoted = per_day.join(latest, STATION_BOARD).where(F.col("lowest") < F.col("latest"))
+    attempt = F.col("test_count")
+    per_day = facts.groupBy(*STATION_BOARD, "event_day").agg(
+        F.min(attempt).alias("lowest"), F.max(attempt).alias("highest")
+    )
+    touched = only_boards(per_day, batch, STATION_BOARD)
+    latest = F.max("highest").over(Window.partitionBy(*STATION_BOARD))
+    demoted = touched.withColumn("latest", latest).where(F.col("lowest") < F.col("latest"))
     own = batch.select(F.to_date("date_created").alias("event_day"))
     return distinct_days(demoted.select("event_day").unionByName(own))
 
 
 def days_of_first_pass(facts: DataFrame, batch: DataFrame) -> list[dt.date]:
-    """Days in which a touched board has its last booking now, or had it before the batch."""
-    touched = full_history_of(facts, batch, PART_BOARD)
-    before = insert_missing(touched, batch, ["booking_id"])
-    last_now = touched.groupBy(*PART_BOARD).agg(F.max("event_day").alias("event_day"))
-    last_before = before.groupBy(*PART_BOARD).agg(F.max("event_day").alias("event_day"))
-    return distinct_days(last_now.select("event_day").unionByName(last_before.select("event_day")))
+    """Days in which a touched board has its last booking now, or had it before the batch.
+
+    Before the batch, a day held the bookings it holds now less those of the batch.
+    """
+    board_day = [*PART_BOARD, "event_day"]
+    now = only_boards(facts.groupBy(*board_day).agg(F.count("*").alias("stored")), batch, PART_BOARD)
+    arrived = with_day(batch, "date_created").groupBy(*board_day).agg(F.count("*").alias("arrived"))
+    older = F.col("stored") > F.coalesce("arrived", F.lit(0))
+    last = now.join(arrived, board_day, "left").groupBy(*PART_BOARD).agg(
+        F.max("event_day").alias("last_now"), max_where(older, F.col("event_day")).alias("last_before")
+    )
+    return distinct_days(last.select(F.explode(F.array("last_now", "last_before")).alias("event_day")))
 
 
 def quality_of_days(facts: DataFrame, days: list[dt.date]) -> DataFrame:
     """Station quality of some days; boards seen there are judged by their whole history."""
     present = facts.where(F.col("event_day").isin(days))
-    return within(quality(full_history_of(facts, present, STATION_BOARD)), days)
+    history = only_boards(attempts_per_bucket(facts), present, STATION_BOARD)
+    return count_quality(within(flag_latest(history), days))
 
 
 def first_pass_of_days(facts: DataFrame, days: list[dt.date]) -> DataFrame:
     present = facts.where(F.col("event_day").isin(days))
-    history = board_history(full_history_of(facts, present, PART_BOARD), "part_number")
+    history = only_boards(board_history(facts, "part_number"), present, PART_BOARD)
     return first_pass_of(within(history, days, "last_test_time"))
 
 
