@@ -20,6 +20,7 @@ from yieldline.plans.linewise import first_pass_of
 from yieldline.plans.quality import quality
 from yieldline.sources.events import read_bookings
 
+
 def _per_station_hour(name: str, aggregates: Callable[[], list[Column]], sql_aggregates: str) -> None:
     """An aggregate per station and hour; partial aggregation runs before the shuffle."""
 
@@ -47,7 +48,10 @@ _per_station_hour(
 _per_station_hour("a4_count_rows", lambda: [F.count("*").alias("bookings")], "COUNT(*) AS bookings")
 _per_station_hour(
     "a5_count_column_where",
-    lambda: [count_where(is_fail(), F.col("serial_number")).alias("fail_bookings"), count_where(is_pass(), F.col("serial_number")).alias("pass_bookings")],
+    lambda: [
+        count_where(is_fail(), F.col("serial_number")).alias("fail_bookings"),
+        count_where(is_pass(), F.col("serial_number")).alias("pass_bookings"),
+    ],
     "COUNT(serial_number) FILTER (book_state = 'FAIL') AS fail_bookings,"
     " COUNT(serial_number) FILTER (book_state = 'PASS') AS pass_bookings",
 )

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from yieldline import schemas
 from yieldline.catalog import sql
 from yieldline.catalog.registry import query
-from yieldline.functions.timing import bucket
 from yieldline.operators.merge import align_columns, merge_by_key, upsert_keep_existing, upsert_overwrite
 from yieldline.plans.legacy import legacy_quality
 from yieldline.plans.models import QUALITY

@@ -9,7 +9,6 @@ for any split and any order of batches.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, Window

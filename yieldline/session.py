@@ -10,9 +10,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
-# Nothing here depends on cluster size: AQE picks the number of reduce tasks from the bytes that
-# a shuffle really wrote, splits skewed join partitions, and turns a sort-merge join into a
-# broadcast join once the measured side is below the threshold.
+# AQE joins small reduce tasks by the bytes that a shuffle really wrote, splits skewed join
+# partitions, and turns a sort-merge join into a broadcast join once the measured side is below the
+# threshold. It cannot raise the number of reduce tasks: see `sized_for`.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -41,6 +41,13 @@ def build_session(name: str, master: str | None = None, **extra: str) -> SparkSe
     return builder.getOrCreate()
 
 
+def sized_for(shuffled_bytes: int, per_task: int = 256 << 20) -> dict[str, str]:
+    """Settings for the largest shuffle expected: AQE starts from so many reduce tasks and joins
+    the small ones. The KPI jobs shuffle at most the columns they read, once or twice."""
+    tasks = max(200, -(-shuffled_bytes // per_task))
+    return {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(tasks)}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by the cluster in `spark.checkpoint.dir`.
 

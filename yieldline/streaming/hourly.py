@@ -1,9 +1,9 @@
 """Hourly KPIs that keep up with a stream of bookings.
 
 Two ways are offered. `start_windows` uses event-time windows with a watermark: results stay in
-bounded state and bookings later than the watermark are dropped by it. `start_partials` keeps no
-state: each micro-batch writes its partial aggregates under its batch id and readers add them up,
-so late bookings are neither dropped nor counted twice.
+bounded state and bookings later than the watermark are dropped by it. `start_routed` keeps no state: each
+micro-batch writes the partial aggregates of its on-time bookings and a list of its late ones
+under its batch id, and readers add them up, so no booking is dropped or counted twice.
 """
 
 from __future__ import annotations
@@ -93,18 +93,6 @@ def hour_partials(bookings: DataFrame) -> DataFrame:
     ).agg(*counts(), *spans())
 
 
-def start_partials(bookings: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    def write(batch: DataFrame, batch_id: int) -> None:
-        hour_partials(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-    return (
-        bookings.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
-
-
 def add_up(partials: DataFrame) -> DataFrame:
     """Hourly totals out of partial aggregates of any number of batches."""
     return partials.groupBy("station_number", "part_number", "date_hour").agg(

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yieldline.plans.refresh import full_refresh, incremental_refresh
-from yieldline.sources.tables import Warehouse, is_complete, read_or_empty
+from yieldline.sources.tables import is_complete, read_or_empty
 from yieldline.sources.topic import FIELDS
 from yieldline.streaming.ingest import LATE, Ingest
 
