@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from yieldline.llm import bpe, eliasfano, packing
+from yieldline.llm import bpe, eliasfano, line_dedup, packing, quality
 from yieldline.llm.encoding import vocabulary_path
 from yieldline.session import new_folder
 
@@ -38,3 +39,23 @@ def op5_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
+
+
+@query
+def op7_winnowed_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed_lines", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLES["op7_winnowed_line_dedup"] = line_dedup.checking_sql()
+
+
+@query
+def op10_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = quality.measure(table(spark, sf_dir, "documents"))
+    return measured.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+ORACLES["op10_line_first_quality"] = quality.checking_sql()
