@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yieldline.llm import bpe, eliasfano, line_dedup, packing, quality
+from yieldline.llm import bpe, eliasfano, jaccard, line_dedup, packing, quality
 from yieldline.llm.encoding import vocabulary_path
 from yieldline.session import new_folder
 
@@ -24,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_elias_fano_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "tokens")
