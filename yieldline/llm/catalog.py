@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yieldline.llm import bpe, eliasfano, jaccard, line_dedup, packing, quality
+from yieldline.llm import bpe, eliasfano, jaccard, line_dedup, packing, quality, suffix_dedup
 from yieldline.llm.encoding import vocabulary_path
 from yieldline.session import new_folder
 
@@ -55,6 +55,12 @@ def op7_winnowed_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op7_winnowed_line_dedup"] = line_dedup.checking_sql()
 
 
+@query
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.remove_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op10_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = quality.measure(table(spark, sf_dir, "documents"))
