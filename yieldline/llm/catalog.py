@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yieldline.llm import bpe, eliasfano, jaccard, line_dedup, packing, quality, suffix_dedup
+from yieldline.llm import bpe, eliasfano, jaccard, line_dedup, packing, quality, suffix_dedup, toxicity
 from yieldline.llm.encoding import vocabulary_path
 from yieldline.session import new_folder
 
@@ -61,6 +61,18 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op9_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    network = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, network).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op10_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = quality.measure(table(spark, sf_dir, "documents"))
