@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yieldline.llm import bpe, eliasfano, html, jaccard, line_dedup, packing, quality, suffix_dedup, toxicity
+from yieldline.llm import bpe, eliasfano, html, jaccard, line_dedup, packing, pigeonhole, quality, suffix_dedup, toxicity
 from yieldline.llm.encoding import vocabulary_path
 from yieldline.session import new_folder
 
@@ -42,6 +42,11 @@ def op3_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@query
+def op4_subspace_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pigeonhole.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
