@@ -95,7 +95,7 @@ def _segments(docs: DataFrame, length: int) -> DataFrame:
                 names=["p", "content", "key", "place"],
             )
 
-    return docs.where("key IS NOT NULL").select("key", "text").mapInArrow(work, schema)
+    return docs.select("key", "text").mapInArrow(work, schema)
 
 
 def _met(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
@@ -375,7 +375,7 @@ def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
-    """key, start, end: bytes of `docs` (key, text, ...) covered by windows that start earlier too. May overlap."""
+    """key, start, end: bytes of `docs` (key not null, text, ...) covered by windows that start earlier too. May overlap."""
     if not 2 * K <= length < K + (1 << BITS):
         raise ValueError(f"length must be from {2 * K} to {K + (1 << BITS) - 1}")
     shape = F.col("place").bitwiseAND((1 << 2 * BITS) - 1)
@@ -406,9 +406,12 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", le
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
         *([F.struct(F.col(text).alias("__text"), *[F.col(f"`{c}`") for c in others]).alias("rest")] if others else []),
     )
-    found = repeated_ranges(packed, length).groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
-    joined = packed.join(found, "key", "left")
+    # Both joins see the same rows of texts, so these are shuffled once.
+    named = packed.where("key IS NOT NULL")
+    found = repeated_ranges(named, length).groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
     rest = ["rest"] if others else []
+    without = packed.where("key IS NULL").select("key", "text", *rest, F.lit(None).cast(found.schema["ranges"].dataType).alias("ranges"))
+    joined = named.join(found, "key", "left").select("key", "text", *rest, "ranges").unionByName(without)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 * SLICE):
