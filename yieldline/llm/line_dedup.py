@@ -18,6 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from yieldline.llm.components import stored
+
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -26,8 +28,9 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text.cast("string"), F.lit("")), "\n", -1)
 
 
-def fingerprints(docs: DataFrame, key: str, text: str, min_lines: int, min_chars: int) -> DataFrame:
-    """One row per selected line: its hash, the key, and the windows that chose it."""
+def windows(docs: DataFrame, key: str, text: str, min_lines: int, min_chars: int) -> DataFrame:
+    """One row per window: key, at (its first line among those with text), mark (hash of the selected line), place (where that
+    is), h and g (hashes of the content), lines (line numbers)."""
     lines = F.transform(lines_of(F.col(text)), lambda line, i: F.struct(i.alias("i"), F.btrim(line, F.lit(BLANKS)).alias("x")))
     real = F.transform(
         F.filter(lines, lambda line: line["x"] != ""),
@@ -39,62 +42,39 @@ def fingerprints(docs: DataFrame, key: str, text: str, min_lines: int, min_chars
         ),
     )
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), real.alias("real"))
-
-    def window(i: Column) -> Column:
-        """Lines in the shortest window from line i on; null where the text ends before."""
-        def chars(n: int) -> Column:
-            return reduce(lambda a, b: a + b, [F.get("real", i + j)["n"] for j in range(n)])
-
-        size = F.when(chars(1) >= min_chars, 1) if min_lines > 1 else F.when(F.lit(True), 1)
-        for n in range(2, min_lines):
-            size = size.when(chars(n) >= min_chars, n)
-        return size.when(i + min_lines <= F.size("real"), min_lines) if min_lines > 1 else size
-
-    windows = F.filter(
-        F.transform(
-            F.when(F.size("real") > 0, F.sequence(F.lit(0), F.size("real") - 1)).otherwise(F.array().cast("array<int>")),
-            lambda i: F.struct(i.alias("at"), window(i).alias("size")),
-        ),
-        lambda w: w["size"].isNotNull(),
-    )
-    filled = F.transform(
-        windows,
-        lambda w: F.struct(w["at"].alias("at"), F.slice("real", w["at"] + 1, w["size"]).alias("lines")),
-    )
-    summed = F.transform(
-        filled,
-        lambda w: F.struct(
-            F.array_min(F.transform(w["lines"], lambda x: x["h"])).alias("mark"),
-            F.struct(
-                w["at"].alias("at"),
-                F.xxhash64(F.transform(w["lines"], lambda x: x["h"])).alias("h"),
-                F.xxhash64(F.transform(w["lines"], lambda x: x["g"])).alias("g"),
-                F.transform(w["lines"], lambda x: x["i"]).alias("lines"),
-            ).alias("window"),
-        ),
-    )
-    one = rows.select("key", summed.alias("windows")).where(F.size("windows") > 0)
-    marks = F.array_distinct(F.transform("windows", lambda w: w["mark"]))
-    listed = F.transform(
-        "windows", lambda w, i: F.struct(w["mark"].alias("mark"), w["window"].alias("window"))
-    )
-    # Windows that chose the same line are neighbours, so a document gives one row per distinct mark.
-    return one.select("key", F.explode(marks).alias("mark"), listed.alias("all")).select(
-        "key", "mark", F.filter("all", lambda w: w["mark"] == F.col("mark")).alias("windows")
+    # Each line next to those after it, so that a window is one row and needs no look into the array.
+    beside = [F.expr(f"slice(real, {j + 1}, size(real))").alias(f"r{j}") for j in range(min_lines)]
+    lined = rows.where(F.size("real") > 0).select("key", *beside)
+    beside = lined.select("key", F.posexplode(F.arrays_zip(*[f"r{j}" for j in range(min_lines)])).alias("at", "w"))
+    size = F.lit(None).cast("int")
+    for n in range(min_lines, 0, -1):
+        there = F.col("w")[f"r{n - 1}"]["n"].isNotNull()
+        chars = reduce(lambda a, b: a + b, [F.col("w")[f"r{j}"]["n"] for j in range(n)])
+        size = F.when(there if n == min_lines else there & (chars >= min_chars), n).otherwise(size)
+    sized = beside.withColumn("size", size).where("size IS NOT NULL")
+
+    def within(field: str) -> list[Column]:
+        return [F.when(F.col("size") > j, F.col("w")[f"r{j}"][field]) for j in range(min_lines)]
+
+    marked = sized.select(
+        "key",
+        "at",
+        F.array_min(F.array_compact(F.array(*[F.when(F.col("size") > j, F.struct(h, i)) for j, (h, i) in enumerate(zip(within("h"), within("i"), strict=True))]))).alias("least"),
+        F.xxhash64("size", *within("h")).alias("h"),
+        F.xxhash64("size", *within("g")).alias("g"),
+        F.array_compact(F.array(*within("i"))).alias("lines"),
     )
+    return marked.select("key", "at", F.col("least.col1").alias("mark"), F.col("least.col2").alias("place"), "h", "g", "lines")
 
 
 def repeated_lines(docs: DataFrame, key: str, text: str, min_lines: int = 3, min_chars: int = 250) -> DataFrame:
     """key, lines: the numbers (from 0) of lines to delete, for documents that have any."""
-    marks = fingerprints(docs, key, text, min_lines, min_chars)
-    marks = marks.select("mark", "key", F.explode("windows.window").alias("w")).select("mark", "key", "w.*")
-    counted = marks.groupBy("mark").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark")
-    shared = marks.join(counted, "mark", "left_semi").drop("mark")
-    first = shared.groupBy("h", "g").agg(
-        F.min(F.struct("key", "at")).alias("first"), F.max(F.struct("key", "at")).alias("last")
-    )
+    every = stored(windows(docs, key, text, min_lines, min_chars), "windows")
+    marks = every.groupBy("mark").agg(F.min(F.struct("key", "place")).alias("a"), F.max(F.struct("key", "place")).alias("b"))
+    shared = every.join(marks.where("a <> b").select("mark"), "mark", "left_semi").drop("mark", "place")
+    first = shared.groupBy("h", "g").agg(F.min(F.struct("key", "at")).alias("first"), F.max(F.struct("key", "at")).alias("last"))
     later = (
-        shared.join(first.where(F.col("first") != F.col("last")).drop("last"), ["h", "g"])
+        shared.join(first.where("first <> last").drop("last"), ["h", "g"])
         .where(F.struct("key", "at") != F.col("first"))
         .select("key", "lines")
     )
