@@ -9,7 +9,7 @@ from yieldline.operators import checks
 from yieldline.session import new_folder
 from yieldline.sources import topic
 from yieldline.sources.tables import Warehouse
-from yieldline.streaming import hourly
+from yieldline.streaming import boards, hourly
 from yieldline.streaming.ingest import Ingest
 
 GOOD = {
@@ -29,6 +29,13 @@ def message(drop=(), **changes):
     return json.dumps({"schema": {"type": "struct", "fields": []}, "payload": payload})
 
 
+def declared(types, **changes):
+    """A message whose schema declares some fields."""
+    body = json.loads(message(**changes))
+    body["schema"]["fields"] = [{"field": name, **kind} for name, kind in types.items()]
+    return json.dumps(body)
+
+
 def decode(spark, *texts):
     return topic.decode(spark.createDataFrame([(t,) for t in texts], "value STRING"))
 
@@ -40,7 +47,13 @@ def decode(spark, *texts):
         (message()[:-5], "not a JSON message"),
         ("hello", "not a JSON message"),
         ('{"schema": {}}', "no payload"),
-        ('{"payload": null}', "no payload"),
+        ('{"payload": null}', "no schema"),
+        ('{"payload": {"booking_id": "b"}}', "no schema"),
+        (message(date_created=9223372036854775807), "date_created is not a timestamp"),
+        (message(date_created=99999999999999999999), "date_created is not a timestamp"),
+        (message(date_created=999999999999999), "date_created is not a timestamp"),
+        (message(date_created="2950-01-01T00:00:00"), "date_created is out of range"),
+        (message(date_created=-1), "date_created is out of range"),
         (message(booking_id=None), "booking_id is missing"),
         (message(drop=["serial_number"]), "serial_number is missing"),
         (message(cycle_time="fast"), "cycle_time is not a decimal(10,2)"),
@@ -64,6 +77,10 @@ def test_encodings_and_defaults(spark):
         message(cycle_time="4.125", date_created=1761386400123),
         message(date_created="2025-10-25 10:00:00.5", station_number="1003   "),
         message(date_created="2025-10-25T10:00:00+02:00"),
+        message(date_created=1000),
+        declared({"date_created": {"type": "int64", "name": topic.TIMESTAMP_TYPE}}, date_created=1761386400123),
+        declared({"cycle_time": {"type": "bytes", "name": topic.DECIMAL_TYPE, "parameters": {"scale": "2"}}}, cycle_time="Ang="),
+        declared({"cycle_time": {"type": "bytes", "name": topic.DECIMAL_TYPE, "parameters": {"scale": "1"}}}, cycle_time="/w=="),
     ).select("test_count", F.col("cycle_time").cast("string"), F.col("date_created").cast("string"), "station_number")
     assert [tuple(r) for r in rows.collect()] == [
         (1, "4.00", "2025-10-25 10:00:00", "1003"),
@@ -71,6 +88,10 @@ def test_encodings_and_defaults(spark):
         (1, "4.13", "2025-10-25 10:00:00.123", "1003"),
         (1, "4.00", "2025-10-25 10:00:00.5", "1003"),
         (1, "4.00", "2025-10-25 10:00:00", "1003"),
+        (1, "4.00", "1970-01-01 00:00:01", "1003"),
+        (1, "4.00", "2025-10-25 10:00:00.123", "1003"),
+        (1, "6.32", "2025-10-25 10:00:00", "1003"),
+        (1, "-0.10", "2025-10-25 10:00:00", "1003"),
     ]
 
 
@@ -115,9 +136,56 @@ def test_restart_duplicates_quarantine_and_added_columns(warehouse):
     run(ingest)
     assert ids(warehouse.facts()) == ["b01", "b02", "b03"]
     assert [(r.value, r.reason) for r in ingest.quarantine().collect()] == [("broken", "not a JSON message")]
-    widened = warehouse.facts_with_added_columns()
-    operators = {r.booking_id: r.operator for r in widened.select("booking_id", "operator").collect()}
+    operators = {r.booking_id: r.operator for r in warehouse.facts_with_added_columns(["operator"]).collect()}
     assert operators == {"b01": None, "b02": None, "b03": "Kim"}
+    assert {r.name: r.bookings for r in warehouse.added_fields().collect()} == {"operator": 1, "Booking_ID": 1}
+
+
+def test_every_added_field_is_kept(warehouse):
+    """Thousands of new names, reserved, dotted, empty and differing by case only; nothing stops the stream."""
+    many = {f"field_{i}": str(i) for i in range(2000)}
+    odd = {"offset": "1", "batch_id": "2", "event_day": "3", "meta.line": "4", "Operator": "A", "operator": "B", "a`b": "5", "": "6"}
+    ingest = Ingest(warehouse)
+    land(warehouse, message(**many), message(booking_id="b02", **odd), message(booking_id="b03", operator="C"))
+    run(ingest)
+    land(warehouse, message(booking_id="b04", date_created=9223372036854775807), message(booking_id="b05"))
+    run(ingest)
+    extras = {r.booking_id: r.extras for r in warehouse.wide_facts().collect()}
+    assert extras == {"b01": many, "b02": odd, "b03": {"operator": "C"}, "b05": None}
+    found = {r.booking_id: (r["meta.line"], r["operator"]) for r in warehouse.facts_with_added_columns(["meta.line", "operator"]).collect()}
+    assert found == {"b01": (None, None), "b02": ("4", "B"), "b03": (None, "C"), "b05": (None, None)}
+    assert ids(ingest.quarantine().selectExpr("get_json_object(value, '$.payload.booking_id') AS booking_id")) == ["b04"]
+
+
+def test_a_new_checkpoint_and_a_second_stream_lose_nothing(warehouse):
+    """Batch ids start at 0 again; nothing of the earlier stream is taken for the new one's, or overwritten."""
+    ingest = Ingest(warehouse)
+    land(warehouse, message(), message(booking_id="b02", date_created="2025-10-25T12:00:00"))
+    run(ingest)
+    land(warehouse, message(booking_id="b03"), "broken")
+    stream = topic.read_landing(warehouse.spark, warehouse.path("landing"))
+    ingest.start(stream, warehouse.path("second-checkpoint")).awaitTermination()
+    assert ids(warehouse.facts()) == ["b01", "b02", "b03"]
+    assert ingest.quarantine().count() == 1
+    assert warehouse.spark.read.parquet(warehouse.path("ingest/fresh")).select("stream").distinct().count() == 2
+
+
+def test_a_third_of_a_folder_per_stream_in_boards_and_windows(spark, make_bookings, warehouse):
+    def booking(i, state, attempt):
+        return (f"b{i}", "S1", "1003", state, f"2025-10-25T10:0{i}:00", "P1", "4.00", attempt)
+
+    for n, part in enumerate(([booking(1, "FAIL", 1)], [booking(2, "PASS", 2)])):
+        rows = make_bookings(part)
+        rows.write.parquet(warehouse.path(f"arriving-{n}"))
+        stream = spark.readStream.schema(rows.schema).parquet(warehouse.path(f"arriving-{n}"))
+        boards.start_boards(stream, warehouse.path("boards"), warehouse.path(f"boards-{n}")).awaitTermination()
+        hourly.start_windows(hourly.hourly_counts(stream), warehouse.path("hours"), warehouse.path(f"hours-{n}")).awaitTermination()
+        hourly.start_routed(warehouse, stream, "routed", warehouse.path(f"routed-{n}"), 3600).awaitTermination()
+    assert [(r.latest_attempt, r.failed, r.passed) for r in boards.last_results(spark, warehouse.path("boards")).collect()] == [(2, False, True)]
+    keys = ["station_number", "part_number", "date_hour"]
+    assert [r.count_bookings for r in hourly.latest_windows(spark, warehouse.path("hours"), keys).collect()] == [2]
+    partials = spark.read.parquet(warehouse.path("routed/on_time")).drop("stream", "batch_id")
+    assert [r.count_bookings for r in hourly.add_up(partials).collect()] == [2]
 
 
 def test_replayed_batch_stores_nothing_twice(warehouse):
@@ -154,21 +222,30 @@ def test_late_bookings_are_listed_and_stored(warehouse):
     assert ids(warehouse.facts()) == ["b01", "b02", "b03", "b04"]
 
 
-def test_watermarked_windows_drop_only_what_is_behind_the_watermark(spark, make_bookings, warehouse):
-    """In order or slightly late: the windows hold every booking, over restarts too."""
+def test_windows_hold_every_booking(spark, make_bookings, warehouse):
+    """Late by hours, or stamped in the far future, and over restarts too."""
     def booking(i, at):
-        return (f"b{i}", f"S{i}", "1003", "PASS" if i % 2 else "FAIL", f"2025-10-25T{at}", "P1", "4.00", 1)
+        return (f"b{i}", f"S{i}", "1003", "PASS" if i % 2 else "FAIL", at, "P1", "4.00", 1)
 
-    hours = None
-    for part in ([booking(1, "10:00:00"), booking(2, "10:30:00")], [booking(3, "10:10:00"), booking(4, "11:10:00")]):
+    parts = (
+        [booking(1, "2025-10-25T10:00:00"), booking(2, "2025-10-25T10:30:00"), booking(9, "2099-01-01T00:00:00")],
+        [booking(3, "2025-10-25T10:10:00"), booking(4, "2025-10-25T11:10:00")],
+        [booking(5, "2025-10-24T23:00:00"), booking(6, "2025-10-25T10:40:00")],
+    )
+    for part in parts:
         rows = make_bookings(part)
         rows.coalesce(1).write.mode("append").parquet(warehouse.path("arriving"))
         stream = spark.readStream.schema(rows.schema).parquet(warehouse.path("arriving"))
         hours = hourly.hourly_counts(stream, "1 hour")
         hourly.start_windows(hours, warehouse.path("hours"), warehouse.path("windows")).awaitTermination()
     latest = hourly.latest_windows(spark, warehouse.path("hours"), ["station_number", "part_number", "date_hour"])
-    got = {(str(r.date_hour)[11:16], r.count_bookings, r.fail_bookings, str(r.sum_cycle_time)) for r in latest.collect()}
-    assert got == {("10:00", 3, 1, "12.00"), ("11:00", 1, 1, "4.00")}
+    got = {(str(r.date_hour)[:13], r.count_bookings, r.fail_bookings, str(r.sum_cycle_time)) for r in latest.collect()}
+    assert got == {
+        ("2025-10-25 10", 4, 2, "16.00"),
+        ("2025-10-25 11", 1, 1, "4.00"),
+        ("2025-10-24 23", 1, 0, "4.00"),
+        ("2099-01-01 00", 1, 0, "4.00"),
+    }
 
 
 def test_reference_tables_keep_stations_and_update_ideal_times(spark, warehouse):

@@ -104,6 +104,11 @@ def test_upserts_and_alignment(spark):
     assert bag(merge.upsert_overwrite(target, rows, ["k"])) == bag(
         spark.createDataFrame([(1, "a", 1), (2, "x", 9), (3, "y", 9)], "k INT, v STRING, old INT")
     )
+    twice = spark.createDataFrame([(3, "z", 1), (3, "y", 9), (2, "x", 9)], "k INT, v STRING, old INT")
+    for upsert, kept in ((merge.upsert_overwrite, (2, "x", 9)), (merge.upsert_keep_existing, (2, "b", 2))):
+        by_old = sorted(tuple(r) for r in upsert(target, twice, ["k"], "old").collect())
+        assert by_old == [(1, "a", 1), kept, (3, "z", 1)]
+        assert (3, "y", 9) in {tuple(r) for r in upsert(target, twice, ["k"]).collect()}
     wanted = spark.createDataFrame([], "v STRING, k BIGINT, fresh DOUBLE").schema
     aligned = merge.align_columns(target, wanted)
     assert aligned.schema.names == ["v", "k", "fresh"]

@@ -16,7 +16,7 @@ from yieldline.plans.quality import quality
 from yieldline.plans.refresh import full_refresh, incremental_refresh, since_high_water_mark
 from yieldline.session import new_folder
 from yieldline.sources import topic
-from yieldline.sources.events import as_bookings, read_bookings, read_events, stream_bookings
+from yieldline.sources.events import as_bookings, read_bookings, read_events
 from yieldline.sources.serving import export_parquet
 from yieldline.sources.tables import Warehouse, ensure_table
 from yieldline.streaming.ingest import Ingest
@@ -57,8 +57,10 @@ def model_scan(spark, folder):
 
 @query("s3_stream_scan", ALL_BOOKINGS_SQL)
 def stream_scan(spark, folder):
+    """Landed messages, streamed and decoded."""
     path = new_folder(spark, "s3")
-    stream = stream_bookings(spark, folder)
+    topic.envelope(read_bookings(spark, folder)).write.text(f"{path}/landing")
+    stream = topic.valid(topic.decode(topic.read_landing(spark, f"{path}/landing"))).select(*topic.FIELDS)
     sink = stream.writeStream.format("parquet").option("path", f"{path}/rows")
     sink.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(schemas.STATION_RECORDS).parquet(f"{path}/rows")
@@ -122,7 +124,7 @@ def added_columns(spark, folder):
     first, second = two_loads(as_bookings(events, "props"))
     ingest.store(topic.envelope(first.drop("props")), 0)
     ingest.store(topic.envelope(second), 1)
-    return warehouse.facts_with_added_columns().select("booking_id", "props")
+    return warehouse.facts_with_added_columns(["props"]).select("booking_id", "props")
 
 
 @query(
@@ -214,7 +216,7 @@ NEW_ROWS_SQL = (
     f"loaded AS (SELECT * FROM bookings WHERE date_created < {CUT_SQL})",
     sql.IDEAL,
     sql.performance("target", "loaded"),
-    "arrived AS (SELECT * FROM bookings WHERE date_created > (SELECT MAX(date_hour) FROM target))",
+    "arrived AS (SELECT * FROM bookings WHERE date_created >= (SELECT MAX(date_hour) FROM target))",
     sql.performance("fresh", "arrived"),
 )
 
@@ -231,7 +233,7 @@ def replace_by_key(spark, folder):
     """Delete target rows whose key was recomputed, insert the recomputed ones."""
     bookings, ideal = read_bookings(spark, folder), schemas.ideal_cycle_times(spark)
     target = performance(two_loads(bookings)[0], ideal)
-    fresh = performance(since_high_water_mark(bookings, target, inclusive=False), ideal)
+    fresh = performance(since_high_water_mark(bookings, target), ideal)
     return merge_by_key(target, fresh, ["station_number", "date_hour", "part_number"])
 
 
@@ -239,7 +241,7 @@ def replace_by_key(spark, folder):
 def high_water_mark(spark, folder):
     bookings, ideal = read_bookings(spark, folder), schemas.ideal_cycle_times(spark)
     target = performance(two_loads(bookings)[0], ideal)
-    return performance(since_high_water_mark(bookings, target, inclusive=False), ideal)
+    return performance(since_high_water_mark(bookings, target), ideal)
 
 
 @query("s16_quality_incremental", sql.with_(sql.quality("q"), select="SELECT * FROM q"))

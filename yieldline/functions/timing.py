@@ -63,4 +63,6 @@ def from_epoch_micros(micros: Column) -> Column:
 
 
 def from_epoch_millis(millis: Column) -> Column:
-    return from_epoch_micros(millis * 1000)
+    """NULL outside the years 1 to 9999, so no number can overflow."""
+    fits = millis.between(-62_135_596_800_000, 253_402_300_799_999)
+    return from_epoch_micros(F.when(fits, millis) * 1000)

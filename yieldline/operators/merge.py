@@ -26,19 +26,28 @@ def keep_first(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
 
 def whole_order(rows: DataFrame, order: str):
     """A tie break that depends only on the row's content."""
-    others = [F.col(c) for c in rows.columns if c != order]
+    maps = {f.name for f in rows.schema if isinstance(f.dataType, T.MapType)}
+    others = [F.to_json(c) if c in maps else F.col(c) for c in rows.columns if c != order]
     return F.xxhash64(*others)
 
 
-def upsert_keep_existing(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Insert, do nothing on conflict."""
-    fresh = insert_missing(rows.dropDuplicates(keys), target, keys)
+def first_of_key(rows: DataFrame, keys: list[str], order: str | None) -> DataFrame:
+    """One row per key: the first by `order`, or without one the first by all other columns, in their order."""
+    others = [c for c in rows.columns if c not in keys]
+    by = F.struct(order, *[c for c in others if c != order]) if order else F.struct(*(others or keys))
+    first = rows.groupBy(*keys).agg(F.min_by(F.struct(*rows.columns), by).alias("first"))
+    return first.select("first.*")
+
+
+def upsert_keep_existing(target: DataFrame, rows: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """Insert, do nothing on conflict. Of rows that repeat a key the first one counts (`first_of_key`)."""
+    fresh = insert_missing(first_of_key(rows, keys, order), target, keys)
     return target.unionByName(fresh)
 
 
-def upsert_overwrite(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Insert, take the new row on conflict."""
-    return merge_by_key(target, rows, keys)
+def upsert_overwrite(target: DataFrame, rows: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """Insert, take the new row on conflict. Of rows that repeat a key the first one counts (`first_of_key`)."""
+    return merge_by_key(target, first_of_key(rows, keys, order), keys)
 
 
 def merge_by_key(target: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:

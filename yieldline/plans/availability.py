@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from yieldline.functions.exact import rounded_quotient
 from yieldline.functions.timing import GRAIN_SECONDS, MICROS, bucket, elapsed, elapsed_micros
-from yieldline.operators.windows import previous_booking
 
 
 def uptime_micros(first: Column, last: Column, bookings: Column) -> Column:
@@ -36,12 +35,19 @@ def availability(bookings: DataFrame, grain: str = "hour") -> DataFrame:
     return spans.select("station_number", "date_hour", *uptime_columns(micros, grain))
 
 
-def availability_by_gaps(bookings: DataFrame, grain: str = "hour") -> DataFrame:
-    """The same from explicit gaps to the previous booking; reads like the definition."""
-    rows = bookings.select("station_number", "date_created", bucket("date_created", grain).alias("date_hour"))
-    gaps = previous_booking(rows, ["station_number", "date_hour"]).withColumn(
-        "gap", elapsed(F.col("previous_created"), F.col("date_created"))
-    )
-    total = gaps.groupBy("station_number", "date_hour").agg(F.sum("gap").alias("gap_seconds"))
-    micros = (F.col("gap_seconds") * MICROS).cast("bigint")
-    return total.select("station_number", "date_hour", *uptime_columns(micros, grain))
+def availability_by_gaps(bookings: DataFrame, grain: str = "hour", slot: str = "second") -> DataFrame:
+    """The same from gaps between neighbours; reads like the definition.
+
+    Bookings are aggregated to short slots: inside a slot the gaps add up to last - first, and one gap leads from the
+    slot before. The window sees one row per slot.
+    """
+    group = ["station_number", "date_hour"]
+    slots = bookings.groupBy(
+        "station_number", bucket("date_created", grain).alias("date_hour"), bucket("date_created", slot).alias("slot")
+    ).agg(F.min("date_created").alias("first"), F.max("date_created").alias("last"), F.count("date_created").alias("bookings"))
+    before = F.lag("last").over(Window.partitionBy(*group).orderBy("slot"))
+    inside = F.when(F.col("bookings") > 1, elapsed(F.col("first"), F.col("last")))
+    gaps = slots.withColumn("gap", elapsed(before, F.col("first"))).withColumn("inside", inside)
+    total = gaps.groupBy(*group).agg(F.sum("gap").alias("gaps"), F.sum("inside").alias("insides"))
+    seconds = F.when(F.coalesce("gaps", "insides").isNotNull(), F.coalesce("gaps", F.lit(0)) + F.coalesce("insides", F.lit(0)))
+    return total.select(*group, *uptime_columns((seconds * MICROS).cast("bigint"), grain))

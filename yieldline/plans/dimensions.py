@@ -44,16 +44,27 @@ def shift_of(hour, shifts=SHIFTS):
     return name
 
 
-def _span(facts: DataFrame, column: str, grain: str, step: str) -> DataFrame:
-    """Every bucket between the first and the last one, one row each (bounded by the calendar)."""
-    ends = facts.agg(F.min(column).alias("first"), F.max(column).alias("last"))
-    first, last = bucket("first", grain), bucket("last", grain)
-    return ends.select(F.explode(F.sequence(first, last, F.expr(f"interval {step}"))).alias("point"))
+def _days(facts: DataFrame, column: str) -> DataFrame:
+    """Every day from the first fact to the last one (low, high): years first and then their days, so that no row holds
+    the calendar."""
+    ends = facts.agg(F.min(column).alias("low"), F.max(column).alias("high"))
+    first, last = F.to_date("low"), F.to_date("high")
+    years = ends.select("low", "high", F.explode(F.sequence(F.year(first), F.year(last))).alias("year"))
+    start = F.greatest(first, F.make_date("year", F.lit(1), F.lit(1)))
+    end = F.least(last, F.make_date("year", F.lit(12), F.lit(31)))
+    return years.select("low", "high", F.explode(F.sequence(start, end)).alias("day"))
+
+
+def _hours(facts: DataFrame, column: str) -> DataFrame:
+    """Every hour from that of the first fact to that of the last one."""
+    hours = _days(facts, column).withColumn("h", F.explode(F.sequence(F.lit(0), F.lit(23))))
+    point = F.col("day").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("h"))
+    return hours.withColumn("point", point).where(F.col("point").between(bucket("low"), bucket("high"))).select("point")
 
 
 def date_hour_dim(facts: DataFrame, column: str = "date_created", shifts=SHIFTS) -> DataFrame:
     point = F.col("point")
-    return _span(facts, column, "hour", "1 hour").select(
+    return _hours(facts, column).select(
         point.alias("date_hour"),
         F.to_date(point).alias("calendar_date"),
         F.hour(point).alias("hour_of_day"),
@@ -62,8 +73,8 @@ def date_hour_dim(facts: DataFrame, column: str = "date_created", shifts=SHIFTS)
 
 
 def calendar_dim(facts: DataFrame, column: str = "date_created") -> DataFrame:
-    day = F.to_date("point")
-    return _span(facts, column, "day", "1 day").select(
+    day = F.col("day")
+    return _days(facts, column).select(
         day.alias("calendar_date"),
         F.year(day).alias("year"),
         F.quarter(day).alias("quarter"),

@@ -137,15 +137,13 @@ def incremental_refresh(warehouse: Warehouse, batch: DataFrame) -> dict[str, lis
     return replaced
 
 
-def since_high_water_mark(bookings: DataFrame, target: DataFrame, inclusive: bool = True) -> DataFrame:
+def since_high_water_mark(bookings: DataFrame, target: DataFrame) -> DataFrame:
     """Bookings at or after the newest hour that `target` holds; all of them if it holds none.
 
-    The mark is fetched first, as one value, so that it reaches the scan as a pushed filter.
-    `inclusive=False` leaves out a booking stamped exactly on the mark.
+    The mark is fetched first, as one value, so that it reaches the scan as a pushed filter. A booking stamped
+    exactly on the hour belongs to it, so the hour is recomputed whole.
     """
     mark = target.agg(F.max("date_hour").cast("string")).first()[0]
     if mark is None:
         return bookings
-    limit = F.lit(mark).cast("timestamp_ntz")
-    created = F.col("date_created")
-    return bookings.where(created >= limit if inclusive else created > limit)
+    return bookings.where(F.col("date_created") >= F.lit(mark).cast("timestamp_ntz"))

@@ -113,3 +113,8 @@ def stations(spark: SparkSession) -> DataFrame:
 
 def ideal_cycle_times(spark: SparkSession) -> DataFrame:
     return literal_rows(spark, IDEAL_CYCLE_TIME_ROWS, IDEAL_CYCLE_TIMES)
+
+# Bookings outside these years are set aside: such dates come from broken clocks, and every table has one partition a day.
+FIRST_YEAR, LAST_YEAR = 1970, 2199
+# Payload fields that the fact table has no column for.
+EXTRAS = T.StructField("extras", T.MapType(T.StringType(), T.StringType()))

@@ -17,6 +17,7 @@ from yieldline.session import new_folder
 
 DAY = "event_day"
 FACT_SCHEMA = T.StructType([*schemas.STATION_RECORDS.fields, T.StructField(DAY, T.DateType())])
+WIDE_FACT_SCHEMA = T.StructType([*schemas.STATION_RECORDS.fields, schemas.EXTRAS, T.StructField(DAY, T.DateType())])
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
@@ -78,7 +79,7 @@ class Warehouse:
 
         A station already there is kept as it is; an ideal cycle time is brought up to date.
         """
-        ensure_table(self.spark, self.path("station_records"), FACT_SCHEMA, (DAY,))
+        ensure_table(self.spark, self.path("station_records"), WIDE_FACT_SCHEMA, (DAY,))
         self._load("stations", schemas.STATIONS, schemas.stations(self.spark), upsert_keep_existing)
         ideal = schemas.ideal_cycle_times(self.spark)
         self._load("ideal_cycle_times", schemas.IDEAL_CYCLE_TIMES, ideal, upsert_overwrite)
@@ -102,28 +103,42 @@ class Warehouse:
         facts = self.spark.read.schema(FACT_SCHEMA).parquet(self.path("station_records"))
         return facts if days is None else facts.where(F.col(DAY).isin(days))
 
-    def facts_with_added_columns(self) -> DataFrame:
-        """Bookings with every column that later messages added; older rows have NULL there."""
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path("station_records"))
+    def wide_facts(self) -> DataFrame:
+        """Bookings with `extras`, the map of all fields that messages brought beyond the declared ones."""
+        return self.spark.read.schema(WIDE_FACT_SCHEMA).parquet(self.path("station_records"))
 
-    def stored_ids(self, bookings: DataFrame, unchanged: bool = False) -> DataFrame:
+    def facts_with_added_columns(self, names: list[str]) -> DataFrame:
+        """Bookings with some of the added fields as text columns; rows without a field have NULL there.
+
+        A field is found by its exact name, whatever characters it has and however else it is spelt.
+        """
+        return self.wide_facts().select(
+            *schemas.STATION_RECORDS.names, DAY, *[F.try_element_at("extras", F.lit(n)).alias(n) for n in names]
+        )
+
+    def added_fields(self) -> DataFrame:
+        """Names of added fields and how many bookings have each, as rows."""
+        names = self.wide_facts().select(F.explode(F.map_keys("extras")).alias("name"))
+        return names.groupBy("name").agg(F.count("*").alias("bookings"))
+
+    def stored_ids(self, bookings: DataFrame) -> DataFrame:
         """Ids of `bookings` that the facts already hold.
 
         The stored ids are scanned as one column and probed with the incoming ids, so the big side
-        is not shuffled as long as the incoming ids fit under the broadcast threshold. `unchanged`
-        says that a repeated booking keeps its timestamp: then only its own days are scanned.
+        is not shuffled as long as the incoming ids fit under the broadcast threshold.
         """
-        days = distinct_days(bookings.select(F.to_date("date_created").alias(DAY))) if unchanged else None
-        return rows_already_in(bookings, self.facts(days), ["booking_id"])
+        return rows_already_in(bookings, self.facts(), ["booking_id"])
 
-    def append_facts(self, bookings: DataFrame, skip_present: bool = True, unchanged: bool = False) -> None:
+    def append_facts(self, bookings: DataFrame, skip_present: bool = True) -> None:
         """Append bookings, keeping the earliest row of a booking_id and any row already stored.
 
         Without `skip_present` the caller vouches for ids that are new and occur once.
         """
         if skip_present:
             first = keep_first(bookings, ["booking_id"], "date_created")
-            bookings = insert_missing(first, self.stored_ids(bookings, unchanged), ["booking_id"])
+            bookings = insert_missing(first, self.stored_ids(bookings), ["booking_id"])
+        if "extras" not in bookings.columns:
+            bookings = bookings.withColumn("extras", F.lit(None).cast(schemas.EXTRAS.dataType))
         rows = by_day(with_day(bookings, "date_created"))
         (
             rows.sortWithinPartitions(DAY, "station_number", "date_created")

@@ -1,7 +1,9 @@
 """Booking messages: JSON with an embedded schema, `{"schema": ..., "payload": {...}}`.
 
 Decoding never fails on a bad message. Each message becomes one row with its booking fields, the
-reason why it cannot be stored (NULL if it can), and the payload fields the fact table lacks.
+reason why it cannot be stored (NULL if it can), and all payload fields the fact table lacks, as one map.
+The schema half must be there. It decides how a value is read: decimals may be encoded as bytes and
+timestamps as epoch milliseconds. For a field that it does not declare, the JSON type decides.
 """
 
 from __future__ import annotations
@@ -16,8 +18,13 @@ from yieldline.operators.checks import fitted, too_long
 FIELDS = schemas.STATION_RECORDS.names
 LENGTHS = schemas.MAX_LENGTHS["station_records"]
 REQUIRED = schemas.REQUIRED["station_records"]
-# Fixed value: a PostgreSQL table cannot have more columns than this.
-MAX_COLUMNS = 1600
+# Names of the connector's logical types.
+DECIMAL_TYPE = "org.apache.kafka.connect.data.Decimal"
+TIMESTAMP_TYPE = "org.apache.kafka.connect.data.Timestamp"
+MESSAGE = (
+    "schema STRUCT<type STRING, fields ARRAY<STRUCT<field STRING, type STRING, name STRING, parameters MAP<STRING, STRING>>>>,"
+    " payload MAP<STRING, STRING>, malformed STRING"
+)
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
@@ -55,26 +62,53 @@ def envelope(bookings: DataFrame, omit: Column | None = None) -> DataFrame:
     return bookings.select(value.alias("value"))
 
 
-def _timestamp(text: Column) -> Column:
+def _declared(name: str) -> Column:
+    """What the message's schema says about a field."""
+    return F.get(F.filter(F.col("message.schema.fields"), lambda f: f["field"] == name), F.lit(0))
+
+
+def _is_number(name: str, text: Column) -> Column:
+    """Whether the payload has the field as a JSON number; only digits need a second look at the message."""
+    value = F.try_variant_get(F.try_parse_json("value"), f"$.payload.{name}", "variant")
+    kind = F.schema_of_variant(value)
+    return F.when(text.rlike("^-?[0-9]+$"), kind.startswith("BIGINT") | kind.startswith("DECIMAL")).otherwise(False)
+
+
+def _timestamp(name: str, text: Column) -> Column:
     """Epoch milliseconds or an ISO timestamp; a zone suffix is ignored (local wall clock)."""
-    millis = F.when(text.rlike("^-?[0-9]{9,}$"), text)
-    return F.coalesce(from_epoch_millis(millis.try_cast("bigint")), text.try_cast("timestamp_ntz"))
+    declared = _declared(name)
+    as_millis = (declared["name"] == TIMESTAMP_TYPE) | declared["type"].isin("int64", "int32")
+    number = F.coalesce(as_millis, F.lit(False)) | _is_number(name, text)
+    return F.when(number, from_epoch_millis(text.try_cast("bigint"))).otherwise(text.try_cast("timestamp_ntz"))
+
+
+def _decimal(name: str, text: Column, kind: str) -> Column:
+    """A decimal as text, or as the unscaled number in big-endian bytes (base64) with its scale in the schema."""
+    declared = _declared(name)
+    digits = F.hex(F.try_to_binary(text, F.lit("base64")))
+    sign = F.when(F.substring(digits, 1, 1) >= "8", "F").otherwise("0")
+    unscaled = F.when(
+        F.length(digits).between(1, 16), F.conv(F.concat(F.repeat(sign, 16 - F.length(digits)), digits), 16, -10)
+    ).try_cast("decimal(20,0)")
+    scale = F.element_at(declared["parameters"], "scale").try_cast("int")
+    unit = F.when(scale.between(0, 18), F.rpad(F.lit("1"), scale + 1, "0")).try_cast("decimal(19,0)")
+    encoded = F.coalesce(declared["name"] == DECIMAL_TYPE, F.lit(False))
+    value = F.when(encoded, F.try_divide(unscaled, unit).cast("string")).otherwise(text)
+    return value.try_cast(kind)
 
 
 def decode(messages: DataFrame) -> DataFrame:
     """Message rows plus booking fields, `reason` and `extras`."""
-    parsed = F.from_json(
-        "value",
-        "payload MAP<STRING, STRING>, malformed STRING",
-        {"columnNameOfCorruptRecord": "malformed"},
-    )
+    parsed = F.from_json("value", MESSAGE, {"columnNameOfCorruptRecord": "malformed"})
     rows = messages.withColumn("message", parsed).withColumn("payload", F.col("message.payload"))
     payload = F.col("payload")
     raw = {name: F.element_at(payload, name) for name in FIELDS}
+    created = _timestamp("date_created", raw["date_created"])
+    in_range = F.year(created).between(schemas.FIRST_YEAR, schemas.LAST_YEAR)
     typed = {
         **{name: fitted(raw[name], LENGTHS[name]) for name in LENGTHS},
-        "date_created": _timestamp(raw["date_created"]),
-        "cycle_time": raw["cycle_time"].try_cast("decimal(10,2)"),
+        "date_created": F.when(in_range, created),
+        "cycle_time": _decimal("cycle_time", raw["cycle_time"], "decimal(10,2)"),
         "test_count": F.when(~F.map_contains_key(payload, "test_count"), schemas.DEFAULT_TEST_COUNT).otherwise(
             raw["test_count"].try_cast("int")
         ),
@@ -83,10 +117,14 @@ def decode(messages: DataFrame) -> DataFrame:
     problems += [F.when(too_long(raw[c], n), F.lit(f"{c} is longer than {n}")) for c, n in LENGTHS.items()]
     problems += [
         F.when(raw[c].isNotNull() & typed[c].isNull(), F.lit(f"{c} is not a {kind}"))
-        for c, kind in (("date_created", "timestamp"), ("cycle_time", "decimal(10,2)"), ("test_count", "integer"))
+        for c, kind in (("cycle_time", "decimal(10,2)"), ("test_count", "integer"))
     ]
+    dated = raw["date_created"].isNotNull()
+    problems.append(F.when(dated & created.isNull(), F.lit("date_created is not a timestamp")))
+    problems.append(F.when(dated & ~in_range, F.lit("date_created is out of range")))
     reason = (
         F.when(F.col("message.malformed").isNotNull(), "not a JSON message")
+        .when(F.col("message.schema").isNull(), "no schema")
         .when(payload.isNull(), "no payload")
         .otherwise(F.nullif(F.concat_ws("; ", *problems), F.lit("")))
     )
@@ -107,27 +145,3 @@ def quarantined(decoded: DataFrame) -> DataFrame:
     """Bad messages as they came, with the reason (and their position if the source has one)."""
     keep = [c for c in decoded.columns if c not in (*FIELDS, "extras")]
     return decoded.where(F.col("reason").isNotNull()).select(*keep)
-
-
-def added_columns(rows: DataFrame) -> list[str]:
-    """Names of payload fields the fact table lacks; at most as many as a table can have columns."""
-    names = rows.select(F.explode(F.map_keys("extras")).alias("name")).distinct().limit(MAX_COLUMNS + 1).collect()
-    if len(names) > MAX_COLUMNS:
-        raise ValueError(f"messages bring more than {MAX_COLUMNS} new fields")
-    return addable(sorted(r["name"] for r in names))
-
-
-def addable(names: list[str]) -> list[str]:
-    """Names that can become columns: Spark ignores case, so one spelling per name is added."""
-    taken = {*FIELDS, "event_day", "offset", "batch_id"}
-    kept = []
-    for name in names:
-        if name and name.lower() not in taken:
-            taken.add(name.lower())
-            kept.append(name)
-    return kept
-
-
-def evolve(rows: DataFrame, names: list[str]) -> DataFrame:
-    """Turn extra payload fields into text columns."""
-    return rows.withColumns({n: F.element_at("extras", n) for n in names}).drop("extras")

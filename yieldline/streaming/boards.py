@@ -1,7 +1,8 @@
 """Last result of every board at every station, kept up to date by a stream of bookings.
 
 Counting distinct boards is not allowed on a stream. The highest attempt per result is a maximum,
-and maxima of batches combine: each micro-batch writes one small row per touched board.
+and maxima combine, over the batches of a stream and over streams: each micro-batch writes one small row per touched
+board under its stream and batch id.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from yieldline.functions.conditional import max_where
 from yieldline.operators.attempts import is_fail, is_pass
+from yieldline.streaming.clock import batch_folder, stream_of
 
 BOARD = ("station_number", "serial_number")
 TOPS = ("top_attempt", "top_fail", "top_pass")
@@ -28,7 +30,7 @@ def tops(bookings: DataFrame) -> DataFrame:
 
 def start_boards(bookings: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        tops(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        tops(batch).write.mode("overwrite").parquet(batch_folder(path, stream_of(batch), batch_id))
 
     return (
         bookings.writeStream.foreachBatch(write)

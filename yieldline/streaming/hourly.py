@@ -1,9 +1,10 @@
 """Hourly KPIs that keep up with a stream of bookings.
 
-Two ways are offered. `start_windows` uses event-time windows with a watermark: results stay in
-bounded state and bookings later than the watermark are dropped by it. `start_routed` keeps no state: each
-micro-batch writes the partial aggregates of its on-time bookings and a list of its late ones
-under its batch id, and readers add them up, so no booking is dropped or counted twice.
+Two ways are offered, and neither drops a booking. `start_windows` aggregates in a state store. Its watermark is over the
+time of arrival, so the state holds the last hours of arrivals only, and no booking is ever behind it, however old or far
+ahead its own time is; what arrives later for an hour becomes a further partial result, and readers add up.
+`start_routed` keeps no state: each micro-batch writes the partial aggregates of its on-time bookings and a list of its late
+ones under its stream and batch id, and readers add them up.
 """
 
 from __future__ import annotations
@@ -13,11 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from yieldline.functions.conditional import count_where
-from yieldline.functions.timing import bucket, from_instant, to_instant
+from yieldline.functions.timing import bucket
 from yieldline.operators.attempts import is_fail, is_pass
 from yieldline.plans.availability import uptime_columns, uptime_micros
 from yieldline.sources.tables import Warehouse
-from yieldline.streaming.clock import clock_before, is_late, note_clock
+from yieldline.streaming.clock import batch_folder, clock_before, is_late, note_clock, stream_of
 
 COUNT_NAMES = ("sum_cycle_time", "count_bookings", "fail_bookings", "pass_bookings")
 
@@ -40,11 +41,11 @@ def spans() -> list[Column]:
 
 
 def windowed(bookings: DataFrame, keys: list[str], aggregates: list[Column], delay: str) -> DataFrame:
-    """Tumbling one-hour windows over event time, behind a watermark."""
-    timed = bookings.withColumn("event_time", to_instant(F.col("date_created")))
-    groups = timed.withWatermark("event_time", delay).groupBy(F.window("event_time", "1 hour"), *keys)
-    hours = groups.agg(*aggregates)
-    return hours.withColumn("date_hour", from_instant(F.col("window.start"))).drop("window")
+    """Results per hour of event time and hour of arrival; state lives until `delay` after the hour of arrival."""
+    timed = bookings.withColumn("arrived", F.current_timestamp()).withColumn("date_hour", bucket("date_created"))
+    arrival = F.window("arrived", "1 hour")
+    hours = timed.withWatermark("arrived", delay).groupBy(arrival, *keys, "date_hour").agg(*aggregates)
+    return hours.withColumn("arrival_hour", F.col("window.start")).drop("window")
 
 
 def hourly_counts(bookings: DataFrame, delay: str = "2 hours") -> DataFrame:
@@ -62,10 +63,10 @@ def availability_of(hours: DataFrame) -> DataFrame:
 
 
 def start_windows(hours: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Write every changed window of a micro-batch under the batch's id."""
+    """Write every changed result of a micro-batch under its stream and batch id."""
 
     def write(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        changed.write.mode("overwrite").parquet(batch_folder(path, stream_of(changed), batch_id))
 
     return (
         hours.writeStream.outputMode("update")
@@ -77,11 +78,12 @@ def start_windows(hours: DataFrame, path: str, checkpoint: str, **trigger) -> St
 
 
 def latest_windows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The newest state of each window: one row per key, taken from its last micro-batch."""
+    """Totals per key: the newest state of each hour of arrival, added up over arrivals and streams."""
     changes = spark.read.parquet(path)
-    values = [c for c in changes.columns if c not in (*keys, "batch_id")]
-    newest = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch_id").alias("newest"))
-    return newest.select(*keys, "newest.*")
+    within = ["stream", "arrival_hour", *keys]
+    values = [c for c in changes.columns if c not in (*within, "batch_id")]
+    newest = changes.groupBy(*within).agg(F.max_by(F.struct(*values), "batch_id").alias("newest"))
+    return newest.groupBy(*keys).agg(*[total(F.col(f"newest.{c}"), c) for c in values])
 
 
 # partial aggregates per micro-batch --------------------------------------------------------------
@@ -93,15 +95,18 @@ def hour_partials(bookings: DataFrame) -> DataFrame:
     ).agg(*counts(), *spans())
 
 
+def total(values: Column, name: str) -> Column:
+    """How a column of partial results adds up."""
+    if name in ("first", "last"):
+        return (F.min(values) if name == "first" else F.max(values)).alias(name)
+    added = F.sum(values)
+    return (added.cast("decimal(20,2)") if name == "sum_cycle_time" else added).alias(name)
+
+
 def add_up(partials: DataFrame) -> DataFrame:
     """Hourly totals out of partial aggregates of any number of batches."""
-    return partials.groupBy("station_number", "part_number", "date_hour").agg(
-        F.sum("sum_cycle_time").cast("decimal(20,2)").alias("sum_cycle_time"),
-        *[F.sum(c).alias(c) for c in COUNT_NAMES[1:]],
-        F.min("first").alias("first"),
-        F.max("last").alias("last"),
-        F.sum("bookings").alias("bookings"),
-    )
+    keys = ["station_number", "part_number", "date_hour"]
+    return partials.groupBy(*keys).agg(*[total(F.col(c), c) for c in (*COUNT_NAMES, "first", "last", "bookings")])
 
 
 def with_late(on_time: DataFrame, late: DataFrame) -> DataFrame:
@@ -112,15 +117,21 @@ def with_late(on_time: DataFrame, late: DataFrame) -> DataFrame:
 def start_routed(
     warehouse: Warehouse, bookings: DataFrame, name: str, checkpoint: str, late_after: int, **trigger
 ) -> StreamingQuery:
-    """On-time bookings become partials, late ones go to a late table; both under the batch id."""
+    """On-time bookings become partials, late ones go to a late table; both under the stream and batch id."""
     spark, path = warehouse.spark, warehouse.path(name)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        clock = clock_before(spark, f"{path}/clock", batch_id)
+        stream = stream_of(batch)
+        clock = clock_before(spark, f"{path}/clock", stream, batch_id)
         belated = is_late(clock, late_after)
-        hour_partials(batch.where(~belated)).write.mode("overwrite").parquet(f"{path}/on_time/batch_id={batch_id}")
-        batch.where(belated).write.mode("overwrite").parquet(f"{path}/late/batch_id={batch_id}")
-        note_clock(batch, f"{path}/clock", batch_id, clock)
+        batch = batch.persist()  # read three times
+        try:
+            on_time = hour_partials(batch.where(~belated))
+            on_time.write.mode("overwrite").parquet(batch_folder(f"{path}/on_time", stream, batch_id))
+            batch.where(belated).write.mode("overwrite").parquet(batch_folder(f"{path}/late", stream, batch_id))
+            note_clock(batch, f"{path}/clock", stream, batch_id, clock)
+        finally:
+            batch.unpersist()
 
     return (
         bookings.writeStream.foreachBatch(write)

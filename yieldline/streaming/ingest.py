@@ -1,7 +1,8 @@
 """Message stream -> validated, deduplicated booking facts, quarantine and late list.
 
-What a micro-batch decides to store is written under its batch id first, so a batch that is
-replayed after a failure finds its decision and does not store anything twice. No state store
+What a micro-batch decides to store is written under its stream and batch id first, so a batch that is
+replayed after a failure finds its decision and does not store anything twice, and another stream
+or a new checkpoint never takes it for its own. No state store
 and no watermark stand in the way: a booking is stored however late it comes.
 """
 
@@ -11,30 +12,29 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from yieldline.operators.merge import insert_missing, keep_first
-from yieldline.schemas import STATION_RECORDS
+from yieldline.schemas import EXTRAS, STATION_RECORDS
 from yieldline.session import at_once
 from yieldline.sources import topic
 from yieldline.sources.tables import Warehouse, is_complete, read_or_empty
-from yieldline.streaming.clock import clock_before, is_late, note_clock
+from yieldline.streaming.clock import batch_folder, clock_before, is_late, note_clock, stream_of
 
-LATE = T.StructType([*STATION_RECORDS.fields, T.StructField("batch_id", T.LongType())])
+BATCH = [T.StructField("stream", T.StringType()), T.StructField("batch_id", T.LongType())]
+LATE = T.StructType([*STATION_RECORDS.fields, *BATCH])
 
 
 @dataclass(frozen=True)
 class Ingest:
     """Ingest into `warehouse`. `late_after` seconds of disorder are tolerated before a booking
-    counts as late; `auto_evolve` stores payload fields the fact table lacks as new columns;
-    `resent_unchanged` says that a booking sent again has the same timestamp, which limits the
-    search for stored ids to the days of the batch."""
+    counts as late; `auto_evolve` stores all payload fields the fact table lacks, in its map column."""
 
     warehouse: Warehouse
     late_after: int = 2 * 3600
     auto_evolve: bool = True
-    resent_unchanged: bool = False
 
     def start(self, messages: DataFrame, checkpoint: str, **trigger) -> StreamingQuery:
         trigger = trigger or {"availableNow": True}
@@ -45,46 +45,48 @@ class Ingest:
             .start()
         )
 
-    def batch_path(self, name: str, batch_id: int) -> str:
-        return self.warehouse.path(f"ingest/{name}/batch_id={batch_id}")
+    def batch_path(self, name: str, stream: str, batch_id: int) -> str:
+        return batch_folder(self.warehouse.path(f"ingest/{name}"), stream, batch_id)
 
-    def store(self, messages: DataFrame, batch_id: int) -> None:
-        spark = self.warehouse.spark
-        fresh_path = self.batch_path("fresh", batch_id)
+    def store(self, messages: DataFrame, batch_id: int, stream: str | None = None) -> None:
+        spark, stream = self.warehouse.spark, stream or stream_of(messages)
+        fresh_path = self.batch_path("fresh", stream, batch_id)
         replay = is_complete(spark, fresh_path)
         if not replay:
-            self._write_fresh(messages, batch_id)
-        fresh = spark.read.parquet(fresh_path)
+            self._write_fresh(messages, stream, batch_id)
+        fresh = spark.read.schema(T.StructType([*STATION_RECORDS.fields, EXTRAS])).parquet(fresh_path)
 
         def append() -> None:
             # Only a replay can meet its own rows; a first run has just excluded stored ids.
             if not fresh.isEmpty():
-                self.warehouse.append_facts(fresh, skip_present=replay, unchanged=True)
+                self.warehouse.append_facts(fresh, skip_present=replay)
 
-        at_once(spark, [append, partial(self._write_late, fresh, batch_id)])
+        at_once(spark, [append, partial(self._write_late, fresh, stream, batch_id)])
 
-    def _write_fresh(self, messages: DataFrame, batch_id: int) -> None:
+    def _write_fresh(self, messages: DataFrame, stream: str, batch_id: int) -> None:
         """Decode once, set bad messages aside, and keep bookings whose id is not stored yet."""
         decoded = topic.decode(messages).persist()
-        topic.quarantined(decoded).write.mode("overwrite").parquet(self.batch_path("quarantine", batch_id))
-        rows = topic.valid(decoded)
-        position = ["offset"] if "offset" in rows.columns else []
-        names = topic.added_columns(rows) if self.auto_evolve else []
-        rows = topic.evolve(rows, names).select(*topic.FIELDS, *names, *position)
-        stored = self.warehouse.stored_ids(rows, self.resent_unchanged)
-        first = keep_first(rows, ["booking_id"], *position or ["date_created"])
-        fresh = insert_missing(first, stored, ["booking_id"]).drop(*position)
-        fresh.write.mode("overwrite").parquet(self.batch_path("fresh", batch_id))
-        decoded.unpersist()
-
-    def _write_late(self, fresh: DataFrame, batch_id: int) -> None:
+        try:
+            bad = topic.quarantined(decoded)
+            bad.write.mode("overwrite").parquet(self.batch_path("quarantine", stream, batch_id))
+            rows = topic.valid(decoded)
+            position = ["offset"] if "offset" in rows.columns else []
+            extras = F.when(F.size("extras") > 0, F.col("extras")) if self.auto_evolve else F.lit(None)
+            rows = rows.select(*topic.FIELDS, extras.cast(EXTRAS.dataType).alias("extras"), *position)
+            first = keep_first(rows, ["booking_id"], *position or ["date_created"])
+            fresh = insert_missing(first, self.warehouse.stored_ids(rows), ["booking_id"]).drop(*position)
+            fresh.write.mode("overwrite").parquet(self.batch_path("fresh", stream, batch_id))
+        finally:
+            decoded.unpersist()
+
+    def _write_late(self, fresh: DataFrame, stream: str, batch_id: int) -> None:
         """List bookings whose hour had already closed when they came, and move the clock on."""
         path = self.warehouse.path("ingest/clock")
-        clock = clock_before(self.warehouse.spark, path, batch_id)
+        clock = clock_before(self.warehouse.spark, path, stream, batch_id)
         bookings = fresh.select(*topic.FIELDS)
         late = bookings.where(is_late(clock, self.late_after))
-        late.write.mode("overwrite").parquet(self.batch_path("late", batch_id))
-        note_clock(bookings, path, batch_id, clock)
+        late.write.mode("overwrite").parquet(self.batch_path("late", stream, batch_id))
+        note_clock(bookings, path, stream, batch_id, clock)
 
     def late(self) -> DataFrame:
         return read_or_empty(self.warehouse.spark, self.warehouse.path("ingest/late"), LATE)

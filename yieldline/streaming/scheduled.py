@@ -14,10 +14,9 @@ from pyspark.sql import types as T
 from yieldline.plans.refresh import full_refresh, incremental_refresh
 from yieldline.sources.tables import is_complete, read_or_empty
 from yieldline.sources.topic import FIELDS
-from yieldline.streaming.ingest import LATE, Ingest
+from yieldline.streaming.ingest import BATCH, LATE, Ingest
 
-
-REFRESHED = T.StructType([T.StructField("batch_id", T.LongType())])
+REFRESHED = T.StructType(BATCH)
 
 
 def run_once(
@@ -25,23 +24,23 @@ def run_once(
 ) -> dict:
     """Ingest everything available, then refresh what these bookings can change.
 
-    Batches are refreshed until their id is noted in `refreshed`, so a run that dies between
-    ingest and refresh is made up for by the next one.
+    Batches are refreshed until their stream has noted their id, or a later one, in `refreshed`, so a run that dies
+    between ingest and refresh is made up for by the next one, and a new checkpoint starts a list of its own.
     """
     warehouse = ingest.warehouse
     query = ingest.start(open_stream(), checkpoint, availableNow=True)
     query.awaitTermination()
     fresh = read_or_empty(warehouse.spark, warehouse.path("ingest/fresh"), LATE)
     done = read_or_empty(warehouse.spark, warehouse.path("refreshed"), REFRESHED)
-    mark = done.agg(F.max("batch_id")).first()[0]
-    pending = fresh if mark is None else fresh.where(F.col("batch_id") > mark)
-    newest = pending.agg(F.max("batch_id")).first()[0]
-    if newest is None:
+    marks = done.groupBy("stream").agg(F.max("batch_id").alias("mark"))
+    pending = fresh.join(marks, "stream", "left").where("mark IS NULL OR batch_id > mark")
+    newest = pending.groupBy("stream").agg(F.max("batch_id").alias("batch_id")).collect()  # one row per stream
+    if not newest:
         return {}
     if full or not is_complete(warehouse.spark, warehouse.path("quality_linewise_datehour")):
         replaced = full_refresh(warehouse)
     else:
         replaced = incremental_refresh(warehouse, pending.select(*FIELDS))
-    noted = warehouse.spark.range(newest, newest + 1).select(F.col("id").alias("batch_id"))
+    noted = warehouse.spark.createDataFrame(newest, REFRESHED)
     noted.coalesce(1).write.mode("append").parquet(warehouse.path("refreshed"))
     return replaced
