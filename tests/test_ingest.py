@@ -5,7 +5,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from yieldline import schemas
 from yieldline.operators import checks
+from yieldline.plans import models
+from yieldline.plans.refresh import full_refresh
 from yieldline.session import new_folder
 from yieldline.sources import topic
 from yieldline.sources.tables import Warehouse
@@ -262,6 +265,33 @@ def test_reference_tables_keep_stations_and_update_ideal_times(spark, warehouse)
     assert warehouse.ideal_cycle_times().count() == 8
 
 
+def test_reference_rows_that_break_a_constraint_are_refused(spark):
+    rows = schemas.stations(spark)
+    checks.demand(rows, "stations")
+    for bad, rule in (
+        (rows.union(rows.limit(1)), "unique"),
+        (rows.withColumn("station_name", F.lit(None).cast("string")), "required"),
+        (rows.withColumn("lane", F.repeat(F.lit("x"), 21)), "length"),
+    ):
+        with pytest.raises(ValueError, match=rule):
+            checks.demand(bad, "stations")
+
+
+def test_stored_columns_follow_the_model_and_keep_their_notes(spark, warehouse, make_bookings):
+    bookings = make_bookings([("b1", "S1", "1003", "PASS", "2025-10-25T10:00:00", "P1", "4.00", 1)])
+    warehouse.append_facts(bookings)
+    full_refresh(warehouse)
+    model = models.PERFORMANCE
+    assert warehouse.notes(model.name) == model.notes
+    old = warehouse.table(model.name, model.schema).withColumn("count_bookings", F.col("count_bookings").cast("int")).drop("avg_cycle_time").withColumn("gone", F.lit(1))
+    warehouse.replace_table(model.name, old.cache())
+    synced = warehouse.synced(model.name, model.schema)
+    assert [(f.name, f.dataType) for f in synced.schema] == [(f.name, f.dataType) for f in spark.createDataFrame([], model.schema).schema]
+    assert [(r.count_bookings, r.avg_cycle_time) for r in synced.collect()] == [(1, None)]
+    full_refresh(warehouse)
+    assert warehouse.table(model.name, model.schema).first().avg_cycle_time is not None
+
+
 def test_constraint_reports(make_bookings):
     rows = make_bookings(
         [

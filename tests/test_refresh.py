@@ -88,6 +88,8 @@ def test_declared_schemas_and_order_of_models(spark, folder, ideal):
         assert set(model.notes) == set(declared.names)
         commented = models.with_notes(built[model.name], model).schema
         assert all(f.metadata["comment"] for f in commented)
+    line = models.LINEWISE
+    assert [f.name for f in models.as_declared(built[line.name].drop("fpy_percent"), line).schema] == spark.createDataFrame([], line.schema).columns
     waves = models.in_waves(models.MODELS)
     assert [len(w) for w in waves] == [3, 1]
     circle = models.Model("a", "x INT", None, (), (), (), upstream=("a",))

@@ -12,7 +12,7 @@ from yieldline.operators.attempts import board_counts, booking_counts, running_l
 from yieldline.operators.merge import insert_missing
 from yieldline.plans import dimensions, oee
 from yieldline.plans.availability import availability
-from yieldline.plans.linewise import first_pass, line_yield
+from yieldline.plans.linewise import first_pass, line_yield, linewise
 from yieldline.plans.performance import cycle_totals, performance
 from yieldline.plans.quality import BOARD_NAMES, BOOKING_NAMES, quality, quality_two_branches
 from yieldline.functions.timing import bucket
@@ -100,6 +100,68 @@ def star(spark, folder):
     )
 
 
+LINE_STAR_SQL = (
+    sql.quality("q"),
+    sql.linewise("m", "q"),
+    HOURS_SQL,
+    CALENDAR_SQL,
+    f"""star AS (SELECT m.*, h AS hour_of_day, {SHIFT_SQL} AS shift,
+       CASE {SHIFT_SQL} WHEN 'Morning' THEN 1 WHEN 'Evening' THEN 2 ELSE 3 END AS shift_id, c.*
+FROM m LEFT JOIN hours USING (date_hour) LEFT JOIN calendar c USING (calendar_date))""",
+)
+
+
+def _when(spark, folder) -> tuple:
+    times = read_bookings(spark, folder).select("date_created")
+    return dimensions.date_hour_dim(times), dimensions.calendar_dim(times), dimensions.shift_dim(spark)
+
+
+def _line_star(spark, folder):
+    bookings = read_bookings(spark, folder)
+    line = linewise(quality(bookings), first_pass(bookings))
+    return dimensions.star_join(line, None, *_when(spark, folder))
+
+
+@query("j6_line_star", sql.with_(*LINE_STAR_SQL, select="SELECT * FROM star"))
+def line_star(spark, folder):
+    """The line-level fact with hour, calendar and shift."""
+    return _line_star(spark, folder)
+
+
+@query(
+    "k4_yield_by_shift_and_month",
+    sql.with_(
+        *LINE_STAR_SQL,
+        select=f"""SELECT year, month, shift, part_number, CAST(SUM(pass_pcb_linewise) AS BIGINT) AS pass_pcb_linewise,
+       CAST(SUM(scrap_pcb_linewise) AS BIGINT) AS scrap_pcb_linewise, CAST(SUM(total_pcb_linewise) AS BIGINT) AS total_pcb_linewise,
+       {sql.percent("SUM(pass_pcb_linewise)", "SUM(total_pcb_linewise)")} AS pass_percent FROM star GROUP BY ALL""",
+    ),
+)
+def yield_by_shift_and_month(spark, folder):
+    return dimensions.yield_by_shift_and_month(_line_star(spark, folder))
+
+
+@query(
+    "k10_oee_by_shift_and_month",
+    sql.with_(
+        sql.IDEAL,
+        sql.station_fact("f"),
+        f"o AS ({sql.oee('f')})",
+        HOURS_SQL,
+        CALENDAR_SQL,
+        select=f"""SELECT o.station_number, c.year, c.month, {SHIFT_SQL} AS shift, COUNT(oee_percent) AS hours,
+       {sql.rounded(sql.cents("SUM(oee_percent)"), "100 * COUNT(oee_percent)", 2, 12)} AS mean_oee_percent,
+       CAST(SUM(f.pass_pcb) AS BIGINT) AS pass_pcb
+FROM o JOIN f USING (station_number, date_hour) LEFT JOIN hours USING (date_hour) LEFT JOIN calendar c USING (calendar_date)
+GROUP BY ALL""",
+    ),
+)
+def oee_by_shift_and_month(spark, folder):
+    fact = oee.station_hour_fact(read_bookings(spark, folder), schemas.ideal_cycle_times(spark))
+    rates = oee.oee(fact).join(fact.select("station_number", "date_hour", "pass_pcb"), ["station_number", "date_hour"])
+    return dimensions.oee_by_shift_and_month(dimensions.star_join(rates, None, *_when(spark, folder)))
+
+
 @query(
     "j7_anti",
     sql.with_(

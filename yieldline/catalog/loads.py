@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from yieldline import schemas
 from yieldline.catalog import sql
 from yieldline.catalog.registry import query
-from yieldline.operators.merge import align_columns, merge_by_key, upsert_keep_existing, upsert_overwrite
+from yieldline.operators.merge import merge_by_key, upsert_keep_existing, upsert_overwrite
 from yieldline.plans.legacy import legacy_quality
-from yieldline.plans.models import QUALITY
+from yieldline.plans.models import PERFORMANCE, QUALITY
 from yieldline.plans.performance import cycle_totals, performance
 from yieldline.plans.quality import quality
 from yieldline.plans.refresh import full_refresh, incremental_refresh, since_high_water_mark
@@ -267,10 +267,10 @@ FROM m_base""",
     ),
 )
 def sync_columns(spark, folder):
-    """A target with other columns than the model now has: new ones are NULL, old ones are gone."""
-    bookings = read_bookings(spark, folder)
-    model = performance(bookings, schemas.ideal_cycle_times(spark))
-    return align_columns(cycle_totals(bookings), model.schema)
+    """A stored table with other columns than the model now has: new ones are NULL, old ones are gone."""
+    warehouse = new_warehouse(spark, "s17")
+    warehouse.replace_table(PERFORMANCE.name, cycle_totals(read_bookings(spark, folder)))
+    return warehouse.synced(PERFORMANCE.name, PERFORMANCE.schema)
 
 
 @query("s18_serving_export", sql.with_(sql.IDEAL, sql.performance("m"), select="SELECT * FROM m"))

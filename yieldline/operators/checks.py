@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from yieldline import schemas
+
 
 def duplicate_keys(rows: DataFrame, key: str) -> DataFrame:
     """Key values that occur more than once, with their number of rows."""
@@ -48,3 +50,25 @@ def length_violations(rows: DataFrame, table: str, limits: dict[str, int]) -> Da
         ]
     )
     return counted.select(F.lit(table).alias("table_name"), F.inline(pairs))
+
+
+def table_report(rows: DataFrame, table: str) -> DataFrame:
+    """All declared constraints of a table: rule, column, and how many rows break it."""
+    key = uniqueness(rows, table, schemas.PRIMARY_KEYS[table])
+    parts = [
+        key.select("table_name", F.lit("unique").alias("rule"), F.col("key_column").alias("column_name"), F.col("surplus_rows").alias("rows")),
+        null_counts(rows, table, schemas.REQUIRED[table]).select(
+            "table_name", F.lit("required").alias("rule"), "column_name", F.col("null_count").alias("rows")
+        ),
+        length_violations(rows, table, schemas.MAX_LENGTHS[table]).select(
+            "table_name", F.lit("length").alias("rule"), "column_name", F.col("too_long").alias("rows")
+        ),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def demand(rows: DataFrame, table: str) -> None:
+    """Refuse rows that break a declared constraint of the table."""
+    broken = table_report(rows, table).where("rows > 0").collect()  # one row per constraint at most
+    if broken:
+        raise ValueError("; ".join(f"{r.table_name}.{r.column_name}: {r.rows} rows break {r.rule}" for r in broken))

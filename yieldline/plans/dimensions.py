@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yieldline import schemas
+from yieldline.functions.exact import mean, percent
 from yieldline.functions.timing import bucket
 
 # Shift names are given, their hours are not: these are defaults to override. (name, start, end)
@@ -90,13 +91,31 @@ def stations_dim(spark: SparkSession) -> DataFrame:
 
 
 def star_join(
-    fact: DataFrame, stations: DataFrame, hours: DataFrame, calendar: DataFrame, shifts: DataFrame
+    fact: DataFrame, stations: DataFrame | None, hours: DataFrame, calendar: DataFrame, shifts: DataFrame
 ) -> DataFrame:
-    """Hourly fact with its dimensions.
+    """Hourly fact with its dimensions; a fact of the whole line has no station.
 
     The hour dimension first takes the other calendar dimensions, which are all small, so the fact
     is joined twice: by hour and by station.
     """
     shift = shift_hours(shifts).select("hour_of_day", "shift_id", F.col("shift_name").alias("shift"))
     when = hours.drop("shift_name").join(calendar, "calendar_date", "left").join(shift, "hour_of_day", "left")
-    return fact.join(when, "date_hour", "left").join(stations, "station_number", "left")
+    timed = fact.join(when, "date_hour", "left")
+    return timed if stations is None else timed.join(stations, "station_number", "left")
+
+
+def yield_by_shift_and_month(line_star: DataFrame) -> DataFrame:
+    """Line yield per month, shift and product, from summed boards; a sum over no rows stays NULL."""
+    keys = ["year", "month", "shift", "part_number"]
+    names = ("pass_pcb_linewise", "scrap_pcb_linewise", "total_pcb_linewise")
+    sums = line_star.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in names])
+    return sums.withColumn("pass_percent", percent(F.col(names[0]), F.col(names[2])))
+
+
+def oee_by_shift_and_month(star: DataFrame) -> DataFrame:
+    """Mean OEE of the hours that have one, and boards passed, per station, month and shift."""
+    return star.groupBy("station_number", "year", "month", "shift").agg(
+        F.count("oee_percent").alias("hours"),
+        F.sum("oee_percent").alias("total"),
+        F.sum("pass_pcb").alias("pass_pcb"),
+    ).select("station_number", "year", "month", "shift", "hours", mean(F.col("total"), F.col("hours")).alias("mean_oee_percent"), "pass_pcb")

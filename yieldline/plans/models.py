@@ -7,7 +7,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from yieldline.operators.merge import align_columns
 from yieldline.plans.availability import availability
 from yieldline.plans.linewise import first_pass, linewise
 from yieldline.plans.performance import performance
@@ -109,6 +111,11 @@ LINEWISE = Model(
 MODELS = {m.name: m for m in (PERFORMANCE, AVAILABILITY, QUALITY, LINEWISE)}
 
 
+def as_declared(rows: DataFrame, model: Model) -> DataFrame:
+    """Rows as the model is stored: its declared columns and types, with their notes."""
+    return with_notes(align_columns(rows, T.StructType.fromDDL(model.schema)), model)
+
+
 def with_notes(rows: DataFrame, model: Model) -> DataFrame:
     """Attach the column notes as metadata; a stored table keeps them as column comments."""
     for column, note in model.notes.items():
@@ -128,13 +135,13 @@ def in_waves(models: dict[str, Model]) -> list[list[Model]]:
     return waves
 
 
-def documented_counts(rows: DataFrame, model: Model) -> DataFrame:
+def documented_counts(rows: DataFrame, notes: dict[str, str], name: str) -> DataFrame:
     """One row per documented column: its note and how many rows have a value, in one pass."""
-    counted = rows.agg(*[F.count(c).alias(c) for c in model.notes])
+    counted = rows.agg(*[F.count(c).alias(c) for c in notes])
     pairs = F.array(
         *[
             F.struct(F.lit(c).alias("column_name"), F.lit(n).alias("note"), F.col(c).alias("filled_rows"))
-            for c, n in model.notes.items()
+            for c, n in notes.items()
         ]
     )
-    return counted.select(F.lit(model.name).alias("model_name"), F.inline(pairs))
+    return counted.select(F.lit(name).alias("model_name"), F.inline(pairs))

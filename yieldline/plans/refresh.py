@@ -37,7 +37,8 @@ def full_refresh(warehouse: Warehouse, threads: int = 4) -> dict[str, DataFrame]
         return tables[name] if name in tables else warehouse.ideal_cycle_times()
 
     def rebuild(model: models.Model) -> tuple[str, DataFrame]:
-        return model.name, warehouse.replace_table(model.name, model.build(warehouse.facts(), ref))
+        rows = models.as_declared(model.build(warehouse.facts(), ref), model)
+        return model.name, warehouse.replace_table(model.name, rows)
 
     for wave in models.in_waves(models.MODELS):
         tables.update(at_once(warehouse.spark, [partial(rebuild, model) for model in wave], threads))
@@ -114,16 +115,17 @@ def incremental_refresh(warehouse: Warehouse, batch: DataFrame) -> dict[str, lis
 
     def replace_own(model: models.Model) -> dict[str, list[dt.date]]:
         rows = model.build(warehouse.facts(own_days), lambda name: ideal)
-        warehouse.replace_days(model.name, rows, own_days)
+        warehouse.replace_days(model.name, models.as_declared(rows, model), own_days)
         return {model.name: own_days}
 
     def replace_quality_and_line() -> dict[str, list[dt.date]]:
         quality_days = days_of_quality(facts, batch)
-        warehouse.replace_days(models.QUALITY.name, quality_of_days(facts, quality_days), quality_days)
+        stations = models.as_declared(quality_of_days(facts, quality_days), models.QUALITY)
+        warehouse.replace_days(models.QUALITY.name, stations, quality_days)
         line_days = sorted(set(quality_days) | set(days_of_first_pass(facts, batch)))
         stations = warehouse.table(models.QUALITY.name, models.QUALITY.schema, line_days)
         line = linewise(stations, first_pass_of_days(facts, line_days))
-        warehouse.replace_days(models.LINEWISE.name, line, line_days)
+        warehouse.replace_days(models.LINEWISE.name, models.as_declared(line, models.LINEWISE), line_days)
         return {models.QUALITY.name: quality_days, models.LINEWISE.name: line_days}
 
     jobs = [

@@ -59,7 +59,9 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="yieldline-"))
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="yieldline-")
+    return _local_folders[context.applicationId]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

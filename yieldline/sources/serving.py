@@ -13,10 +13,14 @@ def export_parquet(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def export_jdbc(rows: DataFrame, table: str, partitions: int = 8) -> None:
-    """Overwrite a database table. Address and login come from the environment, never from code."""
+def export_jdbc(rows: DataFrame, table: str, connections: int | None = None) -> None:
+    """Overwrite a database table. Address and login come from the environment, never from code.
+
+    `connections` is what the database allows at once: the finished rows are dealt to so many tasks, and the work before
+    keeps its own number.
+    """
     (
-        rows.coalesce(partitions)
+        (rows.repartition(connections) if connections else rows)
         .write.format("jdbc")
         .option("url", os.environ["SERVING_JDBC_URL"])
         .option("user", os.environ["SERVING_JDBC_USER"])

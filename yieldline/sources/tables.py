@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -12,8 +13,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yieldline import schemas
-from yieldline.operators.merge import insert_missing, keep_first, rows_already_in, upsert_keep_existing, upsert_overwrite
-from yieldline.session import new_folder
+from yieldline.operators.checks import demand
+from yieldline.operators.merge import (
+    align_columns,
+    insert_missing,
+    keep_first,
+    rows_already_in,
+    upsert_keep_existing,
+    upsert_overwrite,
+)
 
 DAY = "event_day"
 FACT_SCHEMA = T.StructType([*schemas.STATION_RECORDS.fields, T.StructField(DAY, T.DateType())])
@@ -26,6 +34,28 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def _files(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this module has written."""
+    files, jvm_path = _files(spark, path)
+    files.delete(jvm_path, True)
+
+
+def swap_in(spark: SparkSession, ready: str, path: str) -> None:
+    """Put a finished copy in the place of a table. The old one goes only after the new one is there."""
+    files, old = _files(spark, path)
+    _, aside = _files(spark, f"{path}.old")
+    files.delete(aside, True)
+    if files.exists(old):
+        files.rename(old, aside)
+    files.rename(_files(spark, ready)[1], old)
+    files.delete(aside, True)
+
+
 def ensure_table(
     spark: SparkSession, path: str, schema: T.StructType, partition_by: tuple[str, ...] = ()
 ) -> None:
@@ -88,15 +118,17 @@ class Warehouse:
     def _load(self, name: str, schema: T.StructType, rows: DataFrame, upsert: Callable) -> None:
         path = self.path(name)
         if not is_complete(self.spark, path):
+            demand(rows, name)
             rows.coalesce(1).write.mode("append").parquet(path)
             return
         present = self.spark.read.schema(schema).parquet(path)
         merged = upsert(present, rows, [schemas.PRIMARY_KEYS[name]])
         if merged.exceptAll(present).isEmpty():
             return
-        aside = new_folder(self.spark, name)
+        demand(merged, name)
+        aside = self._aside(name)
         merged.coalesce(1).write.parquet(aside)
-        self.spark.read.schema(schema).parquet(aside).write.mode("overwrite").parquet(path)
+        swap_in(self.spark, aside, path)
 
     def facts(self, days: list[dt.date] | None = None) -> DataFrame:
         """Bookings; `days` prunes whole partitions before anything is read."""
@@ -156,8 +188,13 @@ class Warehouse:
     # KPI tables --------------------------------------------------------------------------------
 
     def replace_table(self, name: str, rows: DataFrame) -> DataFrame:
-        """Full refresh: overwrite the whole table, then read it back."""
-        self._day_writer(rows).option("partitionOverwriteMode", "static").parquet(self.path(name))
+        """Full refresh: write the whole table aside, put it in place, then read it back.
+
+        A refresh that is lost on the way leaves the old table. Column comments of `rows` are stored.
+        """
+        aside = self._aside(name)
+        self._day_writer(rows).option("partitionOverwriteMode", "static").parquet(aside)
+        swap_in(self.spark, aside, self.path(name))
         return self.table(name, rows.schema)
 
     def replace_days(self, name: str, rows: DataFrame, days: list[dt.date]) -> DataFrame:
@@ -166,15 +203,31 @@ class Warehouse:
         The rows are written aside first, so they are computed once and a lost job leaves the
         table as it was; running the same replacement again gives the same table.
         """
-        aside = new_folder(self.spark, name)
+        aside = self._aside(name)
         rows.write.parquet(aside)
         ready = self.spark.read.schema(rows.schema).parquet(aside)
         self._day_writer(ready).option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
         filled = distinct_days(ready, "date_hour")
         for day in sorted(set(days) - set(filled)):
-            ready.limit(0).write.mode("overwrite").parquet(f"{self.path(name)}/{DAY}={day.isoformat()}")
+            remove_folder(self.spark, f"{self.path(name)}/{DAY}={day.isoformat()}")
+        remove_folder(self.spark, aside)
         return self.table(name, rows.schema)
 
+    def _aside(self, name: str) -> str:
+        """A fresh folder beside the tables, so that a finished copy can be moved into place."""
+        return self.path(f"aside/{name}-{uuid.uuid4().hex}")
+
+    def synced(self, name: str, schema: T.StructType | str) -> DataFrame:
+        """A stored table with the columns a model has now: added ones are NULL, dropped ones are gone, changed types are
+        cast. Reads what the files themselves declare."""
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        return align_columns(self.spark.read.parquet(self.path(name)), schema)
+
+    def notes(self, name: str) -> dict[str, str]:
+        """Column comments as the stored table has them."""
+        stored = self.spark.read.parquet(self.path(name)).schema
+        return {f.name: f.metadata["comment"] for f in stored if "comment" in f.metadata}
+
     def table(self, name: str, schema: T.StructType | str, days: list[dt.date] | None = None) -> DataFrame:
         schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         stored = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
