@@ -78,27 +78,37 @@ def test_day_filter_prunes_partitions(spark, bookings):
     assert {"booking_id"} in read_columns(plan(warehouse.stored_ids(bookings)))
 
 
-def test_touched_boards_filter_the_scan_when_they_are_few(spark, bookings):
-    """The semi join moves under the aggregate if it can be a broadcast; else it stays above."""
-    from yieldline.plans.refresh import quality_of_days
+def test_incremental_refresh_reads_no_unfiltered_facts(spark, bookings, monkeypatch):
+    """Every scan of the facts has a partition filter; boards of a batch are looked up in their buckets."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from yieldline.plans import refresh
 
     warehouse = Warehouse(spark, new_folder(spark, "plans")).create()
     warehouse.append_facts(bookings, skip_present=False)
-    days = [dt.date(2024, 1, 5)]
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    few = quality_of_days(warehouse.facts(), days)._jdf.queryExecution().optimizedPlan().toString().splitlines()
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        many = quality_of_days(warehouse.facts(), days)._jdf.queryExecution().optimizedPlan().toString().splitlines()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    refresh.full_refresh(warehouse)
+    batch = bookings.where("booking_id < '2'")
+    texts, write, days = [], DataFrameWriter.parquet, refresh.distinct_days
 
-    def depth(lines, word):
-        return next(i for i, line in enumerate(lines) if word in line)
+    def noted(writer, *args, **options):
+        texts.append(plan(writer._df))
+        return write(writer, *args, **options)
 
-    per_board = "max(test_count"
-    assert depth(few, "LeftSemi") > depth(few, per_board)
-    assert depth(many, "LeftSemi") < depth(many, per_board)
+    def noted_days(rows, *args):
+        texts.append(plan(rows))
+        return days(rows, *args)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    monkeypatch.setattr(refresh, "distinct_days", noted_days)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # whole paths in plans
+    try:
+        refresh.incremental_refresh(warehouse, batch)
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scans = [line for text in texts for line in text.splitlines() if "FileScan" in line]
+    facts = [line for line in scans if "/station_records" in line]
+    assert facts and all(re.search(r"PartitionFilters: \[[^\]]*event_day", line) for line in facts)
+    assert any(re.search(r"PartitionFilters: \[[^\]]*board_bucket", line) for line in scans if "/boards" in line)
 
 
 def test_no_query_multiplies_rows(spark, folder):
@@ -106,11 +116,29 @@ def test_no_query_multiplies_rows(spark, folder):
     from yieldline.catalog import QUERIES
 
     for name, run in QUERIES.items():
-        if name[0] not in "st":  # these write tables and read them back
+        if name[0] not in "st":  # these write tables and read them back: see below
             text = plan(run(spark, folder))
             assert "CartesianProduct" not in text and "NestedLoop" not in text, name
 
 
+@pytest.mark.parametrize("name", ["s9_upsert_keep_existing", "s14_replace_by_key", "s16_quality_incremental", "t1_ingest", "t4_totals_with_late_bookings", "t6_scheduled_runs"])
+def test_no_written_table_multiplies_rows(spark, folder, name, monkeypatch):
+    """The same for what these queries write on their way, inside micro-batches too."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    from yieldline.catalog import QUERIES
+
+    texts, write = [], DataFrameWriter.parquet
+
+    def noted(writer, *args, **options):
+        texts.append(plan(writer._df))
+        return write(writer, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    texts.append(plan(QUERIES[name](spark, folder)))
+    assert texts
+    assert not [t for t in texts if "CartesianProduct" in t or "NestedLoop" in t]
+
+
 def test_reference_rows_have_exact_statistics(spark):
     stats = schemas.stations(spark)._jdf.queryExecution().optimizedPlan().stats()
     assert int(str(stats.sizeInBytes())) < 10_000

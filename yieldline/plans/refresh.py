@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from yieldline.functions.conditional import max_where
-from yieldline.operators.attempts import attempts_per_bucket, board_history, flag_latest
+from yieldline.operators.attempts import flag_latest
 from yieldline.plans import models
 from yieldline.plans.linewise import first_pass_of, linewise
 from yieldline.plans.quality import count_quality
@@ -27,11 +27,12 @@ PART_BOARD = ["serial_number", "part_number"]
 
 
 def full_refresh(warehouse: Warehouse, threads: int = 4) -> dict[str, DataFrame]:
-    """Rebuild all models from the facts; independent models run at the same time.
+    """Rebuild all models and the boards table from the facts; independent models run at the same time.
 
     A model reads its upstream models from their tables, so nothing is computed twice.
     """
     tables: dict[str, DataFrame] = {}
+    warehouse.rebuild_boards()
 
     def ref(name: str) -> DataFrame:
         return tables[name] if name in tables else warehouse.ideal_cycle_times()
@@ -58,15 +59,14 @@ def only_boards(rows: DataFrame, boards: DataFrame, keys: list[str]) -> DataFram
     return rows.join(boards.select(*keys).distinct(), keys, "left_semi")
 
 
-def days_of_quality(facts: DataFrame, batch: DataFrame) -> list[dt.date]:
-    """Days whose station quality the batch can change.
+def days_of_quality(boards: DataFrame, batch: DataFrame) -> list[dt.date]:
+    """Days whose station quality the batch can change. `boards` are those of the batch, over all time.
 
     These are the batch's own days and the days in which a touched board has a booking that is not
     (any longer) its latest attempt: a retest takes the earlier booking's board out of its hour.
     """
-    attempt = F.col("test_count")
-    per_day = facts.groupBy(*STATION_BOARD, "event_day").agg(
-        F.min(attempt).alias("lowest"), F.max(attempt).alias("highest")
+    per_day = boards.groupBy(*STATION_BOARD, F.to_date("date_hour").alias("event_day")).agg(
+        F.min("low_attempt").alias("lowest"), F.max("top_attempt").alias("highest")
     )
     touched = only_boards(per_day, batch, STATION_BOARD)
     latest = F.max("highest").over(Window.partitionBy(*STATION_BOARD))
@@ -75,13 +75,14 @@ def days_of_quality(facts: DataFrame, batch: DataFrame) -> list[dt.date]:
     return distinct_days(demoted.select("event_day").unionByName(own))
 
 
-def days_of_first_pass(facts: DataFrame, batch: DataFrame) -> list[dt.date]:
+def days_of_first_pass(boards: DataFrame, batch: DataFrame) -> list[dt.date]:
     """Days in which a touched board has its last booking now, or had it before the batch.
 
     Before the batch, a day held the bookings it holds now less those of the batch.
     """
     board_day = [*PART_BOARD, "event_day"]
-    now = only_boards(facts.groupBy(*board_day).agg(F.count("*").alias("stored")), batch, PART_BOARD)
+    per_day = boards.groupBy(*PART_BOARD, F.to_date("date_hour").alias("event_day"))
+    now = only_boards(per_day.agg(F.sum("total_bookings").alias("stored")), batch, PART_BOARD)
     arrived = with_day(batch, "date_created").groupBy(*board_day).agg(F.count("*").alias("arrived"))
     older = F.col("stored") > F.coalesce("arrived", F.lit(0))
     last = now.join(arrived, board_day, "left").groupBy(*PART_BOARD).agg(
@@ -90,25 +91,26 @@ def days_of_first_pass(facts: DataFrame, batch: DataFrame) -> list[dt.date]:
     return distinct_days(last.select(F.explode(F.array("last_now", "last_before")).alias("event_day")))
 
 
-def quality_of_days(facts: DataFrame, days: list[dt.date]) -> DataFrame:
+def quality_of_days(boards: DataFrame, days: list[dt.date]) -> DataFrame:
     """Station quality of some days; boards seen there are judged by their whole history."""
-    present = facts.where(F.col("event_day").isin(days))
-    history = only_boards(attempts_per_bucket(facts), present, STATION_BOARD)
+    history = only_boards(boards, within(boards, days), STATION_BOARD)
     return count_quality(within(flag_latest(history), days))
 
 
-def first_pass_of_days(facts: DataFrame, days: list[dt.date]) -> DataFrame:
-    present = facts.where(F.col("event_day").isin(days))
-    history = only_boards(board_history(facts, "part_number"), present, PART_BOARD)
+def first_pass_of_days(boards: DataFrame, days: list[dt.date]) -> DataFrame:
+    history = only_boards(boards, within(boards, days), PART_BOARD).groupBy(*PART_BOARD).agg(
+        F.max("last_test_time").alias("last_test_time"), F.sum("fail_bookings").alias("fail_count")
+    )
     return first_pass_of(within(history, days, "last_test_time"))
 
 
 def incremental_refresh(warehouse: Warehouse, batch: DataFrame) -> dict[str, list[dt.date]]:
     """Bring all models up to date after `batch` was appended to the facts.
 
-    Returns the days replaced per model. Only day lists reach the driver.
+    Facts are read for the batch's own days only; what reaches further back comes from the boards table. Returns the
+    days replaced per model. Only day lists reach the driver.
     """
-    facts, ideal = warehouse.facts(), warehouse.ideal_cycle_times()
+    boards, ideal = warehouse.boards(), warehouse.ideal_cycle_times()
     own_days = distinct_days(batch.select(F.to_date("date_created").alias("event_day")))
     if not own_days:
         return {}
@@ -119,12 +121,13 @@ def incremental_refresh(warehouse: Warehouse, batch: DataFrame) -> dict[str, lis
         return {model.name: own_days}
 
     def replace_quality_and_line() -> dict[str, list[dt.date]]:
-        quality_days = days_of_quality(facts, batch)
-        stations = models.as_declared(quality_of_days(facts, quality_days), models.QUALITY)
+        touched = warehouse.boards(batch)
+        quality_days = days_of_quality(touched, batch)
+        stations = models.as_declared(quality_of_days(boards, quality_days), models.QUALITY)
         warehouse.replace_days(models.QUALITY.name, stations, quality_days)
-        line_days = sorted(set(quality_days) | set(days_of_first_pass(facts, batch)))
+        line_days = sorted(set(quality_days) | set(days_of_first_pass(touched, batch)))
         stations = warehouse.table(models.QUALITY.name, models.QUALITY.schema, line_days)
-        line = linewise(stations, first_pass_of_days(facts, line_days))
+        line = linewise(stations, first_pass_of_days(boards, line_days))
         warehouse.replace_days(models.LINEWISE.name, models.as_declared(line, models.LINEWISE), line_days)
         return {models.QUALITY.name: quality_days, models.LINEWISE.name: line_days}
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from yieldline import schemas
+from yieldline.operators.attempts import attempts_per_bucket
 from yieldline.operators.checks import demand
 from yieldline.operators.merge import (
     align_columns,
@@ -25,6 +26,20 @@ from yieldline.operators.merge import (
 
 DAY = "event_day"
 FACT_SCHEMA = T.StructType([*schemas.STATION_RECORDS.fields, T.StructField(DAY, T.DateType())])
+# Boards are summed up beside the facts, dealt to so many partitions by serial number.
+BOARD_BUCKETS = 64
+BOARD_KEYS = ["station_number", "serial_number", "part_number", "date_hour"]
+BOARD_SCHEMA = T.StructType(
+    [
+        *[T.StructField(c, T.StringType()) for c in BOARD_KEYS[:3]],
+        T.StructField("date_hour", T.TimestampNTZType()),
+        *[T.StructField(c, T.LongType()) for c in ("total_bookings", "fail_bookings", "pass_bookings")],
+        *[T.StructField(c, T.IntegerType()) for c in ("top_attempt", "top_fail", "top_pass", "low_attempt")],
+        T.StructField("last_test_time", T.TimestampNTZType()),
+        T.StructField("load", T.StringType()),
+        T.StructField("board_bucket", T.IntegerType()),
+    ]
+)
 WIDE_FACT_SCHEMA = T.StructType([*schemas.STATION_RECORDS.fields, schemas.EXTRAS, T.StructField(DAY, T.DateType())])
 
 
@@ -161,14 +176,24 @@ class Warehouse:
         """
         return rows_already_in(bookings, self.facts(), ["booking_id"])
 
-    def append_facts(self, bookings: DataFrame, skip_present: bool = True) -> None:
+    def append_facts(self, bookings: DataFrame, skip_present: bool = True, load: str | None = None) -> None:
         """Append bookings, keeping the earliest row of a booking_id and any row already stored.
 
-        Without `skip_present` the caller vouches for ids that are new and occur once.
+        Without `skip_present` the caller vouches for ids that are new and occur once. `load` names a load that may be
+        repeated with the same bookings: its boards are summed up again in place.
         """
+        aside = None
+        if load is not None:
+            self.note_boards(bookings, load)
         if skip_present:
             first = keep_first(bookings, ["booking_id"], "date_created")
             bookings = insert_missing(first, self.stored_ids(bookings), ["booking_id"])
+            if load is None:
+                aside = self._aside("facts")
+                bookings.write.parquet(aside)  # what is new must not change once the facts have it
+                bookings = self.spark.read.schema(bookings.schema).parquet(aside)
+        if load is None:
+            self.note_boards(bookings, uuid.uuid4().hex)
         if "extras" not in bookings.columns:
             bookings = bookings.withColumn("extras", F.lit(None).cast(schemas.EXTRAS.dataType))
         rows = by_day(with_day(bookings, "date_created"))
@@ -178,6 +203,40 @@ class Warehouse:
             .mode("append")
             .parquet(self.path("station_records"))
         )
+        if aside is not None:
+            remove_folder(self.spark, aside)
+
+    # boards ------------------------------------------------------------------------------------
+
+    def note_boards(self, bookings: DataFrame, load: str, path: str | None = None) -> None:
+        """Sum up a load's bookings per board, station and hour. Written before the facts, so that facts are never ahead."""
+        low, last = F.min("test_count").alias("low_attempt"), F.max("date_created").alias("last_test_time")
+        rows = attempts_per_bucket(bookings, "hour", low, last).withColumn("board_bucket", self._bucket())
+        target = f"{path or self.path('boards')}/load={load}"
+        rows.hint("rebalance", F.col("board_bucket")).write.partitionBy("board_bucket").mode("overwrite").parquet(target)
+
+    def rebuild_boards(self) -> None:
+        """One load out of all facts, in the place of all loads so far."""
+        aside = self._aside("boards")
+        self.note_boards(self.facts(), "all", aside)
+        swap_in(self.spark, aside, self.path("boards"))
+
+    def boards(self, touched: DataFrame | None = None) -> DataFrame:
+        """Per station, board, part and hour: counts, attempts and last time, over all loads.
+
+        `touched` limits it to boards that these rows have; only their partitions are read.
+        """
+        rows = read_or_empty(self.spark, self.path("boards"), BOARD_SCHEMA)
+        if touched is not None:
+            buckets = [r[0] for r in touched.select(self._bucket()).distinct().collect()]  # at most BOARD_BUCKETS
+            rows = rows.where(F.col("board_bucket").isin(buckets))
+        sums = [F.sum(c).alias(c) for c in ("total_bookings", "fail_bookings", "pass_bookings")]
+        most = [F.max(c).alias(c) for c in ("top_attempt", "top_fail", "top_pass", "last_test_time")]
+        return rows.groupBy(*BOARD_KEYS).agg(*sums, *most, F.min("low_attempt").alias("low_attempt"))
+
+    @staticmethod
+    def _bucket():
+        return F.pmod(F.xxhash64("serial_number"), F.lit(BOARD_BUCKETS)).cast("int")
 
     def ideal_cycle_times(self) -> DataFrame:
         return self.spark.read.schema(schemas.IDEAL_CYCLE_TIMES).parquet(self.path("ideal_cycle_times"))

@@ -59,7 +59,7 @@ class Ingest:
         def append() -> None:
             # Only a replay can meet its own rows; a first run has just excluded stored ids.
             if not fresh.isEmpty():
-                self.warehouse.append_facts(fresh, skip_present=replay)
+                self.warehouse.append_facts(fresh, skip_present=replay, load=f"{stream}-{batch_id}")
 
         at_once(spark, [append, partial(self._write_late, fresh, stream, batch_id)])
 
