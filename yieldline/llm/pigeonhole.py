@@ -31,7 +31,7 @@ SCALE = 1 << 20
 # Widens budgets by more than the rounding of coordinates can take away.
 SLACK = 1e-5
 # Vectors that a cell should hold on average, and chunk size of a cell that holds more than twice as many.
-PER_CELL, CHUNK = 3000, 6000
+PER_CELL, CHUNK = 12_000, 24_000
 # Pairs verified at once.
 AT_ONCE = 50_000
 SEED = 11
@@ -199,24 +199,34 @@ def linked_in_cell(
 ) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Links of each row (counting copies) and a spanning forest, among pairs that this block is the first to find.
 
-    Compares rows marked `left` with those marked `right`; at least one of a pair must be at home in the cell. A pair of two rows
-    with both marks is taken once.
+    Compares rows marked `left` with those marked `right`, where one of a pair is at home in the cell. Rows carry both
+    marks or are of two chunks; a pair is taken once.
     """
     limits = budgets(rotated.shape[1], cosine)
     starts = np.arange(0, rotated.shape[1], BLOCK)
     part = rotated[:, block * BLOCK : (block + 1) * BLOCK].astype(np.float32) / SCALE
-    square = (part**2).sum(axis=1)
-    near = np.float32(limits[block] / float(SCALE) ** 2 * (1 + 1e-4) + 1e-6)
+    half = (part**2).sum(axis=1, keepdims=True) / 2
+    one = np.ones_like(half)
+    # The product of these rows is minus half the squared distance.
+    ours, theirs = np.hstack([part, -half, one]), np.hstack([part, one, -half])
+    near = -np.float32(limits[block] / float(SCALE) ** 2 * (1 + 1e-4) + 1e-6) / 2
     unit, links, forest = None, np.zeros(len(vectors), np.int64), _Forest(len(vectors))
-    rows, columns = np.flatnonzero(left), np.flatnonzero(right)
-    step = max(1, (4 << 20) // max(1, len(columns)))
-    for first in range(0, len(rows), step):
-        some = rows[first : first + step]
-        close = square[some][:, None] + square[columns] - 2 * (part[some] @ part[columns].T) <= near
-        i, j = np.nonzero(close)
-        a, b = some[i], columns[j]
-        keep = (home[a] | home[b]) & (a != b) & ~((a > b) & right[a] & left[b])
-        a, b = a[keep], b[keep]
+
+    def close() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        same = bool((left & right).all())
+        sides = [(left, right & home)] if same else [(left, right & home), (left & home, right & ~home)]
+        for rows, columns in ((np.flatnonzero(x), np.flatnonzero(y)) for x, y in sides):
+            step = max(1, (4 << 20) // max(1, len(columns)))
+            for first in range(0, len(rows) if len(columns) else 0, step):
+                some = rows[first : first + step]
+                hits = np.flatnonzero(ours[some] @ theirs[columns].T >= near)
+                a, b = some[hits // len(columns)], columns[hits % len(columns)]
+                if same:
+                    keep = (a > b) | (~home[a])
+                    a, b = a[keep], b[keep]
+                yield a, b
+
+    for a, b in close():
         for at in range(0, len(a), AT_ONCE):
             x, y = a[at : at + AT_ONCE], b[at : at + AT_ONCE]
             gaps = np.add.reduceat((rotated[x].astype(np.int64) - rotated[y]) ** 2, starts, axis=1) <= limits
