@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yieldline.llm.columns import mixed, slices
@@ -29,7 +29,6 @@ COUNTERS = 1 << 20
 CHUNK = 1 << 14
 # A shingle is frequent if its counter exceeds FREQUENT times the mean counter and FREQUENT_LEAST.
 FREQUENT, FREQUENT_LEAST = 4, 32
-STAR_ROUNDS = 2
 
 
 def _keys(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -119,16 +118,18 @@ def _sums(sets: list[np.ndarray], sizes: np.ndarray, salt: int) -> np.ndarray:
 
 
 def _runs_of_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (h, id, n) sorted by h: those whose h has two rows or more, with the least id as hub."""
+    """Rows (h, id, n) sorted by h: those whose h has two rows or more, with the least id and its size as hub."""
     rest: list[np.ndarray] = [np.empty(0, np.int64)] * 3
 
     def found(h: np.ndarray, ids: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
         counts = np.diff(np.append(starts, len(h)))
-        hubs = np.repeat(np.minimum.reduceat(ids, starts), counts) if len(h) else ids
         keep = np.repeat(counts > 1, counts)
+        order = np.lexsort((ids, h)) if len(h) else starts
+        hub = np.repeat(order[starts], counts)[keep]
         return pa.RecordBatch.from_arrays(
-            [pa.array(h[keep]), pa.array(ids[keep]), pa.array(n[keep].astype(np.int32)), pa.array(hubs[keep])], names=["h", "id", "n", "hub"]
+            [pa.array(x) for x in (h[keep], ids[keep], n[keep].astype(np.int32), ids[hub], n[hub].astype(np.int32))],
+            names=["h", "id", "n", "hub", "hub_n"],
         )
 
     for batch in batches:
@@ -140,7 +141,10 @@ def _runs_of_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shared_shingles(written: DataFrame, members: DataFrame) -> DataFrame:
-    """h, id, n, hub: prefix shingles that two classes or more have. `written`: prefixes; `members`: rep, leader."""
+    """h, id, n, hub, hub_n, weight: prefix shingles that two classes or more have. `written`: prefixes; `members`: rep, leader.
+
+    Classes of one group share their whole prefix. A row for the group stands for all of it, with the size as weight.
+    """
     leaders = members.where("rep = leader").select(F.col("leader").alias("id"))
     entries = (
         written.join(leaders, "id", "left_semi")
@@ -148,18 +152,19 @@ def shared_shingles(written: DataFrame, members: DataFrame) -> DataFrame:
         .select("h", "id", "n", (F.col("at") >= F.col("rare")).alias("frequent"))
     )
     rare = entries.where("NOT frequent").select("h", "id", "n").repartition("h").sortWithinPartitions("h")
-    rare = rare.mapInArrow(_runs_of_two, "h long, id long, n int, hub long")
+    rare = rare.mapInArrow(_runs_of_two, "h long, id long, n int, hub long, hub_n int")
     often = entries.where("frequent").select("h", "id", "n")
-    hubs = often.groupBy("h").agg(F.min("id").alias("hub"), F.max("id").alias("top")).where("hub < top").drop("top")
-    found = rare.unionByName(often.join(hubs, "h").select("h", "id", "n", "hub"))
+    hubs = often.groupBy("h").agg(F.min(F.struct("id", "n")).alias("hub"), F.max("id").alias("top")).where("hub.id < top")
+    hubs = hubs.select("h", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"))
+    found = rare.unionByName(often.join(hubs, "h").select("h", "id", "n", "hub", "hub_n"))
     several = members.where("members > 1")
     expanded = found.join(
         several.where("rep <> leader").select(F.col("leader").alias("id"), "rep"), "id"
-    ).select("h", F.col("rep").alias("id"), "n", "hub")
+    ).select("h", F.col("rep").alias("id"), "n", "hub", "hub_n")
     within = several.select(
-        F.xxhash64(F.lit("group"), "leader").alias("h"), F.col("rep").alias("id"), "n", F.col("leader").alias("hub")
+        F.xxhash64(F.lit("group"), "leader").alias("h"), F.col("rep").alias("id"), "n", F.col("leader").alias("hub"), F.col("n").alias("hub_n"), F.col("n").alias("weight")
     )
-    return found.unionByName(expanded).unionByName(within)
+    return found.unionByName(expanded).withColumn("weight", F.lit(1)).unionByName(within)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -181,35 +186,49 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
     return joined.mapInArrow(compare, "a long, b long")
 
 
-def _best(candidates: DataFrame) -> DataFrame:
-    """Each id with the hub that it shares most shingles with."""
-    counted = candidates.groupBy("id", "hub").agg(F.count(F.lit(1)).alias("c"))
-    return counted.groupBy("id").agg(F.max_by("hub", F.struct("c", -F.col("hub"))).alias("hub")).select(
+def _needed(percent: int) -> Column:
+    """How many prefix shingles two classes of sizes n_a and n_b share at least if they link.
+
+    The one whose prefix ends first has at most n - overlap of its prefix outside the other's.
+    """
+    outside = [f"n_{x} - (n_{x} - ceil({percent} * n_{x} / 100.0) + 1)" for x in "ab"]
+    return F.expr(f"ceil({percent} * (n_a + n_b) / {100 + percent}.0 - 1e-9) - greatest({', '.join(outside)})")
+
+
+def _near(percent: int) -> Column:
+    return F.expr(f"least(n_a, n_b) * 100L >= greatest(n_a, n_b) * {percent}L")
+
+
+def _stars(shared: DataFrame, percent: int) -> DataFrame:
+    """Each class with the hub that it shares most shingles with, if these are half as many as a link needs.
+
+    A shingle counts for its hub only, so some links are not tried here; they are found among what stays apart.
+    """
+    counted = shared.where("id <> hub").groupBy("id", "hub").agg(
+        F.sum("weight").alias("c"), F.min("n").alias("n_a"), F.min("hub_n").alias("n_b")
+    )
+    likely = counted.where(_near(percent) & (2 * F.col("c") >= _needed(percent)))
+    return likely.groupBy("id").agg(F.max_by("hub", F.struct("c", -F.col("hub"))).alias("hub")).select(
         F.col("id").alias("a"), F.col("hub").alias("b")
     )
 
 
 def _apart(shared: DataFrame, links: DataFrame) -> DataFrame:
     """Rows of shared shingles that still have classes of several components, with their component c."""
-    labels = components(links)
-    labelled = shared.select("h", "id", "n").join(labels, "id", "left").select(
-        "h", "id", "n", F.coalesce("component", "id").alias("c")
+    labelled = shared.select("h", "id", "n", "weight").join(components(links), "id", "left").select(
+        "h", "id", "n", "weight", F.coalesce("component", "id").alias("c")
     )
-    several = labelled.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("top"), F.min_by("id", F.struct("c", "id")).alias("hub"))
-    return labelled.join(several.where("low < top").select("h", "low", "hub"), "h")
+    several = labelled.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("top")).where("low < top")
+    return labelled.join(several.select("h"), "h", "left_semi")
 
 
 def _all_pairs_apart(apart: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes of different components that share as many prefix shingles as a link needs."""
-    x = apart.select("h", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
+    x = apart.select("h", "weight", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
     y = apart.select("h", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
-    near = F.expr(f"least(n_a, n_b) * 100L >= greatest(n_a, n_b) * {percent}L")
-    met = x.join(y, "h").where(F.expr("a < b AND c_a <> c_b") & near)
-    overlap = f"ceil({percent} * (n_a + n_b) / {100 + percent}.0 - 1e-9)"
-    # The one whose prefix ends first has at most n - overlap of its prefix outside the other's.
-    needed = F.expr(f"least(n_a - ceil({percent} * n_a / 100.0) + 1 - n_a, n_b - ceil({percent} * n_b / 100.0) + 1 - n_b) + {overlap}")
-    counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("shared"))
-    return counted.where(F.col("shared") >= needed).select("a", "b")
+    met = x.join(y, "h").where(F.expr("a < b AND c_a <> c_b") & _near(percent))
+    counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.sum("weight").alias("shared"))
+    return counted.where(F.col("shared") >= _needed(percent)).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
@@ -234,11 +253,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
     needed = shared.select("id", "n").distinct()
     texts = stored(rows.join(needed, "id").select("id", "n", "text"), "texts")
-    links = stored(verified(stored(_best(shared.where("id <> hub")), "pairs"), texts, words, percent), "links")
-    for _ in range(STAR_ROUNDS - 1):
-        apart = _apart(shared, links)
-        pairs = stored(_best(apart.where("c <> low")), "pairs")
-        links = stored(links.unionByName(verified(pairs, texts, words, percent)), "links")
+    links = stored(verified(stored(_stars(shared, percent), "pairs"), texts, words, percent), "links")
     pairs = stored(_all_pairs_apart(stored(_apart(shared, links), "apart"), percent), "pairs")
     links = links.unionByName(verified(pairs, texts, words, percent))
 
