@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yieldline.llm import jaccard, line_dedup, packing, suffix_dedup, toxicity
+from yieldline.llm.catalog import ship
 from yieldline.llm.encoding import vocabulary_path
 from yieldline.session import new_folder
 
@@ -58,6 +59,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

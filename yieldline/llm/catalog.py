@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +20,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+ROOT = Path(__file__).resolve().parents[2]
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers if they would not find it by PYTHONPATH or the working folder."""
+    known = {os.path.abspath(p) for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(":")]}
+    application = spark.sparkContext.applicationId
+    if str(ROOT) not in known and application not in _shipped:
+        with tempfile.TemporaryDirectory() as folder:
+            spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/yieldline", "zip", ROOT, "yieldline"))
+        _shipped.add(application)
+
+
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[run.__name__] = run
-    return run
+    @functools.wraps(run)
+    def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return run(spark, sf_dir)
+
+    QUERIES[run.__name__] = shipped
+    return shipped
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
