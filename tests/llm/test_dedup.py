@@ -159,7 +159,7 @@ def test_later_runs_of_lines_go(spark):
 
 
 def test_quality_rules(spark):
-    good = "\n".join(f"This is line number {i} with enough distinct words to be read as prose number {i * 7}." for i in range(12))
+    good = "\n".join(" ".join(f"word{i}x{j}" for j in range(9)) + "." for i in range(12))
     menu = "\n".join(f"Home{i} | News{i} | Sport{i} | More{i} | Contact{i}" for i in range(30))
     rows = [(1, good), (2, menu), (3, good + "\n" + menu), (4, "too short."), (5, None), (6, good + "\nAll rights reserved.")]
     found = {r.doc_id: (r.base_failed, r.kept) for r in quality.measure(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
