@@ -53,6 +53,9 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op1_ngram_jaccard_join"] = jaccard.checking_sql()
+
+
 @query
 def op2_elias_fano_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "tokens")
@@ -71,6 +74,9 @@ def op4_subspace_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pigeonhole.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+ORACLES["op4_subspace_pigeonhole"] = pigeonhole.checking_sql()
+
+
 @query
 def op5_forced_boundary_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
@@ -96,6 +102,9 @@ def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLES["op8_suffix_array_dedup"] = suffix_dedup.checking_sql()
+
+
 @query
 def op9_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

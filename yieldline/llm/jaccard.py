@@ -274,3 +274,29 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
     """
     found = near_duplicates(docs, key, text, words, percent).where(F.col(key) != F.col("component_id"))
     return docs.join(found.select(key), key, "left_anti").select(docs.columns)
+
+
+def checking_sql(words: int = 5, percent: int = 75) -> str:
+    """Sizes and components in DuckDB, by joining whole shingle sets; for small tables."""
+    upper, lower = "".join(map(chr, range(65, 91))), "".join(map(chr, range(97, 123)))
+    return rf"""
+WITH RECURSIVE listed AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {words} THEN [array_to_string(w, ' ')]
+      ELSE list_transform(range(1, len(w) - {words - 2}), lambda i: array_to_string(w[i:i + {words - 1}], ' ')) END) AS s FROM listed)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes i ON i.doc_id = x JOIN sizes j ON j.doc_id = y WHERE 100 * c >= {percent} * (i.n + j.n - c)
+), reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.y FROM reached r JOIN links l ON l.x = r.other
+), least AS (
+  SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least l ON l.doc_id = d.doc_id
+"""

@@ -314,3 +314,26 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, key: str = "vec_id",
         component.alias("component_id"),
         F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"),
     )
+
+
+def checking_sql(cosine: float = 0.95) -> str:
+    """Links and components in DuckDB by comparing all pairs; for small tables."""
+    return f"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), sized AS (
+  SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM usable WHERE list_dot_product(e, e) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM sized a JOIN sized b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.n * b.n) >= {cosine}
+), reached(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, l.y FROM reached r JOIN links l ON l.x = r.other
+), least AS (
+  SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
+), counted AS (
+  SELECT x, count(*) AS n FROM links GROUP BY x
+)
+SELECT v.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, v.vec_id = l.component_id AS kept
+FROM embeddings v LEFT JOIN counted c ON c.x = v.vec_id LEFT JOIN least l ON l.vec_id = v.vec_id
+"""

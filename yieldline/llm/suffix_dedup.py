@@ -467,3 +467,32 @@ def drop_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", leng
     texts = done.mapInArrow(work, schema)
     new = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col(text)) if set(docs.columns) - {key, text} else F.col("kept")
     return texts.select(*[new.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+
+
+def checking_sql(length: int = 100) -> str:
+    """The digest of op8 in DuckDB, by grouping every window; for small tables. Bytes are pairs of hex digits."""
+    return f"""
+WITH coded AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+  SELECT doc_id, i, unhex(substr(h, 2 * i + 1, {2 * length})) AS s
+  FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - {length - 1})) AS i FROM coded WHERE length(h) >= {2 * length})
+), later AS (
+  SELECT doc_id, i FROM windows QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1
+), steps AS (
+  SELECT doc_id, i, coalesce(i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) > {length}, true) AS new FROM later
+), numbered AS (
+  SELECT doc_id, i, sum(CASE WHEN new THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM steps
+), spans AS (
+  SELECT doc_id, run, min(i) AS a, max(i) + {length} AS b FROM numbered GROUP BY doc_id, run
+), before AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS p FROM spans
+), cut AS (
+  SELECT c.doc_id, count(*) AS n, sum(b - a) AS removed,
+         string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS kept
+  FROM before s JOIN coded c ON c.doc_id = s.doc_id GROUP BY c.doc_id
+)
+SELECT c.doc_id, length(c.h) // 2 AS n_bytes, CAST(coalesce(k.removed, 0) AS BIGINT) AS n_removed, coalesce(k.n, 0) AS n_spans,
+       sha256(unhex(coalesce(k.kept, c.h))) AS kept_sha256
+FROM coded c LEFT JOIN cut k ON k.doc_id = c.doc_id
+"""
