@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from test_properties import bag, random_rows
 from yieldline.operators import merge
@@ -115,7 +114,5 @@ def test_upserts_and_alignment(spark):
     aligned = merge.align_columns(target, wanted)
     assert aligned.schema.names == ["v", "k", "fresh"]
     assert aligned.where("fresh is not null").isEmpty()
-    wider = merge.append_with_new_columns(target, rows.withColumn("more", F.lit(1)))
-    assert sorted(r.more or 0 for r in wider.collect()) == [0, 0, 1, 1]
     first = merge.keep_first(target.union(rows), ["k"], "old")
     assert sorted(tuple(r) for r in first.collect()) == [(1, "a", 1), (2, "b", 2), (3, "y", 9)]

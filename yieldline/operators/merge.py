@@ -66,8 +66,3 @@ def align_columns(target: DataFrame, schema: T.StructType) -> DataFrame:
             for f in schema
         ]
     )
-
-
-def append_with_new_columns(target: DataFrame, rows: DataFrame) -> DataFrame:
-    """Append rows that may bring columns the target lacks, or lack columns it has."""
-    return target.unionByName(rows, allowMissingColumns=True)

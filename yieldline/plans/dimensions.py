@@ -114,8 +114,10 @@ def yield_by_shift_and_month(line_star: DataFrame) -> DataFrame:
 
 def oee_by_shift_and_month(star: DataFrame) -> DataFrame:
     """Mean OEE of the hours that have one, and boards passed, per station, month and shift."""
-    return star.groupBy("station_number", "year", "month", "shift").agg(
+    keys = ["station_number", "year", "month", "shift"]
+    sums = star.groupBy(*keys).agg(
         F.count("oee_percent").alias("hours"),
         F.sum("oee_percent").alias("total"),
         F.sum("pass_pcb").alias("pass_pcb"),
-    ).select("station_number", "year", "month", "shift", "hours", mean(F.col("total"), F.col("hours")).alias("mean_oee_percent"), "pass_pcb")
+    )
+    return sums.select(*keys, "hours", mean(F.col("total"), F.col("hours")).alias("mean_oee_percent"), "pass_pcb")
