@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text that a task works on at once. A longer text is a slice of its own.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 6 << 20
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -39,6 +40,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             last = min(max(last, first + 1), batch.num_rows)
             yield batch.slice(first, last - first)
             first = last
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on, idle, while other stages need the room."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -65,7 +75,7 @@ def _power(base: int, count: int) -> np.ndarray:
         steps = np.full(max(count, 1 << 16), base, np.uint64)
         steps[0] = 1
         known = _powers[base] = np.cumprod(steps, dtype=np.uint64)
-        if len(known) > 2 * SLICE_BYTES:  # a very long text; do not hold on to its table
+        if len(known) > SLICE_BYTES:  # a very long text; do not hold on to its table
             _powers.pop(base)
     return known[:count]
 

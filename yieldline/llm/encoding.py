@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from yieldline.llm.columns import flat, gathered, strings
 
 # Fragments whose ids a worker remembers between slices; the memory is bounded, the result does not depend on it.
-REMEMBERED = 200_000
+REMEMBERED = 60_000
 
 SPACE, LETTER, DIGIT, OTHER = 0, 1, 2, 3
 
@@ -54,10 +54,13 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         with open(path, encoding="utf-8") as file:
-            self.description = json.load(file)
-        self.special = [t["content"] for t in self.description["added_tokens"]]
+            self._prepare(json.load(file))
         self._known: dict[str, tuple[int, ...]] = {}
 
+    def _prepare(self, description: dict) -> None:
+        """Keep what is needed of the vocabulary file."""
+        self.special = [t["content"] for t in description["added_tokens"]]
+
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
@@ -131,11 +134,11 @@ class ForcedBoundaryEncoder(Encoder):
     none between other punctuation and an apostrophe; and none inside a character.
     """
 
-    def __init__(self, path: str):
-        super().__init__(path)
+    def _prepare(self, description: dict) -> None:
+        super()._prepare(description)
         back = _unicode_to_byte()
-        tokens = {i: bytes(back[c] for c in t) for t, i in self.description["model"]["vocab"].items()}
-        tokens |= {t["id"]: t["content"].encode() for t in self.description["added_tokens"]}
+        tokens = {i: bytes(back[c] for c in t) for t, i in description["model"]["vocab"].items()}
+        tokens |= {t["id"]: t["content"].encode() for t in description["added_tokens"]}
         self.token_bytes = pa.array([tokens.get(i, b"") for i in range(max(tokens) + 1)], pa.large_binary())
         seen = np.zeros((256, 256), bool)
         for token in tokens.values():
@@ -184,8 +187,8 @@ class LowerCaseWordEncoder(Encoder):
     other texts are encoded whole.
     """
 
-    def __init__(self, path: str):
-        super().__init__(path)
+    def _prepare(self, description: dict) -> None:
+        super()._prepare(description)
         kind = np.full(256, OTHER, np.uint8)
         kind[[9, 10, 11, 12, 13, 32]] = SPACE
         kind[48:58] = DIGIT

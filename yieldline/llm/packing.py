@@ -126,6 +126,4 @@ def merged_leftovers(leftovers: DataFrame, size: int) -> DataFrame:
         )
 
     by = F.expr(f"part DIV {TOGETHER}")
-    return leftovers.groupBy(by.alias("tasks")).applyInPandas(
-        lambda group: merge(group), "part long, window long, sequence_id long, base long"
-    )
+    return leftovers.groupBy(by.alias("tasks")).applyInPandas(merge, "part long, window long, sequence_id long, base long")

@@ -8,7 +8,7 @@ import pyarrow as pa
 from yieldline.llm.columns import RangeHash, flat, mixed, runs
 
 # Bytes of text at once; the hash of byte ranges takes some 30 bytes for each.
-SLICE = 4 << 20
+SLICE = 2 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
