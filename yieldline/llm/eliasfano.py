@@ -29,6 +29,8 @@ from yieldline.llm.encoding import LowerCaseWordEncoder
 SAMPLE = 64
 # A block is closed once it has so many ids.
 BLOCK_IDS = 1 << 20
+# Larger slices and more remembered fragments than elsewhere: words of this vocabulary are dear to encode.
+SLICE, REMEMBERED = 12 << 20, 150_000
 MAGIC = b"EFB1"
 BLOCKS = "shard int, block int, before long, n_docs long, n_ids long, payload binary"
 
@@ -132,7 +134,7 @@ class StoredBlock:
 
 @functools.lru_cache(maxsize=2)
 def _encoder(path: str) -> LowerCaseWordEncoder:
-    return LowerCaseWordEncoder(path)
+    return LowerCaseWordEncoder(path, REMEMBERED)
 
 
 def write(docs: DataFrame, folder: str, path: str, end_id: int = 2, key: str = "doc_id", text: str = "text") -> None:
@@ -147,7 +149,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int = 2, key: str = "
         encoder, shard = _encoder(path), TaskContext.get().partitionId()
         width = 2 if encoder.library.get_vocab_size() <= 1 << 16 else 4
         before = number = 0
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, SLICE):
             ids, offsets = encoder.column(batch.column(1))
             keys = batch.column(0).to_pylist()
             ids = np.insert(ids, offsets[1:], end_id)

@@ -46,7 +46,7 @@ _ONE_WORD = re.compile(r" ?(?:[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[
 class Encoder:
     """Shared part: remembers fragments and puts ids together."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -56,6 +56,7 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             self._prepare(json.load(file))
         self._known: dict[str, tuple[int, ...]] = {}
+        self._most = remembered
 
     def _prepare(self, description: dict) -> None:
         """Keep what is needed of the vocabulary file."""
@@ -67,7 +68,7 @@ class Encoder:
     def _ids_of(self, fragments: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the fragments one after the other, and how many each has."""
         known = self._known
-        if len(known) > REMEMBERED:
+        if len(known) > self._most:
             known.clear()
         model, split = self.library.model, []
         collects = gc.isenabled()
