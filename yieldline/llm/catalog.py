@@ -98,7 +98,7 @@ ORACLES["op7_winnowed_line_dedup"] = line_dedup.checking_sql()
 
 @query
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = suffix_dedup.remove_repeated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = suffix_dedup.measure_repeated(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 

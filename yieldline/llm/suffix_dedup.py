@@ -23,18 +23,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yieldline.llm.columns import RangeHash, flat, mixed, slices
 
 K = 32
 # Bytes of text at once; the hashes take some 80 bytes for each.
-SLICE = 2 << 20
+SLICE = 1 << 20
 # Parts that meet and are sorted together; beyond, windows are dealt by content.
 MOST_PARTS = 2000
 # Bytes of parts put in suffix order at once.
-SORTED_BYTES = 1 << 20
+SORTED_BYTES = 1 << 19
 # Bits for `before` and `more` in a packed place.
 BITS = 7
 
@@ -391,6 +391,9 @@ def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
     return settled.mapInArrow(_settled, "key long, start long, end long")
 
 
+ADDED = ["n_bytes", "n_removed", "n_spans", "kept"]
+
+
 def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 100) -> DataFrame:
     """`docs` with n_bytes, n_removed, n_spans (maximal removed runs) and kept (binary, the remaining bytes).
 
@@ -399,19 +402,48 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", le
     without a key is neither compared nor changed. Rows repeated with one key and text are one document and get the
     same result. Columns of the names added are replaced; all others stay.
     """
-    base = docs.drop("n_bytes", "n_removed", "n_spans", "kept")
+    base = docs.drop(*ADDED)
+    done = _without_repeated(base, key, text, length, "both")
+    return done.select(*_restored(base, key, text, F.when(~F.col("rest.__null"), F.col("text"))), *ADDED)
+
+
+def measure_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 100) -> DataFrame:
+    """The key and what `remove_repeated` adds, without the texts themselves."""
+    done = _without_repeated(docs.select(key, text), key, text, length, "kept")
+    return done.select(F.col("key").alias(key), *ADDED)
+
+
+def drop_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 100) -> DataFrame:
+    """`docs` with the removed bytes taken out of `text`; bytes of characters that were cut are left out too.
+
+    A null text stays null. Columns and rows stay.
+    """
+    done = _without_repeated(docs, key, text, length, "text")
+    return done.select(*_restored(docs, key, text, F.when(~F.col("rest.__null"), F.col("text"))))
+
+
+def _restored(base: DataFrame, key: str, text: str, new: Column) -> list[Column]:
+    return [
+        F.col("key").alias(c) if c == key else new.alias(c) if c == text else F.col(f"rest.`{c}`").alias(c) for c in base.columns
+    ]
+
+
+def _without_repeated(base: DataFrame, key: str, text: str, length: int, give: str) -> DataFrame:
+    """key, n_bytes, n_removed, n_spans, then `kept` (bytes) with the old `text` if `give` is "both", alone if it is "kept", or
+    the new `text` if it is "text"; and `rest`, the other columns."""
     others = [c for c in base.columns if c not in (key, text)]
     packed = base.select(
         F.col(key).cast("long").alias("key"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
-        *([F.struct(F.col(text).alias("__text"), *[F.col(f"`{c}`") for c in others]).alias("rest")] if others else []),
+        F.struct(F.col(text).isNull().alias("__null"), *[F.col(f"`{c}`") for c in others]).alias("rest"),
     )
     # Both joins see the same rows of texts, so these are shuffled once.
     named = packed.where("key IS NOT NULL")
     found = repeated_ranges(named, length).groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
-    rest = ["rest"] if others else []
-    without = packed.where("key IS NULL").select("key", "text", *rest, F.lit(None).cast(found.schema["ranges"].dataType).alias("ranges"))
-    joined = named.join(found, "key", "left").select("key", "text", *rest, "ranges").unionByName(without)
+    none = F.lit(None).cast(found.schema["ranges"].dataType).alias("ranges")
+    without = packed.where("key IS NULL").select("key", "text", "rest", none)
+    joined = named.join(found, "key", "left").select("key", "text", "rest", "ranges").unionByName(without)
+    names = ["key", "n_bytes", "n_removed", "n_spans", *{"both": ["kept", "text"], "kept": ["kept"], "text": ["text"]}[give], "rest"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 4 * SLICE):
@@ -425,48 +457,26 @@ def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", le
             np.add.at(gone, offsets[rows] + a, 1)
             np.add.at(gone, offsets[rows] + b, -1)
             left = np.cumsum(gone)[:-1] == 0
-            kept = np.concatenate([[0], np.cumsum(left)])[offsets]
+            ends = np.concatenate([[0], np.cumsum(left)])[offsets]
             n_bytes = np.diff(offsets)
-            buffers = [None, pa.py_buffer(kept.astype(np.int32)), pa.py_buffer(data[left].tobytes())]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(n_bytes, pa.int64()),
-                    pa.array(n_bytes - np.diff(kept), pa.int64()),
-                    pa.array(np.bincount(rows, minlength=batch.num_rows), pa.int64()),
-                    pa.Array.from_buffers(pa.binary(), batch.num_rows, buffers),
-                    *[batch.column(3 + i) for i in range(len(rest))],
-                ],
-                names=["key", "n_bytes", "n_removed", "n_spans", "kept", *rest],
-            )
-
-    schema = joined.select("key", *[F.lit(0).cast("long").alias(c) for c in ("n_bytes", "n_removed", "n_spans")], F.lit(b"").alias("kept"), *rest).schema
-    done = joined.select("key", "text", "ranges", *rest).mapInArrow(work, schema)
-    added = ["n_bytes", "n_removed", "n_spans", "kept"]
-    if not others:
-        return done.select(F.col("key").alias(key), *added)
-    return done.select(
-        *[F.col("key").alias(c) if c == key else F.col("rest.__text").alias(c) if c == text else F.col(f"rest.`{c}`") for c in base.columns], *added
-    )
-
-
-def drop_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 100) -> DataFrame:
-    """`docs` with the removed bytes taken out of `text`; bytes of characters that were cut are left out too.
-
-    A null text stays null. Columns and rows stay.
-    """
-    done = remove_repeated(docs, key, text, length)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("kept")
-            texts = [k.decode("utf-8", "ignore") for k in batch.column(at).to_pylist()]
-            yield batch.set_column(at, pa.field("kept", pa.string()), pa.array(texts, pa.string()))
-
-    schema = done.withColumn("kept", F.lit("")).schema
-    texts = done.mapInArrow(work, schema)
-    new = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col(text)) if set(docs.columns) - {key, text} else F.col("kept")
-    return texts.select(*[new.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
+            buffers = [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(data[left].tobytes())]
+            kept = pa.Array.from_buffers(pa.binary(), batch.num_rows, buffers)
+            columns = {
+                "key": batch.column(0),
+                "n_bytes": pa.array(n_bytes, pa.int64()),
+                "n_removed": pa.array(n_bytes - np.diff(ends), pa.int64()),
+                "n_spans": pa.array(np.bincount(rows, minlength=batch.num_rows), pa.int64()),
+                "kept": kept,
+                "text": batch.column(1),
+                "rest": batch.column(3),
+            }
+            if give == "text":
+                columns["text"] = pa.array([x.decode("utf-8", "ignore") for x in kept.to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
+
+    counts = [F.lit(0).cast("long").alias(c) for c in ("n_bytes", "n_removed", "n_spans")]
+    schema = joined.select("key", "text", *counts, F.lit(b"").alias("kept"), "rest").select(names).schema
+    return joined.select("key", "text", "ranges", "rest").mapInArrow(work, schema)
 
 
 def checking_sql(length: int = 100) -> str:
