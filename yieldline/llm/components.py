@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from yieldline.session import new_folder
+from yieldline.sources.tables import remove_folder
 
 
 def stored(rows: DataFrame, label: str) -> DataFrame:
@@ -15,6 +16,13 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete tables that `stored` wrote and that nothing reads any more."""
+    for frame in frames:
+        for folder in {file.rpartition("/")[0] for file in frame.inputFiles()}:
+            remove_folder(frame.sparkSession, folder)
+
+
 def _toward_least(edges: DataFrame, only_larger: bool) -> DataFrame:
     """For each node: link its neighbours (only the larger ones, or itself and the smaller ones) to the least of them."""
     if only_larger:

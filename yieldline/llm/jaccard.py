@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yieldline.llm.columns import mixed, slices
-from yieldline.llm.components import components, stored
+from yieldline.llm.components import components, discard, stored
 from yieldline.llm.shingles import SLICE, shingle_sets
 
 # The sketch has so many counters whatever the input; a shingle's counter also counts others, never fewer.
@@ -118,18 +118,18 @@ def _sums(sets: list[np.ndarray], sizes: np.ndarray, salt: int) -> np.ndarray:
 
 
 def _runs_of_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (h, id, n) sorted by h: those whose h has two rows or more, with the least id and its size as hub."""
-    rest: list[np.ndarray] = [np.empty(0, np.int64)] * 3
+    """Rows (h, id, n, after) sorted by h: those whose h has two rows or more, with the least id and its size as hub."""
+    rest: list[np.ndarray] = [np.empty(0, np.int64)] * 4
 
-    def found(h: np.ndarray, ids: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    def found(h: np.ndarray, ids: np.ndarray, n: np.ndarray, after: np.ndarray) -> pa.RecordBatch:
         starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
         counts = np.diff(np.append(starts, len(h)))
         keep = np.repeat(counts > 1, counts)
         order = np.lexsort((ids, h)) if len(h) else starts
         hub = np.repeat(order[starts], counts)[keep]
         return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (h[keep], ids[keep], n[keep].astype(np.int32), ids[hub], n[hub].astype(np.int32))],
-            names=["h", "id", "n", "hub", "hub_n"],
+            [pa.array(x) for x in (h[keep], ids[keep], *(c.astype(np.int32) for c in (n[keep], after[keep])), ids[hub], n[hub].astype(np.int32))],
+            names=["h", "id", "n", "after", "hub", "hub_n"],
         )
 
     for batch in batches:
@@ -141,28 +141,29 @@ def _runs_of_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shared_shingles(written: DataFrame, members: DataFrame) -> DataFrame:
-    """h, id, n, hub, hub_n, weight: prefix shingles that two classes or more have. `written`: prefixes; `members`: rep, leader.
+    """h, id, n, after, hub, hub_n, weight: prefix shingles that two classes or more have. `written`: prefixes; `members`: rep,
+    leader. after: how many shingles of the prefix come after this one.
 
     Classes of one group share their whole prefix. A row for the group stands for all of it, with the size as weight.
     """
     leaders = members.where("rep = leader").select(F.col("leader").alias("id"))
     entries = (
         written.join(leaders, "id", "left_semi")
-        .select("id", "n", "rare", F.posexplode("prefix").alias("at", "h"))
-        .select("h", "id", "n", (F.col("at") >= F.col("rare")).alias("frequent"))
+        .select("id", "n", "rare", F.size("prefix").alias("length"), F.posexplode("prefix").alias("at", "h"))
+        .select("h", "id", "n", (F.col("length") - 1 - F.col("at")).alias("after"), (F.col("at") >= F.col("rare")).alias("frequent"))
     )
-    rare = entries.where("NOT frequent").select("h", "id", "n").repartition("h").sortWithinPartitions("h")
-    rare = rare.mapInArrow(_runs_of_two, "h long, id long, n int, hub long, hub_n int")
-    often = entries.where("frequent").select("h", "id", "n")
+    rare = entries.where("NOT frequent").select("h", "id", "n", "after").repartition("h").sortWithinPartitions("h")
+    rare = rare.mapInArrow(_runs_of_two, "h long, id long, n int, after int, hub long, hub_n int")
+    often = entries.where("frequent").select("h", "id", "n", "after")
     hubs = often.groupBy("h").agg(F.min(F.struct("id", "n")).alias("hub"), F.max("id").alias("top")).where("hub.id < top")
     hubs = hubs.select("h", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"))
-    found = rare.unionByName(often.join(hubs, "h").select("h", "id", "n", "hub", "hub_n"))
+    found = rare.unionByName(often.join(hubs, "h").select("h", "id", "n", "after", "hub", "hub_n"))
     several = members.where("members > 1")
     expanded = found.join(
         several.where("rep <> leader").select(F.col("leader").alias("id"), "rep"), "id"
-    ).select("h", F.col("rep").alias("id"), "n", "hub", "hub_n")
+    ).select("h", F.col("rep").alias("id"), "n", "after", "hub", "hub_n")
     within = several.select(
-        F.xxhash64(F.lit("group"), "leader").alias("h"), F.col("rep").alias("id"), "n", F.col("leader").alias("hub"), F.col("n").alias("hub_n"), F.col("n").alias("weight")
+        F.xxhash64(F.lit("group"), "leader").alias("h"), F.col("rep").alias("id"), "n", F.col("n").alias("after"), F.col("leader").alias("hub"), F.col("n").alias("hub_n"), F.col("n").alias("weight")
     )
     return found.unionByName(expanded).withColumn("weight", F.lit(1)).unionByName(within)
 
@@ -215,20 +216,25 @@ def _stars(shared: DataFrame, percent: int) -> DataFrame:
 
 def _apart(shared: DataFrame, links: DataFrame) -> DataFrame:
     """Rows of shared shingles that still have classes of several components, with their component c."""
-    labelled = shared.select("h", "id", "n", "weight").join(components(links), "id", "left").select(
-        "h", "id", "n", "weight", F.coalesce("component", "id").alias("c")
+    labelled = shared.select("h", "id", "n", "after", "weight").join(components(links), "id", "left").select(
+        "h", "id", "n", "after", "weight", F.coalesce("component", "id").alias("c")
     )
     several = labelled.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("top")).where("low < top")
     return labelled.join(several.select("h"), "h", "left_semi")
 
 
 def _all_pairs_apart(apart: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes of different components that share as many prefix shingles as a link needs."""
-    x = apart.select("h", "weight", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("c").alias("c_a"))
-    y = apart.select("h", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("c").alias("c_b"))
-    met = x.join(y, "h").where(F.expr("a < b AND c_a <> c_b") & _near(percent))
+    """Pairs of classes of different components that share as many prefix shingles as a link needs.
+
+    Half of these are enough evidence, so a shingle counts only if so many come after it in both prefixes: of a pair's
+    common shingles that leaves out the last ones, the frequent ones, and no more than that half.
+    """
+    x = apart.select("h", "weight", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("after").alias("r_a"), F.col("c").alias("c_a"))
+    y = apart.select("h", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("after").alias("r_b"), F.col("c").alias("c_b"))
+    half = F.floor(_needed(percent) / 2)
+    met = x.join(y, "h").where(F.expr("a < b AND c_a <> c_b") & _near(percent) & (F.least("r_a", "r_b") >= half))
     counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.sum("weight").alias("shared"))
-    return counted.where(F.col("shared") >= _needed(percent)).select("a", "b")
+    return counted.where(F.col("shared") >= _needed(percent) - half).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
@@ -254,10 +260,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     needed = shared.select("id", "n").distinct()
     texts = stored(rows.join(needed, "id").select("id", "n", "text"), "texts")
     links = stored(verified(stored(_stars(shared, percent), "pairs"), texts, words, percent), "links")
-    pairs = stored(_all_pairs_apart(stored(_apart(shared, links), "apart"), percent), "pairs")
-    links = links.unionByName(verified(pairs, texts, words, percent))
+    apart = stored(_apart(shared, links), "apart")
+    pairs = stored(_all_pairs_apart(apart, percent), "pairs")
+    labels = components(links.unionByName(verified(pairs, texts, words, percent)))
+    discard(texts, shared, apart, pairs, members, links)
 
-    labelled = sets.join(components(links).withColumnRenamed("id", "rep"), "rep", "left").select(
+    labelled = sets.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
         "n", "fa", "fb", F.coalesce("component", "rep").alias("component")
     )
     return written.join(labelled, ["n", "fa", "fb"], "left").select(
