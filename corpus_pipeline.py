@@ -17,8 +17,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Line dedup (7): later repeated runs of lines go, and documents of which nothing else is left."""
-    cleaned = line_dedup.drop_repeated_lines(docs)
+    """Line dedup (7): later repeated lines and runs of lines go, and documents of which nothing else is left."""
+    cleaned = line_dedup.drop_repeated_lines(docs, min_words=line_dedup.MIN_WORDS)
     return _with_text_left(docs, cleaned, F.col("n_removed_lines"))
 
 

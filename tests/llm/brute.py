@@ -57,3 +57,20 @@ def repeated_bytes(pairs, length=100):
         spans = sum(1 for at in range(len(gone)) if gone[at] and not (at and gone[at - 1]))
         out[i] = (len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest())
     return out
+
+
+def repeated_lines(pairs, min_lines=3, min_chars=250, min_words=8):
+    """doc_id to its lines that are left, by comparing all runs of up to min_lines lines."""
+    first, found = {}, []
+    for i, text in sorted(pairs):
+        real = [(n, x.strip(" \t\n\x0b\x0c\r")) for n, x in enumerate((text or "").split("\n"))]
+        real = [(n, x) for n, x in real if x]
+        for at in range(len(real)):
+            for size in range(1, min(min_lines, len(real) - at) + 1):
+                run = tuple(x for _, x in real[at : at + size])
+                words = sum(len(WORD.findall(x)) for x in run)
+                if size == min_lines or sum(map(len, run)) >= min_chars or words >= min_words:
+                    if first.setdefault(run, (i, at)) != (i, at):
+                        found += [(i, n) for n, _ in real[at : at + size]]
+    gone = set(found)
+    return {i: [x for n, x in enumerate((text or "").split("\n")) if (i, n) not in gone] for i, text in pairs}

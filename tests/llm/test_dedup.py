@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 
 import brute
+import corpus_pipeline
 from oracle import compare
 from yieldline.llm import jaccard, line_dedup, quality, suffix_dedup
 from yieldline.llm.components import components
@@ -158,6 +159,32 @@ def test_later_runs_of_lines_go(spark):
     assert found == {1: rows[0][1], 2: "new\nlast", 3: rows[2][1], 4: rows[3][1], 5: "y", None: rows[5][1]}
 
 
+def test_short_lines_shared_by_many_documents_go(spark, documents, pairs):
+    """A line of some words goes between unlike neighbours too; so does a run of two, and a line without spaces. Few words stay."""
+    shared, pair, unspaced = "All our news by mail on every single morning.", ["Sign up here now", "and miss no more news"], "\u5b57\u6f22\u8a9e\u6587" * 5
+    rows = []
+    for i in range(30):
+        lines = [f"Top of number {i} that has words of its own", f"more {i}"]
+        lines.insert(1, shared) if i % 3 == 0 else None
+        lines += [*pair, f"end {i}"] if i % 3 == 1 else []
+        lines += [unspaced, f"end {i}", "Read on."] if i % 3 == 2 else []
+        rows.append((i, "\n".join(lines)))
+    found = {r.doc_id: r.text for r in line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_words=8).collect()}
+    later = {0: [shared], 1: pair, 2: [unspaced]}
+    assert found == {i: t if i < 3 else "\n".join(x for x in t.split("\n") if x not in later[i % 3]) for i, t in rows}
+    spaced = [(i, t) for i, t in pairs if "\u5b57" not in (t or "")]
+    cleaned = line_dedup.drop_repeated_lines(documents.where("doc_id IS NOT NULL AND (text IS NULL OR NOT text LIKE '%\u5b57%')"), min_words=8)
+    want = brute.repeated_lines(spaced)
+    assert {r.doc_id: r.text for r in cleaned.collect()} == {i: None if t is None else "\n".join(want[i]) for i, t in spaced}
+
+
+def test_line_stage_of_the_pipeline_drops_short_shared_lines(spark):
+    rows = [(i, f"own {i}\nThe very same line of eight words here.\nother {i}", 9) for i in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    found = {r.doc_id: r.text for r in dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, "").collect()}
+    assert found == {i: t if i == 0 else f"own {i}\nother {i}" for i, t, _ in rows}
+
+
 def test_quality_rules(spark):
     good = "\n".join(" ".join(f"word{i}x{j}" for j in range(9)) + "." for i in range(12))
     menu = "\n".join(f"Home{i} | News{i} | Sport{i} | More{i} | Contact{i}" for i in range(30))

@@ -7,6 +7,9 @@ Around each shared fingerprint the windows that chose it are compared by content
 as far as it goes. A window that occurred earlier (smaller key, or same document and earlier line) is repeated, and the
 lines of repeated windows are deleted.
 
+With `min_words`, runs of fewer lines with so many words are windows too, as they do not recur by chance either. Then a line
+can start windows of several sizes; those whose lines smaller windows hold already are left out.
+
 DataFrame functions only. Counts and first places are combined before each shuffle, so a line that a third of all
 documents share reaches the reducers as one row a task.
 """
@@ -22,13 +25,18 @@ from yieldline.llm.components import stored
 
 BLANKS = " \t\n\x0b\x0c\r"
 
+# Words of a line or short run that does not recur by chance. Scripts without spaces count two characters as a word.
+MIN_WORDS = 8
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+WORD = rf"[{UNSPACED}]{{1,2}}|[^ \t-\r{UNSPACED}]+"
+
 
 def lines_of(text: Column) -> Column:
     """Lines between line feeds; null is one empty line."""
     return F.split(F.coalesce(text.cast("string"), F.lit("")), "\n", -1)
 
 
-def windows(docs: DataFrame, key: str, text: str, min_lines: int, min_chars: int) -> DataFrame:
+def windows(docs: DataFrame, key: str, text: str, min_lines: int, min_chars: int, min_words: int | None = None) -> DataFrame:
     """One row per window: key, at (its first line among those with text), mark (hash of the selected line), place (where that
     is), h and g (hashes of the content), lines (line numbers)."""
     lines = F.transform(lines_of(F.col(text)), lambda line, i: F.struct(i.alias("i"), F.btrim(line, F.lit(BLANKS)).alias("x")))
@@ -39,6 +47,7 @@ def windows(docs: DataFrame, key: str, text: str, min_lines: int, min_chars: int
             F.length(line["x"]).alias("n"),
             F.xxhash64(line["x"]).alias("h"),
             F.xxhash64(F.lit("second"), line["x"]).alias("g"),
+            *([] if min_words is None else [F.regexp_count(line["x"], F.lit(WORD)).alias("words")]),
         ),
     )
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), real.alias("real"))
@@ -46,12 +55,8 @@ def windows(docs: DataFrame, key: str, text: str, min_lines: int, min_chars: int
     beside = [F.expr(f"slice(real, {j + 1}, size(real))").alias(f"r{j}") for j in range(min_lines)]
     lined = rows.where(F.size("real") > 0).select("key", *beside)
     beside = lined.select("key", F.posexplode(F.arrays_zip(*[f"r{j}" for j in range(min_lines)])).alias("at", "w"))
-    size = F.lit(None).cast("int")
-    for n in range(min_lines, 0, -1):
-        there = F.col("w")[f"r{n - 1}"]["n"].isNotNull()
-        chars = reduce(lambda a, b: a + b, [F.col("w")[f"r{j}"]["n"] for j in range(n)])
-        size = F.when(there if n == min_lines else there & (chars >= min_chars), n).otherwise(size)
-    sized = beside.withColumn("size", size).where("size IS NOT NULL")
+    sized = beside.withColumn("size", _shortest(min_lines, min_chars) if min_words is None else F.explode(_sizes(min_lines, min_chars, min_words)))
+    sized = sized.where("size IS NOT NULL")
 
     def within(field: str) -> list[Column]:
         return [F.when(F.col("size") > j, F.col("w")[f"r{j}"][field]) for j in range(min_lines)]
@@ -67,9 +72,37 @@ def windows(docs: DataFrame, key: str, text: str, min_lines: int, min_chars: int
     return marked.select("key", "at", F.col("least.col1").alias("mark"), F.col("least.col2").alias("place"), "h", "g", "lines")
 
 
-def repeated_lines(docs: DataFrame, key: str, text: str, min_lines: int = 3, min_chars: int = 250) -> DataFrame:
+def _total(field: str, start: int, end: int) -> Column:
+    """Sum of a field of w over the lines from start to before end, null if the document ends before."""
+    return reduce(lambda a, b: a + b, [F.col("w")[f"r{j}"][field] for j in range(start, end)])
+
+
+def _shortest(min_lines: int, min_chars: int) -> Column:
+    """Lines of the shortest window from a line on, or null."""
+    size = F.lit(None).cast("int")
+    for n in range(min_lines, 0, -1):
+        there = F.col("w")[f"r{n - 1}"]["n"].isNotNull()
+        size = F.when(there if n == min_lines else there & (_total("n", 0, n) >= min_chars), n).otherwise(size)
+    return size
+
+
+def _sizes(min_lines: int, min_chars: int, min_words: int) -> Column:
+    """Lines of every window from a line on, without those that two windows of one line less make up."""
+
+    def counts(start: int, end: int) -> Column:
+        if end - start == min_lines:
+            return F.col("w")[f"r{end - 1}"]["n"].isNotNull()
+        return F.coalesce((_total("n", start, end) >= min_chars) | (_total("words", start, end) >= min_words), F.lit(False))
+
+    kept = [counts(0, 1), *[counts(0, n) & ~(counts(0, n - 1) & counts(1, n)) for n in range(2, min_lines + 1)]]
+    return F.array_compact(F.array(*[F.when(c, n) for n, c in enumerate(kept, 1)]))
+
+
+def repeated_lines(
+    docs: DataFrame, key: str, text: str, min_lines: int = 3, min_chars: int = 250, min_words: int | None = None
+) -> DataFrame:
     """key, lines: the numbers (from 0) of lines to delete, for documents that have any."""
-    every = stored(windows(docs, key, text, min_lines, min_chars), "windows")
+    every = stored(windows(docs, key, text, min_lines, min_chars, min_words), "windows")
     marks = every.groupBy("mark").agg(F.min(F.struct("key", "place")).alias("a"), F.max(F.struct("key", "place")).alias("b"))
     shared = every.join(marks.where("a <> b").select("mark"), "mark", "left_semi").drop("mark", "place")
     first = shared.groupBy("h", "g").agg(F.min(F.struct("key", "at")).alias("first"), F.max(F.struct("key", "at")).alias("last"))
@@ -82,16 +115,16 @@ def repeated_lines(docs: DataFrame, key: str, text: str, min_lines: int = 3, min
 
 
 def drop_repeated_lines(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", min_lines: int = 3, min_chars: int = 250
+    docs: DataFrame, key: str = "doc_id", text: str = "text", min_lines: int = 3, min_chars: int = 250, min_words: int | None = None
 ) -> DataFrame:
     """`docs` with later repeated runs of lines deleted from `text`, and `n_lines`, `n_removed_lines` added.
 
     Lines are compared without white space at their ends; blank lines are skipped in a run and stay. A run shorter
-    than `min_lines` lines and `min_chars` characters stays wherever it is. Null text stays null and has no lines; a
+    than `min_lines` lines and `min_chars` characters, and than `min_words` words if given, stays wherever it is. Null text stays null and has no lines; a
     row without a key is neither compared nor changed. Rows repeated with the same key and text are one document and
     get the same result. Columns named n_lines or n_removed_lines are replaced; all others stay.
     """
-    found = repeated_lines(docs, key, text, min_lines, min_chars).select(
+    found = repeated_lines(docs, key, text, min_lines, min_chars, min_words).select(
         F.col("key").alias("__key"), F.col("lines").alias("__drop")
     )
     base = docs.drop("n_lines", "n_removed_lines")
