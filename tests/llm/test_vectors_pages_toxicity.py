@@ -95,6 +95,30 @@ def test_main_text():
     assert html.main_text(long_page).count("\n") == 4999
 
 
+WRAPPERS = ["content no-sidebar", "main-content has-sidebar", "wrapper with-sidebar", "post type-post category-social", "container menu-open", "post-body comments-open", "widget Blog"]
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_names_of_wrappers_are_no_veto(name):
+    lines = [f"Paragraph {i} tells a part of the story in a sentence, long enough to be read as one, and it goes on for some more words." for i in range(4)]
+    text = "".join(f"<p>{x}</p>" for x in lines)
+    around = "<div class=site-footer><a href=/>Home</a> <a href=/a>About</a></div><div class=comments><p>Great text, I liked it.</p></div>"
+    assert html.main_text(f"<body><div class='{name}'>{text}</div>{around}</body>") == "\n".join(lines)
+    assert html.main_text(f"<body><article><div class='{name}'>{text}</div></article>{around}</body>") == "\n".join(lines)
+
+
+def test_names_of_boilerplate_still_count():
+    prose = " ".join(["We use your answers to improve what we offer, and you agree to it by reading on."] * 3)
+    for name in ("cookie-notice", "comments-area", "advert", "sponsored", "newsletter-box", "post-comments"):
+        assert html.main_text(f"<article><p>{prose} First.</p><div class='{name}'><p>{prose}</p></div><p>{prose} Last.</p></article>") == f"{prose} First.\n{prose} Last."
+    for name in ("sidebar", "site-footer", "main-nav", "related-posts", "share"):
+        assert html.main_text(f"<article><p>{prose}</p><div class='{name}'><a href=1>Other page</a></div></article>") == prose
+
+
+def test_long_names_take_no_time():
+    assert html.main_text(f"<article><p class='{'menu_' * 5000}!'>Text.</p></article>") == "Text."
+
+
 def test_extract_keeps_rows_and_columns(spark):
     rows = [(1, "u", PAGE, 5), (1, "u", PAGE, 5), (2, None, None, None), (3, "v", "", 1)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string, block long")

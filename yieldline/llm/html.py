@@ -38,16 +38,21 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Classifier: what containers and class names say.
 OUTSIDE = frozenset("nav footer aside form button select menu dialog fieldset".split())
 INSIDE = frozenset("article main".split())
-OUTSIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent|gdpr|notices?|alert|disclaimer|sidebar\w*|menu\w*|"
-    r"nav|navbar|navigation|breadcrumbs?|footer|masthead|topbar|toolbar|comments?|commentlist|replies|reply|respond|disqus\w*|"
-    r"share|sharing|social|related|recommend\w*|newsletter|subscri\w*|login|signup|popup|modal|overlay|widget|copyright|tags|"
-    r"pagination|pager|skip|hidden|paywall)(?=$|[\s_-])",
-    re.I,
-)
-INSIDE_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|post|entry|story|main|text|body)(?=$|[\s_-])", re.I)
+# Names are looked at as whole tokens: outside if every part is a name of boilerplate or of layout (site-footer, not no-sidebar).
+NOT_ARTICLE = r"ads?|advert[a-z0-9]*|sponsor[a-z0-9]*|promo[a-z0-9]*|cookie[a-z0-9]*|consent|gdpr|disclaimer|comments?|commentlist|replies|reply|respond|disqus[a-z0-9]*|" \
+    r"newsletter|subscri[a-z0-9]*|popup|copyright|paywall"
+AROUND = r"banner[a-z0-9]*|notices?|alert|sidebar[a-z0-9]*|menu[a-z0-9]*|nav|navbar|navigation|breadcrumbs?|footer|masthead|topbar|toolbar|share|sharing|" \
+    r"social|related|recommend[a-z0-9]*|login|signup|modal|overlay|widget|tags|pagination|pager|skip|hidden"
+LAYOUT = r"site|page|main|post|posts|entry|article|articles|stories|left|right|top|bottom|primary|secondary|wrapper|wrap|container|area|box|" \
+    r"block|list|links?|items?|bar|inner|outer|section|title|form|buttons?|visually|js|wp|mw|[a-z]|\d+"
+OUTSIDE_TOKEN = re.compile(rf"(?:(?:{LAYOUT})[_-]+)*(?:{NOT_ARTICLE}|{AROUND})(?:[_-]+(?:{LAYOUT}|{NOT_ARTICLE}|{AROUND}))*", re.I)
+NOT_ARTICLE_PART = re.compile(rf"(?:^|[_-])(?:{NOT_ARTICLE})(?=$|[_-])", re.I)
+OUTSIDE_PART = re.compile(rf"(?:^|[_-])(?:{NOT_ARTICLE}|{AROUND})(?=$|[_-])", re.I)
+INSIDE_PART = re.compile(r"(?:^|[_-])(?:article|content|post|entry|story|main|text|body)(?=$|[_-])", re.I)
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 OUTSIDE_COST, INSIDE_COST, NAMED_COST = -8.0, 4.0, 1.0
+# Names speak against content as much as long text (AROUND) or text and its neighbours (NOT_ARTICLE) can outweigh.
+AROUND_COST, NOT_ARTICLE_COST = -1.6, -4.0
 # Classifier: what the text says.
 BASE_COST, WORDS_COST, MOST_WORDS_COST, SENTENCE_COST, HEADING_COST, LINK_COST, ITEM_COST = -0.6, 0.06, 2.0, 0.8, 0.6, -3.0, -0.4
 # Smoothness: neighbours in page order, blocks of the same container; divided by the steps between their containers.
@@ -81,11 +86,18 @@ class Container:
             self.outside, self.cost = True, OUTSIDE_COST
         elif named and ("hidden" in named or "display:none" in named.get("style", "").replace(" ", "").lower()):
             self.outside, self.cost = True, OUTSIDE_COST
-        elif words and OUTSIDE_NAMES.search(words) and name not in INSIDE and name not in ("body", "html"):
-            self.cost = OUTSIDE_COST
         elif not self.outside and name in INSIDE:
             self.cost = INSIDE_COST
-        elif words and self.cost >= 0 and INSIDE_NAMES.search(words):
+        elif words and not self.outside:
+            self._weigh(words.split(), name in ("body", "html"))
+
+    def _weigh(self, tokens: list[str], whole_page: bool) -> None:
+        """Put what names say into the cost: boilerplate from here on counts from 0, also within an article."""
+        outside = [t for t in tokens if not whole_page and OUTSIDE_TOKEN.fullmatch(t)]
+        if outside:
+            named = NOT_ARTICLE_COST if any(NOT_ARTICLE_PART.search(t) for t in outside) else AROUND_COST
+            self.cost = max(min(self.cost, 0.0) + named, NOT_ARTICLE_COST)
+        if any(INSIDE_PART.search(t) and not OUTSIDE_PART.search(t) for t in tokens):
             self.cost = min(self.cost + NAMED_COST, INSIDE_COST)
 
     def _within_article(self) -> bool:
