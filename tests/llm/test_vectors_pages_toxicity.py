@@ -119,6 +119,31 @@ def test_long_names_take_no_time():
     assert html.main_text(f"<article><p class='{'menu_' * 5000}!'>Text.</p></article>") == "Text."
 
 
+def test_formulas_listings_and_fallbacks_stay():
+    more = "and the sentence goes on after it with some words."
+    for inner, text in (
+        ("<math><mi>x</mi><mo>=</mo><mn>1</mn></math>", "x=1"),
+        ("<object data=a.swf><param name=a>what it showed</object>", "what it showed"),
+        ("<noembed>what it showed</noembed>", "what it showed"),
+        ("<svg><text>No</text></svg>", ""),
+        ("<template><p>No.</p></template>", ""),
+        ("<svg><foreignObject><div>No.</div></foreignObject></svg>", ""),
+    ):
+        assert html.main_text(f"<article><p>Here is {inner} {more}</p></article>") == " ".join(f"Here is {text} {more}".split())
+    listing = html.main_text("<article><p>Listing of a page follows here.</p><xmp>if a<b && c: &amp; <p>markup</p></xmp><p>And this is the end of it.</p></article>")
+    assert listing == "Listing of a page follows here.\nif a<b && c: &amp; <p>markup</p>\nAnd this is the end of it."
+    assert html.main_text("<frameset><noframes><p>A page without frames.</p></noframes></frameset>" + f"<p>Then {more}</p>").startswith("A page without frames.")
+
+
+@pytest.mark.parametrize("name", ["svg", "math", "object", "template"])
+def test_unclosed_elements_end_at_the_next_block(name):
+    rest = "<p>This paragraph comes after it and stays.</p><p>So does the other one, of course.</p>"
+    want = "This paragraph comes after it and stays.\nSo does the other one, of course."
+    assert html.main_text(f"<article><p><{name}>{rest}</article>") == want
+    if name != "template":
+        assert html.main_text(f"<article><p><{name}>{rest}<p><{name}></{name}></p></article>") == want
+
+
 def test_extract_keeps_rows_and_columns(spark):
     rows = [(1, "u", PAGE, 5), (1, "u", PAGE, 5), (2, None, None, None), (3, "v", "", 1)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string, block long")

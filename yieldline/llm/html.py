@@ -13,7 +13,7 @@ from __future__ import annotations
 import re
 from collections import deque
 from collections.abc import Iterator
-from html import unescape
+from html import escape, unescape
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,10 +27,10 @@ SLICE = 4 << 20
 BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
     "h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot "
-    "th thead tr ul button iframe".split()
+    "th thead tr ul button iframe xmp noframes".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-RAW = frozenset("script style title textarea noscript template svg math iframe object xmp noembed noframes head".split())
+RAW = frozenset("script style title textarea noscript template svg iframe xmp head".split())
 ENDS_PARAGRAPH = BLOCK - {"body", "html", "option", "optgroup", "tbody", "thead", "tfoot", "tr", "td", "th", "button", "iframe"}
 SAME_KIND = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -62,6 +62,8 @@ _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+|[^>]*+)>|<[!?/][^>]*+>|<[a-zA-Z/!?][^>]*+\Z", re.S
 )
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK))})(?=[\s/>])", re.I)
+_FOREIGN = re.compile(r"<foreignobject(?=[\s/>])", re.I)
 _ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I) for name in RAW}
 
 
@@ -144,6 +146,7 @@ def blocks_of(html: str) -> list[Block]:
     blocks: list[Block] = []
     parts: list[str] = []
     linked, in_link, last = 0, 0, 0
+    endless: set[str] = set()
 
     def flush() -> None:
         nonlocal linked
@@ -169,8 +172,17 @@ def blocks_of(html: str) -> list[Block]:
                 if name in RAW and name != "head":
                     if name == "textarea" or name in BLOCK:
                         flush()
-                    if not match[3].endswith("/") or name not in ("svg", "math"):
+                    if name == "svg" and match[3].endswith("/"):
+                        pass
+                    elif name in ("svg", "template"):
+                        last = position = _after(name, html, position, endless)
+                    else:
                         end = _ENDS[name].search(html, position)
+                        if name == "xmp":
+                            parts.append(escape(html[position : end.start() if end else len(html)]))
+                            at = Container(name, at, match[3])
+                            flush()
+                            at = at.parent
                         last = position = end.end() if end else len(html)
                 elif name == "br":
                     parts.append(" ")
@@ -204,6 +216,22 @@ def blocks_of(html: str) -> list[Block]:
     return blocks
 
 
+def _after(name: str, html: str, position: int, endless: set[str]) -> int:
+    """Where the page goes on after an svg or template: behind its end tag, or at the next block element if it has none.
+
+    An svg ends at a block element as in browsers, unless that is within a foreignObject. `endless` remembers names that have no
+    end tag in the rest of the page.
+    """
+    block = _BLOCK_TAG.search(html, position)
+    stop = block.start() if block else len(html)
+    end = _ENDS[name].search(html, position, stop)
+    if not end and name not in endless and (name == "template" or _FOREIGN.search(html, position, stop)):
+        end = _ENDS[name].search(html, stop)
+        if not end:
+            endless.add(name)
+    return end.end() if end else stop
+
+
 def _closed(at: Container, kinds: set[str], root: Container, within: tuple[str, ...]) -> Container:
     """The container after implicitly ending an open element of these kinds, looking no further than `within`."""
     open_ = at
