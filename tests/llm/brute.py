@@ -74,3 +74,50 @@ def repeated_lines(pairs, min_lines=3, min_chars=250, min_words=8):
                         found += [(i, n) for n, _ in real[at : at + size]]
     gone = set(found)
     return {i: [x for n, x in enumerate((text or "").split("\n")) if (i, n) not in gone] for i, text in pairs}
+
+
+def bytes_left(pairs, length=100):
+    """doc_id to the text without later copies of byte runs; characters that were cut are left out."""
+    first, out = {}, {}
+    for i, text in sorted(pairs):
+        data = (text or "").encode()
+        for at in range(len(data) - length + 1):
+            first.setdefault(data[at : at + length], (i, at))
+    for i, text in pairs:
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for at in range(len(data) - length + 1):
+            if first[data[at : at + length]] != (i, at):
+                gone[at : at + length] = b"\1" * length
+        out[i] = None if text is None else bytes(x for x, y in zip(data, gone) if not y).decode("utf-8", "ignore")
+    return out
+
+
+def with_texts(rows, texts):
+    """Rows (doc_id, text, n_chars) with new texts by doc_id, without those that removal emptied."""
+    out = []
+    for i, text, n in rows:
+        new = text if i is None else texts[i]
+        if new == text:
+            out.append((i, text, n))
+        elif WORD.search(new):
+            out.append((i, new, len(new)))
+    return out
+
+
+def named(rows):
+    return list({(i, t) for i, t, _ in rows if i is not None})
+
+
+def line_stage(rows):
+    left = repeated_lines(named(rows))
+    return with_texts(rows, {i: None if t is None else "\n".join(left[i]) for i, t in named(rows)})
+
+
+def near_stage(rows):
+    kept = near_duplicates(named(rows))
+    return [r for r in rows if r[0] is None or kept[r[0]][1] == r[0]]
+
+
+def passage_stage(rows):
+    return with_texts(rows, bytes_left(named(rows)))

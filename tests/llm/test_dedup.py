@@ -108,6 +108,12 @@ def test_repeated_bytes(documents, pairs):
     assert texts.where("doc_id IS NOT NULL AND text IS NULL").count() == 1
 
 
+def test_repeated_rows_beside_each_other_keep_their_text(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, text), (1, text), (2, text)], "doc_id long, text string").coalesce(1)
+    assert sorted((r.doc_id, r.text) for r in suffix_dedup.drop_repeated(docs).collect()) == [(1, text), (1, text), (2, "")]
+
+
 def test_crowded_groups_go_by_windows():
     """The same spans whether parts that meet are put in suffix order or dealt by window."""
     rng = np.random.default_rng(2)

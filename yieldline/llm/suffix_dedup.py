@@ -88,6 +88,9 @@ def _segments(docs: DataFrame, length: int) -> DataFrame:
             g, c, s, k, p = (x[order] for x in (grams, content, shape, key, pos))
             copy = np.zeros(len(order), bool)
             copy[1:] = (g[1:] == g[:-1]) & (c[1:] == c[:-1]) & (s[1:] == s[:-1])
+            # The same place of a repeated row is no copy.
+            first = np.maximum.accumulate(np.where(copy, 0, np.arange(len(order))))
+            copy &= (k != k[first]) | (p != p[first])
             place = (p << (2 * BITS)) | s
             to = np.where(copy, mixed(k.view(np.uint64)), g)
             yield pa.RecordBatch.from_arrays(
