@@ -12,7 +12,21 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from yieldline.llm import bpe, eliasfano, html, jaccard, line_dedup, packing, pigeonhole, quality, suffix_dedup, toxicity
+from yieldline.llm import (
+    bpe,
+    eliasfano,
+    hard_negatives,
+    html,
+    jaccard,
+    line_dedup,
+    packing,
+    pigeonhole,
+    quality,
+    ranked_search,
+    suffix_dedup,
+    toxicity,
+    warc,
+)
 from yieldline.llm.encoding import vocabulary_path
 from yieldline.session import new_folder
 
@@ -126,3 +140,30 @@ def op10_line_first_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_line_first_quality"] = quality.checking_sql()
+
+
+@query
+def op11_range_maximum_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_range_maximum_search"] = ranked_search.checking_sql()
+
+
+@query
+def op12_four_russians_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.relabelled(table(spark, sf_dir, "embeddings"))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op12_four_russians_negatives"] = hard_negatives.checking_sql()
+
+
+@query
+def op13_splittable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.page_records(spark, folder)
+
+
+ORACLES["op13_splittable_warc"] = warc.checking_sql()
