@@ -170,7 +170,7 @@ def test_a_new_checkpoint_and_a_second_stream_lose_nothing(warehouse):
     ingest.start(stream, warehouse.path("second-checkpoint")).awaitTermination()
     assert ids(warehouse.facts()) == ["b01", "b02", "b03"]
     assert ingest.quarantine().count() == 1
-    assert warehouse.spark.read.parquet(warehouse.path("ingest/fresh")).select("stream").distinct().count() == 2
+    assert sorted(warehouse.log.marks().values()) == [0, 0]
 
 
 def test_a_third_of_a_folder_per_stream_in_boards_and_windows(spark, make_bookings, warehouse):
@@ -182,13 +182,13 @@ def test_a_third_of_a_folder_per_stream_in_boards_and_windows(spark, make_bookin
         rows.write.parquet(warehouse.path(f"arriving-{n}"))
         stream = spark.readStream.schema(rows.schema).parquet(warehouse.path(f"arriving-{n}"))
         boards.start_boards(stream, warehouse.path("boards"), warehouse.path(f"boards-{n}")).awaitTermination()
-        hourly.start_windows(hourly.hourly_counts(stream), warehouse.path("hours"), warehouse.path(f"hours-{n}")).awaitTermination()
+        hours = hourly.hourly_counts(stream)
+        hourly.start_windows(hours, warehouse.path("hours"), warehouse.path(f"hours-{n}")).awaitTermination()
         hourly.start_routed(warehouse, stream, "routed", warehouse.path(f"routed-{n}"), 3600).awaitTermination()
     assert [(r.latest_attempt, r.failed, r.passed) for r in boards.last_results(spark, warehouse.path("boards")).collect()] == [(2, False, True)]
     keys = ["station_number", "part_number", "date_hour"]
-    assert [r.count_bookings for r in hourly.latest_windows(spark, warehouse.path("hours"), keys).collect()] == [2]
-    partials = spark.read.parquet(warehouse.path("routed/on_time")).drop("stream", "batch_id")
-    assert [r.count_bookings for r in hourly.add_up(partials).collect()] == [2]
+    assert [r.count_bookings for r in hourly.latest_windows(hours, warehouse.path("hours"), keys).collect()] == [2]
+    assert [r.count_bookings for r in hourly.Routed(warehouse, "routed").totals().collect()] == [2]
 
 
 def test_replayed_batch_stores_nothing_twice(warehouse):
@@ -241,7 +241,7 @@ def test_windows_hold_every_booking(spark, make_bookings, warehouse):
         stream = spark.readStream.schema(rows.schema).parquet(warehouse.path("arriving"))
         hours = hourly.hourly_counts(stream, "1 hour")
         hourly.start_windows(hours, warehouse.path("hours"), warehouse.path("windows")).awaitTermination()
-    latest = hourly.latest_windows(spark, warehouse.path("hours"), ["station_number", "part_number", "date_hour"])
+    latest = hourly.latest_windows(hours, warehouse.path("hours"), ["station_number", "part_number", "date_hour"])
     got = {(str(r.date_hour)[:13], r.count_bookings, r.fail_bookings, str(r.sum_cycle_time)) for r in latest.collect()}
     assert got == {
         ("2025-10-25 10", 4, 2, "16.00"),
@@ -252,13 +252,9 @@ def test_windows_hold_every_booking(spark, make_bookings, warehouse):
 
 
 def test_reference_tables_keep_stations_and_update_ideal_times(spark, warehouse):
-    aside = warehouse.path("aside")
-    changed = warehouse.stations().withColumn("station_name", F.concat(F.lit("old "), "station_name"))
-    changed.write.parquet(aside)
-    spark.read.parquet(aside).write.mode("overwrite").parquet(warehouse.path("stations"))
-    slow = warehouse.ideal_cycle_times().withColumn("ideal_cycle_time", F.lit("99.00").cast("decimal(10,2)"))
-    slow.write.parquet(aside + "2")
-    spark.read.parquet(aside + "2").write.mode("overwrite").parquet(warehouse.path("ideal_cycle_times"))
+    warehouse.replace_reference("stations", warehouse.stations().withColumn("station_name", F.concat(F.lit("old "), "station_name")))
+    slow = F.lit("99.00").cast("decimal(10,2)")
+    warehouse.replace_reference("ideal_cycle_times", warehouse.ideal_cycle_times().withColumn("ideal_cycle_time", slow))
     warehouse.create()
     assert warehouse.stations().where("station_name not like 'old %'").isEmpty()
     assert warehouse.ideal_cycle_times().where("ideal_cycle_time = 99").isEmpty()

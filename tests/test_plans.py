@@ -79,16 +79,18 @@ def test_day_filter_prunes_partitions(spark, bookings):
 
 
 def test_incremental_refresh_reads_no_unfiltered_facts(spark, bookings, monkeypatch):
-    """Every scan of the facts has a partition filter; boards of a batch are looked up in their buckets."""
+    """Every scan of the facts and of boards is pruned to days, every scan of the index of boards to the boards' buckets."""
     from pyspark.sql.readwriter import DataFrameWriter
 
     from yieldline.plans import refresh
+    from yieldline.sources import layered, tables
 
+    monkeypatch.setattr(layered, "BUCKET_ROWS", 64)
     warehouse = Warehouse(spark, new_folder(spark, "plans")).create()
     warehouse.append_facts(bookings, skip_present=False)
     refresh.full_refresh(warehouse)
     batch = bookings.where("booking_id < '2'")
-    texts, write, days = [], DataFrameWriter.parquet, refresh.distinct_days
+    texts, write, days = [], DataFrameWriter.parquet, tables.distinct_days
 
     def noted(writer, *args, **options):
         texts.append(plan(writer._df))
@@ -100,6 +102,7 @@ def test_incremental_refresh_reads_no_unfiltered_facts(spark, bookings, monkeypa
 
     monkeypatch.setattr(DataFrameWriter, "parquet", noted)
     monkeypatch.setattr(refresh, "distinct_days", noted_days)
+    monkeypatch.setattr(tables, "distinct_days", noted_days)
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # whole paths in plans
     try:
         refresh.incremental_refresh(warehouse, batch)
@@ -108,7 +111,26 @@ def test_incremental_refresh_reads_no_unfiltered_facts(spark, bookings, monkeypa
     scans = [line for text in texts for line in text.splitlines() if "FileScan" in line]
     facts = [line for line in scans if "/station_records" in line]
     assert facts and all(re.search(r"PartitionFilters: \[[^\]]*event_day", line) for line in facts)
-    assert any(re.search(r"PartitionFilters: \[[^\]]*board_bucket", line) for line in scans if "/boards" in line)
+    boards, index = ([line for line in scans if f"/facts/{name}/" in line] for name in ("boards", "board_days"))
+    assert boards and all(re.search(r"PartitionFilters: \[[^\]]*event_day", line) for line in boards)
+    assert index and all(re.search(r"PartitionFilters: \[[^\]]*bucket", line) for line in index)
+
+
+def test_ids_are_looked_up_in_their_buckets(spark, bookings, monkeypatch):
+    """The id check reads the buckets of the incoming ids, not all stored ids."""
+    from yieldline.sources import layered
+
+    monkeypatch.setattr(layered, "BUCKET_ROWS", 16)
+    warehouse = Warehouse(spark, new_folder(spark, "plans")).create()
+    warehouse.append_facts(bookings, skip_present=False)
+    buckets = warehouse.log.layers()[0]["buckets"]
+    few = bookings.limit(3)
+    found = warehouse.stored_ids(few)
+    text = plan(found)
+    chosen = re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ (?:IN|INSET) \(?([^)]*)\)", text) or re.search(r"PartitionFilters: \[[^\]]*bucket#\d+ = (\d+)", text)
+    assert buckets >= 32 and 1 <= len(chosen[1].split(",")) <= 3
+    assert sorted(r[0] for r in found.collect()) == sorted(r[0] for r in few.select("booking_id").collect())
+    assert "Exchange hashpartitioning(booking_id" not in text.split("BroadcastExchange")[0]
 
 
 def test_no_query_multiplies_rows(spark, folder):

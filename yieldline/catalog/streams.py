@@ -50,14 +50,15 @@ def ingest_messages(spark, folder):
     return stored(warehouse)
 
 
-def _run_windows(spark, folder, label: str, hours_of) -> str:
-    """Deliver in three steps, restarting the stream from its checkpoint after each of them."""
+def _run_windows(spark, folder, label: str, hours_of, keys: list[str]) -> DataFrame:
+    """Deliver in three steps, restarting the stream from its checkpoint after each of them; then read the results."""
     path = new_folder(spark, label)
     for delivery in deliveries(spark, folder):
         delivery.write.mode("append").parquet(f"{path}/landing")
         arriving = spark.readStream.schema(delivery.schema).parquet(f"{path}/landing")
-        hourly.start_windows(hours_of(arriving), f"{path}/hours", f"{path}/checkpoint").awaitTermination()
-    return path
+        hours = hours_of(arriving)
+        hourly.start_windows(hours, f"{path}/hours", f"{path}/checkpoint").awaitTermination()
+    return hourly.latest_windows(hours, f"{path}/hours", keys)
 
 
 COUNTS_SQL = f"""SELECT station_number, part_number, {sql.hour()} AS date_hour,
@@ -69,17 +70,15 @@ COUNTS_SQL = f"""SELECT station_number, part_number, {sql.hour()} AS date_hour,
 @query("t2_hourly_windows", sql.with_(select=COUNTS_SQL + " FROM bookings GROUP BY ALL"))
 def hourly_windows(spark, folder):
     """Delivered in three steps, out of order between them; no booking is left out."""
-    path = _run_windows(spark, folder, "t2", hourly.hourly_counts)
-    return hourly.latest_windows(spark, f"{path}/hours", ["station_number", "part_number", "date_hour"])
+    return _run_windows(spark, folder, "t2", hourly.hourly_counts, ["station_number", "part_number", "date_hour"])
 
 
 @query("t3_streaming_availability", sql.with_(sql.availability("m"), select="SELECT * FROM m"))
 def streaming_availability(spark, folder):
-    path = _run_windows(spark, folder, "t3", hourly.hourly_spans)
-    return hourly.availability_of(hourly.latest_windows(spark, f"{path}/hours", ["station_number", "date_hour"]))
+    return hourly.availability_of(_run_windows(spark, folder, "t3", hourly.hourly_spans, ["station_number", "date_hour"]))
 
 
-def _run_routed(spark, folder, label: str) -> Warehouse:
+def _run_routed(spark, folder, label: str) -> hourly.Routed:
     """Deliver in three steps; the stream is restarted from its checkpoint after each of them."""
     warehouse = new_warehouse(spark, label)
     landing = warehouse.path("landing")
@@ -89,7 +88,7 @@ def _run_routed(spark, folder, label: str) -> Warehouse:
         hourly.start_routed(
             warehouse, arriving, "hourly", warehouse.path("checkpoint"), LATE_AFTER
         ).awaitTermination()
-    return warehouse
+    return hourly.Routed(warehouse, "hourly")
 
 
 @query(
@@ -102,11 +101,7 @@ FROM bookings GROUP BY ALL"""
 )
 def totals_with_late(spark, folder):
     """On-time partials plus the late table: no booking is lost, none counts twice."""
-    warehouse = _run_routed(spark, folder, "t4")
-    return hourly.with_late(
-        spark.read.parquet(warehouse.path("hourly/on_time")).drop("stream", "batch_id"),
-        spark.read.parquet(warehouse.path("hourly/late")).drop("stream", "batch_id"),
-    )
+    return _run_routed(spark, folder, "t4").totals()
 
 
 @query(
@@ -119,8 +114,7 @@ WHERE {sql.hour()} + INTERVAL 1 HOUR <= clock - INTERVAL {LATE_AFTER} SECOND""",
     ),
 )
 def late_table(spark, folder):
-    warehouse = _run_routed(spark, folder, "t4-late")
-    return spark.read.parquet(warehouse.path("hourly/late")).drop("stream", "batch_id")
+    return _run_routed(spark, folder, "t4-late").late()
 
 
 @query(

@@ -20,6 +20,7 @@ from yieldline.plans import models
 from yieldline.plans.linewise import first_pass_of, linewise
 from yieldline.plans.quality import count_quality
 from yieldline.session import at_once
+from yieldline.sources.layered import StaleRefresh
 from yieldline.sources.tables import Warehouse, distinct_days, with_day
 
 STATION_BOARD = ["station_number", "serial_number"]
@@ -27,19 +28,23 @@ PART_BOARD = ["serial_number", "part_number"]
 
 
 def full_refresh(warehouse: Warehouse, threads: int = 4) -> dict[str, DataFrame]:
-    """Rebuild all models and the boards table from the facts; independent models run at the same time.
+    """Rebuild all models from the facts; independent models run at the same time.
 
-    A model reads its upstream models from their tables, so nothing is computed twice.
+    A model reads its upstream models from their tables, so nothing is computed twice. All read the facts as they are at the
+    start. Loads that come meanwhile are left to their own refresh: a table that it has brought further is not replaced.
     """
     tables: dict[str, DataFrame] = {}
-    warehouse.rebuild_boards()
+    as_of, facts = warehouse.log.number(), warehouse.facts()
 
     def ref(name: str) -> DataFrame:
         return tables[name] if name in tables else warehouse.ideal_cycle_times()
 
     def rebuild(model: models.Model) -> tuple[str, DataFrame]:
-        rows = models.as_declared(model.build(warehouse.facts(), ref), model)
-        return model.name, warehouse.replace_table(model.name, rows)
+        rows = models.as_declared(model.build(facts, ref), model)
+        try:
+            return model.name, warehouse.replace_table(model.name, rows, as_of)
+        except StaleRefresh:
+            return model.name, warehouse.table(model.name, model.schema)
 
     for wave in models.in_waves(models.MODELS):
         tables.update(at_once(warehouse.spark, [partial(rebuild, model) for model in wave], threads))
@@ -91,44 +96,49 @@ def days_of_first_pass(boards: DataFrame, batch: DataFrame) -> list[dt.date]:
     return distinct_days(last.select(F.explode(F.array("last_now", "last_before")).alias("event_day")))
 
 
-def quality_of_days(boards: DataFrame, days: list[dt.date]) -> DataFrame:
+def history(warehouse: Warehouse, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """All hours of the boards that `rows` have: the index tells their days, and only these days of the boards are read."""
+    return only_boards(warehouse.boards(warehouse.days_of_boards(rows)), rows, keys)
+
+
+def quality_of_days(warehouse: Warehouse, days: list[dt.date]) -> DataFrame:
     """Station quality of some days; boards seen there are judged by their whole history."""
-    history = only_boards(boards, within(boards, days), STATION_BOARD)
-    return count_quality(within(flag_latest(history), days))
+    judged = history(warehouse, warehouse.boards(days), STATION_BOARD)
+    return count_quality(within(flag_latest(judged), days))
 
 
-def first_pass_of_days(boards: DataFrame, days: list[dt.date]) -> DataFrame:
-    history = only_boards(boards, within(boards, days), PART_BOARD).groupBy(*PART_BOARD).agg(
+def first_pass_of_days(warehouse: Warehouse, days: list[dt.date]) -> DataFrame:
+    boards = history(warehouse, warehouse.boards(days), PART_BOARD).groupBy(*PART_BOARD).agg(
         F.max("last_test_time").alias("last_test_time"), F.sum("fail_bookings").alias("fail_count")
     )
-    return first_pass_of(within(history, days, "last_test_time"))
+    return first_pass_of(within(boards, days, "last_test_time"))
 
 
 def incremental_refresh(warehouse: Warehouse, batch: DataFrame) -> dict[str, list[dt.date]]:
     """Bring all models up to date after `batch` was appended to the facts.
 
-    Facts are read for the batch's own days only; what reaches further back comes from the boards table. Returns the
-    days replaced per model. Only day lists reach the driver.
+    Facts are read for the batch's own days only. What reaches further back comes from the boards: an index tells in which days
+    a board was seen, and only these days are read. Returns the days replaced per model. Only day lists reach the driver.
     """
-    boards, ideal = warehouse.boards(), warehouse.ideal_cycle_times()
+    as_of, ideal = warehouse.log.number(), warehouse.ideal_cycle_times()
     own_days = distinct_days(batch.select(F.to_date("date_created").alias("event_day")))
     if not own_days:
         return {}
 
     def replace_own(model: models.Model) -> dict[str, list[dt.date]]:
         rows = model.build(warehouse.facts(own_days), lambda name: ideal)
-        warehouse.replace_days(model.name, models.as_declared(rows, model), own_days)
+        warehouse.replace_days(model.name, models.as_declared(rows, model), own_days, as_of)
         return {model.name: own_days}
 
     def replace_quality_and_line() -> dict[str, list[dt.date]]:
-        touched = warehouse.boards(batch)
+        touched = warehouse.boards(warehouse.days_of_boards(batch))
         quality_days = days_of_quality(touched, batch)
-        stations = models.as_declared(quality_of_days(boards, quality_days), models.QUALITY)
-        warehouse.replace_days(models.QUALITY.name, stations, quality_days)
+        stations = models.as_declared(quality_of_days(warehouse, quality_days), models.QUALITY)
+        warehouse.replace_days(models.QUALITY.name, stations, quality_days, as_of)
         line_days = sorted(set(quality_days) | set(days_of_first_pass(touched, batch)))
         stations = warehouse.table(models.QUALITY.name, models.QUALITY.schema, line_days)
-        line = linewise(stations, first_pass_of_days(boards, line_days))
-        warehouse.replace_days(models.LINEWISE.name, models.as_declared(line, models.LINEWISE), line_days)
+        line = linewise(stations, first_pass_of_days(warehouse, line_days))
+        warehouse.replace_days(models.LINEWISE.name, models.as_declared(line, models.LINEWISE), line_days, as_of)
         return {models.QUALITY.name: quality_days, models.LINEWISE.name: line_days}
 
     jobs = [

@@ -1,9 +1,8 @@
-"""Parquet tables under one root: the booking facts and the KPI tables, partitioned by day."""
+"""Tables under one root: the booking facts with what is looked up in them, the reference tables and the KPI tables."""
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -16,59 +15,63 @@ from yieldline import schemas
 from yieldline.operators.attempts import attempts_per_bucket
 from yieldline.operators.checks import demand
 from yieldline.operators.merge import (
-    align_columns,
     insert_missing,
     keep_first,
     rows_already_in,
     upsert_keep_existing,
     upsert_overwrite,
 )
+from yieldline.sources.commits import files_of, remove_folder, subfolders  # noqa: F401
+from yieldline.sources.layered import DAY, DayTable, Log, Member
 
-DAY = "event_day"
 FACT_SCHEMA = T.StructType([*schemas.STATION_RECORDS.fields, T.StructField(DAY, T.DateType())])
-# Boards are summed up beside the facts, dealt to so many partitions by serial number.
-BOARD_BUCKETS = 64
+WIDE_FACT_SCHEMA = T.StructType([*schemas.STATION_RECORDS.fields, schemas.EXTRAS, T.StructField(DAY, T.DateType())])
 BOARD_KEYS = ["station_number", "serial_number", "part_number", "date_hour"]
+BOARD_SUMS = ("total_bookings", "fail_bookings", "pass_bookings")
+BOARD_MOST = ("top_attempt", "top_fail", "top_pass", "last_test_time")
 BOARD_SCHEMA = T.StructType(
     [
         *[T.StructField(c, T.StringType()) for c in BOARD_KEYS[:3]],
         T.StructField("date_hour", T.TimestampNTZType()),
-        *[T.StructField(c, T.LongType()) for c in ("total_bookings", "fail_bookings", "pass_bookings")],
+        *[T.StructField(c, T.LongType()) for c in BOARD_SUMS],
         *[T.StructField(c, T.IntegerType()) for c in ("top_attempt", "top_fail", "top_pass", "low_attempt")],
         T.StructField("last_test_time", T.TimestampNTZType()),
-        T.StructField("load", T.StringType()),
-        T.StructField("board_bucket", T.IntegerType()),
+        T.StructField(DAY, T.DateType()),
     ]
 )
-WIDE_FACT_SCHEMA = T.StructType([*schemas.STATION_RECORDS.fields, schemas.EXTRAS, T.StructField(DAY, T.DateType())])
+BOARD_DAY_SCHEMA = T.StructType([T.StructField("serial_number", T.StringType()), T.StructField(DAY, T.DateType())])
+ID_SCHEMA = T.StructType([T.StructField("booking_id", T.StringType())])
 
 
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a finished write left its success marker at `path`."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
+def boards_of(bookings: DataFrame) -> DataFrame:
+    """Bookings summed up per board, station, part and hour."""
+    low, last = F.min("test_count").alias("low_attempt"), F.max("date_created").alias("last_test_time")
+    return with_day(attempts_per_bucket(bookings, "hour", low, last), "date_hour").select(*BOARD_SCHEMA.names)
 
 
-def _files(spark: SparkSession, path: str):
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+def merged_boards(rows: DataFrame) -> DataFrame:
+    sums, most = [F.sum(c).alias(c) for c in BOARD_SUMS], [F.max(c).alias(c) for c in BOARD_MOST]
+    merged = rows.groupBy(*BOARD_KEYS, DAY).agg(*sums, *most, F.min("low_attempt").alias("low_attempt"))
+    return merged.select(*BOARD_SCHEMA.names)
 
 
-def remove_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder that this module has written."""
-    files, jvm_path = _files(spark, path)
-    files.delete(jvm_path, True)
+def days_by_board(bookings: DataFrame) -> DataFrame:
+    return bookings.select("serial_number", DAY).distinct()
 
 
-def swap_in(spark: SparkSession, ready: str, path: str) -> None:
-    """Put a finished copy in the place of a table. The old one goes only after the new one is there."""
-    files, old = _files(spark, path)
-    _, aside = _files(spark, f"{path}.old")
-    files.delete(aside, True)
-    if files.exists(old):
-        files.rename(old, aside)
-    files.rename(_files(spark, ready)[1], old)
-    files.delete(aside, True)
+# The facts, and what each load adds to: their boards by day, the days of each board, and the ids.
+FACT_MEMBERS = {
+    "station_records": Member(WIDE_FACT_SCHEMA, by_day=True, sort=("station_number", "date_created")),
+    "boards": Member(BOARD_SCHEMA, by_day=True, sort=("serial_number",), derive=boards_of, fold=merged_boards),
+    "board_days": Member(BOARD_DAY_SCHEMA, lookup=("serial_number",), derive=days_by_board, fold=days_by_board),
+    "ids": Member(ID_SCHEMA, lookup=("booking_id",), derive=lambda bookings: bookings.select("booking_id")),
+}
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a finished write left its success marker at `path`."""
+    files, jvm_path = files_of(spark, f"{path}/_SUCCESS")
+    return files.exists(jvm_path)
 
 
 def ensure_table(
@@ -97,11 +100,6 @@ def with_day(rows: DataFrame, ts: str) -> DataFrame:
     return rows.withColumn(DAY, F.to_date(ts))
 
 
-def by_day(rows: DataFrame) -> DataFrame:
-    """Gather each day for writing. AQE splits a day that is too big and joins days that are small."""
-    return rows.hint("rebalance", F.col(DAY))
-
-
 def distinct_days(rows: DataFrame, day: str = DAY) -> list[dt.date]:
     """The days present, as literals for partition pruning: at most one per calendar day."""
     return sorted(r[0] for r in rows.select(F.col(day).cast("date")).distinct().collect() if r[0])
@@ -117,42 +115,57 @@ class Warehouse:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    # facts -------------------------------------------------------------------------------------
-
     def create(self) -> "Warehouse":
-        """Create the declared tables if absent and load the two reference tables.
+        """Load the two reference tables; the others come into being with their first rows.
 
         A station already there is kept as it is; an ideal cycle time is brought up to date.
         """
-        ensure_table(self.spark, self.path("station_records"), WIDE_FACT_SCHEMA, (DAY,))
+        if subfolders(self.spark, self.path("station_records")):
+            raise ValueError(f"{self.root} has bookings in an earlier layout; append them to a new warehouse")
         self._load("stations", schemas.STATIONS, schemas.stations(self.spark), upsert_keep_existing)
         ideal = schemas.ideal_cycle_times(self.spark)
         self._load("ideal_cycle_times", schemas.IDEAL_CYCLE_TIMES, ideal, upsert_overwrite)
         return self
 
     def _load(self, name: str, schema: T.StructType, rows: DataFrame, upsert: Callable) -> None:
-        path = self.path(name)
-        if not is_complete(self.spark, path):
-            demand(rows, name)
-            rows.coalesce(1).write.mode("append").parquet(path)
+        stored = self._stored(name)
+        if not stored.exists():
+            self.replace_reference(name, rows)
             return
-        present = self.spark.read.schema(schema).parquet(path)
+        present = stored.read(schema)
         merged = upsert(present, rows, [schemas.PRIMARY_KEYS[name]])
-        if merged.exceptAll(present).isEmpty():
-            return
-        demand(merged, name)
-        aside = self._aside(name)
-        merged.coalesce(1).write.parquet(aside)
-        swap_in(self.spark, aside, path)
+        if not merged.exceptAll(present).isEmpty():
+            self.replace_reference(name, merged)
+
+    def replace_reference(self, name: str, rows: DataFrame) -> None:
+        """Put checked rows in the place of a reference table."""
+        demand(rows, name)
+        self._stored(name).replace(rows.coalesce(1))
+
+    def ideal_cycle_times(self) -> DataFrame:
+        return self._stored("ideal_cycle_times").read(schemas.IDEAL_CYCLE_TIMES)
+
+    def stations(self) -> DataFrame:
+        return self._stored("stations").read(schemas.STATIONS)
+
+    def _stored(self, name: str) -> DayTable:
+        return DayTable(self.spark, self.path(name))
+
+    # facts -------------------------------------------------------------------------------------
+
+    @property
+    def log(self) -> Log:
+        """Bookings, boards, days of boards and ids; a load is in all of them or in none."""
+        return Log(self.spark, self.path("facts"), FACT_MEMBERS)
 
     def facts(self, days: list[dt.date] | None = None) -> DataFrame:
         """Bookings; `days` prunes whole partitions before anything is read."""
-        facts = self.spark.read.schema(FACT_SCHEMA).parquet(self.path("station_records"))
+        facts = self.log.read("station_records").select(*FACT_SCHEMA.names)
         return facts if days is None else facts.where(F.col(DAY).isin(days))
 
     def wide_facts(self) -> DataFrame:
         """Bookings with `extras`, the map of all fields that messages brought beyond the declared ones."""
-        return self.spark.read.schema(WIDE_FACT_SCHEMA).parquet(self.path("station_records"))
+        return self.log.read("station_records")
 
     def facts_with_added_columns(self, names: list[str]) -> DataFrame:
         """Bookings with some of the added fields as text columns; rows without a field have NULL there.
@@ -169,133 +182,75 @@ class Warehouse:
         return names.groupBy("name").agg(F.count("*").alias("bookings"))
 
     def stored_ids(self, bookings: DataFrame) -> DataFrame:
-        """Ids of `bookings` that the facts already hold.
+        """Ids of `bookings` that the facts already hold, however long ago they were stored.
 
-        The stored ids are scanned as one column and probed with the incoming ids, so the big side
-        is not shuffled as long as the incoming ids fit under the broadcast threshold.
+        Ids lie in buckets; only the buckets of the incoming ids are read. They are probed with the incoming ids, so what is
+        stored is not shuffled as long as these fit under the broadcast threshold.
         """
-        return rows_already_in(bookings, self.facts(), ["booking_id"])
+        known = self.log.lookup("ids", bookings.select("booking_id"))
+        return rows_already_in(bookings, known, ["booking_id"])
 
-    def append_facts(self, bookings: DataFrame, skip_present: bool = True, load: str | None = None) -> None:
+    def append_facts(self, bookings: DataFrame, skip_present: bool = True, load: tuple[str, int] | None = None) -> None:
         """Append bookings, keeping the earliest row of a booking_id and any row already stored.
 
-        Without `skip_present` the caller vouches for ids that are new and occur once. `load` names a load that may be
-        repeated with the same bookings: its boards are summed up again in place.
+        Without `skip_present` the caller vouches for ids that are new and occur once. `load` is the stream and batch id
+        of a load that may be repeated: it is stored once.
         """
-        aside = None
-        if load is not None:
-            self.note_boards(bookings, load)
+        if load is not None and self.log.has(*load):
+            return
         if skip_present:
             first = keep_first(bookings, ["booking_id"], "date_created")
             bookings = insert_missing(first, self.stored_ids(bookings), ["booking_id"])
-            if load is None:
-                aside = self._aside("facts")
-                bookings.write.parquet(aside)  # what is new must not change once the facts have it
-                bookings = self.spark.read.schema(bookings.schema).parquet(aside)
-        if load is None:
-            self.note_boards(bookings, uuid.uuid4().hex)
         if "extras" not in bookings.columns:
             bookings = bookings.withColumn("extras", F.lit(None).cast(schemas.EXTRAS.dataType))
-        rows = by_day(with_day(bookings, "date_created"))
-        (
-            rows.sortWithinPartitions(DAY, "station_number", "date_created")
-            .write.partitionBy(DAY)
-            .mode("append")
-            .parquet(self.path("station_records"))
-        )
-        if aside is not None:
-            remove_folder(self.spark, aside)
+        self.log.append(with_day(bookings, "date_created").select(*WIDE_FACT_SCHEMA.names), *(load or ()))
 
     # boards ------------------------------------------------------------------------------------
 
-    def note_boards(self, bookings: DataFrame, load: str, path: str | None = None) -> None:
-        """Sum up a load's bookings per board, station and hour. Written before the facts, so that facts are never ahead."""
-        low, last = F.min("test_count").alias("low_attempt"), F.max("date_created").alias("last_test_time")
-        rows = attempts_per_bucket(bookings, "hour", low, last).withColumn("board_bucket", self._bucket())
-        target = f"{path or self.path('boards')}/load={load}"
-        rows.hint("rebalance", F.col("board_bucket")).write.partitionBy("board_bucket").mode("overwrite").parquet(target)
-
-    def rebuild_boards(self) -> None:
-        """One load out of all facts, in the place of all loads so far."""
-        aside = self._aside("boards")
-        self.note_boards(self.facts(), "all", aside)
-        swap_in(self.spark, aside, self.path("boards"))
-
-    def boards(self, touched: DataFrame | None = None) -> DataFrame:
-        """Per station, board, part and hour: counts, attempts and last time, over all loads.
-
-        `touched` limits it to boards that these rows have; only their partitions are read.
-        """
-        rows = read_or_empty(self.spark, self.path("boards"), BOARD_SCHEMA)
-        if touched is not None:
-            buckets = [r[0] for r in touched.select(self._bucket()).distinct().collect()]  # at most BOARD_BUCKETS
-            rows = rows.where(F.col("board_bucket").isin(buckets))
-        sums = [F.sum(c).alias(c) for c in ("total_bookings", "fail_bookings", "pass_bookings")]
-        most = [F.max(c).alias(c) for c in ("top_attempt", "top_fail", "top_pass", "last_test_time")]
-        return rows.groupBy(*BOARD_KEYS).agg(*sums, *most, F.min("low_attempt").alias("low_attempt"))
+    def boards(self, days: list[dt.date]) -> DataFrame:
+        """Per station, board, part and hour of some days: counts, attempts and last time, over all loads."""
+        return merged_boards(self.log.read("boards").where(F.col(DAY).isin(days))).drop(DAY)
 
-    @staticmethod
-    def _bucket():
-        return F.pmod(F.xxhash64("serial_number"), F.lit(BOARD_BUCKETS)).cast("int")
-
-    def ideal_cycle_times(self) -> DataFrame:
-        return self.spark.read.schema(schemas.IDEAL_CYCLE_TIMES).parquet(self.path("ideal_cycle_times"))
-
-    def stations(self) -> DataFrame:
-        return self.spark.read.schema(schemas.STATIONS).parquet(self.path("stations"))
+    def days_of_boards(self, rows: DataFrame) -> list[dt.date]:
+        """All days in which the boards of `rows` have a booking. Only the boards' buckets of the index are read."""
+        return distinct_days(rows_already_in_days(self.log.lookup("board_days", rows.select("serial_number")), rows))
 
     # KPI tables --------------------------------------------------------------------------------
 
-    def replace_table(self, name: str, rows: DataFrame) -> DataFrame:
-        """Full refresh: write the whole table aside, put it in place, then read it back.
+    def has_table(self, name: str) -> bool:
+        return self._stored(name).exists()
 
-        A refresh that is lost on the way leaves the old table. Column comments of `rows` are stored.
+    def replace_table(self, name: str, rows: DataFrame, as_of: int = 0) -> DataFrame:
+        """Full refresh: write the whole table to a folder of its own, then commit that folder as the table.
+
+        A refresh that is lost on the way leaves the old table. Column comments of `rows` are stored. `as_of` is the number of
+        the facts' commit that `rows` come from: a table from newer facts is not replaced.
         """
-        aside = self._aside(name)
-        self._day_writer(rows).option("partitionOverwriteMode", "static").parquet(aside)
-        swap_in(self.spark, aside, self.path(name))
+        self._stored(name).replace(rows, as_of, self._sort_keys(rows), "date_hour")
         return self.table(name, rows.schema)
 
-    def replace_days(self, name: str, rows: DataFrame, days: list[dt.date]) -> DataFrame:
-        """Overwrite exactly `days`, including days that no longer have any row.
-
-        The rows are written aside first, so they are computed once and a lost job leaves the
-        table as it was; running the same replacement again gives the same table.
-        """
-        aside = self._aside(name)
-        rows.write.parquet(aside)
-        ready = self.spark.read.schema(rows.schema).parquet(aside)
-        self._day_writer(ready).option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
-        filled = distinct_days(ready, "date_hour")
-        for day in sorted(set(days) - set(filled)):
-            remove_folder(self.spark, f"{self.path(name)}/{DAY}={day.isoformat()}")
-        remove_folder(self.spark, aside)
+    def replace_days(self, name: str, rows: DataFrame, days: list[dt.date], as_of: int = 0) -> DataFrame:
+        """Overwrite exactly `days`, including days that no longer have any row, in one commit."""
+        self._stored(name).replace_days(rows, days, as_of, self._sort_keys(rows))
         return self.table(name, rows.schema)
 
-    def _aside(self, name: str) -> str:
-        """A fresh folder beside the tables, so that a finished copy can be moved into place."""
-        return self.path(f"aside/{name}-{uuid.uuid4().hex}")
+    @staticmethod
+    def _sort_keys(rows: DataFrame) -> list[str]:
+        return [c for c in ("date_hour", "station_number", "part_number") if c in rows.columns]
 
-    def synced(self, name: str, schema: T.StructType | str) -> DataFrame:
-        """A stored table with the columns a model has now: added ones are NULL, dropped ones are gone, changed types are
-        cast. Reads what the files themselves declare."""
+    def table(self, name: str, schema: T.StructType | str, days: list[dt.date] | None = None) -> DataFrame:
+        """A stored table with the columns a model has now, whichever columns its days were written with: added ones are
+        NULL, dropped ones are gone, changed types are cast."""
         schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        return align_columns(self.spark.read.parquet(self.path(name)), schema)
+        return self._stored(name).read(schema, days)
+
+    def synced(self, name: str, schema: T.StructType | str) -> DataFrame:
+        return self.table(name, schema)
 
     def notes(self, name: str) -> dict[str, str]:
         """Column comments as the stored table has them."""
-        stored = self.spark.read.parquet(self.path(name)).schema
-        return {f.name: f.metadata["comment"] for f in stored if "comment" in f.metadata}
+        return {f.name: f.metadata["comment"] for f in self._stored(name).stored_schema() if "comment" in f.metadata}
 
-    def table(self, name: str, schema: T.StructType | str, days: list[dt.date] | None = None) -> DataFrame:
-        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-        stored = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
-        table = self.spark.read.schema(stored).parquet(self.path(name))
-        if days is not None:
-            table = table.where(F.col(DAY).isin(days))
-        return table.select(*schema.names)
-
-    def _day_writer(self, rows: DataFrame):
-        keys = [c for c in ("date_hour", "station_number", "part_number") if c in rows.columns]
-        rows = by_day(with_day(rows, "date_hour")).sortWithinPartitions(DAY, *keys)
-        return rows.write.partitionBy(DAY).mode("overwrite")
+
+def rows_already_in_days(board_days: DataFrame, rows: DataFrame) -> DataFrame:
+    return board_days.join(rows.select("serial_number").distinct(), "serial_number", "left_semi")

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from yieldline import schemas
 from yieldline.functions.timing import from_epoch_millis
@@ -21,6 +22,15 @@ REQUIRED = schemas.REQUIRED["station_records"]
 # Names of the connector's logical types.
 DECIMAL_TYPE = "org.apache.kafka.connect.data.Decimal"
 TIMESTAMP_TYPE = "org.apache.kafka.connect.data.Timestamp"
+# What is kept of a bad message: as it came, where it stood in its topic, and why it is bad.
+QUARANTINE = T.StructType(
+    [
+        *[T.StructField(c, T.StringType()) for c in ("value", "key", "topic")],
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("offset", T.LongType()),
+        T.StructField("reason", T.StringType()),
+    ]
+)
 MESSAGE = (
     "schema STRUCT<type STRING, fields ARRAY<STRUCT<field STRING, type STRING, name STRING, parameters MAP<STRING, STRING>>>>,"
     " payload MAP<STRING, STRING>, malformed STRING"

@@ -1,22 +1,25 @@
 """Last result of every board at every station, kept up to date by a stream of bookings.
 
 Counting distinct boards is not allowed on a stream. The highest attempt per result is a maximum,
-and maxima combine, over the batches of a stream and over streams: each micro-batch writes one small row per touched
-board under its stream and batch id.
+and maxima combine, over the batches of a stream and over streams: each micro-batch commits one small row per touched
+board, and the log of batches is folded by the same maxima.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from yieldline.functions.conditional import max_where
 from yieldline.operators.attempts import is_fail, is_pass
-from yieldline.streaming.clock import batch_folder, stream_of
+from yieldline.sources.layered import Log, Member
+from yieldline.streaming.clock import stream_of
 
 BOARD = ("station_number", "serial_number")
 TOPS = ("top_attempt", "top_fail", "top_pass")
+TOPS_SCHEMA = T.StructType([*[T.StructField(c, T.StringType()) for c in BOARD], *[T.StructField(c, T.IntegerType()) for c in TOPS]])
 
 
 def tops(bookings: DataFrame) -> DataFrame:
@@ -28,9 +31,17 @@ def tops(bookings: DataFrame) -> DataFrame:
     )
 
 
+def highest(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*BOARD).agg(*[F.max(c).alias(c) for c in TOPS])
+
+
+def board_log(spark: SparkSession, path: str) -> Log:
+    return Log(spark, path, {"rows": Member(TOPS_SCHEMA, sort=BOARD, fold=highest)})
+
+
 def start_boards(bookings: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        tops(batch).write.mode("overwrite").parquet(batch_folder(path, stream_of(batch), batch_id))
+        board_log(batch.sparkSession, path).append(tops(batch), stream_of(batch), batch_id)
 
     return (
         bookings.writeStream.foreachBatch(write)
@@ -42,7 +53,10 @@ def start_boards(bookings: DataFrame, path: str, checkpoint: str, **trigger) ->
 
 def last_results(spark: SparkSession, path: str) -> DataFrame:
     """(station, board) -> latest attempt and whether it failed or passed."""
-    merged = spark.read.parquet(path).groupBy(*BOARD).agg(*[F.max(c).alias(c) for c in TOPS])
+    return judged(highest(board_log(spark, path).read()))
+
+
+def judged(merged: DataFrame) -> DataFrame:
     latest = F.col("top_attempt")
     return merged.select(
         *BOARD,

@@ -9,16 +9,21 @@ ones under its stream and batch id, and readers add them up.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from yieldline.functions.conditional import count_where
 from yieldline.functions.timing import bucket
 from yieldline.operators.attempts import is_fail, is_pass
 from yieldline.plans.availability import uptime_columns, uptime_micros
+from yieldline.schemas import STATION_RECORDS
+from yieldline.sources.layered import Log, Member
 from yieldline.sources.tables import Warehouse
-from yieldline.streaming.clock import batch_folder, clock_before, is_late, note_clock, stream_of
+from yieldline.streaming.clock import clock_before, is_late, note_clock, stream_of
 
 COUNT_NAMES = ("sum_cycle_time", "count_bookings", "fail_bookings", "pass_bookings")
 
@@ -62,11 +67,28 @@ def availability_of(hours: DataFrame) -> DataFrame:
     return hours.select("station_number", "date_hour", *uptime_columns(micros))
 
 
+VALUE_NAMES = (*COUNT_NAMES, "first", "last", "bookings")
+
+
+def newest_windows(rows: DataFrame) -> DataFrame:
+    """The newest state of each window of each stream; an earlier one is part of it."""
+    keys = [c for c in rows.columns if c not in VALUE_NAMES and c != "batch_id"]
+    values = [c for c in rows.columns if c in VALUE_NAMES]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct("batch_id", *values), "batch_id").alias("newest"))
+    return newest.select(*keys, "newest.*").select(*rows.columns)
+
+
+def window_log(spark: SparkSession, path: str, schema: T.StructType) -> Log:
+    return Log(spark, path, {"rows": Member(schema, fold=newest_windows)})
+
+
 def start_windows(hours: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Write every changed result of a micro-batch under its stream and batch id."""
+    """Commit every changed result of a micro-batch with its stream and batch id."""
 
     def write(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(batch_folder(path, stream_of(changed), batch_id))
+        stream = stream_of(changed)
+        rows = changed.select("*", F.lit(stream).alias("stream"), F.lit(batch_id).cast("long").alias("batch_id"))
+        window_log(changed.sparkSession, path, rows.schema).append(rows, stream, batch_id)
 
     return (
         hours.writeStream.outputMode("update")
@@ -77,13 +99,15 @@ def start_windows(hours: DataFrame, path: str, checkpoint: str, **trigger) -> St
     )
 
 
-def latest_windows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Totals per key: the newest state of each hour of arrival, added up over arrivals and streams."""
-    changes = spark.read.parquet(path)
-    within = ["stream", "arrival_hour", *keys]
-    values = [c for c in changes.columns if c not in (*within, "batch_id")]
-    newest = changes.groupBy(*within).agg(F.max_by(F.struct(*values), "batch_id").alias("newest"))
-    return newest.groupBy(*keys).agg(*[total(F.col(f"newest.{c}"), c) for c in values])
+def latest_windows(hours: DataFrame, path: str, keys: list[str]) -> DataFrame:
+    """Totals per key: the newest state of each hour of arrival, added up over arrivals and streams.
+
+    `hours` tells the columns, as given to `start_windows`; it is not run.
+    """
+    schema = hours.select("*", F.lit("").alias("stream"), F.lit(0).cast("long").alias("batch_id")).schema
+    newest = newest_windows(window_log(hours.sparkSession, path, schema).read())
+    values = [c for c in newest.columns if c in VALUE_NAMES]
+    return newest.groupBy(*keys).agg(*[total(F.col(c), c) for c in values])
 
 
 # partial aggregates per micro-batch --------------------------------------------------------------
@@ -106,7 +130,7 @@ def total(values: Column, name: str) -> Column:
 def add_up(partials: DataFrame) -> DataFrame:
     """Hourly totals out of partial aggregates of any number of batches."""
     keys = ["station_number", "part_number", "date_hour"]
-    return partials.groupBy(*keys).agg(*[total(F.col(c), c) for c in (*COUNT_NAMES, "first", "last", "bookings")])
+    return partials.groupBy(*keys).agg(*[total(F.col(c), c) for c in VALUE_NAMES])
 
 
 def with_late(on_time: DataFrame, late: DataFrame) -> DataFrame:
@@ -114,11 +138,51 @@ def with_late(on_time: DataFrame, late: DataFrame) -> DataFrame:
     return add_up(on_time.unionByName(hour_partials(late)))
 
 
+PARTIALS = T.StructType(
+    [
+        *[T.StructField(c, T.StringType()) for c in ("station_number", "part_number")],
+        T.StructField("date_hour", T.TimestampNTZType()),
+        T.StructField("sum_cycle_time", T.DecimalType(20, 2)),
+        *[T.StructField(c, T.LongType()) for c in COUNT_NAMES[1:]],
+        *[T.StructField(c, T.TimestampNTZType()) for c in ("first", "last")],
+        T.StructField("bookings", T.LongType()),
+    ]
+)
+
+
+@dataclass(frozen=True)
+class Routed:
+    """Where `start_routed` keeps on-time partials and late bookings. Finished batches are folded: partials are added up."""
+
+    warehouse: Warehouse
+    name: str
+
+    def _log(self, part: str, member: Member) -> Log:
+        return Log(self.warehouse.spark, self.warehouse.path(f"{self.name}/{part}"), {"rows": member})
+
+    @property
+    def on_time_log(self) -> Log:
+        return self._log("on_time", Member(PARTIALS, fold=lambda rows: add_up(rows).select(*PARTIALS.names)))
+
+    @property
+    def late_log(self) -> Log:
+        return self._log("late", Member(STATION_RECORDS))
+
+    def on_time(self) -> DataFrame:
+        return self.on_time_log.read()
+
+    def late(self) -> DataFrame:
+        return self.late_log.read()
+
+    def totals(self) -> DataFrame:
+        return with_late(self.on_time(), self.late())
+
+
 def start_routed(
     warehouse: Warehouse, bookings: DataFrame, name: str, checkpoint: str, late_after: int, **trigger
 ) -> StreamingQuery:
-    """On-time bookings become partials, late ones go to a late table; both under the stream and batch id."""
-    spark, path = warehouse.spark, warehouse.path(name)
+    """On-time bookings become partials, late ones go to a late table; both are committed with stream and batch id."""
+    spark, path, routed = warehouse.spark, warehouse.path(name), Routed(warehouse, name)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stream = stream_of(batch)
@@ -126,9 +190,9 @@ def start_routed(
         belated = is_late(clock, late_after)
         batch = batch.persist()  # read three times
         try:
-            on_time = hour_partials(batch.where(~belated))
-            on_time.write.mode("overwrite").parquet(batch_folder(f"{path}/on_time", stream, batch_id))
-            batch.where(belated).write.mode("overwrite").parquet(batch_folder(f"{path}/late", stream, batch_id))
+            partials = add_up(hour_partials(batch.where(~belated))).select(*PARTIALS.names)
+            routed.on_time_log.append(partials, stream, batch_id)
+            routed.late_log.append(batch.where(belated).select(*STATION_RECORDS.names), stream, batch_id)
             note_clock(batch, f"{path}/clock", stream, batch_id, clock)
         finally:
             batch.unpersist()

@@ -6,17 +6,14 @@ Any scheduler may call `run_once` every hour. The checkpoint remembers how far t
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from yieldline.plans.refresh import full_refresh, incremental_refresh
-from yieldline.sources.tables import is_complete, read_or_empty
+from yieldline.sources.commits import CommitLog
 from yieldline.sources.topic import FIELDS
-from yieldline.streaming.ingest import BATCH, LATE, Ingest
-
-REFRESHED = T.StructType(BATCH)
+from yieldline.streaming.ingest import Ingest
 
 
 def run_once(
@@ -24,23 +21,24 @@ def run_once(
 ) -> dict:
     """Ingest everything available, then refresh what these bookings can change.
 
-    Batches are refreshed until their stream has noted their id, or a later one, in `refreshed`, so a run that dies
-    between ingest and refresh is made up for by the next one, and a new checkpoint starts a list of its own.
+    The facts know the newest batch of each stream, and `refreshed` the newest one whose bookings the models have. Only the
+    batches between are read. A run that dies between ingest and refresh is made up for by the next one, and a new
+    checkpoint starts a list of its own. Batches that the models have are dropped from `ingest/fresh`.
     """
     warehouse = ingest.warehouse
     query = ingest.start(open_stream(), checkpoint, availableNow=True)
     query.awaitTermination()
-    fresh = read_or_empty(warehouse.spark, warehouse.path("ingest/fresh"), LATE)
-    done = read_or_empty(warehouse.spark, warehouse.path("refreshed"), REFRESHED)
-    marks = done.groupBy("stream").agg(F.max("batch_id").alias("mark"))
-    pending = fresh.join(marks, "stream", "left").where("mark IS NULL OR batch_id > mark")
-    newest = pending.groupBy("stream").agg(F.max("batch_id").alias("batch_id")).collect()  # one row per stream
-    if not newest:
+    refreshed = CommitLog(warehouse.spark, warehouse.path("refreshed"))
+    done, stored = refreshed.latest()[1], warehouse.log.marks()
+    pending = {s: list(range(done.get(s, -1) + 1, newest + 1)) for s, newest in stored.items() if newest > done.get(s, -1)}
+    if not pending:
         return {}
-    if full or not is_complete(warehouse.spark, warehouse.path("quality_linewise_datehour")):
+    if full or not warehouse.has_table("quality_linewise_datehour"):
         replaced = full_refresh(warehouse)
     else:
-        replaced = incremental_refresh(warehouse, pending.select(*FIELDS))
-    noted = warehouse.spark.createDataFrame(newest, REFRESHED)
-    noted.coalesce(1).write.mode("append").parquet(warehouse.path("refreshed"))
+        arrived = [ingest.fresh(s, batches).select(*FIELDS) for s, batches in pending.items()]
+        replaced = incremental_refresh(warehouse, reduce(DataFrame.unionAll, arrived))
+    refreshed.commit(lambda state: state | {s: max(batches[-1], state.get(s, -1)) for s, batches in pending.items()})
+    for stream, batches in pending.items():
+        ingest.forget(stream, batches)
     return replaced
