@@ -30,11 +30,7 @@ def test_shingle_sets(pairs):
     assert len(known) == len(set().union(*(brute.shingles(t) for _, t in pairs)))
 
 
-@pytest.mark.parametrize("least", [32, 1])
-def test_near_duplicates(documents, pairs, monkeypatch, least):
-    """With a limit of 1 nearly every shingle counts as frequent: another order and another path, the same result."""
-    monkeypatch.setattr(jaccard, "FREQUENT_LEAST", least)
-    monkeypatch.setattr(jaccard, "FREQUENT", 4 if least > 1 else 0)
+def test_near_duplicates(documents, pairs):
     want = brute.near_duplicates(pairs)
     found = jaccard.near_duplicates(documents).collect()
     assert len(found) == len(pairs) + 2
@@ -81,12 +77,62 @@ def test_copies_with_one_changed_word_each(spark):
 
 def test_links_are_found_without_stars(documents, pairs, monkeypatch):
     """The last step alone finds every link, also between classes of one group."""
-    monkeypatch.setattr(jaccard, "_stars", lambda shared, percent: shared.limit(0).selectExpr("id AS a", "hub AS b"))
+    monkeypatch.setattr(jaccard, "ROUNDS", 0)
     want = brute.near_duplicates(pairs)
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(documents).collect() if r.doc_id is not None}
     assert found == want
 
 
+def paragraphs(rng, documents, pool, unique, each):
+    """Texts of shared paragraphs in any order, with some words of their own."""
+    shared = [" ".join(f"p{p}w{i}" for i in range(30)) for p in range(pool)]
+    texts = []
+    for _ in range(documents):
+        parts = [shared[p] for p in rng.choice(pool, each, replace=False)]
+        texts.append(" ".join([*parts, *(f"u{rng.integers(0, 10**9)}" for _ in range(unique))]))
+    return texts
+
+
+@pytest.mark.parametrize("pool, unique, each", [(12, 60, 3)])
+def test_pairs_do_not_grow_with_the_square_of_a_family(spark, monkeypatch, pool, unique, each):
+    """Texts that share paragraphs, twice as many and four times as many: no more pair rows for each text."""
+    rows, real = [], jaccard.meetings
+
+    def counted(*args):
+        met = real(*args)
+        rows.append(met.count())
+        return met
+
+    monkeypatch.setattr(jaccard, "meetings", counted)
+    rng = np.random.default_rng(5)
+    sizes = (200, 400, 800)
+    for count in sizes:
+        texts = list(enumerate(paragraphs(rng, count, pool, unique, each)))
+        found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+        if count == 200:
+            assert found == brute.near_duplicates(texts)
+    assert all(n <= 4 * count for n, count in zip(rows, sizes, strict=True)), rows
+
+
+def test_long_words_that_a_polynomial_hash_confuses(spark):
+    """The word of 2^k letters in the order of Thue and Morse, and its complement."""
+    rows = []
+    for k in (10, 11):
+        word = "a"
+        for _ in range(k):
+            word += word.translate(str.maketrans("ab", "ba"))
+        rows += [(len(rows), word), (len(rows) + 1, word.translate(str.maketrans("ab", "ba")))]
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(i, i) for i in range(4)]
+
+
+def test_rows_of_one_key_are_one_document(spark):
+    one, other = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(5, one), (5, other), (3, one), (9, other), (7, None), (5, one), (8, one + " more")]
+    found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == [(3, 36, 3), (5, 36, 3), (5, 36, 3), (5, 36, 3), (7, 0, 7), (8, 37, 3), (9, 36, 3)]
+
+
 def test_no_documents(nothing):
     assert jaccard.near_duplicates(nothing).count() == 0
     assert suffix_dedup.remove_repeated(nothing).count() == 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -95,6 +96,19 @@ class RangeHash:
         return mixed(values ^ ((ends - starts).astype(np.uint64) * _ODD))
 
 
+# Two texts of 1,024 bytes can be built that `RangeHash` takes for one; below this length none are known.
+LONG_WORD = 256
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words. Long ones are hashed by themselves, as range hashes of long texts can be made to collide."""
+    values = RangeHash(data)(starts, ends)
+    for i in np.flatnonzero(ends - starts >= LONG_WORD).tolist():
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest()
+        values[i] = int.from_bytes(digest, "little")
+    return values
+
+
 def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of True that do not cross a row's end."""
     if not len(inside):

@@ -1,14 +1,16 @@
 """Near duplicates by word shingles: a grouped prefix join, exact for any threshold.
 
-1. A sketch of fixed size counts all shingles. It orders them, rare ones first; any order gives the same result, this
-   one keeps frequent shingles out of prefixes.
-2. Each document's prefix is so long that two documents that link share a shingle of it. Documents with
-   equal sets collapse into a class, classes with equal prefix and size into a group.
-3. Groups that share a prefix shingle are filtered, expanded to their classes and verified on whole texts. What is already
-   connected is not compared again: first each class with the class it shares most with, then whatever is still apart.
-
-Shingles that the sketch counts as frequent are combined before they are shuffled; the others have a bounded number of
-groups. Tables are written to the shared folder, so a lost executor costs its own tasks only.
+1. Documents with equal sets are a class. A shingle that no other class has is in no overlap, so a class with too many of them
+   links with nothing. This is seen on every second shingle first, which leaves few classes, and then on all of theirs.
+2. Shingles that lie in exactly the same classes are one item with a weight, so a passage is an item however long it is. Items
+   are ordered by their number of classes, rare ones first; every class's prefix is so much of its weight that two classes
+   that link share an item of it. Counts are exact, and nothing is broadcast.
+3. Classes of equal prefix and size are a group. Groups that share prefix items are paired, pairs that share too little are
+   dropped, and only then members are expanded and verified on whole texts. What is connected already is not compared
+   again: first each group is tried with the hub that it shares most with, round by round, then whatever is still apart.
+
+Counts are combined before they are shuffled, and tables that rows are joined with are written first, so that adaptive
+execution can split a shingle or an item that many classes have. A lost executor costs its own tasks only.
 """
 
 from __future__ import annotations
@@ -17,155 +19,135 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from yieldline.llm.columns import mixed, slices
 from yieldline.llm.components import components, discard, stored
 from yieldline.llm.shingles import SLICE, shingle_sets
 
-# The sketch has so many counters whatever the input; a shingle's counter also counts others, never fewer.
-COUNTERS = 1 << 20
-CHUNK = 1 << 14
-# A shingle is frequent if its counter exceeds FREQUENT times the mean counter and FREQUENT_LEAST.
-FREQUENT, FREQUENT_LEAST = 4, 32
+# Rounds in which groups are tried with hubs before all that is apart is paired. They decide speed only.
+ROUNDS = 3
 
 
 def _keys(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
 
 
-def shingle_classes(docs: DataFrame, words: int) -> np.ndarray:
-    """For each counter of the sketch 0 (not frequent) or how many times, in powers of two, it is over the limit.
+def _fingerprints(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """Two 64-bit sums over each set that do not depend on its order."""
+    ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64)
+    flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+    out = []
+    for salt in (1, 2):
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(flat ^ mixed(np.array([salt], np.uint64))), dtype=np.uint64)])
+        out.append((sums[ends[1:]] - sums[ends[:-1]]).view(np.int64))
+    return out
 
-    Counts every shingle of every document once. COUNTERS bytes come to the driver.
-    """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters = np.zeros(COUNTERS, np.int64)
+def set_sizes(docs: DataFrame, words: int) -> DataFrame:
+    """id, n, fa, fb: size and fingerprints of each document's set."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", SLICE):
+            sets = shingle_sets(batch.column(1), words)
+            sizes = pa.array([len(s) for s in sets], pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, *map(pa.array, _fingerprints(sets))], names=["id", "n", "fa", "fb"])
+
+    return docs.mapInArrow(work, "id long, n int, fa long, fb long")
+
+
+def half_of_shingles(docs: DataFrame, words: int) -> DataFrame:
+    """h, c: every second shingle by its hash, with the class it is in."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
             sets = shingle_sets(batch.column(0), words)
-            if sets:
-                counters += np.bincount((np.concatenate(sets) % COUNTERS).astype(np.int64), minlength=COUNTERS)
-        if counters.any():
-            parts = counters.astype("<i8").reshape(-1, CHUNK)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(len(parts)), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["chunk", "counts"]
-            )
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for chunk, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                sums[chunk] = sums.get(chunk, 0) + np.frombuffer(counts, "<i8")
-        for chunk, counts in sums.items():
-            powers = np.ceil(np.log2(np.maximum(counts, 1))).astype(np.uint8)
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array([chunk], pa.int32()), "total": [int(counts.sum())], "powers": [powers.tobytes()]})
-
-    counted = docs.select("text").mapInArrow(count, "chunk int, counts binary")
-    summed = counted.repartition("chunk").mapInArrow(add, "chunk int, total long, powers binary").collect()
-    powers = np.zeros(COUNTERS, np.int64)
-    for row in summed:
-        powers[row.chunk * CHUNK : (row.chunk + 1) * CHUNK] = np.frombuffer(row.powers, np.uint8)
-    limit = max(FREQUENT_LEAST, FREQUENT * sum(r.total for r in summed) / COUNTERS)
-    return np.maximum(powers - int(np.ceil(np.log2(limit))), 0).astype(np.uint8)
-
-
-def prefixes(docs: DataFrame, classes: np.ndarray, words: int, percent: int) -> DataFrame:
-    """Per document: id, n, fingerprints of its set (fa, fb) and prefix (pa, pb), the prefix, how much of it is rare."""
-    shared = docs.sparkSession.sparkContext.broadcast(classes)
-    schema = "id long, n int, fa long, fb long, pa long, pb long, rare int, prefix array<long>"
+            classes, first = np.unique(_fingerprints(sets)[0], return_index=True)
+            some = [sets[i][sets[i] % 2 == 0] for i in first.tolist()]
+            owners = np.repeat(classes, [len(s) for s in some])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(some).view(np.int64)), pa.array(owners)], names=["h", "c"])
+
+    return docs.select("text").mapInArrow(work, "h long, c long")
+
+
+def _prefix_length(percent: int) -> Column:
+    return F.expr(f"n - ceil({percent} * n / 100.0) + 1")
+
+
+def may_link(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
+    """`classes` less those that are seen to have more shingles of their own than a class that links can have."""
+    alone = half_of_shingles(docs, words).groupBy("h").agg(F.min("c").alias("fa"), F.max("c").alias("top")).where("fa = top")
+    known = alone.groupBy("fa").agg(F.count(F.lit(1)).alias("own"))
+    return classes.join(known, "fa", "left").where(F.coalesce("own", F.lit(0)) < _prefix_length(percent)).drop("own")
+
+
+def class_texts(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+    """node, n, text: one text of each class. A key that has several texts counts with the one that is of the class."""
+    names = ["node", "n", "text"]
+
+    def of_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", SLICE):
+            found = _fingerprints(shingle_sets(batch.column(2), words))
+            same = [np.asarray(batch.column(i)) == f for i, f in zip((3, 4), found, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(same[0] & same[1])) for i in range(3)], names=names)
+
+    wanted = classes.select(F.col("rep").alias("id"), "node", "n", "fa", "fb")
+    rows = docs.join(wanted, "id").select("node", "n", "text", "fa", "fb")
+    return rows.mapInArrow(of_class, "node long, n int, text string").dropDuplicates(["node"])
+
+
+def all_shingles(texts: DataFrame, words: int) -> DataFrame:
+    """h, node, n of all shingles of the classes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
         for batch in slices(batches, "text", SLICE):
-            sets = shingle_sets(batch.column(1), words)
-            sizes = np.array([len(s) for s in sets], np.int64)
-            kept, rare = [], []
-            for s in sets:
-                n = len(s)
-                length = n - -(-percent * n // 100) + 1 if n else 0
-                frequent = known[(s % COUNTERS).astype(np.int64)]
-                if frequent.any():
-                    s = s[np.argsort(frequent, kind="stable")]
-                kept.append(s[:length])
-                rare.append(min(length, int((frequent == 0).sum())))
-            sums = [_sums(sets, sizes, salt) for salt in (1, 2)]
-            lengths = np.array([len(k) for k in kept], np.int64)
-            heads = [_sums(kept, lengths, salt) for salt in (3, 4)]
-            flat = np.concatenate(kept) if kept else np.empty(0, np.uint64)
-            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(sizes, pa.int32()),
-                    *[pa.array(x.view(np.int64)) for x in (*sums, *heads)],
-                    pa.array(rare, pa.int32()),
-                    pa.ListArray.from_arrays(offsets, flat.view(np.int64)),
-                ],
-                names=[f.split()[0] for f in schema.split(", ")],
-            )
-
-    return docs.mapInArrow(work, schema)
-
-
-def _sums(sets: list[np.ndarray], sizes: np.ndarray, salt: int) -> np.ndarray:
-    """A fingerprint of each set that does not depend on its order."""
-    values = mixed(np.concatenate(sets) ^ mixed(np.array([salt], np.uint64))) if sets else np.empty(0, np.uint64)
-    ends = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
-    at = np.concatenate([[0], np.cumsum(sizes)])
-    return ends[at[1:]] - ends[at[:-1]]
-
-
-def _runs_of_two(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (h, id, n, after) sorted by h: those whose h has two rows or more, with the least id and its size as hub."""
-    rest: list[np.ndarray] = [np.empty(0, np.int64)] * 4
-
-    def found(h: np.ndarray, ids: np.ndarray, n: np.ndarray, after: np.ndarray) -> pa.RecordBatch:
-        starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
-        counts = np.diff(np.append(starts, len(h)))
-        keep = np.repeat(counts > 1, counts)
-        order = np.lexsort((ids, h)) if len(h) else starts
-        hub = np.repeat(order[starts], counts)[keep]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (h[keep], ids[keep], *(c.astype(np.int32) for c in (n[keep], after[keep])), ids[hub], n[hub].astype(np.int32))],
-            names=["h", "id", "n", "after", "hub", "hub_n"],
-        )
-
-    for batch in batches:
-        now = [np.concatenate([r, c.to_numpy(zero_copy_only=False)]) for r, c in zip(rest, batch.columns, strict=True)]
-        open_ = int(np.searchsorted(now[0], now[0][-1])) if len(now[0]) else 0
-        rest = [x[open_:] for x in now]
-        yield found(*(x[:open_] for x in now))
-    yield found(*rest)
-
-
-def shared_shingles(written: DataFrame, members: DataFrame) -> DataFrame:
-    """h, id, n, after, hub, hub_n, weight: prefix shingles that two classes or more have. `written`: prefixes; `members`: rep,
-    leader. after: how many shingles of the prefix come after this one.
-
-    Classes of one group share their whole prefix. A row for the group stands for all of it, with the size as weight.
+            sets = shingle_sets(batch.column(2), words)
+            sizes = [len(s) for s in sets]
+            flat = np.concatenate(sets).view(np.int64)
+            columns = [flat, *(np.repeat(np.asarray(batch.column(i)), sizes) for i in (0, 1))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "node", "n"])
+
+    return texts.mapInArrow(work, "h long, node long, n int")
+
+
+def prefixes(texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """node, n, item, weight, after, reach: the items of each class's prefix, rarest first.
+
+    after: weight of the prefix from the item's second shingle on. reach: weight of the whole prefix with the shingles that
+    only this class has. Classes with too little in common with all others together have no rows.
     """
-    leaders = members.where("rep = leader").select(F.col("leader").alias("id"))
-    entries = (
-        written.join(leaders, "id", "left_semi")
-        .select("id", "n", "rare", F.size("prefix").alias("length"), F.posexplode("prefix").alias("at", "h"))
-        .select("h", "id", "n", (F.col("length") - 1 - F.col("at")).alias("after"), (F.col("at") >= F.col("rare")).alias("frequent"))
+    entries = all_shingles(texts, words)
+    lists = entries.groupBy("h").agg(
+        F.count(F.lit(1)).alias("classes"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")
     )
-    rare = entries.where("NOT frequent").select("h", "id", "n", "after").repartition("h").sortWithinPartitions("h")
-    rare = rare.mapInArrow(_runs_of_two, "h long, id long, n int, after int, hub long, hub_n int")
-    often = entries.where("frequent").select("h", "id", "n", "after")
-    hubs = often.groupBy("h").agg(F.min(F.struct("id", "n")).alias("hub"), F.max("id").alias("top")).where("hub.id < top")
-    hubs = hubs.select("h", F.col("hub.id").alias("hub"), F.col("hub.n").alias("hub_n"))
-    found = rare.unionByName(often.join(hubs, "h").select("h", "id", "n", "after", "hub", "hub_n"))
-    several = members.where("members > 1")
-    expanded = found.join(
-        several.where("rep <> leader").select(F.col("leader").alias("id"), "rep"), "id"
-    ).select("h", F.col("rep").alias("id"), "n", "after", "hub", "hub_n")
-    within = several.select(
-        F.xxhash64(F.lit("group"), "leader").alias("h"), F.col("rep").alias("id"), "n", F.col("n").alias("after"), F.col("leader").alias("hub"), F.col("n").alias("hub_n"), F.col("n").alias("weight")
+    lists = stored(lists.where("classes > 1"), "lists")
+    items = entries.join(lists, "h").groupBy("node", "n", "classes", "x", "y").agg(F.count(F.lit(1)).alias("weight"))
+    items = items.withColumn("item", F.xxhash64("classes", "x", "y"))
+    node = Window.partitionBy("node")
+    so_far = F.sum("weight").over(node.orderBy("classes", "item").rowsBetween(Window.unboundedPreceding, 0))
+    placed = items.withColumn("upto", so_far).withColumn("common", F.sum("weight").over(node))
+    begins = F.col("n") - F.col("common") + F.col("upto") - F.col("weight")
+    placed = placed.where((F.col("common") * 100 >= percent * F.col("n")) & (begins < _prefix_length(percent)))
+    end = F.max("upto").over(node)
+    return placed.select(
+        "node", "n", "item", "weight", (end - F.col("upto") + F.col("weight") - 1).alias("after"), (F.col("n") - F.col("common") + end).alias("reach")
     )
-    return found.unionByName(expanded).withColumn("weight", F.lit(1)).unionByName(within)
+
+
+def grouped(prefix: DataFrame) -> DataFrame:
+    """node, n, reach, leader, members: classes with the same prefix and size are a group, led by the least of them."""
+    heads = prefix.groupBy("node", "n", "reach").agg(F.bit_xor(F.xxhash64("item")).alias("x"), F.bit_xor(F.xxhash64("item", F.lit(1))).alias("y"))
+    groups = heads.groupBy("n", "reach", "x", "y").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("members"))
+    return heads.join(stored(groups, "groups"), ["n", "reach", "x", "y"]).select("node", "n", "reach", "leader", "members")
+
+
+def shared_items(prefix: DataFrame, members: DataFrame) -> DataFrame:
+    """item, g, n, reach, weight, after: prefix items that two groups or more have. A group stands for all its members."""
+    leaders = members.where("node = leader").select("node")
+    rows = prefix.join(leaders, "node", "left_semi").withColumnRenamed("node", "g")
+    several = rows.groupBy("item").agg(F.min("g").alias("low"), F.max("g").alias("top")).where("low < top").select("item")
+    return rows.join(stored(several, "several"), "item", "left_semi").select("item", "g", "n", "reach", "weight", "after")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -180,61 +162,106 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Da
             mask = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(mask) for i in (0, 1)], names=["a", "b"])
 
-    one = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"), F.col("n").alias("n_a"))
-    other = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"), F.col("n").alias("n_b"))
-    near = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-    joined = pairs.join(one, "a").join(other, "b").where(near).select("a", "b", "text_a", "text_b")
+    one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"), F.col("n").alias("n_a"))
+    other = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"), F.col("n").alias("n_b"))
+    joined = pairs.select("a", "b").join(one, "a").join(other, "b").where(_near(percent)).select("a", "b", "text_a", "text_b")
     return joined.mapInArrow(compare, "a long, b long")
 
 
+def _near(percent: int) -> Column:
+    return F.expr(f"least(n_a, n_b) * 100L >= greatest(n_a, n_b) * {percent}L")
+
+
 def _needed(percent: int) -> Column:
-    """How many prefix shingles two classes of sizes n_a and n_b share at least if they link.
+    """How much weight the prefixes of two classes that link share at least: what is left of the overlap when all that lies
+    behind the prefix that ends first is common."""
+    return F.expr(f"ceil({percent} * (n_a + n_b) / {100 + percent}.0 - 1e-9) - greatest(n_a - reach_a, n_b - reach_b)")
 
-    The one whose prefix ends first has at most n - overlap of its prefix outside the other's.
-    """
-    outside = [f"n_{x} - (n_{x} - ceil({percent} * n_{x} / 100.0) + 1)" for x in "ab"]
-    return F.expr(f"ceil({percent} * (n_a + n_b) / {100 + percent}.0 - 1e-9) - greatest({', '.join(outside)})")
 
+def _side(rows: DataFrame, side: str, *more: str) -> DataFrame:
+    renamed = [F.col("g").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "reach", *more)]]
+    return rows.select("item", *renamed)
 
-def _near(percent: int) -> Column:
-    return F.expr(f"least(n_a, n_b) * 100L >= greatest(n_a, n_b) * {percent}L")
 
+def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
+    """`members` with their component, which is the class itself as long as it has no link."""
+    found = components(links).withColumnRenamed("id", "node")
+    return members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
-def _stars(shared: DataFrame, percent: int) -> DataFrame:
-    """Each class with the hub that it shares most shingles with, if these are half as many as a link needs.
 
-    A shingle counts for its hub only, so some links are not tried here; they are found among what stays apart.
-    """
-    counted = shared.where("id <> hub").groupBy("id", "hub").agg(
-        F.sum("weight").alias("c"), F.min("n").alias("n_a"), F.min("hub_n").alias("n_b")
-    )
-    likely = counted.where(_near(percent) & (2 * F.col("c") >= _needed(percent)))
-    return likely.groupBy("id").agg(F.max_by("hub", F.struct("c", -F.col("hub"))).alias("hub")).select(
-        F.col("id").alias("a"), F.col("hub").alias("b")
-    )
+def _spread(labelled: DataFrame) -> DataFrame:
+    """g, low, top: least and greatest component among the members of each group."""
+    return labelled.groupBy(F.col("leader").alias("g")).agg(F.min("component").alias("low"), F.max("component").alias("top"))
 
 
-def _apart(shared: DataFrame, links: DataFrame) -> DataFrame:
-    """Rows of shared shingles that still have classes of several components, with their component c."""
-    labelled = shared.select("h", "id", "n", "after", "weight").join(components(links), "id", "left").select(
-        "h", "id", "n", "after", "weight", F.coalesce("component", "id").alias("c")
-    )
-    several = labelled.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("top")).where("low < top")
-    return labelled.join(several.select("h"), "h", "left_semi")
+def _hub_pairs(shared: DataFrame, spread: DataFrame, percent: int) -> DataFrame:
+    """Each group with the hub that it shares most with, if that is half as much as a link needs.
 
+    An item's hub is its group in the least component; groups of other components are tried with it. So there is a row for
+    each item of a group. Some links are not tried here; they are found among what stays apart.
+    """
+    rows = shared.join(spread, "g")
+    hubs = rows.groupBy("item").agg(F.min(F.struct("low", "g", "n", "reach")).alias("hub"), F.max("top").alias("top")).where("hub.low < top")
+    hubs = stored(hubs.select("item", "hub"), "hubs")
+    met = _side(rows, "a", "weight", "low").join(hubs, "item").where("a <> hub.g AND low_a <> hub.low")
+    met = met.select("a", "n_a", "reach_a", F.col("hub.g").alias("b"), F.col("hub.n").alias("n_b"), F.col("hub.reach").alias("reach_b"), "weight_a")
+    counted = met.groupBy("a", "b", "n_a", "n_b", "reach_a", "reach_b").agg(F.sum("weight_a").alias("weight"))
+    likely = counted.where(_near(percent) & (2 * F.col("weight") >= _needed(percent)))
+    return likely.groupBy("a").agg(F.max_by("b", F.struct("weight", -F.col("b"))).alias("b"))
 
-def _all_pairs_apart(apart: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes of different components that share as many prefix shingles as a link needs.
 
-    Half of these are enough evidence, so a shingle counts only if so many come after it in both prefixes: of a pair's
-    common shingles that leaves out the last ones, the frequent ones, and no more than that half.
+def meetings(shared: DataFrame, spread: DataFrame, percent: int) -> DataFrame:
+    """A row for each prefix item of two groups of alike size that are not in one component.
+
+    Half of the weight that a link needs is enough evidence, so an item counts only if so much comes after it in both
+    prefixes: of a pair's common items that leaves out the last ones, the most frequent, and no more than that half.
     """
-    x = apart.select("h", "weight", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("after").alias("r_a"), F.col("c").alias("c_a"))
-    y = apart.select("h", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("after").alias("r_b"), F.col("c").alias("c_b"))
+    rows = shared.join(spread, "g")
+    apart = rows.groupBy("item").agg(F.min("low").alias("least"), F.max("top").alias("most")).where("least < most")
+    rows = stored(rows.join(stored(apart.select("item"), "apart"), "item", "left_semi"), "apart-rows")
     half = F.floor(_needed(percent) / 2)
-    met = x.join(y, "h").where(F.expr("a < b AND c_a <> c_b") & _near(percent) & (F.least("r_a", "r_b") >= half))
-    counted = met.groupBy("a", "b", "n_a", "n_b").agg(F.sum("weight").alias("shared"))
-    return counted.where(F.col("shared") >= _needed(percent) - half).select("a", "b")
+    met = _side(rows, "a", "weight", "after", "low", "top").join(_side(rows, "b", "after", "low", "top"), "item")
+    unlike = F.expr("a < b AND NOT (low_a = top_a AND low_b = top_b AND low_a = low_b)")
+    return met.where(unlike & _near(percent) & (F.least("after_a", "after_b") >= half))
+
+
+def group_pairs(shared: DataFrame, spread: DataFrame, percent: int) -> DataFrame:
+    """Pairs of groups that are not in one component and share as much prefix weight as a link needs."""
+    met = meetings(shared, spread, percent)
+    counted = met.groupBy("a", "b", "n_a", "n_b", "reach_a", "reach_b").agg(F.sum("weight_a").alias("weight"))
+    return counted.where(F.col("weight") >= _needed(percent) - F.floor(_needed(percent) / 2)).select("a", "b")
+
+
+def _members_apart(pairs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Pairs of classes of different components: of paired groups, and within a group."""
+    each = labelled.select("leader", "node", "component")
+    x = each.select(F.col("leader").alias("a"), F.col("node").alias("x"), F.col("component").alias("c_x"))
+    y = each.select(F.col("leader").alias("b"), F.col("node").alias("y"), F.col("component").alias("c_y"))
+    across = pairs.join(x, "a").join(y, "b").where("c_x <> c_y")
+    inside = labelled.where("members > 1").select(F.col("leader").alias("a"), F.col("node").alias("x"), F.col("component").alias("c_x"))
+    inside = inside.join(y.withColumnRenamed("b", "a"), "a").where("x < y AND c_x <> c_y")
+    return across.select("x", "y").unionByName(inside.select("x", "y")).toDF("a", "b")
+
+
+def links_between(texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """a, b: links that connect all classes that links reach, without one for each pair."""
+    prefix = stored(prefixes(texts, words, percent), "prefixes")
+    members = stored(grouped(prefix), "members")
+    shared = stored(shared_items(prefix, members), "shared")
+    first = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
+    links = stored(verified(first, texts, words, percent), "links")
+    for _ in range(ROUNDS):
+        spread = stored(_spread(_labelled(members, links)), "spread")
+        tried = stored(_hub_pairs(shared, spread, percent), "pairs")
+        found = stored(verified(tried, texts, words, percent), "links")
+        links = links.unionByName(found)
+        if found.isEmpty():
+            break
+    labelled = stored(_labelled(members, links), "labelled")
+    pairs = stored(group_pairs(shared, stored(_spread(labelled), "spread"), percent), "pairs")
+    rest = stored(verified(_members_apart(pairs, labelled), texts, words, percent), "links")
+    discard(prefix, shared, members, pairs, labelled)
+    return links.unionByName(rest)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
@@ -242,36 +269,33 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
     Two documents link when 100 * intersection >= percent * union of their sets of `words`-word shingles;
     component_id is the smallest key that links reach. Null and empty texts have no shingles and link with nothing. A
-    row without a key gets n_shingles and a null component, and links with nothing. Repeated rows of one key are one
-    document, each returned. An empty table gives no rows. Other columns are not read.
+    row without a key gets n_shingles and a null component, and links with nothing. Rows of one key are one document, each
+    returned with its own n_shingles; it links with what any of their texts links with. An empty table gives no rows. Other
+    columns are not read.
 
     Shingles are compared as 64-bit hashes.
     """
     rows = _keys(docs, key, text)
-    classes = shingle_classes(rows, words)
-    written = stored(prefixes(rows, classes, words, percent), "prefixes")
-    real = written.where("id IS NOT NULL AND n > 0")
-    sets = real.groupBy("n", "fa", "fb").agg(F.min("id").alias("rep"), F.min("pa").alias("pa"), F.min("pb").alias("pb"))
-    sets = stored(sets, "classes")
-    groups = sets.groupBy("n", "pa", "pb").agg(F.min("rep").alias("leader"), F.count(F.lit(1)).alias("members"))
-    members = stored(sets.join(groups, ["n", "pa", "pb"]).select("rep", "n", "leader", "members"), "members")
-    shared = stored(shared_shingles(written, members), "shared")
-
-    needed = shared.select("id", "n").distinct()
-    texts = stored(rows.join(needed, "id").select("id", "n", "text"), "texts")
-    links = stored(verified(stored(_stars(shared, percent), "pairs"), texts, words, percent), "links")
-    apart = stored(_apart(shared, links), "apart")
-    pairs = stored(_all_pairs_apart(apart, percent), "pairs")
-    labels = components(links.unionByName(verified(pairs, texts, words, percent)))
-    discard(texts, shared, apart, pairs, members, links)
-
-    labelled = sets.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select(
-        "n", "fa", "fb", F.coalesce("component", "rep").alias("component")
-    )
-    return written.join(labelled, ["n", "fa", "fb"], "left").select(
+    sets = stored(set_sizes(rows, words), "sets")
+    real = sets.where("id IS NOT NULL AND n > 0")
+    classes = real.groupBy("n", "fa", "fb").agg(F.min("id").alias("rep"))
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    left = stored(may_link(rows.where("id IS NOT NULL"), classes, words, percent), "may-link")
+    texts = stored(class_texts(rows, left, words), "texts")
+    links = links_between(texts, words, percent)
+    repeated = real.groupBy("id").agg(F.count_distinct("n", "fa", "fb").alias("texts")).where("texts > 1").select("id")
+    same = real.join(repeated, "id").join(classes, ["n", "fa", "fb"]).groupBy("id", "node").agg(F.lit(1))
+    same = same.select(F.col("node").alias("a"), F.min("node").over(Window.partitionBy("id")).alias("b"))
+    found = components(links.unionByName(same)).withColumnRenamed("id", "node")
+    discard(texts, left)
+
+    labelled = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = labelled.groupBy("component").agg(F.min("rep").alias("least"))
+    answer = labelled.join(least, "component").select("n", "fa", "fb", "least")
+    return sets.join(answer, ["n", "fa", "fb"], "left").select(
         F.col("id").alias(key),
         F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),
+        F.when(F.col("id").isNotNull(), F.coalesce("least", "id")).alias("component_id"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from yieldline.llm.columns import RangeHash, flat, mixed, runs
+from yieldline.llm.columns import flat, mixed, runs, word_hashes
 
 # Bytes of text at once; the hash of byte ranges takes some 30 bytes for each.
 SLICE = 2 << 20
@@ -30,7 +30,7 @@ def shingle_sets(column: pa.Array, words: int) -> list[np.ndarray]:
     low = data.copy()
     low[(data >= 65) & (data <= 90)] += 32
     starts, ends = runs((low != 32) & ((low < 9) | (low > 13)), offsets)
-    hashes = RangeHash(low)(starts, ends)
+    hashes = word_hashes(low, starts, ends)
     first = np.searchsorted(starts, offsets)
     per_row = np.diff(first)
     last = np.repeat(first[1:], per_row)
