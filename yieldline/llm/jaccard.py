@@ -1,13 +1,16 @@
 """Near duplicates by word shingles: a grouped prefix join, exact for any threshold.
 
 1. Documents with equal sets are a class. A shingle that no other class has is in no overlap, so a class with too many of them
-   links with nothing. This is seen on every second shingle first, which leaves few classes, and then on all of theirs.
+   links with nothing. This is seen on three in eight shingles first, which leaves few classes, and then on all of theirs.
 2. Shingles that lie in exactly the same classes are one item with a weight, so a passage is an item however long it is. Items
    are ordered by their number of classes, rare ones first; every class's prefix is so much of its weight that two classes
    that link share an item of it. Counts are exact, and nothing is broadcast.
 3. Classes of equal prefix and size are a group. Groups that share prefix items are paired, pairs that share too little are
    dropped, and only then members are expanded and verified on whole texts. What is connected already is not compared
    again: first each group is tried with the hub that it shares most with, round by round, then whatever is still apart.
+4. An item that many groups have is not paired as it is. Classes that link share two items of somewhat longer prefixes, three
+   of still longer ones, and so on: the item's list is dealt out by a second item, long ones of these lists by a third,
+   for as long as that makes fewer rows than pairing would. So texts of common paragraphs meet where they share nearly all.
 
 Counts are combined before they are shuffled, and tables that rows are joined with are written first, so that adaptive
 execution can split a shingle or an item that many classes have. A lost executor costs its own tasks only.
@@ -15,6 +18,7 @@ execution can split a shingle or an item that many classes have. A lost executor
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +32,8 @@ from yieldline.llm.shingles import SLICE, shingle_sets
 
 # Rounds in which groups are tried with hubs before all that is apart is paired. They decide speed only.
 ROUNDS = 3
+# An item or list of so many groups or classes is paired as it is, and so many items are taken together at most. Speed only.
+SHORT, LEVELS = 8, 6
 
 
 def _keys(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -57,14 +63,17 @@ def set_sizes(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(work, "id long, n int, fa long, fb long")
 
 
-def half_of_shingles(docs: DataFrame, words: int) -> DataFrame:
-    """h, c: every second shingle by its hash, with the class it is in."""
+def some_shingles(docs: DataFrame, words: int) -> DataFrame:
+    """h, c: three in eight shingles, chosen by their hash, with the class they are in.
+
+    A class that shares nothing then has three eighths of its shingles here for its own, where a quarter rules out any link.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
             sets = shingle_sets(batch.column(0), words)
             classes, first = np.unique(_fingerprints(sets)[0], return_index=True)
-            some = [sets[i][sets[i] % 2 == 0] for i in first.tolist()]
+            some = [sets[i][sets[i] % 8 < 3] for i in first.tolist()]
             owners = np.repeat(classes, [len(s) for s in some])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(some).view(np.int64)), pa.array(owners)], names=["h", "c"])
 
@@ -77,7 +86,7 @@ def _prefix_length(percent: int) -> Column:
 
 def may_link(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """`classes` less those that are seen to have more shingles of their own than a class that links can have."""
-    alone = half_of_shingles(docs, words).groupBy("h").agg(F.min("c").alias("fa"), F.max("c").alias("top")).where("fa = top")
+    alone = some_shingles(docs, words).groupBy("h").agg(F.min("c").alias("fa"), F.max("c").alias("top")).where("fa = top")
     known = alone.groupBy("fa").agg(F.count(F.lit(1)).alias("own"))
     return classes.join(known, "fa", "left").where(F.coalesce("own", F.lit(0)) < _prefix_length(percent)).drop("own")
 
@@ -111,11 +120,38 @@ def all_shingles(texts: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(work, "h long, node long, n int")
 
 
+def depths(weights: list[int], own: int, slack: int) -> tuple[list[int], int]:
+    """For each of a class's items the least l whose l-prefix has it, and the largest l with a prefix.
+
+    A class that links misses `slack` of its weight at most, `own` of which no other class has. The l-prefix is the shortest
+    beginning whose weight without its l - 1 heaviest items is more than that, so that a class that links has l items of it.
+    """
+    out, most = [0] * len(weights), 0
+    for level in range(1, LEVELS + 1):
+        heaviest: list[int] = []
+        weight, end = own, None
+        for i, w in enumerate(weights):
+            weight += w
+            heapq.heappush(heaviest, w)
+            if len(heaviest) > level - 1:
+                heapq.heappop(heaviest)
+            if weight - sum(heaviest) > slack:
+                end = i + 1
+                break
+        if end is None:
+            break
+        most = level
+        for i in range(end):
+            out[i] = out[i] or level
+    return out, most
+
+
 def prefixes(texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """node, n, item, weight, after, reach: the items of each class's prefix, rarest first.
+    """node, n, item, weight, place, depth, after, reach, most: the items of each class's prefixes, rarest first.
 
-    after: weight of the prefix from the item's second shingle on. reach: weight of the whole prefix with the shingles that
-    only this class has. Classes with too little in common with all others together have no rows.
+    depth: the least l whose l-prefix has the item; the plain prefix has those of depth 1. after: weight of the plain prefix from
+    the item's second shingle on. reach: weight of the plain prefix with the shingles that only this class has. most: the
+    largest l with a prefix. Classes with too little in common with all others together have no rows.
     """
     entries = all_shingles(texts, words)
     lists = entries.groupBy("h").agg(
@@ -123,21 +159,34 @@ def prefixes(texts: DataFrame, words: int, percent: int) -> DataFrame:
     )
     lists = stored(lists.where("classes > 1"), "lists")
     items = entries.join(lists, "h").groupBy("node", "n", "classes", "x", "y").agg(F.count(F.lit(1)).alias("weight"))
-    items = items.withColumn("item", F.xxhash64("classes", "x", "y"))
-    node = Window.partitionBy("node")
-    so_far = F.sum("weight").over(node.orderBy("classes", "item").rowsBetween(Window.unboundedPreceding, 0))
-    placed = items.withColumn("upto", so_far).withColumn("common", F.sum("weight").over(node))
-    begins = F.col("n") - F.col("common") + F.col("upto") - F.col("weight")
-    placed = placed.where((F.col("common") * 100 >= percent * F.col("n")) & (begins < _prefix_length(percent)))
-    end = F.max("upto").over(node)
-    return placed.select(
-        "node", "n", "item", "weight", (end - F.col("upto") + F.col("weight") - 1).alias("after"), (F.col("n") - F.col("common") + end).alias("reach")
-    )
+    each = F.sort_array(F.collect_list(F.struct("classes", F.xxhash64("classes", "x", "y").alias("item"), "weight")))
+    whole = items.groupBy("node", "n").agg(each.alias("items"), F.sum("weight").alias("common"))
+    whole = whole.where(F.col("common") * 100 >= percent * F.col("n"))
+    whole = whole.select("node", "n", "common", F.col("items.item").alias("item"), F.col("items.weight").alias("weight"))
+    schema = "node long, n int, item long, weight long, place int, depth int, after long, reach long, most int"
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for node, n, common, ids, weights in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                depth, most = depths(weights, n - common, n - -(-percent * n // 100))
+                left = sum(w for w, d in zip(weights, depth, strict=True) if d == 1)
+                reach = n - common + left
+                for place, (item, w, d) in enumerate(zip(ids, weights, depth, strict=True)):
+                    if d:
+                        rows.append((node, n, item, w, place, d, left - 1 if d == 1 else 0, reach, most))
+                    left -= w
+            kinds = [f.split()[1] for f in schema.split(", ")]
+            columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
+            types = [pa.int32() if k == "int" else pa.int64() for k in kinds]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[f.split()[0] for f in schema.split(", ")])
+
+    return whole.mapInArrow(work, schema)
 
 
 def grouped(prefix: DataFrame) -> DataFrame:
     """node, n, reach, leader, members: classes with the same prefix and size are a group, led by the least of them."""
-    heads = prefix.groupBy("node", "n", "reach").agg(F.bit_xor(F.xxhash64("item")).alias("x"), F.bit_xor(F.xxhash64("item", F.lit(1))).alias("y"))
+    heads = prefix.where("depth = 1").groupBy("node", "n", "reach").agg(F.bit_xor(F.xxhash64("item")).alias("x"), F.bit_xor(F.xxhash64("item", F.lit(1))).alias("y"))
     groups = heads.groupBy("n", "reach", "x", "y").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("members"))
     return heads.join(stored(groups, "groups"), ["n", "reach", "x", "y"]).select("node", "n", "reach", "leader", "members")
 
@@ -145,7 +194,7 @@ def grouped(prefix: DataFrame) -> DataFrame:
 def shared_items(prefix: DataFrame, members: DataFrame) -> DataFrame:
     """item, g, n, reach, weight, after: prefix items that two groups or more have. A group stands for all its members."""
     leaders = members.where("node = leader").select("node")
-    rows = prefix.join(leaders, "node", "left_semi").withColumnRenamed("node", "g")
+    rows = prefix.where("depth = 1").join(leaders, "node", "left_semi").withColumnRenamed("node", "g")
     several = rows.groupBy("item").agg(F.min("g").alias("low"), F.max("g").alias("top")).where("low < top").select("item")
     return rows.join(stored(several, "several"), "item", "left_semi").select("item", "g", "n", "reach", "weight", "after")
 
@@ -183,10 +232,13 @@ def _side(rows: DataFrame, side: str, *more: str) -> DataFrame:
     return rows.select("item", *renamed)
 
 
-def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """`members` with their component, which is the class itself as long as it has no link."""
-    found = components(links).withColumnRenamed("id", "node")
-    return members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+def _joined(labelled: DataFrame, links: DataFrame) -> DataFrame:
+    """`labelled` (node, component, ...) with the components that `links` connect made one. Looks at links between components only."""
+    ends = labelled.select("node", "component")
+    edges = links.join(ends.toDF("a", "c_a"), "a").join(ends.toDF("b", "c_b"), "b").where("c_a <> c_b")
+    moved = components(edges.select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))).select(F.col("id").alias("component"), F.col("component").alias("to"))
+    after = labelled.join(moved, "component", "left").withColumn("component", F.coalesce("to", "component"))
+    return stored(after.select(labelled.columns), "labelled")
 
 
 def _spread(labelled: DataFrame) -> DataFrame:
@@ -210,26 +262,84 @@ def _hub_pairs(shared: DataFrame, spread: DataFrame, percent: int) -> DataFrame:
     return likely.groupBy("a").agg(F.max_by("b", F.struct("weight", -F.col("b"))).alias("b"))
 
 
-def meetings(shared: DataFrame, spread: DataFrame, percent: int) -> DataFrame:
-    """A row for each prefix item of two groups of alike size that are not in one component.
+def still_apart(shared: DataFrame, spread: DataFrame) -> DataFrame:
+    """Rows of items whose groups are not all in one component, with `long`: whether the item has many groups."""
+    rows = shared.join(spread, "g")
+    apart = rows.groupBy("item").agg(F.min("low").alias("least"), F.max("top").alias("greatest"), F.count(F.lit(1)).alias("groups"))
+    apart = stored(apart.where("least < greatest").select("item", (F.col("groups") > SHORT).alias("long")), "apart")
+    return stored(rows.join(apart, "item"), "apart-rows")
+
+
+def meetings(apart: DataFrame, percent: int) -> DataFrame:
+    """A row for each item without many groups, of two groups of alike size that are not in one component.
 
     Half of the weight that a link needs is enough evidence, so an item counts only if so much comes after it in both
     prefixes: of a pair's common items that leaves out the last ones, the most frequent, and no more than that half.
     """
-    rows = shared.join(spread, "g")
-    apart = rows.groupBy("item").agg(F.min("low").alias("least"), F.max("top").alias("most")).where("least < most")
-    rows = stored(rows.join(stored(apart.select("item"), "apart"), "item", "left_semi"), "apart-rows")
+    unpaired = apart.groupBy("g").agg(F.sum(F.when(F.col("long"), F.col("weight")).otherwise(0)).alias("unpaired"))
+    rows = apart.where("NOT long").join(unpaired, "g")
     half = F.floor(_needed(percent) / 2)
-    met = _side(rows, "a", "weight", "after", "low", "top").join(_side(rows, "b", "after", "low", "top"), "item")
+    met = _side(rows, "a", "weight", "after", "low", "top", "unpaired").join(_side(rows, "b", "after", "low", "top", "unpaired"), "item")
     unlike = F.expr("a < b AND NOT (low_a = top_a AND low_b = top_b AND low_a = low_b)")
     return met.where(unlike & _near(percent) & (F.least("after_a", "after_b") >= half))
 
 
-def group_pairs(shared: DataFrame, spread: DataFrame, percent: int) -> DataFrame:
-    """Pairs of groups that are not in one component and share as much prefix weight as a link needs."""
-    met = meetings(shared, spread, percent)
-    counted = met.groupBy("a", "b", "n_a", "n_b", "reach_a", "reach_b").agg(F.sum("weight_a").alias("weight"))
-    return counted.where(F.col("weight") >= _needed(percent) - F.floor(_needed(percent) / 2)).select("a", "b")
+def group_pairs(apart: DataFrame, percent: int) -> DataFrame:
+    """Pairs of groups that are not in one component and may share as much prefix weight as a link needs: what they share of
+    items without many groups, and at most all of the others."""
+    met = meetings(apart, percent)
+    counted = met.groupBy("a", "b", "n_a", "n_b", "reach_a", "reach_b", "unpaired_a", "unpaired_b").agg(F.sum("weight_a").alias("weight"))
+    weight = F.col("weight") + F.least("unpaired_a", "unpaired_b")
+    return counted.where(weight >= _needed(percent) - F.floor(_needed(percent) / 2)).select("a", "b")
+
+
+def _met_in(rows: DataFrame, others: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of alike size and different components with the same list. Those of `rows` in its largest component need
+    not look for others, as others look for them."""
+    rows = rows.where("component <> largest")
+    x = rows.select("list", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
+    y = others.select("list", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
+    met = x.join(y, "list").where(F.expr("a <> b AND c_a <> c_b") & _near(percent))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def pairs_of_long_lists(apart: DataFrame, prefix: DataFrame, labelled: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes that share an item which many groups have, and as many more as it takes to make their list short.
+
+    A list is dealt out by the items that its classes have ahead if that makes less than half of the rows that pairing it
+    makes, which is counted first. A class without an l-prefix cannot be dealt out to l items and is paired with its list.
+    """
+    items = apart.where("long").select("item").distinct()
+    rows = prefix.where("depth = 1").join(items, "item", "left_semi").join(labelled.select("node", "component"), "node")
+    rows = stored(rows.select(F.col("item").alias("list"), "node", "n", "component", "place", "most"), "long")
+    pairs = rows.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b"))
+    for level in range(2, LEVELS + 2):
+        if rows.isEmpty():
+            break
+        later = prefix.where(F.col("depth") <= level).select("node", F.col("place").alias("next"), "item")
+        ahead = later.groupBy("node").agg(F.collect_list("next").alias("ahead"))
+        sized = rows.join(ahead, "node").withColumn("ahead", F.size(F.filter("ahead", lambda x: x > F.col("place"))))
+        parts = sized.groupBy("list", "component").agg(F.count(F.lit(1)).alias("rows"), F.sum("ahead").alias("ahead"))
+        lists = parts.groupBy("list").agg(
+            F.sum("rows").alias("rows"), F.sum("ahead").alias("ahead"), F.max_by("component", "rows").alias("largest"), F.count(F.lit(1)).alias("parts")
+        )
+        lists = stored(lists.where("parts > 1").select("list", "rows", "ahead", "largest"), "lists")
+        long = lists.where(F.expr(f"rows > {SHORT} AND 8 * ahead < rows * rows") & F.lit(level <= LEVELS))
+        dealt = rows.join(long.select("list"), "list", "left_semi").where(F.col("most") >= level).join(later, "node").where("next > place")
+        dealt = stored(dealt, "dealt")
+        each = dealt.groupBy("list", "item").agg(F.count(F.lit(1)).alias("m")).groupBy("list").agg(F.sum(F.expr("m * m + 2 * m")).alias("after"))
+        worth = stored(lists.join(each, "list").where("2 * after < rows * rows").select("list", F.lit(True).alias("long")), "worth")
+        rows = rows.join(lists.select("list", "largest"), "list").join(worth, "list", "left").withColumn("long", F.coalesce("long", F.lit(False)))
+        rows = stored(rows, "long")
+        stays, goes = rows.where("NOT long"), rows.where("long")
+        stuck = goes.where(F.col("most") < level)
+        met = _met_in(stays, stays, percent).unionByName(_met_in(stuck, goes, percent))
+        met = met.unionByName(_met_in(goes, stuck, percent))
+        pairs = pairs.unionByName(stored(met, "pairs"))
+        going = dealt.join(worth.select("list"), "list", "left_semi")
+        rows = going.select(F.xxhash64("list", "item").alias("list"), "node", "n", "component", F.col("next").alias("place"), "most")
+        rows = stored(rows, "long")
+    return pairs.distinct()
 
 
 def _members_apart(pairs: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -243,25 +353,29 @@ def _members_apart(pairs: DataFrame, labelled: DataFrame) -> DataFrame:
     return across.select("x", "y").unionByName(inside.select("x", "y")).toDF("a", "b")
 
 
-def links_between(texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """a, b: links that connect all classes that links reach, without one for each pair."""
+def components_of(texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """node, component: for classes that may link, the component that links reach, named by one of its classes."""
     prefix = stored(prefixes(texts, words, percent), "prefixes")
     members = stored(grouped(prefix), "members")
     shared = stored(shared_items(prefix, members), "shared")
-    first = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
-    links = stored(verified(first, texts, words, percent), "links")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return stored(verified(pairs, texts, words, percent), "links")
+
+    labelled = members.withColumn("component", F.col("node"))
+    first = linked(members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")))
+    labelled = _joined(labelled, first)
     for _ in range(ROUNDS):
-        spread = stored(_spread(_labelled(members, links)), "spread")
-        tried = stored(_hub_pairs(shared, spread, percent), "pairs")
-        found = stored(verified(tried, texts, words, percent), "links")
-        links = links.unionByName(found)
+        found = linked(_hub_pairs(shared, _spread(labelled), percent))
         if found.isEmpty():
             break
-    labelled = stored(_labelled(members, links), "labelled")
-    pairs = stored(group_pairs(shared, stored(_spread(labelled), "spread"), percent), "pairs")
-    rest = stored(verified(_members_apart(pairs, labelled), texts, words, percent), "links")
-    discard(prefix, shared, members, pairs, labelled)
-    return links.unionByName(rest)
+        labelled = _joined(labelled, found)
+    apart = still_apart(shared, _spread(labelled))
+    pairs = stored(group_pairs(apart, percent), "pairs")
+    among = _members_apart(pairs, labelled).unionByName(pairs_of_long_lists(apart, prefix, labelled, percent)).distinct()
+    labelled = _joined(labelled, linked(among)).select("node", "component")
+    discard(prefix, shared, members, pairs, apart)
+    return labelled
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 75) -> DataFrame:
@@ -282,14 +396,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     left = stored(may_link(rows.where("id IS NOT NULL"), classes, words, percent), "may-link")
     texts = stored(class_texts(rows, left, words), "texts")
-    links = links_between(texts, words, percent)
+    found = components_of(texts, words, percent)
+    labelled = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     repeated = real.groupBy("id").agg(F.count_distinct("n", "fa", "fb").alias("texts")).where("texts > 1").select("id")
     same = real.join(repeated, "id").join(classes, ["n", "fa", "fb"]).groupBy("id", "node").agg(F.lit(1))
-    same = same.select(F.col("node").alias("a"), F.min("node").over(Window.partitionBy("id")).alias("b"))
-    found = components(links.unionByName(same)).withColumnRenamed("id", "node")
+    same = stored(same.select(F.col("node").alias("a"), F.min("node").over(Window.partitionBy("id")).alias("b")), "same")
+    if not same.isEmpty():
+        labelled = _joined(labelled, same)
     discard(texts, left)
 
-    labelled = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("rep").alias("least"))
     answer = labelled.join(least, "component").select("n", "fa", "fb", "least")
     return sets.join(answer, ["n", "fa", "fb"], "left").select(
