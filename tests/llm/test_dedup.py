@@ -5,6 +5,8 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 import brute
 import corpus_pipeline
@@ -75,9 +77,11 @@ def test_copies_with_one_changed_word_each(spark):
     assert found == brute.near_duplicates(rows)
 
 
-def test_links_are_found_without_stars(documents, pairs, monkeypatch):
-    """The last step alone finds every link, also between classes of one group."""
+@pytest.mark.parametrize("short", [16, 1])
+def test_links_are_found_without_stars(documents, pairs, monkeypatch, short):
+    """The last step alone finds every link, also between classes of one group; with short lists and with all lists long."""
     monkeypatch.setattr(jaccard, "ROUNDS", 0)
+    monkeypatch.setattr(jaccard, "SHORT", short)
     want = brute.near_duplicates(pairs)
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(documents).collect() if r.doc_id is not None}
     assert found == want
@@ -93,25 +97,43 @@ def paragraphs(rng, documents, pool, unique, each):
     return texts
 
 
-@pytest.mark.parametrize("pool, unique, each", [(12, 60, 3)])
+@pytest.mark.parametrize("pool, unique, each", [(12, 60, 3), (30, 10, 5)])
 def test_pairs_do_not_grow_with_the_square_of_a_family(spark, monkeypatch, pool, unique, each):
     """Texts that share paragraphs, twice as many and four times as many: no more pair rows for each text."""
-    rows, real = [], jaccard.meetings
+    rows = []
+    for name in ("meetings", "_met_in"):
 
-    def counted(*args):
-        met = real(*args)
-        rows.append(met.count())
-        return met
+        def counted(*args, real=getattr(jaccard, name)):
+            met = real(*args)
+            rows[-1] += met.count()
+            return met
 
-    monkeypatch.setattr(jaccard, "meetings", counted)
+        monkeypatch.setattr(jaccard, name, counted)
     rng = np.random.default_rng(5)
-    sizes = (200, 400, 800)
+    sizes = (200, 800)
     for count in sizes:
+        rows.append(0)
         texts = list(enumerate(paragraphs(rng, count, pool, unique, each)))
         found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
         if count == 200:
             assert found == brute.near_duplicates(texts)
-    assert all(n <= 4 * count for n, count in zip(rows, sizes, strict=True)), rows
+    assert all(n <= 2 * jaccard.SHORT * count for n, count in zip(rows, sizes, strict=True)), rows
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 30), min_size=1, max_size=12), st.integers(0, 20), st.data())
+def test_classes_that_link_share_items_of_each_prefix(weights, own, data):
+    """Whatever a class misses, if it is no more than a link allows: l of its l-prefix's items are left."""
+    n = own + sum(weights)
+    slack = n - -(-75 * n // 100)
+    depth, most = jaccard.depths(weights, own, slack)
+    missing, at = own, set()
+    for i in data.draw(st.permutations(range(len(weights)))):
+        if missing + weights[i] <= slack:
+            missing, at = missing + weights[i], at | {i}
+    if own <= slack:
+        for level in range(1, most + 1):
+            assert sum(0 < d <= level for i, d in enumerate(depth) if i not in at) >= level
 
 
 def test_long_words_that_a_polynomial_hash_confuses(spark):
@@ -133,6 +155,39 @@ def test_rows_of_one_key_are_one_document(spark):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == [(3, 36, 3), (5, 36, 3), (5, 36, 3), (5, 36, 3), (7, 0, 7), (8, 37, 3), (9, 36, 3)]
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.text("ab", max_size=60))
+def test_longest_previous_factors(text):
+    """Against comparing each suffix with every earlier one."""
+
+    def common(i, j):
+        n = 0
+        while max(i, j) + n < len(text) and text[i + n] == text[j + n]:
+            n += 1
+        return n
+
+    order = sorted(range(len(text)), key=lambda i: text[i:])
+    steps = np.array([0, *(common(i, j) for i, j in zip(order[:-1], order[1:], strict=True))][: len(order)], np.int64)
+    found = suffix_dedup.longest_previous_factors(np.array(order, np.int64), steps)
+    assert found.tolist() == [max((common(i, j) for j in range(i)), default=0) for i in order]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("ab", min_size=8, max_size=40), min_size=1, max_size=8), st.data())
+def test_later_windows(parts, data):
+    """Windows of parts of several documents that may overlap, against comparing all of them."""
+    length = 8
+    keys = np.array(data.draw(st.lists(st.integers(0, 2), min_size=len(parts), max_size=len(parts))), np.int64)
+    whole = {k: "".join(p for p, q in zip(parts, keys.tolist(), strict=True) if q == k) for k in set(keys.tolist())}
+    starts = [data.draw(st.integers(0, len(whole[k]) - len(p))) for p, k in zip(parts, keys.tolist(), strict=True)]
+    pieces = [whole[k][s : s + len(p)].encode() for p, s, k in zip(parts, starts, keys.tolist(), strict=True)]
+    groups = np.array(data.draw(st.lists(st.integers(0, 1), min_size=len(parts), max_size=len(parts))), np.int64)
+    part, within = suffix_dedup.later_windows(pieces, keys, np.array(starts, np.int64), groups, length)
+    windows = [(int(groups[i]), p[a : a + length], (int(keys[i]), starts[i] + a), (i, a)) for i, p in enumerate(pieces) for a in range(len(p) - length + 1)]
+    want = {w[3] for w in windows if any(v[:2] == w[:2] and v[2] < w[2] for v in windows)}
+    assert set(zip(part.tolist(), within.tolist(), strict=True)) == want
+
+
 def test_no_documents(nothing):
     assert jaccard.near_duplicates(nothing).count() == 0
     assert suffix_dedup.remove_repeated(nothing).count() == 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import os
 import shutil
@@ -39,13 +40,17 @@ _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers if they would not find it by PYTHONPATH or the working folder."""
+    """Send this package to the executors, once for each session. Their working folders are not the driver's; only workers of a
+    local master share its search path. The archive stays until the driver ends, as executors fetch it when they start."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
     known = {os.path.abspath(p) for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(":")]}
-    application = spark.sparkContext.applicationId
-    if str(ROOT) not in known and application not in _shipped:
-        with tempfile.TemporaryDirectory() as folder:
-            spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/yieldline", "zip", ROOT, "yieldline"))
-        _shipped.add(application)
+    if not (context.master.startswith("local[") and str(ROOT) in known):
+        folder = tempfile.mkdtemp(prefix="yieldline-package-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        context.addPyFile(shutil.make_archive(f"{folder}/yieldline", "zip", ROOT, "yieldline"))
+    _shipped.add(context.applicationId)
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

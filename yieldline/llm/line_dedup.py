@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yieldline.llm.components import stored
+from yieldline.llm.names import apart_from_input
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -114,6 +115,7 @@ def repeated_lines(
     return later.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("lines"))
 
 
+@apart_from_input
 def drop_repeated_lines(
     docs: DataFrame, key: str = "doc_id", text: str = "text", min_lines: int = 3, min_chars: int = 250, min_words: int | None = None
 ) -> DataFrame:

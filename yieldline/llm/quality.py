@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from yieldline.llm.names import apart_from_input
+
 # Fixed values of the contract.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANK = r"[\x20\x09-\x0D]+"
@@ -78,6 +80,7 @@ def _covered(places: Column) -> Column:
     )
 
 
+@apart_from_input
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """`docs` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), base_failed, kept and cleaned.
 

@@ -8,9 +8,10 @@ repeated window only has to be looked for among segments of the same k-gram.
    repeated as a whole; copies within a slice of input collapse before the shuffle.
 2. Where a k-gram has different segments, these are cut out of the texts. A window that holds the k-gram has half of its other
    bytes on one side at least, so a segment falls into two parts, each dealt by the k-gram with the bytes on that side.
-3. Parts that meet are put in suffix order. Among suffixes that agree in `length` bytes, one with a previous or next smaller
-   position has a longest previous factor of at least `length`: it is a later copy.
-4. Where more parts meet than a task should hold, their windows are dealt by content, and the earliest of each stays.
+3. Parts that meet are put in suffix order. The nearest suffixes before and after that have a smaller position tell how much of
+   a suffix stood earlier, its longest previous factor. A window is a later copy if that is `length` or more.
+4. Parts that meet are worked on in shards of bounded size. Where they take several, what is first in its shard is dealt by
+   content once more, and the earliest of each stays.
 
 The steps are one chain of shuffles without a branch: what is already known to be repeated travels along, and the texts
 are shuffled once for both joins. Positions are ordered by (key, start) in the input; nothing is judged on what is left.
@@ -27,11 +28,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yieldline.llm.columns import RangeHash, flat, mixed, slices
+from yieldline.llm.names import apart_from_input
 
 K = 32
 # Bytes of text at once; the hashes take some 80 bytes for each.
 SLICE = 1 << 20
-# Parts that meet and are sorted together; beyond, windows are dealt by content.
+# Parts of a shard that are all of one meeting.
 MOST_PARTS = 2000
 # Bytes of parts put in suffix order at once.
 SORTED_BYTES = 1 << 19
@@ -222,11 +224,40 @@ def _parts(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
         )
 
 
+def nearest_smaller(values: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """For each entry the least of `common` on the way back to the nearest entry before it with a smaller value; 0 if there is none.
+
+    common[i] belongs to the step from i - 1 to i. All entries look back at once and follow each other's steps.
+    """
+    at = np.arange(len(values)) - 1
+    least = common.astype(np.int64, copy=True)
+    going = np.flatnonzero((at >= 0) & (values[at] >= values))
+    while len(going):
+        over = at[going]
+        least[going] = np.minimum(least[going], least[over])
+        at[going] = at[over]
+        going = going[(at[going] >= 0) & (values[at[going]] >= values[going])]
+    least[at < 0] = 0
+    return least
+
+
+def longest_previous_factors(positions: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """How much of each suffix stood earlier. Entries are in suffix order: the place of the suffix in the order of the texts, and how
+    many bytes it has in common with the entry before it.
+
+    The suffixes nearest in suffix order that have a smaller position, before and after, are the ones that agree longest.
+    """
+    if not len(positions):
+        return np.empty(0, np.int64)
+    after = np.append(common[1:], 0)
+    return np.maximum(nearest_smaller(positions, common), nearest_smaller(positions[::-1], after[::-1])[::-1])
+
+
 def later_windows(parts: list[bytes], keys: np.ndarray, starts: np.ndarray, groups: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Part and place in it of every window that equals one with a smaller (key, position) in the same group.
 
-    The suffix array covers all parts. Ranks start from eight bytes and are doubled up to `length`, which is as far as a
-    previous factor has to be known.
+    The suffix array covers all places with `length` bytes left in their part. Ranks start from eight bytes and are doubled up to
+    `length`, which is as far as a previous factor has to be known; the longest previous factor tells what is a later copy.
     """
     sizes = np.array([len(t) for t in parts], np.int64)
     data = np.frombuffer(b"".join(parts) + bytes(8), np.uint8)
@@ -239,8 +270,9 @@ def later_windows(parts: list[bytes], keys: np.ndarray, starts: np.ndarray, grou
     for i in range(8):
         rank = (rank << np.uint64(8)) | np.where(room > i, data[i : i + total], 0).astype(np.uint64)
     rank = np.unique(rank, return_inverse=True)[1] + 1
-    covered = 8
+    covered, levels = 8, []
     while covered < length:
+        levels.append((covered, rank))
         step = min(covered, length - covered)
         second = np.zeros(total, np.int64)
         far = np.flatnonzero(room > step)
@@ -250,17 +282,35 @@ def later_windows(parts: list[bytes], keys: np.ndarray, starts: np.ndarray, grou
     windows = np.flatnonzero(room >= length)
     part = owner[windows]
     position = starts[part] + within[windows]
-    suffixes = np.lexsort((position, keys[part], groups[part], rank[windows]))
-    part, within, position, rank = part[suffixes], within[windows[suffixes]], position[suffixes], rank[windows[suffixes]]
-    if not len(part):
-        return part, within
-    # Suffixes that agree in `length` bytes are neighbours, by rising position: one has a previous smaller position
-    # unless it is at the run's first place.
-    run = np.ones(len(part), bool)
-    run[1:] = (rank[1:] != rank[:-1]) | (groups[part[1:]] != groups[part[:-1]])
-    first = np.maximum.accumulate(np.where(run, np.arange(len(part)), 0))
-    later = (keys[part] != keys[part[first]]) | (position != position[first])
-    return part[later], within[later]
+    suffixes = windows[np.lexsort((position, keys[part], rank[windows], groups[part]))]
+    part = owner[suffixes]
+    position = starts[part] + within[suffixes]
+    # Places in the order of the texts; a place that two parts cover is one place.
+    order = np.lexsort((position, keys[part]))
+    new = np.ones(len(order), np.int64)
+    new[1:] = (keys[part][order][1:] != keys[part][order][:-1]) | (position[order][1:] != position[order][:-1])
+    places = np.empty(len(order), np.int64)
+    places[order] = np.cumsum(new)
+    common = _common_prefixes(suffixes, rank, levels, length)
+    common[1:][groups[part[1:]] != groups[part[:-1]]] = 0
+    later = longest_previous_factors(places, common) >= length
+    return part[later], within[suffixes[later]]
+
+
+def _common_prefixes(suffixes: np.ndarray, rank: np.ndarray, levels: list[tuple[int, np.ndarray]], length: int) -> np.ndarray:
+    """How many bytes each suffix has in common with the one before it, `length` at most, as far as ranks tell: in whole steps of
+    the levels, least bytes first. Exact where it is `length`."""
+    common = np.zeros(len(suffixes), np.int64)
+    if len(suffixes) < 2:
+        return common
+    x, y = suffixes[:-1], suffixes[1:]
+    done = np.zeros(len(x), np.int64)
+    for covered, ranks in reversed(levels):
+        fits = done + covered <= length
+        i, j = x + np.where(fits, done, 0), y + np.where(fits, done, 0)
+        done += np.where(fits & (ranks[i] == ranks[j]), covered, 0)
+    common[1:] = np.where(rank[x] == rank[y], length, np.minimum(done, length - 1))
+    return common
 
 
 def _ordered(batches: Iterator[pa.RecordBatch], length: int, most: int = MOST_PARTS) -> Iterator[pa.RecordBatch]:
@@ -285,18 +335,18 @@ def _ordered(batches: Iterator[pa.RecordBatch], length: int, most: int = MOST_PA
                     held = held[: len(held) - len(whole)]
                     yield from _compared(held, length)
                     held, size, crowded = [], 0, sub
-                    yield from _windows(whole, length)
+                    yield from _shard(whole, length)
                 held.append((sub, keys[i], starts[i], bytes_))
                 if len(held) >= most:
-                    yield from _windows(held, length)
+                    yield from _shard(held, length)
                     held = []
                 continue
             if crowded is not None:
-                yield from _windows(held, length)
+                yield from _shard(held, length)
                 held, size, crowded = [], 0, None
             held.append((sub, keys[i], starts[i], bytes_))
             size += len(bytes_)
-    yield from _windows(held, length) if crowded is not None else _compared(held, length)
+    yield from _shard(held, length) if crowded is not None else _compared(held, length)
 
 
 def _ranges(p: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray, known: bool) -> pa.RecordBatch:
@@ -331,27 +381,23 @@ def _compared(rows: list[tuple], length: int) -> Iterator[pa.RecordBatch]:
         yield _known(*later_windows(parts, keys, starts, subs, length), keys, starts, length)
 
 
-def _windows(rows: list[tuple], length: int) -> Iterator[pa.RecordBatch]:
-    """The windows of many parts that meet, by content; copies within these rows are already known."""
+def _shard(rows: list[tuple], length: int) -> Iterator[pa.RecordBatch]:
+    """A shard of many parts that meet: later copies within it, and the first window of each content, to be settled across shards."""
     if not rows:
         return
     subs, keys, starts, parts = _columns(rows)
+    part, within = later_windows(parts, keys, starts, subs, length)
+    yield _known(part, within, keys, starts, length)
     sizes = np.array([len(t) for t in parts], np.int64)
     begins = np.cumsum(sizes) - sizes
-    count = sizes - length + 1
-    part = np.repeat(np.arange(len(parts)), count)
-    within = np.arange(int(count.sum())) - (np.cumsum(count) - count)[part]
-    at = begins[part] + within
-    content = mixed(RangeHash(np.frombuffer(b"".join(parts), np.uint8))(at, at + length) ^ mixed(subs[part].view(np.uint64)))
-    position = starts[part] + within
-    order = np.lexsort((position, keys[part], content))
-    part, within, position, content = part[order], within[order], position[order], content[order]
-    run = np.ones(len(part), bool)
-    run[1:] = content[1:] != content[:-1]
-    first = np.maximum.accumulate(np.where(run, np.arange(len(part)), 0))
-    later = (keys[part] != keys[part[first]]) | (position != position[first])
-    yield _known(part[later], within[later], keys, starts, length)
-    yield _ranges(content[run].view(np.int64), keys[part[run]], position[run], position[run] + length, False)
+    first = np.arange(int(sizes.sum())) - np.repeat(begins, sizes) <= np.repeat(sizes - length, sizes)
+    first[begins[part] + within] = False
+    at = np.flatnonzero(first)
+    owner = np.repeat(np.arange(len(parts)), sizes)[at]
+    hashes = RangeHash(np.frombuffer(b"".join(parts), np.uint8))
+    content = mixed(hashes(at, at + length) ^ mixed(subs[owner].view(np.uint64)))
+    position = starts[owner] + at - begins[owner]
+    yield _ranges(content.view(np.int64), keys[owner], position, position + length, False)
 
 
 def _settled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -397,6 +443,7 @@ def repeated_ranges(docs: DataFrame, length: int) -> DataFrame:
 ADDED = ["n_bytes", "n_removed", "n_spans", "kept"]
 
 
+@apart_from_input
 def remove_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 100) -> DataFrame:
     """`docs` with n_bytes, n_removed, n_spans (maximal removed runs) and kept (binary, the remaining bytes).
 
@@ -416,6 +463,7 @@ def measure_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", l
     return done.select(F.col("key").alias(key), *ADDED)
 
 
+@apart_from_input
 def drop_repeated(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 100) -> DataFrame:
     """`docs` with the removed bytes taken out of `text`; bytes of characters that were cut are left out too.
 
