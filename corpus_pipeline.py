@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from yieldline.llm import jaccard, line_dedup, packing, suffix_dedup, toxicity
 from yieldline.llm.catalog import ship
 from yieldline.llm.encoding import vocabulary_path
+from yieldline.llm.names import apart_from_input
 from yieldline.session import new_folder
 
 
@@ -29,8 +30,13 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Suffix-array dedup (8): later copies of passages go, and documents of which nothing else is left."""
-    cleaned = suffix_dedup.drop_repeated(docs.withColumn("__bytes", F.octet_length("text")))
-    return _with_text_left(docs, cleaned, F.col("__bytes") - F.octet_length("text"))
+
+    @apart_from_input
+    def shorter(docs: DataFrame) -> DataFrame:
+        cleaned = suffix_dedup.drop_repeated(docs.withColumn("__bytes", F.octet_length("text")))
+        return _with_text_left(docs, cleaned, F.col("__bytes") - F.octet_length("text"))
+
+    return shorter(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
