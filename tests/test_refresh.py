@@ -7,7 +7,9 @@ import pytest
 from test_properties import bag, random_rows
 from yieldline.operators import merge
 from yieldline.plans import models
+from yieldline.plans.oee import station_hour_fact
 from yieldline.plans.refresh import full_refresh, incremental_refresh
+from yieldline.plans.views import FACT, VIEWS
 from yieldline.session import new_folder
 from yieldline.sources.tables import Warehouse
 
@@ -16,13 +18,13 @@ def new_warehouse(spark):
     return Warehouse(spark, new_folder(spark, "refresh")).create()
 
 
-def stored_models(warehouse):
-    return {m.name: bag(warehouse.table(m.name, m.schema)) for m in models.MODELS.values()}
+def stored_models(warehouse, wanted=models.MODELS):
+    return {m.name: bag(warehouse.table(m.name, m.schema)) for m in wanted.values()}
 
 
-def built_models(warehouse):
+def built_models(warehouse, wanted=models.MODELS):
     built = {}
-    for model in models.MODELS.values():
+    for model in wanted.values():
         built[model.name] = model.build(
             warehouse.facts(), lambda n: built[n] if n in built else warehouse.ideal_cycle_times()
         )
@@ -47,6 +49,26 @@ def test_incremental_equals_full(spark, make_bookings, seed, hot):
     assert stored_models(warehouse) == built_models(warehouse)
 
 
+@pytest.mark.parametrize("seed, hot", [(5, 0.0), (6, 0.35)])
+def test_stored_views_follow_every_batch(spark, make_bookings, seed, hot):
+    """The older views and the hourly fact, kept up batch by batch, equal the same computed from all facts."""
+    rows = random_rows(seed, n=120, hot=hot)
+    random.Random(seed).shuffle(rows)
+    wanted = {**models.MODELS, **VIEWS}
+    warehouse = new_warehouse(spark)
+    warehouse.append_facts(make_bookings(rows[:50]))
+    full_refresh(warehouse, also=VIEWS)
+    for batch in (rows[50:80], rows[80:] + rows[:5]):
+        arrived = make_bookings(batch)
+        warehouse.append_facts(arrived)
+        replaced = incremental_refresh(warehouse, arrived)
+        assert set(replaced) == set(wanted)
+        assert stored_models(warehouse, wanted) == built_models(warehouse, wanted)
+    ideal = warehouse.ideal_cycle_times()
+    whole = models.as_declared(station_hour_fact(warehouse.facts(), ideal), FACT)
+    assert bag(warehouse.table(FACT.name, FACT.schema)) == bag(whole.select(*warehouse.table(FACT.name, FACT.schema).columns))
+
+
 def test_day_that_loses_all_rows_is_emptied(spark, make_bookings):
     """A board's last booking moves to the next day; the old day has no line row any more."""
     first = [("b1", "S1", "1008", "PASS", "2025-10-25T10:00:00", "P1", "4.00", 1)]

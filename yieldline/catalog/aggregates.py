@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yieldline import schemas
@@ -16,9 +16,12 @@ from yieldline.functions.timing import bucket, elapsed
 from yieldline.operators.attempts import is_fail, is_pass, board_history
 from yieldline.operators.windows import group_max, previous_booking, running_max
 from yieldline.plans.availability import availability_by_gaps
+from yieldline.plans.distinct import DistinctBoards
 from yieldline.plans.linewise import first_pass_of
 from yieldline.plans.quality import quality
+from yieldline.session import new_folder
 from yieldline.sources.events import read_bookings
+from yieldline.sources.tables import Warehouse
 
 
 def _per_station_hour(name: str, aggregates: Callable[[], list[Column]], sql_aggregates: str) -> None:
@@ -104,6 +107,45 @@ def count_distinct_where(spark, folder):
     )
 
 
+MONTH_SHIFT_SQL = """CAST(date_trunc('month', date_created) AS DATE) AS month_start,
+       CASE WHEN hour(date_created) >= 6 AND hour(date_created) < 14 THEN 'Morning'
+            WHEN hour(date_created) >= 14 AND hour(date_created) < 22 THEN 'Evening' ELSE 'Night' END AS shift_name"""
+
+
+def _boards_by_period(spark, folder, *period) -> DataFrame:
+    """Two loads, the second with all of the first again; then counts from the stored hours."""
+    bookings = read_bookings(spark, folder)
+    boards = DistinctBoards(Warehouse(spark, new_folder(spark, "distinct")))
+    boards.add(bookings.where(F.dayofmonth("date_created") < 12))
+    boards.add(bookings)
+    return boards.counts(*period)
+
+
+@query(
+    "a7_boards_by_month_and_shift",
+    sql.with_(select=f"SELECT {MONTH_SHIFT_SQL}, COUNT(DISTINCT serial_number) AS boards FROM bookings GROUP BY ALL"),
+)
+def boards_by_month_and_shift(spark, folder):
+    """Distinct boards of coarse periods, out of bitmaps that were stored per hour."""
+    hour = F.hour("date_hour")
+    shift = F.when(hour.between(6, 13), "Morning").when(hour.between(14, 21), "Evening").otherwise("Night")
+    month = F.trunc(F.to_date("date_hour"), "month").alias("month_start")
+    return _boards_by_period(spark, folder, month, shift.alias("shift_name")).select("month_start", "shift_name", "boards")
+
+
+@query(
+    "a8_boards_by_station_and_day",
+    sql.with_(
+        select="""SELECT station_number, CAST(date_created AS DATE) AS calendar_date, COUNT(DISTINCT serial_number) AS boards,
+       COUNT(DISTINCT serial_number) FILTER (book_state = 'FAIL') AS fail_boards,
+       COUNT(DISTINCT serial_number) FILTER (book_state = 'PASS') AS pass_boards
+FROM bookings GROUP BY ALL"""
+    ),
+)
+def boards_by_station_and_day(spark, folder):
+    return _boards_by_period(spark, folder, "station_number", F.to_date("date_hour").alias("calendar_date"))
+
+
 @query(
     "a9_sum_where",
     sql.with_(

@@ -14,6 +14,7 @@ from yieldline.plans.models import PERFORMANCE, QUALITY
 from yieldline.plans.performance import cycle_totals, performance
 from yieldline.plans.quality import quality
 from yieldline.plans.refresh import full_refresh, incremental_refresh, since_high_water_mark
+from yieldline.plans.views import FACT, LEGACY_LINEWISE, LEGACY_QUALITY, VIEWS
 from yieldline.session import new_folder
 from yieldline.sources import topic
 from yieldline.sources.events import as_bookings, read_bookings, read_events
@@ -256,6 +257,35 @@ def quality_incremental(spark, folder):
     return warehouse.table(QUALITY.name, QUALITY.schema)
 
 
+def maintained(spark, folder, label: str, name: str) -> DataFrame:
+    """First load, full refresh with the stored views; second load, incremental refresh; then the view as it is stored."""
+    warehouse = new_warehouse(spark, label)
+    first, second = two_loads(read_bookings(spark, folder))
+    warehouse.append_facts(first)
+    full_refresh(warehouse, also=VIEWS)
+    warehouse.append_facts(second)
+    incremental_refresh(warehouse, second)
+    return warehouse.table(name, VIEWS[name].schema)
+
+
+@query("s12_maintained_quality_view", sql.with_(sql.legacy_quality("q"), select="SELECT * FROM q"))
+def maintained_quality(spark, folder):
+    return maintained(spark, folder, "s12-quality", LEGACY_QUALITY.name)
+
+
+@query(
+    "s12_maintained_line_view",
+    sql.with_(sql.legacy_quality("q"), sql.linewise("m", "q", by_part=False), select="SELECT * FROM m"),
+)
+def maintained_line(spark, folder):
+    return maintained(spark, folder, "s12-line", LEGACY_LINEWISE.name)
+
+
+@query("k9_maintained_fact", sql.with_(sql.IDEAL, sql.station_fact("f"), select="SELECT * FROM f"))
+def maintained_fact(spark, folder):
+    return maintained(spark, folder, "k9", FACT.name)
+
+
 @query(
     "s17_sync_columns",
     sql.with_(

@@ -117,24 +117,34 @@ def late_table(spark, folder):
     return _run_routed(spark, folder, "t4-late").late()
 
 
-@query(
-    "t5_last_result_per_board",
-    sql.with_(
-        select="""SELECT station_number, serial_number, MAX(test_count) AS latest_attempt,
+LAST_RESULT_SQL = sql.with_(
+    select="""SELECT station_number, serial_number, MAX(test_count) AS latest_attempt,
        BOOL_OR(final AND book_state = 'FAIL') AS failed, BOOL_OR(final AND book_state = 'PASS') AS passed
 FROM (SELECT *, test_count = MAX(test_count) OVER (PARTITION BY station_number, serial_number) AS final FROM bookings)
 GROUP BY ALL"""
-    ),
 )
-def last_result_per_board(spark, folder):
-    path = new_folder(spark, "t5")
+
+
+def _run_boards(spark, folder, label: str, start) -> DataFrame:
+    path = new_folder(spark, label)
     for delivery in deliveries(spark, folder):
         delivery.write.mode("append").parquet(f"{path}/landing")
         arriving = spark.readStream.schema(delivery.schema).parquet(f"{path}/landing")
-        boards.start_boards(arriving, f"{path}/boards", f"{path}/checkpoint").awaitTermination()
+        start(arriving, f"{path}/boards", f"{path}/checkpoint").awaitTermination()
     return boards.last_results(spark, f"{path}/boards")
 
 
+@query("t5_last_result_per_board", LAST_RESULT_SQL)
+def last_result_per_board(spark, folder):
+    return _run_boards(spark, folder, "t5", boards.start_boards)
+
+
+@query("t5_state_per_board", LAST_RESULT_SQL)
+def state_per_board(spark, folder):
+    """The same out of a keyed state with a time to live; the stream is restarted from its checkpoint twice."""
+    return _run_boards(spark, folder, "t5-state", boards.start_board_states)
+
+
 @query("t6_scheduled_runs", LINE_SQL)
 def scheduled_runs(spark, folder):
     """Three scheduled runs, each taking what has arrived and refreshing what that changes."""

@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from yieldline.functions.conditional import max_where
 from yieldline.operators.attempts import flag_latest
-from yieldline.plans import models
+from yieldline.plans import models, views
 from yieldline.plans.linewise import first_pass_of, linewise
 from yieldline.plans.quality import count_quality
+from yieldline.plans.views import stored_views
 from yieldline.session import at_once
 from yieldline.sources.layered import StaleRefresh
 from yieldline.sources.tables import Warehouse, distinct_days, with_day
@@ -27,8 +28,8 @@ STATION_BOARD = ["station_number", "serial_number"]
 PART_BOARD = ["serial_number", "part_number"]
 
 
-def full_refresh(warehouse: Warehouse, threads: int = 4) -> dict[str, DataFrame]:
-    """Rebuild all models from the facts; independent models run at the same time.
+def full_refresh(warehouse: Warehouse, threads: int = 4, also: dict[str, models.Model] | None = None) -> dict[str, DataFrame]:
+    """Rebuild all models from the facts, and the views of `also` and those stored; independent ones run at the same time.
 
     A model reads its upstream models from their tables, so nothing is computed twice. All read the facts as they are at the
     start. Loads that come meanwhile are left to their own refresh: a table that it has brought further is not replaced.
@@ -46,7 +47,7 @@ def full_refresh(warehouse: Warehouse, threads: int = 4) -> dict[str, DataFrame]
         except StaleRefresh:
             return model.name, warehouse.table(model.name, model.schema)
 
-    for wave in models.in_waves(models.MODELS):
+    for wave in models.in_waves({**models.MODELS, **(also or {}), **stored_views(warehouse)}):
         tables.update(at_once(warehouse.spark, [partial(rebuild, model) for model in wave], threads))
     return tables
 
@@ -80,17 +81,17 @@ def days_of_quality(boards: DataFrame, batch: DataFrame) -> list[dt.date]:
     return distinct_days(demoted.select("event_day").unionByName(own))
 
 
-def days_of_first_pass(boards: DataFrame, batch: DataFrame) -> list[dt.date]:
+def days_of_first_pass(boards: DataFrame, batch: DataFrame, keys: list[str] = PART_BOARD) -> list[dt.date]:
     """Days in which a touched board has its last booking now, or had it before the batch.
 
     Before the batch, a day held the bookings it holds now less those of the batch.
     """
-    board_day = [*PART_BOARD, "event_day"]
-    per_day = boards.groupBy(*PART_BOARD, F.to_date("date_hour").alias("event_day"))
-    now = only_boards(per_day.agg(F.sum("total_bookings").alias("stored")), batch, PART_BOARD)
+    board_day = [*keys, "event_day"]
+    per_day = boards.groupBy(*keys, F.to_date("date_hour").alias("event_day"))
+    now = only_boards(per_day.agg(F.sum("total_bookings").alias("stored")), batch, keys)
     arrived = with_day(batch, "date_created").groupBy(*board_day).agg(F.count("*").alias("arrived"))
     older = F.col("stored") > F.coalesce("arrived", F.lit(0))
-    last = now.join(arrived, board_day, "left").groupBy(*PART_BOARD).agg(
+    last = now.join(arrived, board_day, "left").groupBy(*keys).agg(
         F.max("event_day").alias("last_now"), max_where(older, F.col("event_day")).alias("last_before")
     )
     return distinct_days(last.select(F.explode(F.array("last_now", "last_before")).alias("event_day")))
@@ -120,7 +121,7 @@ def incremental_refresh(warehouse: Warehouse, batch: DataFrame) -> dict[str, lis
     Facts are read for the batch's own days only. What reaches further back comes from the boards: an index tells in which days
     a board was seen, and only these days are read. Returns the days replaced per model. Only day lists reach the driver.
     """
-    as_of, ideal = warehouse.log.number(), warehouse.ideal_cycle_times()
+    as_of, ideal, kept_up = warehouse.log.number(), warehouse.ideal_cycle_times(), stored_views(warehouse)
     own_days = distinct_days(batch.select(F.to_date("date_created").alias("event_day")))
     if not own_days:
         return {}
@@ -141,14 +142,27 @@ def incremental_refresh(warehouse: Warehouse, batch: DataFrame) -> dict[str, lis
         warehouse.replace_days(models.LINEWISE.name, models.as_declared(line, models.LINEWISE), line_days, as_of)
         return {models.QUALITY.name: quality_days, models.LINEWISE.name: line_days}
 
-    jobs = [
-        partial(replace_own, models.PERFORMANCE),
-        partial(replace_own, models.AVAILABILITY),
-        replace_quality_and_line,
-    ]
+    def replace_legacy_line() -> dict[str, list[dt.date]]:
+        line = views.LEGACY_LINEWISE
+        touched = warehouse.boards(warehouse.days_of_boards(batch))
+        days = sorted({*own_days, *days_of_first_pass(touched, batch, ["serial_number"])})
+        boards = history(warehouse, warehouse.boards(days), ["serial_number"])
+        rows = views.legacy_line_of_days(warehouse, days, boards)
+        warehouse.replace_days(line.name, models.as_declared(rows, line), days, as_of)
+        return {line.name: days}
+
+    def replace_fact() -> dict[str, list[dt.date]]:
+        fact, demoted = views.FACT, sorted({*replaced[models.QUALITY.name]} - {*own_days})
+        rows = views.fact_of_days(warehouse, own_days, demoted)
+        warehouse.replace_days(fact.name, models.as_declared(rows, fact), own_days + demoted, as_of)
+        return {fact.name: own_days + demoted}
+
+    own = [models.PERFORMANCE, models.AVAILABILITY, *[kept_up[v.name] for v in (views.LEGACY_PERFORMANCE, views.LEGACY_QUALITY) if v.name in kept_up]]
+    after = {views.LEGACY_LINEWISE.name: replace_legacy_line, views.FACT.name: replace_fact}
     replaced: dict[str, list[dt.date]] = {}
-    for days in at_once(warehouse.spark, jobs):
-        replaced.update(days)
+    for jobs in ([*[partial(replace_own, m) for m in own], replace_quality_and_line], [after[name] for name in after if name in kept_up]):
+        for days in at_once(warehouse.spark, jobs):
+            replaced.update(days)
     return replaced
 
 

@@ -1,6 +1,6 @@
 """Last result of every board at every station, kept up to date by a stream of bookings.
 
-Counting distinct boards is not allowed on a stream. The highest attempt per result is a maximum,
+Two ways: `start_boards` keeps no state, `start_board_states` a keyed one. Counting distinct boards is not allowed on a stream. The highest attempt per result is a maximum,
 and maxima combine, over the batches of a stream and over streams: each micro-batch commits one small row per touched
 board, and the log of batches is folded by the same maxima.
 """
@@ -51,6 +51,75 @@ def start_boards(bookings: DataFrame, path: str, checkpoint: str, **trigger) ->
     )
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def board_states(bookings: DataFrame, forget_after_ms: int) -> DataFrame:
+    """Changed tops of each board, out of a keyed state that is dropped when a board has not been seen for a while.
+
+    A booking that changes nothing gives no row. A board that comes back after its state was dropped starts anew; readers take
+    maxima, so they keep what it had.
+    """
+    import pandas as pd
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class Tops(StatefulProcessor):
+        def init(self, handle) -> None:
+            self._tops = handle.getValueState("tops", T.StructType(TOPS_SCHEMA.fields[len(BOARD) :]), forget_after_ms)
+
+        def handleInputRows(self, key, rows, timerValues):
+            old = tuple(self._tops.get()) if self._tops.exists() else (None, None, None)
+            new = list(old)
+            for frame in rows:
+                attempts, result = frame["test_count"], frame["book_state"]
+                for i, some in enumerate((attempts, attempts[result == "FAIL"], attempts[result == "PASS"])):
+                    most = some.max()
+                    if not pd.isna(most):
+                        new[i] = int(most) if new[i] is None else max(new[i], int(most))
+            self._tops.update(tuple(new))  # a known board's time starts over as well
+            if tuple(new) != old:
+                columns = dict(zip((*BOARD, *TOPS), (*key, *new), strict=True))
+                yield pd.DataFrame({n: pd.Series([v], dtype=object if n in BOARD else "Int32") for n, v in columns.items()})
+
+        def close(self) -> None:
+            pass
+
+    keyed = bookings.select(*BOARD, "test_count", "book_state").groupBy(*BOARD)
+    return keyed.transformWithStateInPandas(Tops(), TOPS_SCHEMA, "Update", "ProcessingTime")
+
+
+def start_board_states(
+    bookings: DataFrame, path: str, checkpoint: str, forget_after_ms: int = 30 * 24 * 3600 * 1000, **trigger
+) -> StreamingQuery:
+    """The same log as `start_boards`, with a row only for boards whose result a batch changes. Keeps its state in RocksDB.
+
+    The default trigger takes what is there in one batch. `availableNow` would never end: with a time to live there is always
+    another batch to run.
+    """
+    spark = bookings.sparkSession
+
+    def write(changed: DataFrame, batch_id: int) -> None:
+        board_log(changed.sparkSession, path).append(changed, stream_of(changed), batch_id)
+
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        return (
+            board_states(bookings, forget_after_ms)
+            .writeStream.outputMode("update")
+            .foreachBatch(write)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"once": True}))
+            .start()
+        )
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER)
+        else:
+            spark.conf.set(PROVIDER, before)
+
+
 def last_results(spark: SparkSession, path: str) -> DataFrame:
     """(station, board) -> latest attempt and whether it failed or passed."""
     return judged(highest(board_log(spark, path).read()))
