@@ -240,7 +240,7 @@ def test_crowded_groups_go_by_windows():
 
 def test_line_dedup_and_quality_against_sql(spark, documents, duck_documents):
     once = documents.where("doc_id IS NOT NULL").dropDuplicates()
-    cleaned = line_dedup.drop_repeated_lines(once)
+    cleaned = line_dedup.drop_repeated_lines(once, min_words=line_dedup.MIN_WORDS)
     assert cleaned.columns == [*once.columns, "n_lines", "n_removed_lines"]
     digest = cleaned.selectExpr("doc_id", "n_lines", "n_removed_lines", "sha2(text, 256) AS kept_sha256")
     assert compare(digest, duck_documents, line_dedup.checking_sql())[1] == []
@@ -292,6 +292,24 @@ def test_line_stage_of_the_pipeline_drops_short_shared_lines(spark):
     assert found == {i: t if i == 0 else f"own {i}\nother {i}" for i, t, _ in rows}
 
 
+def test_short_lines_of_any_script_against_sql(spark):
+    """Lines and short runs around the limits of words and characters, shared by many documents in other company."""
+    import duckdb
+
+    rng = np.random.default_rng(17)
+    words = ["word", "größer", "niño", "мир", "字字", "かな漢字", "ไทย", "x", "42", "…", "a-b", "ﾊﾝ", "한국어"]
+    lines = [" ".join(rng.choice(words, n)) for n in rng.integers(1, 14, 40)]
+    lines += ["字" * n for n in (7, 8, 14, 15, 16, 17)] + ["a  b\tc d e f g h", "a b c d e f g", "y" * 249, "y" * 250]
+    rows = [(i, "\n".join(rng.choice(lines + [f"own {i} {j}" for j in range(20)], rng.integers(1, 9)))) for i in range(120)]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    cleaned = line_dedup.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_words=line_dedup.MIN_WORDS)
+    digest = cleaned.selectExpr("doc_id", "n_lines", "n_removed_lines", "sha2(text, 256) AS kept_sha256")
+    assert compare(digest, con, line_dedup.checking_sql())[1] == []
+    assert cleaned.where("n_removed_lines > 0").count() > 60
+
+
 def test_quality_rules(spark):
     good = "\n".join(" ".join(f"word{i}x{j}" for j in range(9)) + "." for i in range(12))
     menu = "\n".join(f"Home{i} | News{i} | Sport{i} | More{i} | Contact{i}" for i in range(30))
@@ -301,6 +319,6 @@ def test_quality_rules(spark):
 
 
 def test_native_operators_run_no_python(documents):
-    for frame in (line_dedup.drop_repeated_lines(documents), quality.measure(documents)):
+    for frame in (line_dedup.drop_repeated_lines(documents, min_words=8), quality.measure(documents)):
         text = frame._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in text and "Arrow" not in text and "Pandas" not in text

@@ -108,7 +108,7 @@ def op6_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_winnowed_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    cleaned = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"), min_words=line_dedup.MIN_WORDS)
     return cleaned.select("doc_id", "n_lines", "n_removed_lines", F.sha2("text", 256).alias("kept_sha256"))
 
 

@@ -10,8 +10,8 @@ lines of repeated windows are deleted.
 With `min_words`, runs of fewer lines with so many words are windows too, as they do not recur by chance either. Then a line
 can start windows of several sizes; those whose lines smaller windows hold already are left out.
 
-DataFrame functions only. Counts and first places are combined before each shuffle, so a line that a third of all
-documents share reaches the reducers as one row a task.
+DataFrame functions only. Counts and first places are combined before each shuffle. The windows themselves are shuffled by
+their fingerprint, and those of one very common line meet in one task as a sorted stream.
 """
 
 from __future__ import annotations
@@ -28,8 +28,11 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 # Words of a line or short run that does not recur by chance. Scripts without spaces count two characters as a word.
 MIN_WORDS = 8
-UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+SCRIPTS = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
+UNSPACED = "".join(rf"\p{{Is{s}}}" for s in SCRIPTS)
 WORD = rf"[{UNSPACED}]{{1,2}}|[^ \t-\r{UNSPACED}]+"
+# Ranges that hold these scripts and some others; looked at first, as scripts are dear to tell.
+MAY_BE_UNSPACED = r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u19E0-\u19FF\u2E80-\uABFF\uF900-\uFAFF\uFF00-\uFFEF\x{10000}-\x{10FFFF}]"
 
 
 def lines_of(text: Column) -> Column:
@@ -48,7 +51,7 @@ def windows(docs: DataFrame, key: str, text: str, min_lines: int, min_chars: int
             F.length(line["x"]).alias("n"),
             F.xxhash64(line["x"]).alias("h"),
             F.xxhash64(F.lit("second"), line["x"]).alias("g"),
-            *([] if min_words is None else [F.regexp_count(line["x"], F.lit(WORD)).alias("words")]),
+            *([] if min_words is None else [_words(line["x"], min_chars).alias("words")]),
         ),
     )
     rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("key"), real.alias("real"))
@@ -73,6 +76,13 @@ def windows(docs: DataFrame, key: str, text: str, min_lines: int, min_chars: int
     return marked.select("key", "at", F.col("least.col1").alias("mark"), F.col("least.col2").alias("place"), "h", "g", "lines")
 
 
+def _words(line: Column, min_chars: int) -> Column:
+    """Words of a line; 0 if it counts by its characters alone."""
+    unspaced = F.regexp_count(line, F.lit(WORD))
+    spaced = F.regexp_count(line, F.lit(r"[^ \t-\r]+"))
+    return F.when(F.length(line) >= min_chars, 0).when(line.rlike(MAY_BE_UNSPACED), unspaced).otherwise(spaced)
+
+
 def _total(field: str, start: int, end: int) -> Column:
     """Sum of a field of w over the lines from start to before end, null if the document ends before."""
     return reduce(lambda a, b: a + b, [F.col("w")[f"r{j}"][field] for j in range(start, end)])
@@ -143,12 +153,20 @@ def drop_repeated_lines(
     )
 
 
-def checking_sql(min_lines: int = 3, min_chars: int = 250) -> str:
+def checking_sql(min_lines: int = 3, min_chars: int = 250, min_words: int = MIN_WORDS) -> str:
     """The digest of op7 in DuckDB, by comparing whole windows."""
-    sums = " ".join(
-        f"WHEN {' + '.join(f'lead(length(x), {j}) OVER d' for j in range(n))} >= {min_chars} THEN {n}" for n in range(1, min_lines)
-    )
-    return f"""
+    scripts = "".join(rf"\p{{{s}}}" for s in SCRIPTS)
+    words = rf"len(regexp_extract_all(x, '[{scripts}]{{1,2}}|[^ \t-\r{scripts}]+'))"
+
+    def counts(start: int, end: int) -> str:
+        if end - start == min_lines:
+            return f"pos + {end - 1} <= n"
+        total = [" + ".join(f"lead({c}, {j}) OVER d" for j in range(start, end)) for c in ("chars", "words")]
+        return f"coalesce({total[0]} >= {min_chars} OR {total[1]} >= {min_words}, false)"
+
+    kept = [counts(0, 1), *[f"{counts(0, n)} AND NOT ({counts(0, n - 1)} AND {counts(1, n)})" for n in range(2, min_lines + 1)]]
+    sizes = ", ".join(f"CASE WHEN {c} THEN {n} END" for n, c in enumerate(kept, 1))
+    return rf"""
 WITH cut AS (
   SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
 ), listed AS (
@@ -157,11 +175,12 @@ WITH cut AS (
   SELECT doc_id, i, trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS x FROM listed
 ), real AS (
   SELECT doc_id, i, x, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS pos,
-         count(*) OVER (PARTITION BY doc_id) AS n
+         count(*) OVER (PARTITION BY doc_id) AS n, length(x) AS chars, {words} AS words
   FROM trimmed WHERE x <> ''
+), starts AS (
+  SELECT doc_id, pos, [{sizes}] AS sizes FROM real WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
 ), sized AS (
-  SELECT *, CASE {sums} WHEN pos + {min_lines} - 1 <= n THEN {min_lines} END AS size
-  FROM real WINDOW d AS (PARTITION BY doc_id ORDER BY pos)
+  SELECT doc_id, pos, unnest(sizes) AS size FROM starts
 ), windows AS (
   SELECT s.doc_id, s.pos, s.size, string_agg(r.x, chr(10) ORDER BY r.pos) AS content
   FROM sized s JOIN real r ON r.doc_id = s.doc_id AND r.pos BETWEEN s.pos AND s.pos + s.size - 1
