@@ -10,8 +10,8 @@ lines of repeated windows are deleted.
 With `min_words`, runs of fewer lines with so many words are windows too, as they do not recur by chance either. Then a line
 can start windows of several sizes; those whose lines smaller windows hold already are left out.
 
-DataFrame functions only. Counts and first places are combined before each shuffle. The windows themselves are shuffled by
-their fingerprint, and those of one very common line meet in one task as a sorted stream.
+DataFrame functions only. Counts and first places are combined before each shuffle, and written before windows are joined with
+them, so that adaptive execution can split the windows of one very common line over several tasks.
 """
 
 from __future__ import annotations
@@ -115,10 +115,12 @@ def repeated_lines(
     """key, lines: the numbers (from 0) of lines to delete, for documents that have any."""
     every = stored(windows(docs, key, text, min_lines, min_chars, min_words), "windows")
     marks = every.groupBy("mark").agg(F.min(F.struct("key", "place")).alias("a"), F.max(F.struct("key", "place")).alias("b"))
-    shared = every.join(marks.where("a <> b").select("mark"), "mark", "left_semi").drop("mark", "place")
+    marks = stored(marks.where("a <> b").select("mark"), "marks")
+    shared = every.join(marks, "mark", "left_semi").drop("mark", "place")
     first = shared.groupBy("h", "g").agg(F.min(F.struct("key", "at")).alias("first"), F.max(F.struct("key", "at")).alias("last"))
+    first = stored(first.where("first <> last").drop("last"), "firsts")
     later = (
-        shared.join(first.where("first <> last").drop("last"), ["h", "g"])
+        shared.join(first, ["h", "g"])
         .where(F.struct("key", "at") != F.col("first"))
         .select("key", "lines")
     )
