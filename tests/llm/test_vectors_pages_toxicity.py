@@ -202,3 +202,24 @@ def test_network_bytes_round_trip():
     network = toxicity.fit(pa.array([t for _, t, _ in rows]), np.array([y for _, _, y in rows]), np.ones(len(rows)))
     words = toxicity.Words(pa.array(["you idiot", "", None, "plain"]))
     assert np.array_equal(network.scores(words), toxicity.Network.from_bytes(network.to_bytes()).scores(words))
+
+
+def test_tags_are_evidence_that_an_article_outweighs():
+    """An article inside a page-wide form, a dialog or something hidden, and remarks inside an article, are kept."""
+    sentence = "This is a sentence of the article that goes on for a while, as such sentences do."
+    text = f"<p>{' '.join([sentence] * 4)}</p>"
+    menu = "<ul><li><a href=x>Home</a></li><li><a href=y>News</a></li><li><a href=z>Sport</a></li></ul>"
+    for page in (
+        f"<form id=aspnetForm>{menu}<article>{text * 3}</article></form>",
+        f"<form id=aspnetForm>{menu}<div>{text * 3}</div></form>",
+        f"<div role=dialog>{menu}<main>{text * 3}</main></div>",
+        f"<div hidden><article>{text * 3}</article></div><div hidden>{text}</div>",
+        f"<article>{text * 3}</article><form><label>Name</label><p>Your email address will not be published. Required fields are marked *</p>"
+        "<button>Send</button></form>",
+        f"<article>{text}<form><p>Subscribe to our letter</p><input></form>{text * 2}</article><aside>{menu}{text}</aside>",
+    ):
+        found = html.main_text(f"<body>{page}</body>")
+        assert found.split("\n") == [" ".join([sentence] * 4)] * 3, page
+    remark = "A long remark beside the story that belongs to it and is told in full sentences."
+    page = f"<article>{text}<aside><p>{' '.join([remark] * 3)}</p></aside>{text}</article>"
+    assert remark in html.main_text(page)

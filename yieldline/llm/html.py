@@ -32,11 +32,15 @@ BLOCK = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style title textarea noscript template svg iframe xmp head".split())
 ENDS_PARAGRAPH = BLOCK - {"body", "html", "option", "optgroup", "tbody", "thead", "tfoot", "tr", "td", "th", "button", "iframe"}
+HOLD_PARAGRAPHS = ("button", "td", "th", "div", "section", "article", "blockquote", "li")
 SAME_KIND = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 # Classifier: what containers and class names say.
-OUTSIDE = frozenset("nav footer aside form button select menu dialog fieldset".split())
+OUTSIDE = frozenset("nav footer aside button select menu".split())
+# These can hold a whole page, so they are evidence that text outweighs, and an article in them counts as one.
+MAY_HOLD_ALL = frozenset("form fieldset dialog".split())
+MAY_HOLD_ALL_ROLES = frozenset("form dialog".split())
 INSIDE = frozenset("article main".split())
 # Names are looked at as whole tokens: outside if every part is a name of boilerplate or of layout (site-footer, not no-sidebar).
 NOT_ARTICLE = r"ads?|advert[a-z0-9]*|sponsor[a-z0-9]*|promo[a-z0-9]*|cookie[a-z0-9]*|consent|gdpr|disclaimer|comments?|commentlist|replies|reply|respond|disqus[a-z0-9]*|" \
@@ -49,7 +53,7 @@ OUTSIDE_TOKEN = re.compile(rf"(?:(?:{LAYOUT})[_-]+)*(?:{NOT_ARTICLE}|{AROUND})(?
 NOT_ARTICLE_PART = re.compile(rf"(?:^|[_-])(?:{NOT_ARTICLE})(?=$|[_-])", re.I)
 OUTSIDE_PART = re.compile(rf"(?:^|[_-])(?:{NOT_ARTICLE}|{AROUND})(?=$|[_-])", re.I)
 INSIDE_PART = re.compile(r"(?:^|[_-])(?:article|content|post|entry|story|main|text|body)(?=$|[_-])", re.I)
-OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
+OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search alert menu menubar toolbar".split())
 OUTSIDE_COST, INSIDE_COST, NAMED_COST = -8.0, 4.0, 1.0
 # Names speak against content as much as long text (AROUND) or text and its neighbours (NOT_ARTICLE) can outweigh.
 AROUND_COST, NOT_ARTICLE_COST = -1.6, -4.0
@@ -70,28 +74,36 @@ _ENDS = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I) for name in RAW}
 class Container:
     """An open or closed element that holds blocks, and what it says about them."""
 
-    __slots__ = ("name", "parent", "depth", "outside", "cost")
+    __slots__ = ("name", "parent", "depth", "outside", "cost", "article", "unseen", "paragraph")
 
     def __init__(self, name: str, parent: Container | None, attributes: str):
         self.name, self.parent = name, parent
         self.depth = parent.depth + 1 if parent else 0
         self.outside = parent.outside if parent else False
         self.cost = parent.cost if parent else 0.0
+        self.article = parent.article if parent else False  # whether it is within an article
+        self.unseen = parent.unseen if parent else False  # whether all that speaks against it is that it is hidden
+        # Whether a paragraph is open that the next block would end.
+        self.paragraph = name == "p" or bool(parent and parent.paragraph and name not in HOLD_PARAGRAPHS)
         named = {}
         if attributes and not attributes.isspace():
             for key, a, b, c in _ATTRIBUTE.findall(attributes):
                 named.setdefault(key.lower(), a or b or c)
         words = f"{named.get('class', '')} {named.get('id', '')}" if named else ""
-        if name in OUTSIDE or named.get("role", "").lower() in OUTSIDE_ROLES:
-            self.outside, self.cost = True, OUTSIDE_COST
-        elif name == "header" and not self._within_article():
-            self.outside, self.cost = True, OUTSIDE_COST
+        role = named.get("role", "").lower()
+        if name == "aside" and self.article and not self.outside:
+            self.cost += NOT_ARTICLE_COST
+        elif name in OUTSIDE or role in OUTSIDE_ROLES or (name == "header" and not self.article):
+            self.outside, self.unseen, self.cost = True, False, OUTSIDE_COST
         elif named and ("hidden" in named or "display:none" in named.get("style", "").replace(" ", "").lower()):
-            self.outside, self.cost = True, OUTSIDE_COST
-        elif not self.outside and name in INSIDE:
-            self.cost = INSIDE_COST
+            self.outside, self.unseen, self.cost = True, self.unseen or not self.outside, OUTSIDE_COST
+        elif name in INSIDE and (not self.outside or self.unseen):
+            self.outside, self.unseen, self.cost = False, False, INSIDE_COST
+        elif not self.outside and (name in MAY_HOLD_ALL or role in MAY_HOLD_ALL_ROLES):
+            self.cost = min(self.cost, 0.0) + AROUND_COST
         elif words and not self.outside:
             self._weigh(words.split(), name in ("body", "html"))
+        self.article |= name in INSIDE
 
     def _weigh(self, tokens: list[str], whole_page: bool) -> None:
         """Put what names say into the cost: boilerplate from here on counts from 0, also within an article."""
@@ -102,14 +114,6 @@ class Container:
         if any(INSIDE_PART.search(t) and not OUTSIDE_PART.search(t) for t in tokens):
             self.cost = min(self.cost + NAMED_COST, INSIDE_COST)
 
-    def _within_article(self) -> bool:
-        at = self.parent
-        while at is not None:
-            if at.name in INSIDE:
-                return True
-            at = at.parent
-        return False
-
     def steps_to(self, other: Container) -> int:
         """Elements between two containers, by way of the one that holds both."""
         a, b, steps = self, other, 0
@@ -193,8 +197,8 @@ def blocks_of(html: str) -> list[Block]:
                     if name == "hr":
                         pass
                     else:
-                        if name in ENDS_PARAGRAPH:
-                            at = _closed(at, {"p"}, root, ("button", "td", "th", "div", "section", "article", "blockquote", "li"))
+                        if name in ENDS_PARAGRAPH and at.paragraph:
+                            at = _closed(at, {"p"}, root, HOLD_PARAGRAPHS)
                         if name in SAME_KIND:
                             at = _closed(at, SAME_KIND[name], root, ("ul", "ol", "dl", "table", "select", "menu"))
                         if name not in VOID:
