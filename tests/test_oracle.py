@@ -15,7 +15,7 @@ IDS = (
     + [f"p{i}" for i in range(1, 7)]
     + [f"j{i}" for i in range(1, 8)]
     + [f"a{i}" for i in range(1, 14)]
-    + ["w1", "w2", "w3", "o1"]
+    + ["w1", "w2", "w3", "o1", "m1"]
     + [f"f{i}" for i in range(1, 8)]
     + [f"k{i}" for i in range(1, 12)]
     + [f"t{i}" for i in range(1, 7)]

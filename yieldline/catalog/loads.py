@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from yieldline.catalog import sql
 from yieldline.catalog.registry import query
 from yieldline.operators.merge import merge_by_key, upsert_keep_existing, upsert_overwrite
 from yieldline.plans.legacy import legacy_quality
-from yieldline.plans.models import PERFORMANCE, QUALITY
+from yieldline.plans.models import LINEWISE, MODELS, PERFORMANCE, QUALITY
 from yieldline.plans.performance import cycle_totals, performance
 from yieldline.plans.quality import quality
 from yieldline.plans.refresh import full_refresh, incremental_refresh, since_high_water_mark
@@ -257,6 +259,57 @@ def quality_incremental(spark, folder):
     return warehouse.table(QUALITY.name, QUALITY.schema)
 
 
+def _counted_sql(run: str, source: str) -> tuple[list[str], str]:
+    """CTEs of the four models over `source`, and how many rows each has after a run."""
+    parts = [
+        sql.performance(f"{run}_p", source),
+        sql.availability(f"{run}_a", source),
+        sql.quality(f"{run}_q", source),
+        sql.linewise(f"{run}_l", f"{run}_q", source),
+    ]
+    counts = [
+        f"SELECT '{m.name}' AS model_name, '{','.join(m.upstream)}' AS upstream, {run == 'second'} AS incremental,"
+        f" (SELECT COUNT(*) FROM {run}_{m.name[0] if m is not LINEWISE else 'l'}) AS stored_rows"
+        for m in MODELS.values()
+    ]
+    return parts, " UNION ALL ".join(counts)
+
+
+FIRST_SQL, SECOND_SQL = _counted_sql("first", "loaded"), _counted_sql("second", "bookings")
+
+
+@query(
+    "m1_model_runs",
+    sql.with_(
+        f"loaded AS (SELECT * FROM bookings WHERE date_created < {CUT_SQL})",
+        sql.IDEAL,
+        *FIRST_SQL[0],
+        *SECOND_SQL[0],
+        select=f"{FIRST_SQL[1]} UNION ALL {SECOND_SQL[1]}",
+    ),
+)
+def model_runs(spark, folder):
+    """M1-M5: each model with what it refers to, its first run over all bookings and its second one over what is new."""
+    warehouse = new_warehouse(spark, "m1")
+    runs = []
+    for incremental, load in enumerate(two_loads(read_bookings(spark, folder))):
+        warehouse.append_facts(load)
+        if incremental:
+            incremental_refresh(warehouse, load)
+        else:
+            full_refresh(warehouse)
+        runs += [
+            warehouse.table(m.name, m.schema).agg(
+                F.lit(m.name).alias("model_name"),
+                F.lit(",".join(m.upstream)).alias("upstream"),
+                F.lit(bool(incremental)).alias("incremental"),
+                F.count("*").alias("stored_rows"),
+            )
+            for m in MODELS.values()
+        ]
+    return reduce(DataFrame.unionAll, runs)
+
+
 def maintained(spark, folder, label: str, name: str) -> DataFrame:
     """First load, full refresh with the stored views; second load, incremental refresh; then the view as it is stored."""
     warehouse = new_warehouse(spark, label)
