@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from yieldline.llm.columns import mixed, slices
@@ -31,9 +31,9 @@ from yieldline.llm.components import components, discard, stored
 from yieldline.llm.shingles import SLICE, shingle_sets
 
 # Rounds in which groups are tried with hubs before all that is apart is paired. They decide speed only.
-ROUNDS = 3
+ROUNDS = 2
 # An item or list of so many groups or classes is paired as it is, and so many items are taken together at most. Speed only.
-SHORT, LEVELS = 8, 6
+SHORT, LEVELS = 8, 4
 
 
 def _keys(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -300,7 +300,7 @@ def _met_in(rows: DataFrame, others: DataFrame, percent: int) -> DataFrame:
     x = rows.select("list", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
     y = others.select("list", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
     met = x.join(y, "list").where(F.expr("a <> b AND c_a <> c_b") & _near(percent))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def pairs_of_long_lists(apart: DataFrame, prefix: DataFrame, labelled: DataFrame, percent: int) -> DataFrame:
@@ -339,7 +339,7 @@ def pairs_of_long_lists(apart: DataFrame, prefix: DataFrame, labelled: DataFrame
         going = dealt.join(worth.select("list"), "list", "left_semi")
         rows = going.select(F.xxhash64("list", "item").alias("list"), "node", "n", "component", F.col("next").alias("place"), "most")
         rows = stored(rows, "long")
-    return pairs.distinct()
+    return pairs
 
 
 def _members_apart(pairs: DataFrame, labelled: DataFrame) -> DataFrame:
@@ -363,13 +363,12 @@ def components_of(texts: DataFrame, words: int, percent: int) -> DataFrame:
         return stored(verified(pairs, texts, words, percent), "links")
 
     labelled = members.withColumn("component", F.col("node"))
-    first = linked(members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")))
-    labelled = _joined(labelled, first)
+    tried = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
     for _ in range(ROUNDS):
-        found = linked(_hub_pairs(shared, _spread(labelled), percent))
+        found = linked(tried.unionByName(_hub_pairs(shared, _spread(labelled), percent)))
         if found.isEmpty():
             break
-        labelled = _joined(labelled, found)
+        labelled, tried = _joined(labelled, found), tried.limit(0)
     apart = still_apart(shared, _spread(labelled))
     pairs = stored(group_pairs(apart, percent), "pairs")
     among = _members_apart(pairs, labelled).unionByName(pairs_of_long_lists(apart, prefix, labelled, percent)).distinct()
@@ -398,11 +397,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     texts = stored(class_texts(rows, left, words), "texts")
     found = components_of(texts, words, percent)
     labelled = classes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    repeated = real.groupBy("id").agg(F.count_distinct("n", "fa", "fb").alias("texts")).where("texts > 1").select("id")
-    same = real.join(repeated, "id").join(classes, ["n", "fa", "fb"]).groupBy("id", "node").agg(F.lit(1))
-    same = stored(same.select(F.col("node").alias("a"), F.min("node").over(Window.partitionBy("id")).alias("b")), "same")
-    if not same.isEmpty():
-        labelled = _joined(labelled, same)
+    one = F.struct("n", "fa", "fb")
+    repeated = real.groupBy("id").agg(F.min(one).alias("least"), F.max(one).alias("most")).where("least <> most").select("id")
+    repeated = stored(repeated, "repeated")
+    if not repeated.isEmpty():
+        same = real.join(repeated, "id").join(classes, ["n", "fa", "fb"])
+        least = same.groupBy("id").agg(F.min("node").alias("b"))
+        labelled = _joined(labelled, same.select("id", F.col("node").alias("a")).join(least, "id").select("a", "b"))
     discard(texts, left)
 
     least = labelled.groupBy("component").agg(F.min("rep").alias("least"))
