@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yieldline.llm.columns import mixed, slices
+from yieldline.llm.columns import give_back, mixed, slices
 from yieldline.llm.components import components, discard, stored
 from yieldline.llm.shingles import SLICE, shingle_sets
 
@@ -34,6 +34,8 @@ from yieldline.llm.shingles import SLICE, shingle_sets
 ROUNDS = 2
 # An item or list of so many groups or classes is paired as it is, and so many items are taken together at most. Speed only.
 SHORT, LEVELS = 8, 4
+# Classes whose items a task looks at together.
+CLASSES = 128
 
 
 def _keys(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -166,7 +168,7 @@ def prefixes(texts: DataFrame, words: int, percent: int) -> DataFrame:
     schema = "node long, n int, item long, weight long, place int, depth int, after long, reach long, most int"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, CLASSES) for whole in batches for at in range(0, whole.num_rows, CLASSES)):
             rows: list[tuple] = []
             for node, n, common, ids, weights in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 depth, most = depths(weights, n - common, n - -(-percent * n // 100))
@@ -180,6 +182,7 @@ def prefixes(texts: DataFrame, words: int, percent: int) -> DataFrame:
             columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
             types = [pa.int32() if k == "int" else pa.int64() for k in kinds]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[f.split()[0] for f in schema.split(", ")])
+        give_back()
 
     return whole.mapInArrow(work, schema)
 
