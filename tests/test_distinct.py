@@ -103,3 +103,14 @@ def test_a_board_seen_again_after_its_state_was_dropped(spark, make_bookings):
         boards.start_board_states(stream, f"{path}/log", f"{path}/checkpoint", forget_after_ms=1).awaitTermination()
     assert boards.board_log(spark, f"{path}/log").read().count() == 2
     assert [(r.latest_attempt, r.failed, r.passed) for r in boards.last_results(spark, f"{path}/log").collect()] == [(3, False, True)]
+
+
+def test_the_keyed_state_runs_no_python_for_each_board(spark, make_bookings):
+    path = new_folder(spark, "states")
+    rows = make_bookings([(f"b{i}", f"S{i}", "1003", "PASS", "2025-10-25T10:00:00", "P1", "4.00", 1) for i in range(50)])
+    rows.write.parquet(f"{path}/arriving")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{path}/arriving")
+    run = boards.start_board_states(stream, f"{path}/log", f"{path}/checkpoint")
+    run.awaitTermination()
+    assert [x["operatorName"] for x in run.lastProgress["stateOperators"]] == ["stateStoreSave"]
+    assert boards.last_results(spark, f"{path}/log").where("passed").count() == 50

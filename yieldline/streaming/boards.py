@@ -55,38 +55,27 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
+# A clock that is set back by less than this between two runs loses nothing.
+DELAY = "1 hour"
+
+
 def board_states(bookings: DataFrame, forget_after_ms: int) -> DataFrame:
-    """Changed tops of each board, out of a keyed state that is dropped when a board has not been seen for a while.
+    """Changed tops of each board, out of a keyed state that is dropped when its time is over.
 
-    A booking that changes nothing gives no row. A board that comes back after its state was dropped starts anew; readers take
-    maxima, so they keep what it had.
+    Time of arrival is cut into periods of `forget_after_ms`; a board has a state for each period in which it is seen, which
+    is dropped after the period. A booking that changes nothing gives no row: each top has the first arrival of its attempt
+    beside it, and has changed if that is the arrival of this batch. A board that comes back in another period starts anew;
+    readers take maxima, so they keep what it had.
     """
-    import pandas as pd
-    from pyspark.sql.streaming import StatefulProcessor
-
-    class Tops(StatefulProcessor):
-        def init(self, handle) -> None:
-            self._tops = handle.getValueState("tops", T.StructType(TOPS_SCHEMA.fields[len(BOARD) :]), forget_after_ms)
-
-        def handleInputRows(self, key, rows, timerValues):
-            old = tuple(self._tops.get()) if self._tops.exists() else (None, None, None)
-            new = list(old)
-            for frame in rows:
-                attempts, result = frame["test_count"], frame["book_state"]
-                for i, some in enumerate((attempts, attempts[result == "FAIL"], attempts[result == "PASS"])):
-                    most = some.max()
-                    if not pd.isna(most):
-                        new[i] = int(most) if new[i] is None else max(new[i], int(most))
-            self._tops.update(tuple(new))  # a known board's time starts over as well
-            if tuple(new) != old:
-                columns = dict(zip((*BOARD, *TOPS), (*key, *new), strict=True))
-                yield pd.DataFrame({n: pd.Series([v], dtype=object if n in BOARD else "Int32") for n, v in columns.items()})
-
-        def close(self) -> None:
-            pass
-
-    keyed = bookings.select(*BOARD, "test_count", "book_state").groupBy(*BOARD)
-    return keyed.transformWithStateInPandas(Tops(), TOPS_SCHEMA, "Update", "ProcessingTime")
+    timed = bookings.select(*BOARD, "test_count", "book_state").withColumn("arrived", F.current_timestamp())
+    since = F.unix_micros("arrived")
+    attempt = F.when(F.col("test_count").isNotNull(), F.struct("test_count", (-since).alias("before")))
+    tops = {"top_attempt": F.max(attempt), "top_fail": max_where(is_fail(), attempt), "top_pass": max_where(is_pass(), attempt)}
+    period = F.window("arrived", f"{forget_after_ms} milliseconds")
+    kept = timed.withWatermark("arrived", DELAY).groupBy(period, *BOARD)
+    kept = kept.agg(*[top.alias(c) for c, top in tops.items()], F.max(since).alias("now"))
+    new = [F.coalesce(-F.col(f"{c}.before") == F.col("now"), F.lit(False)) for c in TOPS]
+    return kept.where(new[0] | new[1] | new[2]).select(*BOARD, *[F.col(f"{c}.test_count").alias(c) for c in TOPS])
 
 
 def start_board_states(
@@ -94,8 +83,8 @@ def start_board_states(
 ) -> StreamingQuery:
     """The same log as `start_boards`, with a row only for boards whose result a batch changes. Keeps its state in RocksDB.
 
-    The default trigger takes what is there in one batch. `availableNow` would never end: with a time to live there is always
-    another batch to run.
+    The default trigger takes what is there in one batch. A checkpoint of the earlier state, which was kept by a Python function,
+    cannot be continued: start a new one beside the same log, as readers take maxima.
     """
     spark = bookings.sparkSession
 
