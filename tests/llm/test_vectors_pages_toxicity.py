@@ -184,6 +184,32 @@ def test_classifier_on_held_out_rows(spark):
     assert kept.columns == docs.columns and kept.count() < docs.count()
 
 
+def test_every_labelled_row_is_learnt_from(spark, monkeypatch):
+    """Each word is in two documents only: the network knows it if it learns from both of them."""
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 2000)
+    monkeypatch.setattr(toxicity, "EPOCHS", 2)
+    n = 14000
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('w', translate(cast(id div 2 AS string), '0123456789', 'abcdefghij')) AS text")
+    labels = spark.range(n).selectExpr("id AS doc_id", "cast(id % 5 = 0 AS int) AS toxic")
+    network = toxicity.Network.from_bytes(toxicity.train(docs, labels))
+    learnt = docs.where(~toxicity.held_out(docs.doc_id) & ~toxicity.calibrates(docs.doc_id))
+    both = [r.text for r in learnt.groupBy("text").count().where("count = 2").collect()]
+    assert learnt.count() > 6000
+    assert np.array_equal(np.sort(toxicity.Words(pa.array(both)).hashes), network.known)
+
+
+def test_blocks_of_a_shard_do_not_depend_on_batches(monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK_ROWS", 4)
+    owners = [5] * 9 + [2] * 4 + [3]
+
+    def blocks(size):
+        rows = pa.table({"shard": pa.array(owners, pa.int32()), "y": list(range(14)), "words": [b""] * 14})
+        return [(s, n, b.column(1).to_pylist()) for s, n, b in toxicity._blocks(iter(rows.to_batches(max_chunksize=size)))]
+
+    want = [(5, 0, [0, 1, 2, 3]), (5, 1, [4, 5, 6, 7]), (5, 2, [8]), (2, 0, [9, 10, 11, 12]), (3, 0, [13])]
+    assert all(blocks(size) == want for size in (1, 3, 5, 14))
+
+
 def test_held_out_is_the_third_by_checksum(spark):
     rows = spark.createDataFrame([(i,) for i in range(50)] + [(None,)], "doc_id long")
     found = {r.doc_id: r.h for r in rows.select("doc_id", toxicity.held_out(rows.doc_id).alias("h")).collect()}
