@@ -301,3 +301,19 @@ def test_constraint_reports(make_bookings):
     assert {r.column_name: r.null_count for r in nulls.collect()} == {"book_state": 1, "date_created": 1, "part_number": 0}
     widths = checks.length_violations(rows, "t", {"station_number": 4, "part_number": 2})
     assert {r.column_name: r.too_long for r in widths.collect()} == {"station_number": 1, "part_number": 0}
+
+
+def test_only_bad_messages_keep_their_text(spark):
+    found = topic.without_good_texts(decode(spark, message(), "no JSON")).collect()
+    assert sorted((r.value, r.booking_id) for r in found if r.reason) == [("no JSON", None)]
+    assert [(r.value, r.booking_id) for r in found if not r.reason] == [(None, "b01")]
+
+
+def test_rows_held_while_a_batch_is_stored_are_short(spark, warehouse, monkeypatch):
+    """What a batch keeps in memory are decoded rows without the texts of good messages."""
+    held = []
+    kept = topic.quarantined
+    monkeypatch.setattr(topic, "quarantined", lambda decoded: held.append(decoded.where("reason IS NULL AND value IS NOT NULL").count()) or kept(decoded))
+    Ingest(warehouse).store(spark.createDataFrame([(message(),), ("no JSON",)], "value STRING"), 0)
+    assert held == [0] and ids(warehouse.facts()) == ["b01"]
+    assert [r.value for r in Ingest(warehouse).quarantine().collect()] == ["no JSON"]

@@ -113,12 +113,15 @@ def decode(messages: DataFrame) -> DataFrame:
     rows = messages.withColumn("message", parsed).withColumn("payload", F.col("message.payload"))
     payload = F.col("payload")
     raw = {name: F.element_at(payload, name) for name in FIELDS}
-    created = _timestamp("date_created", raw["date_created"])
+    # Columns of their own, as several others need them.
+    cycle_time = _decimal("cycle_time", raw["cycle_time"], "decimal(10,2)")
+    rows = rows.withColumns({"read_created": _timestamp("date_created", raw["date_created"]), "read_cycle_time": cycle_time})
+    created = F.col("read_created")
     in_range = F.year(created).between(schemas.FIRST_YEAR, schemas.LAST_YEAR)
     typed = {
         **{name: fitted(raw[name], LENGTHS[name]) for name in LENGTHS},
         "date_created": F.when(in_range, created),
-        "cycle_time": _decimal("cycle_time", raw["cycle_time"], "decimal(10,2)"),
+        "cycle_time": F.col("read_cycle_time"),
         "test_count": F.when(~F.map_contains_key(payload, "test_count"), schemas.DEFAULT_TEST_COUNT).otherwise(
             raw["test_count"].try_cast("int")
         ),
@@ -147,6 +150,11 @@ def decode(messages: DataFrame) -> DataFrame:
     )
 
 
+def without_good_texts(decoded: DataFrame) -> DataFrame:
+    """Only bad messages keep their text, which is many times as long as the fields: for rows that are held for several reads."""
+    return decoded.withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
+
+
 def valid(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col("reason").isNull())
 

@@ -69,7 +69,7 @@ class Ingest:
 
     def _write_fresh(self, messages: DataFrame, stream: str, batch_id: int) -> None:
         """Decode once, set bad messages aside, and keep bookings whose id is not stored yet."""
-        decoded = topic.decode(messages).persist()
+        decoded = topic.without_good_texts(topic.decode(messages)).persist()
         try:
             bad = align_columns(topic.quarantined(decoded), topic.QUARANTINE)
             self._log("quarantine", topic.QUARANTINE).append(bad, stream, batch_id)
