@@ -120,6 +120,38 @@ def test_pairs_do_not_grow_with_the_square_of_a_family(spark, monkeypatch, pool,
     assert all(n <= 2 * jaccard.SHORT * count for n, count in zip(rows, sizes, strict=True)), rows
 
 
+def test_pairs_of_a_family_of_near_copies(spark, monkeypatch):
+    """Copies with changed words, some of which link and some do not: less than a quarter of all pairs are rows."""
+    rows = []
+
+    def counted(*args, real=jaccard._met_in):
+        met = real(*args)
+        rows.append(met.count())
+        return met
+
+    monkeypatch.setattr(jaccard, "_met_in", counted)
+    rng = np.random.default_rng(11)
+    texts = []
+    for i in range(240):
+        words = [f"w{j}" for j in range(150)]
+        for j in rng.choice(150, rng.integers(1, 6), replace=False):
+            words[j] = f"u{rng.integers(0, 10**9)}"
+        texts.append((i, " ".join(words)))
+    found = jaccard.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute.near_duplicates(texts)
+    assert rows and 4 * sum(rows) < len(texts) * (len(texts) - 1) // 2, rows
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3000), unique=True, max_size=80), min_size=2, max_size=4))
+def test_sets_differ_in_at_least_as_many_members_as_in_parities(sets):
+    bits = jaccard.parities([np.array(s, np.uint64) for s in sets])
+    assert bits.shape == (len(sets), jaccard.PARITIES)
+    for x, row in zip(sets, bits, strict=True):
+        for y, other in zip(sets, bits, strict=True):
+            assert sum(int(w).bit_count() for w in (row ^ other).view(np.uint64)) <= len({*x} ^ {*y})
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(1, 30), min_size=1, max_size=12), st.integers(0, 20), st.data())
 def test_classes_that_link_share_items_of_each_prefix(weights, own, data):

@@ -7,10 +7,12 @@
    that link share an item of it. Counts are exact, and nothing is broadcast.
 3. Classes of equal prefix and size are a group. Groups that share prefix items are paired, pairs that share too little are
    dropped, and only then members are expanded and verified on whole texts. What is connected already is not compared
-   again: first each group is tried with the hub that it shares most with, round by round, then whatever is still apart.
+   again: first each group is tried with the hub that it shares most with, round by round with other hubs, then whatever is
+   still apart.
 4. An item that many groups have is not paired as it is. Classes that link share two items of somewhat longer prefixes, three
    of still longer ones, and so on: the item's list is dealt out by a second item, long ones of these lists by a third,
    for as long as that makes fewer rows than pairing would. So texts of common paragraphs meet where they share nearly all.
+   A pair of a list is a row only if the parities of both classes' shingles leave room for a link.
 
 Counts are combined before they are shuffled, and tables that rows are joined with are written first, so that adaptive
 execution can split a shingle or an item that many classes have. A lost executor costs its own tasks only.
@@ -23,15 +25,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from yieldline.llm.columns import give_back, mixed, slices
 from yieldline.llm.components import components, discard, stored
 from yieldline.llm.shingles import SLICE, shingle_sets
 
-# Rounds in which groups are tried with hubs before all that is apart is paired. They decide speed only.
-ROUNDS = 2
+# At most so many rounds in which groups are tried with hubs before all that is apart is paired, as long as one in so many of
+# the pairs tried links. They decide speed only.
+ROUNDS, WORTH = 6, 10
+# Words of 64 parities that a class has. Speed only.
+PARITIES = 16
 # An item or list of so many groups or classes is paired as it is, and so many items are taken together at most. Speed only.
 SHORT, LEVELS = 8, 4
 # Classes whose items a task looks at together.
@@ -93,19 +98,36 @@ def may_link(docs: DataFrame, classes: DataFrame, words: int, percent: int) -> D
     return classes.join(known, "fa", "left").where(F.coalesce("own", F.lit(0)) < _prefix_length(percent)).drop("own")
 
 
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """For each set, of each of 64 * PARITIES hash values whether an odd number of members has it, as bits of a row of integers.
+
+    Two sets differ in at least as many members as in parities.
+    """
+    flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
+    place = mixed(flat) % np.uint64(64 * PARITIES)
+    word = np.repeat(np.arange(len(sets)) * PARITIES, [len(s) for s in sets]) + (place >> np.uint64(6)).astype(np.int64)
+    out = np.zeros(len(sets) * PARITIES, np.uint64)
+    np.bitwise_xor.at(out, word, np.uint64(1) << (place & np.uint64(63)))
+    return out.view(np.int64).reshape(len(sets), PARITIES)
+
+
 def class_texts(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
-    """node, n, text: one text of each class. A key that has several texts counts with the one that is of the class."""
-    names = ["node", "n", "text"]
+    """node, n, text, bits: one text of each class, and parities of its shingles. A key that has several texts counts with the
+    one that is of the class."""
+    names = ["node", "n", "text", "bits"]
 
     def of_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", SLICE):
-            found = _fingerprints(shingle_sets(batch.column(2), words))
-            same = [np.asarray(batch.column(i)) == f for i, f in zip((3, 4), found, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(same[0] & same[1])) for i in range(3)], names=names)
+            sets = shingle_sets(batch.column(2), words)
+            found = _fingerprints(sets)
+            same = np.logical_and(*(np.asarray(batch.column(i)) == f for i, f in zip((3, 4), found, strict=True)))
+            bits = parities(sets)[same]
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1, dtype=np.int32) * PARITIES), pa.array(bits.ravel()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).filter(pa.array(same)) for i in range(3)), lists], names=names)
 
     wanted = classes.select(F.col("rep").alias("id"), "node", "n", "fa", "fb")
     rows = docs.join(wanted, "id").select("node", "n", "text", "fa", "fb")
-    return rows.mapInArrow(of_class, "node long, n int, text string").dropDuplicates(["node"])
+    return rows.mapInArrow(of_class, "node long, n int, text string, bits array<long>").dropDuplicates(["node"])
 
 
 def all_shingles(texts: DataFrame, words: int) -> DataFrame:
@@ -224,6 +246,12 @@ def _near(percent: int) -> Column:
     return F.expr(f"least(n_a, n_b) * 100L >= greatest(n_a, n_b) * {percent}L")
 
 
+def _room(percent: int) -> Column:
+    """Whether two classes that differ in all shingles whose parities differ, and in no others, link. Those that link do."""
+    differ = " + ".join(f"bit_count(bits_a[{i}] ^ bits_b[{i}])" for i in range(PARITIES))
+    return F.expr(f"(n_a + n_b - ({differ})) * {100 + percent}L >= (n_a + n_b) * {2 * percent}L")
+
+
 def _needed(percent: int) -> Column:
     """How much weight the prefixes of two classes that link share at least: what is left of the overlap when all that lies
     behind the prefix that ends first is common."""
@@ -245,18 +273,22 @@ def _joined(labelled: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _spread(labelled: DataFrame) -> DataFrame:
-    """g, low, top: least and greatest component among the members of each group."""
-    return labelled.groupBy(F.col("leader").alias("g")).agg(F.min("component").alias("low"), F.max("component").alias("top"))
+    """g, low, top, size: least and greatest component among the members of each group, and the least one's number of classes."""
+    sizes = labelled.groupBy(F.col("component").alias("low")).agg(F.count(F.lit(1)).alias("size"))
+    spread = labelled.groupBy(F.col("leader").alias("g")).agg(F.min("component").alias("low"), F.max("component").alias("top"))
+    return spread.join(sizes, "low").select("g", "low", "top", "size")
 
 
-def _hub_pairs(shared: DataFrame, spread: DataFrame, percent: int) -> DataFrame:
+def _hub_pairs(shared: DataFrame, spread: DataFrame, percent: int, turn: int = 0) -> DataFrame:
     """Each group with the hub that it shares most with, if that is half as much as a link needs.
 
-    An item's hub is its group in the least component; groups of other components are tried with it. So there is a row for
-    each item of a group. Some links are not tried here; they are found among what stays apart.
+    An item's hub is one of its groups in the largest component, another one in each turn but mostly the same one for the items
+    of like groups; groups of other components are tried with it. So there is a row for each item of a group. Some links are
+    not tried here; they are found among what stays apart.
     """
     rows = shared.join(spread, "g")
-    hubs = rows.groupBy("item").agg(F.min(F.struct("low", "g", "n", "reach")).alias("hub"), F.max("top").alias("top")).where("hub.low < top")
+    hub = F.min(F.struct((-F.col("size")).alias("size"), "low", F.xxhash64("g", F.lit(turn)).alias("turn"), "g", "n", "reach"))
+    hubs = rows.groupBy("item").agg(hub.alias("hub"), F.min("low").alias("least"), F.max("top").alias("top")).where("least < top")
     hubs = stored(hubs.select("item", "hub"), "hubs")
     met = _side(rows, "a", "weight", "low").join(hubs, "item").where("a <> hub.g AND low_a <> hub.low")
     met = met.select("a", "n_a", "reach_a", F.col("hub.g").alias("b"), F.col("hub.n").alias("n_b"), F.col("hub.reach").alias("reach_b"), "weight_a")
@@ -297,24 +329,33 @@ def group_pairs(apart: DataFrame, percent: int) -> DataFrame:
 
 
 def _met_in(rows: DataFrame, others: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes of alike size and different components with the same list. Those of `rows` in its largest component need
-    not look for others, as others look for them."""
-    rows = rows.where("component <> largest")
-    x = rows.select("list", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-    y = others.select("list", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-    met = x.join(y, "list").where(F.expr("a <> b AND c_a <> c_b") & _near(percent))
+    """Pairs of classes of alike size and different components with the same list that may link. Those of `rows` in its largest
+    component need not look for others, as others look for them; of two others one looks.
+
+    Every pair that links passes in the list of the first item that both have: it has no list before, and enough weight from
+    there on.
+    """
+    names = {"node": "", "component": "c_", "n": "n_", "bits": "bits_", "rest": "rest_", "before": "before_"}
+    x = rows.where("component <> largest").select("list", "largest", *[F.col(c).alias(f"{to}a") for c, to in names.items()])
+    y = others.select("list", *[F.col(c).alias(f"{to}b") for c, to in names.items()])
+    apart = F.expr("c_a <> c_b AND (a < b OR c_b = largest) AND coalesce(before_a <> before_b, true)")
+    enough = F.expr(f"least(rest_a, rest_b) * {100 + percent}L >= (n_a + n_b) * {percent}L")
+    met = x.join(y, "list").where(apart & _near(percent) & enough & _room(percent))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def pairs_of_long_lists(apart: DataFrame, prefix: DataFrame, labelled: DataFrame, percent: int) -> DataFrame:
+def pairs_of_long_lists(apart: DataFrame, prefix: DataFrame, labelled: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes that share an item which many groups have, and as many more as it takes to make their list short.
 
     A list is dealt out by the items that its classes have ahead if that makes less than half of the rows that pairing it
     makes, which is counted first. A class without an l-prefix cannot be dealt out to l items and is paired with its list.
+    rest: a class's weight from the item on; before: the last of these items that it has before.
     """
-    items = apart.where("long").select("item").distinct()
+    items, bits = apart.where("long").select("item").distinct(), texts.select("node", "bits")
     rows = prefix.where("depth = 1").join(items, "item", "left_semi").join(labelled.select("node", "component"), "node")
-    rows = stored(rows.select(F.col("item").alias("list"), "node", "n", "component", "place", "most"), "long")
+    before = F.lag("item").over(Window.partitionBy("node").orderBy("place")).alias("before")
+    rest = F.expr("n - reach + after + 1").alias("rest")
+    rows = stored(rows.select(F.col("item").alias("list"), "node", "n", "component", "place", "most", rest, before), "long")
     pairs = rows.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b"))
     for level in range(2, LEVELS + 2):
         if rows.isEmpty():
@@ -334,13 +375,14 @@ def pairs_of_long_lists(apart: DataFrame, prefix: DataFrame, labelled: DataFrame
         worth = stored(lists.join(each, "list").where("2 * after < rows * rows").select("list", F.lit(True).alias("long")), "worth")
         rows = rows.join(lists.select("list", "largest"), "list").join(worth, "list", "left").withColumn("long", F.coalesce("long", F.lit(False)))
         rows = stored(rows, "long")
-        stays, goes = rows.where("NOT long"), rows.where("long")
+        known = rows.join(bits, "node")
+        stays, goes = known.where("NOT long"), known.where("long")
         stuck = goes.where(F.col("most") < level)
         met = _met_in(stays, stays, percent).unionByName(_met_in(stuck, goes, percent))
         met = met.unionByName(_met_in(goes, stuck, percent))
         pairs = pairs.unionByName(stored(met, "pairs"))
         going = dealt.join(worth.select("list"), "list", "left_semi")
-        rows = going.select(F.xxhash64("list", "item").alias("list"), "node", "n", "component", F.col("next").alias("place"), "most")
+        rows = going.select(F.xxhash64("list", "item").alias("list"), "node", "n", "component", F.col("next").alias("place"), "most", "rest", "before")
         rows = stored(rows, "long")
     return pairs
 
@@ -367,14 +409,18 @@ def components_of(texts: DataFrame, words: int, percent: int) -> DataFrame:
 
     labelled = members.withColumn("component", F.col("node"))
     tried = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
-    for _ in range(ROUNDS):
-        found = linked(tried.unionByName(_hub_pairs(shared, _spread(labelled), percent)))
-        if found.isEmpty():
+    for turn in range(ROUNDS):
+        tried = stored(tried.unionByName(_hub_pairs(shared, _spread(labelled), percent, turn)), "tried")
+        found, most = linked(tried), tried.count()
+        links = found.count()
+        if links:
+            labelled = _joined(labelled, found)
+        if links * WORTH < most or not links:
             break
-        labelled, tried = _joined(labelled, found), tried.limit(0)
+        tried = tried.limit(0)
     apart = still_apart(shared, _spread(labelled))
     pairs = stored(group_pairs(apart, percent), "pairs")
-    among = _members_apart(pairs, labelled).unionByName(pairs_of_long_lists(apart, prefix, labelled, percent)).distinct()
+    among = _members_apart(pairs, labelled).unionByName(pairs_of_long_lists(apart, prefix, labelled, texts, percent)).distinct()
     labelled = _joined(labelled, linked(among)).select("node", "component")
     discard(prefix, shared, members, pairs, apart)
     return labelled
