@@ -317,3 +317,15 @@ def test_rows_held_while_a_batch_is_stored_are_short(spark, warehouse, monkeypat
     Ingest(warehouse).store(spark.createDataFrame([(message(),), ("no JSON",)], "value STRING"), 0)
     assert held == [0] and ids(warehouse.facts()) == ["b01"]
     assert [r.value for r in Ingest(warehouse).quarantine().collect()] == ["no JSON"]
+
+
+def test_envelope_is_compact_json_whose_schema_is_not_made_for_each_row(make_bookings):
+    made = topic.envelope(make_bookings([('b"1', "S1", "1003", "PASS", "2025-10-25T10:00:00", None, "4.00", 1)]))
+    types = [{"field": f.name, "type": f.dataType.simpleString()} for f in schemas.STATION_RECORDS]
+    start = '{"schema":' + json.dumps({"type": "struct", "fields": types}, separators=(",", ":")) + ',"payload":{'
+    assert start in made._jdf.queryExecution().analyzed().toString()
+    text = made.first()[0]
+    assert text.startswith(start)
+    assert json.loads(text)["payload"] == {
+        **GOOD, "booking_id": 'b"1', "date_created": "2025-10-25 10:00:00", "part_number": None
+    }

@@ -8,6 +8,8 @@ timestamps as epoch milliseconds. For a field that it does not declare, the JSON
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,14 +58,12 @@ def read_landing(spark: SparkSession, path: str, **options: str) -> DataFrame:
 def envelope(bookings: DataFrame, omit: Column | None = None) -> DataFrame:
     """Bookings as messages; `omit` says for which rows test_count is left out altogether."""
     fields = [F.col(c).cast("string").alias(c) if c == "date_created" else F.col(c) for c in bookings.columns]
-    types = [
-        F.struct(F.lit(f.name).alias("field"), F.lit(f.dataType.simpleString()).alias("type"))
-        for f in bookings.schema
-    ]
-    schema = F.struct(F.lit("struct").alias("type"), F.array(*types).alias("fields")).alias("schema")
+    types = [{"field": f.name, "type": f.dataType.simpleString()} for f in bookings.schema]
+    schema = json.dumps({"type": "struct", "fields": types}, separators=(",", ":"), ensure_ascii=False)
 
     def message(columns: list[Column]) -> Column:
-        return F.to_json(F.struct(schema, F.struct(*columns).alias("payload")), {"ignoreNullFields": "false"})
+        payload = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+        return F.concat(F.lit(f'{{"schema":{schema},"payload":'), payload, F.lit("}"))
 
     value = message(fields)
     if omit is not None:
