@@ -138,3 +138,17 @@ def test_upserts_and_alignment(spark):
     assert aligned.where("fresh is not null").isEmpty()
     first = merge.keep_first(target.union(rows), ["k"], "old")
     assert sorted(tuple(r) for r in first.collect()) == [(1, "a", 1), (2, "b", 2), (3, "y", 9)]
+
+
+def test_days_and_first_pass_need_no_merged_boards(spark, make_bookings, monkeypatch):
+    """Boards of several loads are merged once in an incremental refresh, to judge the stations."""
+    warehouse, merged = new_warehouse(spark), []
+    rows = random_rows(5, n=60, hot=0.2)
+    warehouse.append_facts(make_bookings(rows[:40]))
+    full_refresh(warehouse)
+    warehouse.append_facts(make_bookings(rows[40:]))
+    plain = Warehouse.boards
+    monkeypatch.setattr(Warehouse, "boards", lambda self, days: merged.append(days) or plain(self, days))
+    incremental_refresh(warehouse, make_bookings(rows[40:]))
+    assert len(merged) == 1
+    assert stored_models(warehouse) == built_models(warehouse)

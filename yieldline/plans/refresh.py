@@ -68,7 +68,7 @@ def only_boards(rows: DataFrame, boards: DataFrame, keys: list[str]) -> DataFram
 def days_of_quality(boards: DataFrame, batch: DataFrame) -> list[dt.date]:
     """Days whose station quality the batch can change. `boards` are those of the batch, over all time.
 
-    These are the batch's own days and the days in which a touched board has a booking that is not
+    They may be in parts. These are the batch's own days and the days in which a touched board has a booking that is not
     (any longer) its latest attempt: a retest takes the earlier booking's board out of its hour.
     """
     per_day = boards.groupBy(*STATION_BOARD, F.to_date("date_hour").alias("event_day")).agg(
@@ -104,12 +104,14 @@ def history(warehouse: Warehouse, rows: DataFrame, keys: list[str]) -> DataFrame
 
 def quality_of_days(warehouse: Warehouse, days: list[dt.date]) -> DataFrame:
     """Station quality of some days; boards seen there are judged by their whole history."""
-    judged = history(warehouse, warehouse.boards(days), STATION_BOARD)
+    judged = history(warehouse, warehouse.board_parts(days), STATION_BOARD)
     return count_quality(within(flag_latest(judged), days))
 
 
 def first_pass_of_days(warehouse: Warehouse, days: list[dt.date]) -> DataFrame:
-    boards = history(warehouse, warehouse.boards(days), PART_BOARD).groupBy(*PART_BOARD).agg(
+    seen = warehouse.board_parts(days)
+    whole = only_boards(warehouse.board_parts(warehouse.days_of_boards(seen)), seen, PART_BOARD)
+    boards = whole.groupBy(*PART_BOARD).agg(
         F.max("last_test_time").alias("last_test_time"), F.sum("fail_bookings").alias("fail_count")
     )
     return first_pass_of(within(boards, days, "last_test_time"))
@@ -132,7 +134,7 @@ def incremental_refresh(warehouse: Warehouse, batch: DataFrame) -> dict[str, lis
         return {model.name: own_days}
 
     def replace_quality_and_line() -> dict[str, list[dt.date]]:
-        touched = warehouse.boards(warehouse.days_of_boards(batch))
+        touched = warehouse.board_parts(warehouse.days_of_boards(batch))
         quality_days = days_of_quality(touched, batch)
         stations = models.as_declared(quality_of_days(warehouse, quality_days), models.QUALITY)
         warehouse.replace_days(models.QUALITY.name, stations, quality_days, as_of)
@@ -144,9 +146,9 @@ def incremental_refresh(warehouse: Warehouse, batch: DataFrame) -> dict[str, lis
 
     def replace_legacy_line() -> dict[str, list[dt.date]]:
         line = views.LEGACY_LINEWISE
-        touched = warehouse.boards(warehouse.days_of_boards(batch))
+        touched = warehouse.board_parts(warehouse.days_of_boards(batch))
         days = sorted({*own_days, *days_of_first_pass(touched, batch, ["serial_number"])})
-        boards = history(warehouse, warehouse.boards(days), ["serial_number"])
+        boards = history(warehouse, warehouse.board_parts(days), ["serial_number"])
         rows = views.legacy_line_of_days(warehouse, days, boards)
         warehouse.replace_days(line.name, models.as_declared(rows, line), days, as_of)
         return {line.name: days}

@@ -209,7 +209,14 @@ class Warehouse:
 
     def boards(self, days: list[dt.date]) -> DataFrame:
         """Per station, board, part and hour of some days: counts, attempts and last time, over all loads."""
-        return merged_boards(self.log.read("boards").where(F.col(DAY).isin(days))).drop(DAY)
+        return merged_boards(self._board_rows(days)).drop(DAY)
+
+    def board_parts(self, days: list[dt.date]) -> DataFrame:
+        """Rows of `boards` as the loads wrote them, one or more for each: for keys, sums and extremes, which need no merge before."""
+        return self._board_rows(days).drop(DAY)
+
+    def _board_rows(self, days: list[dt.date]) -> DataFrame:
+        return self.log.read("boards").where(F.col(DAY).isin(days))
 
     def days_of_boards(self, rows: DataFrame) -> list[dt.date]:
         """All days in which the boards of `rows` have a booking. Only the boards' buckets of the index are read."""
