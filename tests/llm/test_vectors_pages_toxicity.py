@@ -249,3 +249,15 @@ def test_tags_are_evidence_that_an_article_outweighs():
     remark = "A long remark beside the story that belongs to it and is told in full sentences."
     page = f"<article>{text}<aside><p>{' '.join([remark] * 3)}</p></aside>{text}</article>"
     assert remark in html.main_text(page)
+
+
+def test_trained_copies_are_sent_in_parts():
+    rows = toxicity.SENT_ROWS * 2 + 5
+    before, sums = np.zeros((rows, toxicity.DIMENSIONS), np.float32), np.ones((rows, toxicity.DIMENSIONS), np.float32)
+    after, after_sums = before.copy(), sums.copy()
+    after[[0, 7], 1], after_sums[rows - 1, 0] = 0.5, 2.0
+    parts = list(toxicity._moves(before, after, sums, after_sums))
+    assert [moved.tolist() for moved, _ in parts] == [[0, 7], [rows - 1]]
+    values = np.concatenate([v for _, v in parts]) * toxicity.UNIT
+    assert values[0, 1] == 0.5 and values[2, toxicity.DIMENSIONS] == 2.0 and values.dtype == np.float64
+    assert max(len(moved) for moved, _ in toxicity._moves(before, after + 1, sums, after_sums)) == toxicity.SENT_ROWS

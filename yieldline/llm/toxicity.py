@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from yieldline.llm.columns import RangeHash, flat, runs, slices, word_hashes
+from yieldline.llm.columns import RangeHash, flat, give_back, runs, slices, word_hashes
 from yieldline.llm.names import apart_from_input
 from yieldline.llm.components import discard, stored
 
@@ -41,7 +41,9 @@ LOGIT_STEPS = 1024
 # Copies are added up as whole numbers of this unit, so that the order of adding does not matter.
 UNIT = 2.0**-24
 THRESHOLD = 0.7
-SLICE = 2 << 20
+SLICE = 1 << 20
+# Rows of a trained copy that a task sends at once.
+SENT_ROWS = 8192
 SEED = 7
 
 # Frequent words by which a language is told.
@@ -399,6 +401,15 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.Re
         yield shard, number, pa.concat_batches(kept)
 
 
+def _moves(before: np.ndarray, after: np.ndarray, sums: np.ndarray, after_sums: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows that training changed, and their new values and sums in whole units, a part of the matrix at a time."""
+    for first in range(0, len(after), SENT_ROWS):
+        part = slice(first, first + SENT_ROWS)
+        moved = first + np.flatnonzero(((after[part] != before[part]) | (after_sums[part] != sums[part])).any(axis=1))
+        if len(moved):
+            yield moved, np.rint(np.concatenate([after[moved], after_sums[moved]], axis=1) / UNIT).astype(np.int64)
+
+
 def _epoch(rows: DataFrame, network: Network, seen: np.ndarray, epoch: int) -> np.ndarray:
     """Train a copy of the network on each shard and make it their average; `seen` are the sums of AdaGrad, averaged as well.
 
@@ -409,8 +420,8 @@ def _epoch(rows: DataFrame, network: Network, seen: np.ndarray, epoch: int) -> n
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, blocks in groupby(_blocks(batches), lambda block: block[0]):
-            own = Network.from_bytes(sent.value[0])
-            before, sums = own.matrix(), sent.value[1]
+            own, sums = Network.from_bytes(sent.value[0]), sent.value[1]
+            before = own.matrix()
             state = _values_of_rows(sums, len(own.embeddings))
             for _, number, block in blocks:
                 toxic = block.column(1).to_numpy().astype(np.float32)
@@ -422,11 +433,13 @@ def _epoch(rows: DataFrame, network: Network, seen: np.ndarray, epoch: int) -> n
                     parts = [place[offsets[i] : offsets[i + 1]] for i in chosen.tolist()]
                     _step(own, np.concatenate(parts), np.cumsum([0, *map(len, parts)]), toxic[chosen], state)
             after = own.matrix()
-            after_sums = _rows_of_values(state["embeddings"], [state[name] for name in SHAPES])
-            moved = np.flatnonzero(((after != before) | (after_sums != sums)).any(axis=1))
-            values = np.rint(np.concatenate([after[moved], after_sums[moved]], axis=1) / UNIT).astype(np.int64)
-            columns = [pa.array(moved.astype(np.int32)), *(pa.array(np.ascontiguousarray(v)) for v in values.T)]
-            yield pa.RecordBatch.from_arrays(columns, names=["row", *names])
+            after_sums = _rows_of_values(state.pop("embeddings"), [state[name] for name in SHAPES])
+            del own, state
+            for moved, values in _moves(before, after, sums, after_sums):
+                columns = [pa.array(moved.astype(np.int32)), *(pa.array(np.ascontiguousarray(v)) for v in values.T)]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", *names])
+            del before, after, after_sums
+        give_back()
 
     copies = rows.select("shard", "y", "words").mapInArrow(work, "row int, " + ", ".join(f"{n} long" for n in names))
     means = [(F.sum(n) / F.count(F.lit(1)) * UNIT).cast("float").alias(n) for n in names]
