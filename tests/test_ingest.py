@@ -323,7 +323,7 @@ def test_envelope_is_compact_json_whose_schema_is_not_made_for_each_row(make_boo
     made = topic.envelope(make_bookings([('b"1', "S1", "1003", "PASS", "2025-10-25T10:00:00", None, "4.00", 1)]))
     types = [{"field": f.name, "type": f.dataType.simpleString()} for f in schemas.STATION_RECORDS]
     start = '{"schema":' + json.dumps({"type": "struct", "fields": types}, separators=(",", ":")) + ',"payload":{'
-    assert start in made._jdf.queryExecution().analyzed().toString()
+    assert start[:-1] in made._jdf.queryExecution().analyzed().toString()
     text = made.first()[0]
     assert text.startswith(start)
     assert json.loads(text)["payload"] == {
