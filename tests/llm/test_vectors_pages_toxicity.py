@@ -261,3 +261,27 @@ def test_trained_copies_are_sent_in_parts():
     values = np.concatenate([v for _, v in parts]) * toxicity.UNIT
     assert values[0, 1] == 0.5 and values[2, toxicity.DIMENSIONS] == 2.0 and values.dtype == np.float64
     assert max(len(moved) for moved, _ in toxicity._moves(before, after + 1, sums, after_sums)) == toxicity.SENT_ROWS
+
+
+def test_training_passes_small_batches_and_puts_the_setting_back(spark, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before, epoch = spark.conf.get(name), toxicity._epoch
+
+    def watched(*args):
+        seen.append(int(spark.conf.get(name)))
+        return epoch(*args)
+
+    monkeypatch.setattr(toxicity, "_epoch", watched)
+    docs = spark.createDataFrame([(i, "bad words here" if i % 2 else "good words there") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    toxicity.train(docs, labels)
+    assert len(seen) == toxicity.EPOCHS and max(seen) <= toxicity.BLOCK_ROWS
+    assert spark.conf.get(name) == before
+
+
+def test_network_of_a_matrix_leaves_it_as_it_is():
+    network = toxicity.Network(np.random.default_rng(1), np.arange(5, dtype=np.uint64))
+    matrix = network.matrix()
+    made = toxicity.Network.from_matrix(network.known, matrix)
+    made.embeddings += 1
+    assert np.array_equal(matrix, network.matrix()) and np.array_equal(made.filters[2], network.filters[2]) and made.bias == network.bias

@@ -15,11 +15,12 @@ from __future__ import annotations
 
 import io
 from collections.abc import Iterator
+from contextlib import contextmanager
 from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from yieldline.llm.columns import RangeHash, flat, give_back, runs, slices, word_hashes
@@ -152,6 +153,14 @@ class Network:
         self.filters, self.shift = [values[f"filter{i}"] for i in n], [values[f"shift{i}"] for i in n]
         self.weights, self.bias = values["weights"], values["bias"][0]
 
+    @classmethod
+    def from_matrix(cls, known: np.ndarray, matrix: np.ndarray) -> Network:
+        """Of a `matrix`, which stays as it is."""
+        made = cls.__new__(cls)
+        made.known, made.embeddings, made.thresholds = known, matrix[: len(known) + 1], np.full(len(FREQUENT), 0.5)
+        made.take(matrix)
+        return made
+
     def to_bytes(self) -> bytes:
         file = io.BytesIO()
         np.savez_compressed(
@@ -410,18 +419,31 @@ def _moves(before: np.ndarray, after: np.ndarray, sums: np.ndarray, after_sums:
             yield moved, np.rint(np.concatenate([after[moved], after_sums[moved]], axis=1) / UNIT).astype(np.int64)
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs in here pass a block of rows to Python at once: by default whole texts of 10,000 rows lie in both processes."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= BLOCK_ROWS:
+        spark.conf.set(name, str(BLOCK_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _epoch(rows: DataFrame, network: Network, seen: np.ndarray, epoch: int) -> np.ndarray:
     """Train a copy of the network on each shard and make it their average; `seen` are the sums of AdaGrad, averaged as well.
 
     A row of values counts the shards that moved it.
     """
-    sent = rows.sparkSession.sparkContext.broadcast((network.to_bytes(), seen))
+    sent = rows.sparkSession.sparkContext.broadcast((network.known, network.matrix(), seen))
     names = [f"{kind}{i}" for kind in ("value", "seen") for i in range(DIMENSIONS)]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, blocks in groupby(_blocks(batches), lambda block: block[0]):
-            own, sums = Network.from_bytes(sent.value[0]), sent.value[1]
-            before = own.matrix()
+            known, before, sums = sent.value
+            own = Network.from_matrix(known, before)
             state = _values_of_rows(sums, len(own.embeddings))
             for _, number, block in blocks:
                 toxic = block.column(1).to_numpy().astype(np.float32)
@@ -433,12 +455,13 @@ def _epoch(rows: DataFrame, network: Network, seen: np.ndarray, epoch: int) -> n
                     parts = [place[offsets[i] : offsets[i + 1]] for i in chosen.tolist()]
                     _step(own, np.concatenate(parts), np.cumsum([0, *map(len, parts)]), toxic[chosen], state)
             after = own.matrix()
+            del own
             after_sums = _rows_of_values(state.pop("embeddings"), [state[name] for name in SHAPES])
-            del own, state
+            del state
             for moved, values in _moves(before, after, sums, after_sums):
                 columns = [pa.array(moved.astype(np.int32)), *(pa.array(np.ascontiguousarray(v)) for v in values.T)]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", *names])
-            del before, after, after_sums
+            del after, after_sums
         give_back()
 
     copies = rows.select("shard", "y", "words").mapInArrow(work, "row int, " + ", ".join(f"{n} long" for n in names))
@@ -477,6 +500,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     Labels other than 0 and 1, keys without a document, and null keys are left out. Without labels of both classes every
     document gets the same score.
     """
+    with _small_batches(docs.sparkSession):
+        return _trained(docs, labels, key, text, label)
+
+
+def _trained(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> bytes:
     usable = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(F.col(key))).groupBy(F.col(key).alias("key")).agg(
         F.max(label).cast("int").alias("y")
     )
