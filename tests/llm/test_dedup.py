@@ -354,3 +354,46 @@ def test_native_operators_run_no_python(documents):
     for frame in (line_dedup.drop_repeated_lines(documents, min_words=8), quality.measure(documents)):
         text = frame._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in text and "Arrow" not in text and "Pandas" not in text
+
+
+def test_some_rounds_of_components_join_linked_nodes_only(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 120)], "a long, b long")
+    some = {r.id: r.component for r in components(links, 1).collect()}
+    assert set(some) == {*range(41), *range(100, 120)}
+    assert all(c <= 40 for i, c in some.items() if i <= 40) and {some[i] for i in range(100, 120)} == {100}
+
+
+def test_texts_of_no_class_are_not_shuffled(spark):
+    """Of 4,000 texts, of which 40 are of a class, few reach the join that finds the class."""
+    words = [" ".join(f"w{i}x{j}" for j in range(9)) for i in range(4000)]
+    docs = spark.createDataFrame([*enumerate(words), (None, words[0]), (100, "another text of a key"), (100, words[100])], "id long, text string")
+    sets = jaccard.set_sizes(docs.where("id IS NOT NULL"), 5)
+    classes = sets.where("id % 100 = 0 AND n = 5").distinct().withColumnRenamed("id", "rep").withColumn("node", jaccard.F.col("rep") + 7)
+    marks = jaccard._marks(classes.select(jaccard.F.col("rep").alias("id")))
+    assert 30 <= np.unpackbits(marks).sum() <= 40 and len(marks) * 8 >= 16 * 40
+    joined = jaccard.class_texts(docs, classes, 5)
+    assert {(r.node, r.text) for r in joined.collect()} == {(i + 7, words[i]) for i in range(0, 4000, 100)} and joined.count() == 40
+    seen = joined._jdf.queryExecution().analyzed().toString()
+    assert seen.index("Join") < seen.index("MapInArrow"), "texts pass the marks before they are joined"
+
+
+def test_lists_meet_in_one_join_with_stuck_classes_looked_for(spark):
+    """All of a short list meet; in a long one only pairs with a class that cannot be dealt out."""
+    rows = [("s", i, False, False) for i in (1, 2, 3)] + [("l", i, True, i in (11, 12)) for i in (11, 12, 13, 14)]
+    frame = spark.createDataFrame(
+        [(x, x == "l" and 14 or 3, i, 10, i, 10, None, [0] * jaccard.PARITIES, long, stuck) for x, i, long, stuck in rows],
+        "list string, largest long, node long, n int, component long, rest long, before long, bits array<long>, long boolean, stuck boolean",
+    )
+    met = jaccard._met_in(frame, 75)
+    assert {(r.a, r.b) for r in met.collect()} == {(1, 2), (1, 3), (2, 3), (11, 12), (11, 13), (11, 14), (12, 13), (12, 14)}
+    assert met._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 1
+
+
+def test_a_class_tries_the_hub_most_alike(spark):
+    """Of an item's hubs, the one with the fewest differing parities is tried, and none of the class's own component."""
+    zeros, far = [0] * jaccard.PARITIES, [(1 << 62) - 1] * jaccard.PARITIES
+    prefix = spark.createDataFrame([(i, 5, 1) for i in (1, 2, 3, 9)], "node long, item long, depth int")
+    labelled = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (9, 9)], "node long, component long")
+    texts = spark.createDataFrame([(1, 400, far), (2, 400, zeros), (3, 400, far), (9, 400, zeros)], "node long, n int, bits array<long>")
+    found = {(r.a, r.b) for r in jaccard._likely_pairs(prefix, labelled, texts, 75).collect()}
+    assert found <= {(9, 2)}

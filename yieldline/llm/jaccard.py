@@ -7,8 +7,8 @@
    that link share an item of it. Counts are exact, and nothing is broadcast.
 3. Classes of equal prefix and size are a group. Groups that share prefix items are paired, pairs that share too little are
    dropped, and only then members are expanded and verified on whole texts. What is connected already is not compared
-   again: first each group is tried with the hub that it shares most with, round by round with other hubs, then whatever is
-   still apart.
+   again: first each group is tried with the hub that it shares most with, round by round with other hubs, then each class with
+   the one most alike of some hubs, then whatever is still apart.
 4. An item that many groups have is not paired as it is. Classes that link share two items of somewhat longer prefixes, three
    of still longer ones, and so on: the item's list is dealt out by a second item, long ones of these lists by a third,
    for as long as that makes fewer rows than pairing would. So texts of common paragraphs meet where they share nearly all.
@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,10 @@ from yieldline.llm.components import components, discard, stored
 from yieldline.llm.shingles import SLICE, shingle_sets
 
 # At most so many rounds in which groups are tried with hubs before all that is apart is paired, as long as one in so many of
-# the pairs tried links. They decide speed only.
-ROUNDS, WORTH = 6, 10
+# the pairs tried links, and so many hubs of an item from which each class tries the one most alike. They decide speed only.
+ROUNDS, WORTH, HUBS = 2, 5, 4
+# Bits by which most texts of no class are told before they are shuffled are 2 to this at most, and those of a part. Speed only.
+MOST_MARKS, PART_MARKS = 28, 15
 # Words of 64 parities that a class has. Speed only.
 PARITIES = 16
 # An item or list of so many groups or classes is paired as it is, and so many items are taken together at most. Speed only.
@@ -111,23 +114,44 @@ def parities(sets: list[np.ndarray]) -> np.ndarray:
     return out.view(np.int64).reshape(len(sets), PARITIES)
 
 
+def _marks(ids: DataFrame) -> np.ndarray:
+    """Bits, some sixteen for each of `ids` and MOST_MARKS at most, of which those at the place of an id are set."""
+    bits = 1 << min(MOST_MARKS, max(PART_MARKS, (16 * ids.count()).bit_length()))
+    place = F.pmod(F.xxhash64("id"), F.lit(bits))
+    parts = ids.groupBy((place / F.lit(1 << PART_MARKS)).cast("int").alias("part")).agg(F.bitmap_construct_agg(place % (1 << PART_MARKS)).alias("bits"))
+    marks = np.zeros(bits // 8, np.uint8)
+    for part in parts.toLocalIterator():
+        first = part["part"] << (PART_MARKS - 3)
+        marks[first : first + (1 << (PART_MARKS - 3))] = np.frombuffer(part["bits"], np.uint8)
+    return marks
+
+
 def class_texts(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     """node, n, text, bits: one text of each class, and parities of its shingles. A key that has several texts counts with the
-    one that is of the class."""
-    names = ["node", "n", "text", "bits"]
-
-    def of_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", SLICE):
-            sets = shingle_sets(batch.column(2), words)
-            found = _fingerprints(sets)
-            same = np.logical_and(*(np.asarray(batch.column(i)) == f for i, f in zip((3, 4), found, strict=True)))
-            bits = parities(sets)[same]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1, dtype=np.int32) * PARITIES), pa.array(bits.ravel()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i).filter(pa.array(same)) for i in range(3)), lists], names=names)
+    one that is of the class.
 
+    Texts whose key has no mark are of no class; the others, among them all that are wanted, are shuffled.
+    """
     wanted = classes.select(F.col("rep").alias("id"), "node", "n", "fa", "fb")
-    rows = docs.join(wanted, "id").select("node", "n", "text", "fa", "fb")
-    return rows.mapInArrow(of_class, "node long, n int, text string, bits array<long>").dropDuplicates(["node"])
+    marks = _marks(wanted)
+    sent = docs.sparkSession.sparkContext.broadcast(marks)
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column(2).to_numpy() % (8 * len(sent.value))
+            some = (sent.value[place >> 3] >> (place & 7)) & 1
+            kept = batch.select(["id", "text"]).filter(pa.array(some.astype(bool)))
+            for part in slices([kept], "text", SLICE):
+                sets = shingle_sets(part.column(1), words)
+                bits = parities(sets)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bits) + 1, dtype=np.int32) * PARITIES), pa.array(bits.ravel()))
+                found = [pa.array(f) for f in _fingerprints(sets)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *found, lists], names=["id", "text", "fa", "fb", "bits"])
+
+    rows = docs.select("id", "text", F.xxhash64("id").alias("place"))
+    rows = rows.mapInArrow(marked, "id long, text string, fa long, fb long, bits array<long>")
+    # A node's rows have one key and lie together after the join.
+    return rows.join(wanted, ["id", "fa", "fb"]).dropDuplicates(["id", "fa", "fb", "node"]).select("node", "n", "text", "bits")
 
 
 def all_shingles(texts: DataFrame, words: int) -> DataFrame:
@@ -246,10 +270,13 @@ def _near(percent: int) -> Column:
     return F.expr(f"least(n_a, n_b) * 100L >= greatest(n_a, n_b) * {percent}L")
 
 
+# Number of differing parities of two classes.
+DIFFER = " + ".join(f"bit_count(bits_a[{i}] ^ bits_b[{i}])" for i in range(PARITIES))
+
+
 def _room(percent: int) -> Column:
     """Whether two classes that differ in all shingles whose parities differ, and in no others, link. Those that link do."""
-    differ = " + ".join(f"bit_count(bits_a[{i}] ^ bits_b[{i}])" for i in range(PARITIES))
-    return F.expr(f"(n_a + n_b - ({differ})) * {100 + percent}L >= (n_a + n_b) * {2 * percent}L")
+    return F.expr(f"(n_a + n_b - ({DIFFER})) * {100 + percent}L >= (n_a + n_b) * {2 * percent}L")
 
 
 def _needed(percent: int) -> Column:
@@ -263,11 +290,12 @@ def _side(rows: DataFrame, side: str, *more: str) -> DataFrame:
     return rows.select("item", *renamed)
 
 
-def _joined(labelled: DataFrame, links: DataFrame) -> DataFrame:
-    """`labelled` (node, component, ...) with the components that `links` connect made one. Looks at links between components only."""
+def _joined(labelled: DataFrame, links: DataFrame, rounds: int | None = None) -> DataFrame:
+    """`labelled` (node, component, ...) with the components that `links` connect made one, or with `rounds` most of them. Looks at
+    links between components only."""
     ends = labelled.select("node", "component")
     edges = links.join(ends.toDF("a", "c_a"), "a").join(ends.toDF("b", "c_b"), "b").where("c_a <> c_b")
-    moved = components(edges.select(F.col("c_a").alias("a"), F.col("c_b").alias("b"))).select(F.col("id").alias("component"), F.col("component").alias("to"))
+    moved = components(edges.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")), rounds).select(F.col("id").alias("component"), F.col("component").alias("to"))
     after = labelled.join(moved, "component", "left").withColumn("component", F.coalesce("to", "component"))
     return stored(after.select(labelled.columns), "labelled")
 
@@ -297,6 +325,27 @@ def _hub_pairs(shared: DataFrame, spread: DataFrame, percent: int, turn: int = 0
     return likely.groupBy("a").agg(F.max_by("b", F.struct("weight", -F.col("b"))).alias("b"))
 
 
+def _likely_pairs(prefix: DataFrame, labelled: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Each class with the one whose parities differ least from its own, of HUBS hubs of each of its prefix items in the largest
+    component there, if it is in another one and both may link.
+
+    So a class that links with many of a component is joined to it by a pair, before all that is apart is paired.
+    """
+    sizes = labelled.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    places = stored(labelled.select("node", "component").join(sizes, "component"), "places")
+    rows = prefix.where("depth = 1").select("item", "node").join(places, "node")
+    hub = [F.min(F.struct((-F.col("size")).alias("size"), "component", F.xxhash64("node", F.lit(k)).alias("turn"), "node")) for k in range(HUBS)]
+    hubs = rows.groupBy("item").agg(
+        F.min("component").alias("least"), F.max("component").alias("top"), *[h.alias(f"hub{k}") for k, h in enumerate(hub)]
+    )
+    each = F.array_distinct(F.array(*[f"hub{k}.node" for k in range(HUBS)])).alias("hubs")
+    hubs = stored(hubs.where("least < top").select("item", F.col("hub0.component").alias("to"), each), "hubs")
+    met = rows.join(hubs, "item").where("component <> to").select(F.col("node").alias("a"), F.explode("hubs").alias("b")).distinct()
+    known = texts.select("node", "n", "bits")
+    both = met.join(known.toDF("a", "n_a", "bits_a"), "a").join(known.toDF("b", "n_b", "bits_b"), "b").where(_near(percent) & _room(percent))
+    return both.groupBy("a").agg(F.min_by("b", F.struct(F.expr(f"({DIFFER}) / (n_a + n_b)"), "b")).alias("b"))
+
+
 def still_apart(shared: DataFrame, spread: DataFrame) -> DataFrame:
     """Rows of items whose groups are not all in one component, with `long`: whether the item has many groups."""
     rows = shared.join(spread, "g")
@@ -328,19 +377,23 @@ def group_pairs(apart: DataFrame, percent: int) -> DataFrame:
     return counted.where(weight >= _needed(percent) - F.floor(_needed(percent) / 2)).select("a", "b")
 
 
-def _met_in(rows: DataFrame, others: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes of alike size and different components with the same list that may link. Those of `rows` in its largest
-    component need not look for others, as others look for them; of two others one looks.
+def _met_in(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes of alike size and different components with the same list that may link; of a long list, those of a
+    stuck class and any other. Classes in a list's largest component need not look for others, as others look for them; of
+    two others one looks.
 
     Every pair that links passes in the list of the first item that both have: it has no list before, and enough weight from
     there on.
     """
     names = {"node": "", "component": "c_", "n": "n_", "bits": "bits_", "rest": "rest_", "before": "before_"}
-    x = rows.where("component <> largest").select("list", "largest", *[F.col(c).alias(f"{to}a") for c, to in names.items()])
-    y = others.select("list", *[F.col(c).alias(f"{to}b") for c, to in names.items()])
+    # All of a short list meet as 0; in a long one stuck classes look for all as 1, and all look for stuck ones as 2.
+    looks = F.explode(F.expr("CASE WHEN NOT long THEN array(0) WHEN stuck THEN array(1, 2) ELSE array(2) END")).alias("kind")
+    found = F.explode(F.expr("CASE WHEN NOT long THEN array(0) WHEN stuck THEN array(1, 2) ELSE array(1) END")).alias("kind")
+    x = rows.where("component <> largest").select("list", looks, "largest", *[F.col(c).alias(f"{to}a") for c, to in names.items()])
+    y = rows.select("list", found, *[F.col(c).alias(f"{to}b") for c, to in names.items()])
     apart = F.expr("c_a <> c_b AND (a < b OR c_b = largest) AND coalesce(before_a <> before_b, true)")
     enough = F.expr(f"least(rest_a, rest_b) * {100 + percent}L >= (n_a + n_b) * {percent}L")
-    met = x.join(y, "list").where(apart & _near(percent) & enough & _room(percent))
+    met = x.join(y, ["list", "kind"]).where(apart & _near(percent) & enough & _room(percent))
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
@@ -374,13 +427,9 @@ def pairs_of_long_lists(apart: DataFrame, prefix: DataFrame, labelled: DataFrame
         each = dealt.groupBy("list", "item").agg(F.count(F.lit(1)).alias("m")).groupBy("list").agg(F.sum(F.expr("m * m + 2 * m")).alias("after"))
         worth = stored(lists.join(each, "list").where("2 * after < rows * rows").select("list", F.lit(True).alias("long")), "worth")
         rows = rows.join(lists.select("list", "largest"), "list").join(worth, "list", "left").withColumn("long", F.coalesce("long", F.lit(False)))
-        rows = stored(rows, "long")
-        known = rows.join(bits, "node")
-        stays, goes = known.where("NOT long"), known.where("long")
-        stuck = goes.where(F.col("most") < level)
-        met = _met_in(stays, stays, percent).unionByName(_met_in(stuck, goes, percent))
-        met = met.unionByName(_met_in(goes, stuck, percent))
-        pairs = pairs.unionByName(stored(met, "pairs"))
+        known = stored(rows.join(bits, "node").withColumn("stuck", F.col("most") < level), "known")
+        pairs = pairs.unionByName(stored(_met_in(known, percent), "pairs"))
+        discard(known)
         going = dealt.join(worth.select("list"), "list", "left_semi")
         rows = going.select(F.xxhash64("list", "item").alias("list"), "node", "n", "component", F.col("next").alias("place"), "most", "rest", "before")
         rows = stored(rows, "long")
@@ -407,21 +456,26 @@ def components_of(texts: DataFrame, words: int, percent: int) -> DataFrame:
     def linked(pairs: DataFrame) -> DataFrame:
         return stored(verified(pairs, texts, words, percent), "links")
 
-    labelled = members.withColumn("component", F.col("node"))
+    labelled, known = members.withColumn("component", F.col("node")), []
     tried = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))
     for turn in range(ROUNDS):
         tried = stored(tried.unionByName(_hub_pairs(shared, _spread(labelled), percent, turn)), "tried")
         found, most = linked(tried), tried.count()
         links = found.count()
         if links:
-            labelled = _joined(labelled, found)
+            labelled = _joined(labelled, found, 1)
+            known.append(found)
         if links * WORTH < most or not links:
             break
         tried = tried.limit(0)
+    found = linked(stored(_likely_pairs(prefix, labelled, texts, percent), "tried"))
+    if not found.isEmpty():
+        labelled = _joined(labelled, found, 1)
+        known.append(found)
     apart = still_apart(shared, _spread(labelled))
     pairs = stored(group_pairs(apart, percent), "pairs")
     among = _members_apart(pairs, labelled).unionByName(pairs_of_long_lists(apart, prefix, labelled, texts, percent)).distinct()
-    labelled = _joined(labelled, linked(among)).select("node", "component")
+    labelled = _joined(labelled, reduce(DataFrame.unionByName, known, linked(among))).select("node", "component")
     discard(prefix, shared, members, pairs, apart)
     return labelled
 
