@@ -9,6 +9,7 @@ import pyarrow as pa
 import pytest
 
 import brute
+from bench import shuffled_bytes
 from yieldline.llm import html, pigeonhole, toxicity
 
 
@@ -49,6 +50,22 @@ def test_near_vectors(spark, vectors, monkeypatch):
     assert pigeonhole.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_a_vector_is_sent_for_each_other_chunk_and_not_for_each_cell(spark, monkeypatch):
+    x = np.random.default_rng(9).normal(size=(4000, 64)).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    sent, kept = [], pigeonhole.stored
+
+    def measured(rows, label):
+        if label == "found":
+            rows.collect()
+            sent.append(shuffled_bytes(rows))
+        return kept(rows, label)
+
+    monkeypatch.setattr(pigeonhole, "stored", measured)
+    assert pigeonhole.near_vectors(frame).count() == 4000
+    assert 0 < sent[0] < 8 * x.nbytes
+
+
 def test_every_near_pair_meets_in_a_cell():
     rng = np.random.default_rng(5)
     x = rng.normal(size=(400, 24))

@@ -2,11 +2,12 @@
 
 Unit vectors with cosine >= c are at most t = 2 - 2c apart in squared distance. After a rotation the dimensions are split into
 blocks; if two vectors are that near, then in some block they are within the block's share of t, in proportion to its dimensions.
-Each block is a range join of its own: a grid over the block gives every vector a home cell, and a vector is sent to each cell
+Each block is a range join of its own: a grid over the block gives every vector a home cell, and a vector visits each cell
 further on in the grid's order that comes within the block's budget. Pairs within budget are verified on whole vectors in double
 precision, each in the first block that finds it.
 
-Equal vectors are one class. Cells with more vectors than a task should hold are worked on in pairs of chunks. Tasks return counts
+Equal vectors are one class, named by a digest. Classes are dealt to chunks of bounded size, and a task joins two chunks in all
+blocks: a vector is sent once for each other chunk, and cells are made of row numbers inside the task. Tasks return counts
 and a spanning forest of their links, never the pairs, so a dense group costs rows in proportion to its size.
 
 Rotated coordinates are rounded to whole numbers once; block distances are then exact and the same in every task.
@@ -15,25 +16,28 @@ Rotated coordinates are rounded to whole numbers once; block distances are then
 from __future__ import annotations
 
 import functools
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from yieldline.llm.columns import flat
+from yieldline.llm.columns import flat, give_back
 from yieldline.llm.components import components, stored
 
 BLOCK = 8
 SCALE = 1 << 20
 # Widens budgets by more than the rounding of coordinates can take away.
 SLACK = 1e-5
-# Vectors that a cell should hold on average, and chunk size of a cell that holds more than twice as many.
-PER_CELL, CHUNK = 12_000, 24_000
-# Pairs verified at once.
-AT_ONCE = 50_000
+# Vectors at home in a cell on average, and the most vectors and bytes of a chunk.
+PER_CELL, CHUNK, CHUNK_BYTES = 1_000, 128_000, 32 << 20
+# Chunks that there are at least, unless they would be smaller than this.
+LEAST_CHUNKS, LEAST_CHUNK = 5, 1_000
+# Block distances computed at once, rows whose cells are looked up at once, and pairs verified at once.
+PRODUCTS, ROWS, AT_ONCE = 1 << 19, 1 << 14, 20_000
 SEED = 11
 
 
@@ -74,8 +78,9 @@ def _by_length(lists: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield rows, numbers[(ends - lengths)[rows][:, None] + np.arange(n)]
 
 
-def _classes(vectors: DataFrame, kind: str) -> DataFrame:
-    """row values of usable vectors as bytes: id, vec, dims; other rows have a null vec."""
+def _classes(vectors: DataFrame, kind: str, whole: bool) -> DataFrame:
+    """id, class, dims of each row, with the values as bytes if `whole`; rows that are not usable have a null class."""
+    schema = "id long, class binary, dims int" + ", vec binary" * whole
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,14 +91,16 @@ def _classes(vectors: DataFrame, kind: str) -> DataFrame:
                 for i in np.flatnonzero(_usable(matrix)).tolist():
                     vec[rows[i]] = matrix[i].astype(kind).tobytes()
                     dims[rows[i]] = matrix.shape[1]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(vec, pa.binary()), pa.array(dims)], names=["id", "vec", "dims"])
+            names = [None if v is None else hashlib.blake2b(v, digest_size=16).digest() for v in vec]
+            columns = [batch.column(0), pa.array(names, pa.binary()), pa.array(dims)] + [pa.array(vec, pa.binary())] * whole
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "class", "dims", "vec"][: len(columns)])
 
-    return vectors.mapInArrow(work, "id long, vec binary, dims int")
+    return vectors.mapInArrow(work, schema)
 
 
 def _matrix(column: pa.Array, kind: str) -> np.ndarray:
     data, _ = flat(column)
-    return np.frombuffer(data.tobytes(), kind).reshape(len(column), -1)
+    return data.view(kind).reshape(len(column), -1)
 
 
 def _cuts(bits: int) -> list[np.ndarray]:
@@ -128,38 +135,19 @@ def reached(block: np.ndarray, dimensions: int, bits: int, budget: float) -> tup
     return rows[keep], cells[keep], cells[keep] == home[rows[keep]]
 
 
-def _sent(classes: DataFrame, kind: str, cosine: float, bits: int) -> DataFrame:
-    """One row per class, block and cell it reaches: dims, block, cell, home, id, copies, vec, rotated."""
-    schema = "dims int, block int, cell long, home boolean, id long, copies long, vec binary, rotated binary"
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            dims_of = whole.column(3).to_numpy(zero_copy_only=False)
-            for n in np.unique(dims_of).tolist():
-                batch = whole.filter(pa.array(dims_of == n))
-                turned = np.round(_unit(_matrix(batch.column(2), kind)) @ rotation(n) * SCALE).astype("<i4")
-                packed = pa.array([r.tobytes() for r in turned], pa.binary())
-                for b, budget in enumerate(budgets(n, cosine).tolist()):
-                    rows, cells, home = reached(turned[:, b * BLOCK : (b + 1) * BLOCK], n, bits, budget)
-                    for first in range(0, len(rows), 10_000):
-                        some = slice(first, first + 10_000)
-                        at = pa.array(rows[some])
-                        size = len(rows[some])
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array(np.full(size, n, np.int32)),
-                                pa.array(np.full(size, b, np.int32)),
-                                pa.array(cells[some]),
-                                pa.array(home[some]),
-                                batch.column(0).take(at),
-                                batch.column(1).take(at),
-                                batch.column(2).take(at),
-                                packed.take(at),
-                            ],
-                            names=[f.split()[0] for f in schema.split(", ")],
-                        )
-
-    return classes.select("id", "copies", "vec", "dims").mapInArrow(work, schema)
+def _cells(block: np.ndarray, dimensions: int, bits: int, budget: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows at home and rows that visit, cell by cell."""
+    parts = []
+    for first in range(0, len(block), ROWS):
+        rows, cells, home = reached(block[first : first + ROWS], dimensions, bits, budget)
+        parts.append(((rows + first).astype(np.int32), cells.astype(np.uint16), home))
+    rows, cells, home = (np.concatenate(p) for p in zip(*parts, strict=True))
+    order = np.argsort(cells, kind="stable")
+    rows, home, ends = rows[order], home[order], np.cumsum(np.bincount(cells))
+    for first, last in zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True):
+        here = home[first:last]
+        if here.any():
+            yield rows[first:last][here], rows[first:last][~here]
 
 
 class _Forest:
@@ -194,56 +182,121 @@ class _Forest:
         self.label = to[self.label]
 
 
-def linked_in_cell(
-    block: int, vectors: np.ndarray, rotated: np.ndarray, home: np.ndarray, copies: np.ndarray, left: np.ndarray, right: np.ndarray, cosine: float
+class _Rows:
+    """The rows of several matrices as one, without a copy."""
+
+    def __init__(self, parts: list[np.ndarray]):
+        self.parts, self.starts = parts, np.cumsum([0, *map(len, parts)])
+
+    def __len__(self) -> int:
+        return int(self.starts[-1])
+
+    def __getitem__(self, rows: np.ndarray) -> np.ndarray:
+        out = np.empty((len(rows), self.parts[0].shape[1]), self.parts[0].dtype)
+        where = np.searchsorted(self.starts, rows, side="right") - 1
+        for p in np.unique(where).tolist():
+            here = where == p
+            out[here] = self.parts[p][rows[here] - self.starts[p]]
+        return out
+
+
+def linked(
+    parts: list[np.ndarray], second: np.ndarray, within: tuple[bool, bool], copies: np.ndarray, cosine: float
 ) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Links of each row (counting copies) and a spanning forest, among pairs that this block is the first to find.
+    """Links of each row (counting copies) and a spanning forest. The rows are those of all `parts`.
 
-    Compares rows marked `left` with those marked `right`, where one of a pair is at home in the cell. Rows carry both
-    marks or are of two chunks; a pair is taken once.
+    Compares rows of a first chunk with those of a `second` one, and the rows of each chunk `within` says so with each other.
     """
-    limits = budgets(rotated.shape[1], cosine)
-    starts = np.arange(0, rotated.shape[1], BLOCK)
-    part = rotated[:, block * BLOCK : (block + 1) * BLOCK].astype(np.float32) / SCALE
-    half = (part**2).sum(axis=1, keepdims=True) / 2
-    one = np.ones_like(half)
-    # The product of these rows is minus half the squared distance.
-    ours, theirs = np.hstack([part, -half, one]), np.hstack([part, one, -half])
-    near = -np.float32(limits[block] / float(SCALE) ** 2 * (1 + 1e-4) + 1e-6) / 2
-    unit, links, forest = None, np.zeros(len(vectors), np.int64), _Forest(len(vectors))
-
-    def close() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        same = bool((left & right).all())
-        sides = [(left, right & home)] if same else [(left, right & home), (left & home, right & ~home)]
-        for rows, columns in ((np.flatnonzero(x), np.flatnonzero(y)) for x, y in sides):
-            step = max(1, (4 << 20) // max(1, len(columns)))
-            for first in range(0, len(rows) if len(columns) else 0, step):
-                some = rows[first : first + step]
-                hits = np.flatnonzero(ours[some] @ theirs[columns].T >= near)
-                a, b = some[hits // len(columns)], columns[hits % len(columns)]
-                if same:
-                    keep = (a > b) | (~home[a])
-                    a, b = a[keep], b[keep]
-                yield a, b
-
-    for a, b in close():
-        for at in range(0, len(a), AT_ONCE):
-            x, y = a[at : at + AT_ONCE], b[at : at + AT_ONCE]
-            gaps = np.add.reduceat((rotated[x].astype(np.int64) - rotated[y]) ** 2, starts, axis=1) <= limits
-            own = gaps[:, block] & ~gaps[:, :block].any(axis=1)
-            x, y = x[own], y[own]
-            if not len(x):
-                continue
-            if unit is None:
-                unit = _unit(vectors)
-            good = (unit[x] * unit[y]).sum(axis=1) >= cosine
-            x, y = x[good], y[good]
-            np.add.at(links, x, copies[y])
-            np.add.at(links, y, copies[x])
-            forest.add(x, y)
+    vectors = _Rows(parts)
+    count, n = len(vectors), parts[0].shape[1]
+    turned = np.empty((count, n), "<i4")
+    for first in range(0, count, ROWS):
+        some = slice(first, min(first + ROWS, count))
+        turned[some] = np.round(_unit(vectors[np.arange(some.start, some.stop)]) @ rotation(n) * SCALE)
+    limits, starts = budgets(n, cosine), np.arange(0, n, BLOCK)
+    bits = int(np.clip(np.ceil(np.log2(max(count, 1) / PER_CELL)), 0, 2 * BLOCK))
+    links, forest = np.zeros(count, np.int64), _Forest(count)
+    products = np.empty(max(PRODUCTS, count), np.float32)
+    flags = np.empty(len(products), bool)
+
+    def compared(home: np.ndarray, visit: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+        """Rows to compare with rows; True if both are the same ones."""
+        ours, theirs = ([rows[~second[rows]], rows[second[rows]]] for rows in (home, visit))
+        if all(within):
+            yield home, home, True
+            yield home, visit, False
+            return
+        yield ours[0], np.concatenate([ours[1], theirs[1], *[theirs[0]] * within[0]]), False
+        yield ours[1], np.concatenate([theirs[0], *[theirs[1]] * within[1]]), False
+        for side in (0, 1):
+            if within[side]:
+                yield ours[side], ours[side], True
+
+    def close(block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs within the block's budget, and maybe some more."""
+        whole = np.ascontiguousarray(turned[:, block * BLOCK : (block + 1) * BLOCK])
+        part = whole.astype(np.float32) / SCALE
+        half = (part**2).sum(axis=1, keepdims=True) / 2
+        one = np.ones_like(half)
+        # The product of these rows is minus half the squared distance.
+        left, right = np.hstack([part, -half, one]), np.hstack([part, one, -half])
+        near = -np.float32(limits[block] / float(SCALE) ** 2 * (1 + 1e-4) + 1e-6) / 2
+        for home, visit in _cells(whole, n, bits, limits[block]):
+            for rows, columns, same in compared(home, visit):
+                step, facing = max(1, PRODUCTS // max(1, len(columns))), right[columns].T
+                for first in range(0, len(rows) if len(columns) else 0, step):
+                    some = rows[first : first + step]
+                    size = len(some) * len(columns)
+                    np.matmul(left[some], facing, out=products[:size].reshape(len(some), -1))
+                    hits = np.flatnonzero(np.greater_equal(products[:size], near, out=flags[:size]))
+                    a, b = np.divmod(hits, len(columns))
+                    if same:
+                        keep = a + first > b
+                        a, b = a[keep], b[keep]
+                    if len(a):
+                        yield some[a], columns[b]
+
+    def verify(waiting: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        x, y = (np.concatenate(p) for p in zip(*waiting, strict=True))
+        good = (_unit(vectors[x]) * _unit(vectors[y])).sum(axis=1) >= cosine
+        x, y = x[good], y[good]
+        np.add.at(links, x, copies[y])
+        np.add.at(links, y, copies[x])
+        forest.add(x, y)
+
+    waiting, held = [], 0
+    for block in range(len(limits)):
+        # Together with the blocks that come next, round and round, a pair may not exceed the whole budget.
+        near_by = sorted({(block + k) % len(limits) for k in range(3)})
+        beside = np.concatenate([turned[:, b * BLOCK : (b + 1) * BLOCK] for b in near_by], axis=1).astype(np.float32)
+        most = limits.sum() * (1 + 1e-4)
+        for a, b in close(block):
+            for at in range(0, len(a), AT_ONCE):
+                x, y = a[at : at + AT_ONCE], b[at : at + AT_ONCE]
+                maybe = ((beside[x] - beside[y]) ** 2).sum(axis=1) <= most
+                x, y = x[maybe], y[maybe]
+                if not len(x):
+                    continue
+                gaps = np.add.reduceat((turned[x].astype(np.int64) - turned[y]) ** 2, starts, axis=1) <= limits
+                own = gaps[:, block] & ~gaps[:, :block].any(axis=1)
+                waiting.append((x[own], y[own]))
+                held += len(waiting[-1][0])
+                if held > AT_ONCE:
+                    verify(waiting)
+                    waiting, held = [], 0
+    if waiting:
+        verify(waiting)
     return links, forest.edges
 
 
+def _keys(spark: SparkSession, count: int) -> list[int]:
+    """So many numbers that Spark deals to as many partitions, one to each."""
+    tried = spark.range(64 * count).select(F.col("id").cast("int").alias("k"))
+    dealt = tried.groupBy(F.pmod(F.hash("k"), F.lit(count)).alias("p")).agg(F.min("k").alias("k"))
+    keys = [r.k for r in dealt.collect()]
+    return keys + list(range(64 * count, 65 * count - len(keys)))
+
+
 def near_vectors(vectors: DataFrame, cosine: float = 0.95, key: str = "vec_id", column: str = "embedding") -> DataFrame:
     """Per row of `vectors`: key, n_links, component_id, kept.
 
@@ -255,46 +308,42 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, key: str = "vec_id",
     element = vectors.schema[column].dataType.elementType
     kind = "<f4" if isinstance(element, T.FloatType) else "<f8"
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(column).cast("array<float>" if kind == "<f4" else "array<double>").alias("v"))
-    every = stored(_classes(rows, kind), "vectors")
-    distinct = every.where("id IS NOT NULL AND vec IS NOT NULL").groupBy("vec", "dims", "id").agg(F.lit(1).alias("one"))
-    classes = stored(distinct.groupBy("vec", "dims").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "classes")
-    bits = int(np.clip(np.round(np.log2(max(classes.count(), 1) / PER_CELL)), 0, 2 * BLOCK))
-
-    sent = _sent(classes, kind, cosine, bits)
-    cell = ["dims", "block", "cell"]
-    crowded = sent.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * CHUNK)
-    crowded = stored(crowded.select(*cell, F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "crowded")
-    split = sent.join(crowded, cell, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-    own = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
-    paired = split.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    tasks = paired.withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    every = stored(_classes(rows, kind, whole=False), "vectors")
+    distinct = every.where("id IS NOT NULL AND class IS NOT NULL").groupBy("class", "dims", "id").agg(F.lit(1).alias("one"))
+    classes = stored(distinct.groupBy("class", "dims").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), "classes")
+    size = classes.agg(F.count(F.lit(1)).alias("n"), (F.sum("dims") * np.dtype(kind).itemsize).alias("bytes")).first()
+    chunks = max(-(-size.n // CHUNK), -(-(size.bytes or 0) // CHUNK_BYTES), min(LEAST_CHUNKS, size.n // LEAST_CHUNK), 1)
+
+    # A task for each two chunks. A chunk's own pairs are left to its task with the next one, round and round.
+    pairs = [(a, b) for a in range(chunks) for b in range(a + 1, chunks)] or [(0, 0)]
+    keys = _keys(vectors.sparkSession, len(pairs))
+    asked = {k: (a, b, b - a < 2, (a, b) == (0, chunks - 1)) for k, (a, b) in zip(keys, pairs, strict=True)}
+    key_of = {p: k for k, (a, b, *_) in asked.items() for p in ((a, b), (b, a))}
+    tasks_of = F.array(*[F.array(*[F.lit(key_of[a, b]) for b in range(chunks) if (a, b) in key_of]) for a in range(chunks)])
+    vec = _classes(rows.where("id IS NOT NULL"), kind, whole=True).where("class IS NOT NULL").groupBy("class", "dims").agg(F.min("vec").alias("vec"))
+    own = F.pmod(F.xxhash64("class"), F.lit(chunks)).cast("int")
+    dealt = vec.join(classes, ["class", "dims"]).withColumn("chunk", own)
+    tasks = dealt.select(F.explode(F.element_at(tasks_of, F.col("chunk") + 1)).alias("task"), "chunk", "dims", "id", "copies", "vec")
 
     def work(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        column_of = {n: table[n].chunk(0) for n in table.column_names}
-        ids, own_, low, high = (column_of[n].to_numpy(zero_copy_only=False) for n in ("id", "own", "low", "high"))
-        links, edges = linked_in_cell(
-            column_of["block"][0].as_py(),
-            _matrix(column_of["vec"], kind),
-            _matrix(column_of["rotated"], "<i4"),
-            column_of["home"].to_numpy(zero_copy_only=False),
-            column_of["copies"].to_numpy(zero_copy_only=False),
-            own_ == low,
-            own_ == high,
-            cosine,
-        )
-        hit = np.flatnonzero(links)
-        a = np.array([ids[x] for x, _ in edges], np.int64)
-        b = np.array([ids[y] for _, y in edges], np.int64)
-        return pa.table(
-            {
-                "id": np.concatenate([ids[hit], a]).astype(np.int64),
-                "other": pa.concat_arrays([pa.nulls(len(hit), pa.int64()), pa.array(b, pa.int64())]),
-                "links": np.concatenate([links[hit], np.zeros(len(a), np.int64)]),
-            }
-        )
-
-    found = tasks.groupBy(*cell, "low", "high").applyInArrow(work, "id long, other long, links long")
+        first, second, *within = asked[table["task"][0].as_py()]
+        dims = table["dims"].to_numpy()
+        found = [(np.empty(0, np.int64), pa.nulls(0, pa.int64()), np.empty(0, np.int64))]
+        for n in np.unique(dims).tolist():
+            some = table if (dims == n).all() else table.filter(pa.array(dims == n))
+            parts = [_matrix(part, kind) for part in some["vec"].chunks if len(part)]
+            ids, chunk, copies = (some[c].to_numpy() for c in ("id", "chunk", "copies"))
+            links, edges = linked(parts, (chunk == second) & (first != second), tuple(within), copies, cosine)
+            hit = np.flatnonzero(links)
+            a = np.array([ids[x] for x, _ in edges], np.int64)
+            b = np.array([ids[y] for _, y in edges], np.int64)
+            found.append((ids[hit], pa.nulls(len(hit), pa.int64()), links[hit]))
+            found.append((a, pa.array(b, pa.int64()), np.zeros(len(a), np.int64)))
+        give_back()
+        ids, others, links = zip(*found, strict=True)
+        return pa.table({"id": np.concatenate(ids), "other": pa.concat_arrays(others), "links": np.concatenate(links)})
+
+    found = tasks.repartition(len(pairs), "task").groupBy("task").applyInArrow(work, "id long, other long, links long")
     found = stored(found, "found")
     counts = found.where("other IS NULL").groupBy("id").agg(F.sum("links").alias("links"))
     labels = components(found.where("other IS NOT NULL").select(F.col("id").alias("a"), F.col("other").alias("b")))
@@ -302,13 +351,13 @@ def near_vectors(vectors: DataFrame, cosine: float = 0.95, key: str = "vec_id",
         classes.join(counts, "id", "left")
         .join(labels, "id", "left")
         .select(
-            "vec",
+            "class",
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
             F.coalesce("component", "id").alias("component"),
         )
     )
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return every.join(known, "vec", "left").select(
+    return every.join(known, "class", "left").select(
         F.col("id").alias(key),
         F.when(F.col("id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"),
         component.alias("component_id"),
