@@ -12,6 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -77,6 +78,18 @@ def test_search_equals_scoring_everything(spark, pairs, documents, monkeypatch,
     assert found(ranked_search.ranked(documents, items, top=1)) == plain_ranking(docs, asked, 1)
 
 
+def test_an_index_file_holds_few_shards_however_many_documents_a_task_has(spark, pairs, documents, monkeypatch):
+    monkeypatch.setattr(ranked_search, "SHARD_BYTES", 900)
+    folder = new_folder(spark, "index")
+    index = ranked_search.Index.write(documents.coalesce(1), folder)
+    rows = [pq.ParquetFile(f).metadata.num_rows for f in Path(folder).glob("*.parquet")]
+    assert sum(rows) == index.shards().count() > 20 and max(rows) <= 4
+    assert {t for _, t in index.shards().dtypes} == {"bigint", "binary"}
+    asked = [(0, pairs[0][1]), (1, "one two")]
+    items = spark.createDataFrame(asked, "item_id long, text string")
+    assert found(ranked_search.search(index, items)) == plain_ranking([(r.doc_id, r.text) for r in documents.collect()], asked)
+
+
 def test_search_of_copies_and_of_nothing(spark, nothing):
     docs = [(i, "same words here" if i % 3 else f"other words {i}") for i in range(300)]
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)

@@ -1,7 +1,8 @@
 """Ranked lexical search by range maxima: exact best documents of each item without scoring all of them.
 
 1. The index. A task turns its documents into shards: posting lists of some thousand documents in key order, with how often each
-   document has the term. A shard is a row; nothing is shuffled. Statistics of the whole corpus are sums over shards.
+   document has the term. A shard is a row of two packed columns, so that Spark moves small bytes and not millions of numbers, and a
+   file has few of them; nothing is shuffled. Statistics of the whole corpus are sums over shards.
 2. The search. For the lists that any item asks for, a shard gets impacts (what a posting adds to a score) and sparse tables over
    them, which give the largest impact of any stretch of a list, and its document, from two entries.
 3. For an item, the interval of all documents of the shard is bounded by the sum of its lists' range maxima. The intervals with
@@ -34,10 +35,11 @@ BLOCK_BYTES = 4 << 20
 # Intervals that are split at once. One by one would score fewer documents, but each at the price of a whole step.
 AT_ONCE = 64
 SALTS = 64
-INDEX_SCHEMA = (
-    "holding long, n_terms long, docs array<long>, lengths array<int>, terms array<string>, ends array<int>, post_docs array<int>, counts array<int>"
-)
-_NAMES = [f.split()[0] for f in INDEX_SCHEMA.split(", ")]
+# Bytes of text whose terms are found at once, and shards of a file: Spark reads and writes a small file's rows as one batch.
+PIECE_BYTES, FILE_SHARDS = 4 << 20, 4
+INDEX_SCHEMA = "holding long, n_terms long, words binary, postings binary"
+_WORDS, _POSTINGS = ["terms", "ends"], ["docs", "lengths", "post_docs", "counts"]
+_NAMES = ["holding", "n_terms", "docs", "lengths", "terms", "ends", "post_docs", "counts"]
 # A table entry is an impact and, in the low bits, how far its document is from the last one a shard can have.
 _DOC_BITS = SHARD_ROWS.bit_length()
 _DOC_MASK = (1 << _DOC_BITS) - 1
@@ -61,13 +63,15 @@ def terms_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
 def shard(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     """The index row of some documents (id, text); None if no document has a term."""
     order = np.argsort(batch.column(0).to_numpy(), kind="stable")
-    words, first = terms_of(batch.column(1))
+    pieces = [terms_of(some.column(1)) for some in slices(iter([batch]), "text", PIECE_BYTES)]
+    lengths = np.concatenate([np.empty(0, np.int64), *[np.diff(first) for _, first in pieces]])
+    words = pa.chunked_array([x for x, _ in pieces], pa.large_string())
     if not len(words):
         return None
-    lengths = np.diff(first)
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    coded = words.dictionary_encode()
+    coded = words.dictionary_encode().combine_chunks()
+    del pieces, words
     keys = coded.indices.to_numpy().astype(np.int64) * len(order) + np.repeat(place, lengths)
     keys, counts = np.unique(keys, return_counts=True)
     ends = np.searchsorted(keys, np.arange(1, len(coded.dictionary) + 1) * len(order))
@@ -83,6 +87,32 @@ def shard(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     return pa.RecordBatch.from_arrays([pa.array([int((lengths > 0).sum())]), pa.array([int(lengths.sum())]), *whole], names=_NAMES)
 
 
+def packed(row: pa.RecordBatch) -> pa.RecordBatch:
+    """An index row as it is stored."""
+
+    def narrow(column: pa.ListArray) -> pa.ListArray:
+        values = column.values
+        if not pa.types.is_int32(values.type):
+            return column
+        most = pc.max(values).as_py() or 0
+        kind = pa.uint8() if most < 1 << 8 else pa.uint16() if most < 1 << 16 else pa.int32()
+        return pa.ListArray.from_arrays(column.offsets, values.cast(kind))
+
+    def blob(names: list[str]) -> pa.Array:
+        part = pa.RecordBatch.from_arrays([narrow(row.column(_NAMES.index(n))) for n in names], names=names)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+            stream.write_batch(part)
+        return pa.array([sink.getvalue().to_pybytes()], pa.binary())
+
+    return pa.RecordBatch.from_arrays([row.column(0), row.column(1), blob(_WORDS), blob(_POSTINGS)], names=["holding", "n_terms", "words", "postings"])
+
+
+def opened(blob: pa.BinaryScalar) -> dict[str, pa.Array]:
+    part = pa.ipc.open_stream(blob.as_buffer()).read_next_batch()
+    return {n: part.column(i)[0].values for i, n in enumerate(part.schema.names)}
+
+
 @dataclass(frozen=True)
 class Index:
     """A stored index: N documents with a term, L terms with their repeats, and the shards."""
@@ -99,10 +129,10 @@ class Index:
                 for first in range(0, some.num_rows, SHARD_ROWS):
                     row = shard(some.slice(first, SHARD_ROWS))
                     if row is not None:
-                        yield row
+                        yield packed(row)
 
         rows = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-        rows.mapInArrow(work, INDEX_SCHEMA).write.parquet(folder)
+        rows.mapInArrow(work, INDEX_SCHEMA).write.option("maxRecordsPerFile", FILE_SHARDS).parquet(folder)
         return cls(docs.sparkSession, folder)
 
     def shards(self) -> DataFrame:
@@ -120,13 +150,13 @@ class Index:
             held = np.zeros(len(shared.value), np.int64)
             for batch in batches:
                 for i in range(batch.num_rows):
-                    asked, lists = _asked(batch.column(0)[i].values, shared.value)
-                    ends = batch.column(1)[i].values.to_numpy()
-                    held[asked] += np.diff(ends, prepend=0)[lists]
+                    row = opened(batch.column(0)[i])
+                    asked, lists = _asked(row["terms"], shared.value)
+                    held[asked] += np.diff(row["ends"].to_numpy().astype(np.int64), prepend=0)[lists]
             found = np.flatnonzero(held)
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(held[found])], names=["term", "held"])
 
-        parts = self.shards().select("terms", "ends").mapInArrow(work, "term int, held long")
+        parts = self.shards().select("words").mapInArrow(work, "term int, held long")
         out = np.zeros(len(vocabulary), np.int64)
         for term, held in parts.groupBy("term").agg(F.sum("held")).collect():  # a row for each term of a block of items
             out[term] = held
@@ -147,15 +177,14 @@ class RangeMaxima:
     """
 
     def __init__(self, values: np.ndarray, longest: int):
-        levels = [values]
-        for j in range(1, max(1, longest).bit_length()):
-            last, half = levels[-1], 1 << (j - 1)
-            level = last.copy()
-            np.maximum(last[:-half], last[half:], out=level[:-half])
-            levels.append(level)
-        self._table = np.stack(levels)
+        self._table = np.empty((max(1, max(1, longest).bit_length()), len(values)), values.dtype)
+        self._table[0] = values
+        for j in range(1, len(self._table)):
+            last, half = self._table[j - 1], 1 << (j - 1)
+            self._table[j] = last
+            np.maximum(last[:-half], last[half:], out=self._table[j, :-half])
         self._level = np.zeros(longest + 1, np.int8)
-        for j in range(1, len(levels)):
+        for j in range(1, len(self._table)):
             self._level[1 << j :] = j
 
     def __call__(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -263,9 +292,9 @@ def _search_block(index: Index, items: list, documents: int, all_terms: int, top
         best = [none] * len(names)
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {n: batch.column(j)[i].values for j, n in enumerate(_NAMES[2:])}
-                here = Searcher(row, vocabulary, weights, documents, all_terms)
+                here = Searcher({**opened(batch.column(0)[i]), **opened(batch.column(1)[i])}, vocabulary, weights, documents, all_terms)
                 best = [here.search(*asked[k], best[k], top) for k in range(len(names))]
+                del here  # before the next one takes room
         rows = [(names[k], d, s) for k, (scores, ids) in enumerate(best) for s, d in zip(scores.tolist(), ids.tolist(), strict=True)]
         columns = list(zip(*rows, strict=True)) if rows else [(), (), ()]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["item_id", "doc_id", "score"])
